@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, simhash, substring
+from . import bpe, quality, sharding, simhash, substring, urlfilter
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,10 +52,86 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        F.col("q_words").alias("n_words"),
+        F.col("q_word_chars").alias("word_chars"),
+        F.col("q_symbols").alias("n_symbols"),
+        F.col("q_dup_lines").alias("n_dup_lines"),
+        F.col("q_repeat_words").alias("n_repeat_words"),
+        F.col("q_base_failed").alias("base_failed"),
+        F.col("q_kept").alias("kept"),
+        F.col("q_lost").alias("n_lost"),
+    )
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_sharding": op3_sharding,
     "op4_simhash": op4_simhash,
     "op5_substring": op5_substring,
+    "op7_quality": op7_quality,
+    "op10_urls": op10_urls,
 }
-ORACLES: dict[str, str] = {}
+
+_WORD, _SPACE = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]"
+_SYMBOLS = quality.SYMBOLS
+
+
+def _failing_line(x: str) -> str:
+    """quality.line_fails as SQL over a line x."""
+
+    def count(pattern: str) -> str:
+        return f"len(regexp_extract_all({x}, '{pattern}'))"
+
+    n = f"greatest({count(_WORD)}, 1)"
+    capitals, small, separators, symbols = count(r"\p{Lu}"), count(r"\p{Ll}"), count("[|»›·]"), count(_SYMBOLS)
+    return (
+        f"(({n} >= 8 AND NOT regexp_matches({x}, '[.,;:!?…]'))"
+        f" OR ({n} >= 3 AND {capitals} > 2 * {small} AND {capitals} >= 10) OR ({count('!!')} * 3 >= {n} AND {n} >= 3)"
+        f" OR ({separators} >= 3 AND {separators} * 4 >= {n}) OR ({n} <= 30 AND regexp_matches({x}, '{quality.BOILERPLATE}'))"
+        f" OR ({symbols} * 5 > {n} AND {symbols} >= 3))"
+    )
+
+
+OP7_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS (SELECT doc_id, text, regexp_extract_all(text, '{_WORD}') AS w, string_split(text, chr(10)) AS lines FROM t),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM s)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) >= 2),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM r, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+m AS (SELECT doc_id, len(w) AS n_words, length(text) - len(regexp_extract_all(text, '{_SPACE}')) AS word_chars,
+  len(regexp_extract_all(text, '{_SYMBOLS}')) AS n_symbols,
+  list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS spoken,
+  len(w) - len(regexp_extract_all(array_to_string(list_filter(lines, lambda x: NOT {_failing_line("x")}), chr(10)), '{_WORD}')) AS n_lost
+  FROM s),
+n AS (SELECT m.doc_id, n_words, word_chars, n_symbols, len(spoken) - len(list_distinct(spoken)) AS n_dup_lines,
+  coalesce(n_repeat_words, 0) AS n_repeat_words, n_lost,
+  n_words < {quality.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed
+  FROM m LEFT JOIN c ON m.doc_id = c.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_lost <= {quality.MAX_LOST} * n_words AS kept, n_lost FROM n
+"""
+
+
+def _url_sql() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urlfilter.RULES)
+    hosts = ", ".join(f"('{h}')" for h in urlfilter.BLOCKED_HOSTS)
+    return f"""
+WITH u AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{urlfilter._UPPER}', '{urlfilter._LOWER}') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(v, rh, rp) AS (VALUES {rules}), hosts(b) AS (VALUES {hosts}),
+f AS (SELECT page_id, v, rh || rp AS rule FROM h JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC) = 1)
+SELECT h.page_id, host, path, rule, coalesce(v, CASE WHEN EXISTS (SELECT 1 FROM hosts WHERE host = b OR ends_with(host, '.' || b))
+  THEN 'block' ELSE 'allow' END) AS verdict FROM h LEFT JOIN f ON h.page_id = f.page_id
+"""
+
+
+ORACLES: dict[str, str] = {"op7_quality": OP7_SQL, "op10_urls": _url_sql()}
