@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, sharding, simhash, substring, urlfilter
+from . import bpe, html, pii, quality, sharding, simhash, substring, urlfilter
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,12 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
@@ -66,6 +72,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -75,7 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_simhash": op4_simhash,
     "op5_substring": op5_substring,
+    "op6_pii": op6_pii,
     "op7_quality": op7_quality,
+    "op9_html": op9_html,
     "op10_urls": op10_urls,
 }
 
