@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, pii, quality, sharding, simhash, substring, urlfilter
+from . import bpe, decontaminate, html, pii, quality, sharding, simhash, substring, urlfilter
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,11 @@ def bpe_digest(docs: DataFrame) -> DataFrame:
     )
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id",
@@ -82,6 +87,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_decontaminate": op2_decontaminate,
     "op3_sharding": op3_sharding,
     "op4_simhash": op4_simhash,
     "op5_substring": op5_substring,
@@ -146,4 +152,21 @@ SELECT h.page_id, host, path, rule, coalesce(v, CASE WHEN EXISTS (SELECT 1 FROM
 """
 
 
-ORACLES: dict[str, str] = {"op7_quality": OP7_SQL, "op10_urls": _url_sql()}
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '{_WORD}') AS w FROM documents WHERE text IS NOT NULL),
+b AS (SELECT item_id, regexp_extract_all(lower(text), '{_WORD}') AS w FROM benchmark WHERE text IS NOT NULL),
+k AS (SELECT DISTINCT least(len(w), 5) AS k FROM b WHERE len(w) > 0),
+dg AS (SELECT doc_id, k, len(w) - k + 1 AS size, p, array_to_string(w[p + 1 : p + k], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(0, len(w) - k + 1)) AS p FROM d, k)),
+bg AS (SELECT item_id, k, m, g, count(*) AS c FROM (SELECT item_id, k, len(w) - k + 1 AS m, array_to_string(w[p + 1 : p + k], ' ') AS g
+  FROM (SELECT item_id, w, k, unnest(range(0, len(w) - k + 1)) AS p FROM b JOIN k ON k = least(len(w), 5))) GROUP BY ALL),
+h AS (SELECT doc_id, item_id, size, m, p, bg.g, c FROM dg JOIN bg ON dg.g = bg.g AND dg.k = bg.k),
+s AS (SELECT doc_id, item_id, size, m, unnest(range(0, greatest(size - m, 0) + 1)) AS s
+  FROM (SELECT doc_id, item_id, size, m FROM h GROUP BY ALL HAVING count(*) >= m * 0.8 - 1e-9)),
+o AS (SELECT doc_id, item_id, size, m, s, sum(least(n, c)) AS o FROM (SELECT h.doc_id, h.item_id, h.size, h.m, s, g, c, count(*) AS n
+  FROM s JOIN h ON s.doc_id = h.doc_id AND s.item_id = h.item_id AND p >= s AND p < s + h.m GROUP BY ALL) GROUP BY ALL)
+SELECT doc_id, item_id, round(max(o / (m + least(m, size) - o)), 6) AS similarity FROM o
+WHERE o / (m + least(m, size) - o) >= 0.8 - 1e-9 GROUP BY doc_id, item_id
+"""
+
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op7_quality": OP7_SQL, "op10_urls": _url_sql()}
