@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, pii, quality, sharding, simhash, substring, urlfilter
+from . import bpe, decontaminate, html, linededup, pii, quality, sharding, simhash, substring, urlfilter
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,6 +77,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.remove_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("l_lines").alias("n_lines"), F.col("l_removed").alias("n_removed"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring": op5_substring,
     "op6_pii": op6_pii,
     "op7_quality": op7_quality,
+    "op8_lines": op8_lines,
     "op9_html": op9_html,
     "op10_urls": op10_urls,
 }
