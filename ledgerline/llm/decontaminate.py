@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize, words
+from .shared import materialize, once, words
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Bits that may differ. Windows of similarity 0.8 differ in about ten bits; more blocks than bits keep the guarantee.
@@ -92,7 +92,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_
     lengths = [r[0] for r in items.select("k").distinct().collect()]  # at most five values
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("id", "text")).withColumn("hashes", _word_hashes(F.col("text"))).withColumn("n", F.size("hashes"))
+    rows = once(rows.withColumn("key", F.xxhash64("id", "text")), hashes=_word_hashes(F.col("text"))).withColumn("n", F.size("hashes"))
     hits = None
     for k in lengths:
         at = rows.where(F.col("n") >= k).select("key", "n", "hashes", F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("p"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize, words
+from .shared import materialize, once, words
 
 SIMILARITY = 0.8
 #: Token classes whose counts decide the order; a 16-bit rank stands in front of 47 bits of the token's hash.
@@ -42,7 +42,7 @@ def _sets(rows: DataFrame, ranks: Column) -> DataFrame:
     hashed = F.transform(F.array_distinct(words(F.col("value"))), lambda w: F.xxhash64(w))
     low = (1 << 47) - 1
     ranked = F.transform(hashed, lambda h: F.call_function("shiftleft", F.get(ranks, _class(h)).cast("long"), F.lit(47)).bitwiseOR(h.bitwiseAND(F.lit(low))))
-    sets = lines.select("id", "key", "line", F.sort_array(ranked).alias("tokens")).where(F.size("tokens") > 0)
+    sets = once(lines, tokens=F.sort_array(ranked)).drop("value").where(F.size("tokens") > 0)
     return sets.withColumn("set_key", F.xxhash64("tokens"))
 
 
@@ -129,4 +129,5 @@ def remove_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("l_lines", F.when(F.col(text_col).isNull(), 0).otherwise(lines).cast("long"))
     rows = rows.withColumn("l_removed", F.when(F.col(text_col).isNull(), 0).otherwise(lines - F.size("__stay")).cast("long"))
     rows = rows.withColumn("__text", F.when(F.col("l_removed") > 0, text).otherwise(F.col(text_col)))
-    return rows.select(*[F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns], "l_lines", "l_removed")
+    rows = rows.select(*[F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns], F.col("l_lines").alias("__n"), F.col("l_removed").alias("__gone"))
+    return once(rows, l_lines=F.col("__n"), l_removed=F.col("__gone")).drop("__n", "__gone")

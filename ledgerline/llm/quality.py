@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE_CLASS, words
+from .shared import SPACE_CLASS, once, words
 
 SYMBOLS = r"[#*$%&|<>]"
 #: Phrases of lines that no article is made of (fixed values).
@@ -93,4 +93,5 @@ def judge(docs: DataFrame, *, text_col: str = "text", max_lost: float = MAX_LOST
     failed = (F.col("q_words") < MIN_WORDS) | (100 * F.col("q_repeat_words") > MAX_REPEATED_PERCENT * F.col("q_words"))
     rows = rows.withColumn("q_base_failed", failed)
     rows = rows.withColumn("q_kept", ~F.col("q_base_failed") & (F.col("q_lost") <= max_lost * F.col("q_words")))
-    return rows.drop("__text", "__words", "__lines", "__spoken", "__good")
+    made = [c for c in rows.columns if c.startswith("q_") and c not in docs.columns]
+    return once(rows.select(*docs.columns, *[F.col(c).alias(f"__{c}") for c in made]), **{c: F.col(f"__{c}") for c in made}).drop(*[f"__{c}" for c in made])

@@ -47,6 +47,7 @@ def words(text: Column) -> Column:
     )
 
 
-def nonce(prefix: str = "c") -> str:
-    """A column name that no table of a user has."""
-    return f"__{prefix}_{uuid.uuid4().hex[:8]}"
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns whose expressions run once per row. A later filter on a plain projection's column would be pushed
+    below it and repeat the whole expression; it stops at a generator."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
