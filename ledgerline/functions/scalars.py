@@ -218,7 +218,7 @@ def fx_series_key(currency: Column, denominator: Column) -> Column:
 
 
 def join_child_texts(texts: Column) -> Column:
-    return F.array_join(F.filter(F.transform(texts, F.trim), lambda t: t != ""), ",")
+    return F.array_join(F.filter(F.transform(texts, lambda t: F.trim(t)), lambda t: t != ""), ",")
 
 
 def distinct_ordered(values: Column) -> Column:
