@@ -187,7 +187,7 @@ def subject_for(form: Column) -> Column:
 
 
 def normalize_ticker(x: Column) -> Column:
-    return F.translate(F.translate(F.upper(x), "  ", ""), ".", "-")
+    return F.translate(F.translate(F.upper(x), " \u00a0", ""), ".", "-")
 
 
 def source_url(path: Column, base: str = "https://www.sec.gov/Archives/") -> Column:
