@@ -130,13 +130,15 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rou
     def touches(kind: str) -> Column:
         return F.exists(f"b_{kind}", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start")))
 
-    def starts(kind: str) -> Column:
-        return F.exists(f"b_{kind}", lambda s: (s["start"] >= F.col("t.start")) & (s["start"] < F.col("t.end")))
+    def started(kind: str) -> Column:
+        """Value of the base span that starts inside the token."""
+        return F.get(F.filter(f"b_{kind}", lambda s: (s["start"] >= F.col("t.start")) & (s["start"] < F.col("t.end"))), F.lit(0))["value"]
 
-    kind = F.coalesce(*[F.when(starts(k), k) for k in KINDS])
+    kind = F.coalesce(*[F.when(started(k).isNotNull(), k) for k in KINDS])
+    value = F.coalesce(*[started(k) for k in KINDS], F.col("t.value"))
     touched = F.coalesce(*[F.when(touches(k), True) for k in KINDS], F.lit(False))
     before = F.lower(F.regexp_extract("t.before", rf"({_NONSPACE}+{SPACE_CLASS}+{_NONSPACE}+){SPACE_CLASS}*$", 1))
-    tokens = per.select("id", "key", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.value").alias("value"), kind.alias("kind"), touched.alias("touched"), before.alias("pattern"))
+    tokens = per.select("id", "key", F.col("t.start").alias("start"), F.col("t.end").alias("end"), value.alias("value"), kind.alias("kind"), touched.alias("touched"), before.alias("pattern"))
     tokens = materialize(tokens.where("pattern != '' and (kind is not null or not touched)"), "tokens")
     edges = materialize(tokens.groupBy("pattern", "value", "kind").agg(F.count("*").alias("n")), "edges")
     scores = _score(edges, rounds).where(F.col("score") >= MIN_SCORE)
