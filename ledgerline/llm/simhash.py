@@ -60,8 +60,13 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp bigint").withColumnRenamed("id", id_col)
 
 
+def differing(a: np.ndarray, b) -> np.ndarray:
+    """Differing bits; counted on unsigned values, as numpy counts the bits of a signed number's magnitude."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def distances(fps: np.ndarray, vantage: int) -> np.ndarray:
-    return np.bitwise_count(fps ^ np.int64(vantage)).astype(np.int16)
+    return differing(fps, np.int64(vantage)).astype(np.int16)
 
 
 def split(fps: np.ndarray, vantage: int, threshold: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +122,7 @@ def local_roots(fps: np.ndarray, radius: int) -> np.ndarray:
     heads, tails = [], []
 
     def compare(at: np.ndarray) -> None:
-        near = np.bitwise_count(fps[at][:, None] ^ fps[at][None, :]) <= radius
+        near = differing(fps[at][:, None], fps[at][None, :]) <= radius
         rows, cols = np.nonzero(np.triu(near, 1))
         heads.append(at[rows])
         tails.append(at[cols])
