@@ -7,8 +7,11 @@ Only this parsing is Python; rows leave it typed and everything after is a Spark
 from __future__ import annotations
 
 import re
+import sys
 from xml.etree import ElementTree
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,11 @@ _INSTANT = "{http://www.xbrl.org/2003/instance}"
 _DIMENSION = "{http://xbrl.org/2006/xbrldi}"
 
 
+def _arrow(ddl: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
+
+
 def _header(text: str, label: str) -> str | None:
     found = re.search(rf"(?m)^\s*{label}:\s*(.*?)\s*$", text)
     return found[1] if found else None
@@ -45,14 +53,15 @@ def split_envelope(path: str, content: bytes) -> list[tuple]:
 
 def extract_submissions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per document of every envelope, with the header's fields; errors are rows with a message."""
-    import pandas as pd
 
     def run(batches):
+        schema = _arrow(DOCUMENT)
         for batch in batches:
-            rows = [r for path, content in zip(batch["path"], batch["content"], strict=True) for r in split_envelope(path, content)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in DOCUMENT.split(", ")])
+            for path, content in zip(batch.column(0), batch.column(1), strict=True):  # one envelope at a time
+                rows = [dict(zip(schema.names, r, strict=True)) for r in split_envelope(path.as_py(), content.as_py())]
+                yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(run, DOCUMENT)
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, DOCUMENT)
 
 
 def submission_headers(documents: DataFrame) -> DataFrame:
@@ -89,14 +98,15 @@ def shred_instance(accession: str, body: str) -> list[dict]:
 
 def shred_xbrl(documents: DataFrame) -> DataFrame:
     """Tagged records of all instances: documents of type EX-101.INS or named *_htm.xml."""
-    import pandas as pd
-
-    columns = [c.split()[0] for c in RECORD.split(", ")]
 
     def run(batches):
+        schema = _arrow(RECORD)
         for batch in batches:
-            rows = [r for a, b in zip(batch["accession"], batch["body"], strict=True) for r in shred_instance(a, b)]
-            yield pd.DataFrame(rows, columns=columns).astype({"nil": "boolean"})
+            for accession, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_pylist(shred_instance(accession, body), schema)
 
     instances = documents.where((F.col("type") == "EX-101.INS") | F.col("name").endswith("_htm.xml"))
-    return instances.select("accession", "body").mapInPandas(run, RECORD)
+    return instances.select("accession", "body").mapInArrow(run, RECORD)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the repository
