@@ -176,4 +176,28 @@ SELECT doc_id, item_id, round(max(o / (m + least(m, size) - o)), 6) AS similarit
 WHERE o / (m + least(m, size) - o) >= 0.8 - 1e-9 GROUP BY doc_id, item_id
 """
 
-ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op7_quality": OP7_SQL, "op10_urls": _url_sql()}
+OP5_SQL = f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t)),
+f AS (SELECT h, min(doc_id) AS d FROM g GROUP BY h),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM g JOIN f ON g.h = f.h WHERE d < doc_id),
+k AS (SELECT x.doc_id, string_agg(v, ' ' ORDER BY x.p) AS kept, count(*) AS n FROM (SELECT doc_id, unnest(w) AS v, unnest(range(1, len(w) + 1)) AS p FROM t) x
+  ANTI JOIN r ON r.doc_id = x.doc_id AND r.p = x.p GROUP BY x.doc_id)
+SELECT t.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM t LEFT JOIN k ON k.doc_id = t.doc_id
+"""
+
+OP8_SQL = f"""
+WITH l AS (SELECT doc_id, no, lines[no] AS line, list_sort(list_distinct(regexp_extract_all(lines[no], '{_WORD}'))) AS s
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS no FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
+f AS (SELECT *, row_number() OVER (ORDER BY doc_id, no) AS sid FROM (SELECT doc_id, no, s FROM l WHERE len(s) > 0 QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, no) = 1)),
+t AS (SELECT sid, len(s) AS n, unnest(s) AS token FROM f),
+p AS (SELECT sid, n, token FROM (SELECT *, count(*) OVER (PARTITION BY token) AS c FROM t) QUALIFY row_number() OVER (PARTITION BY sid ORDER BY c, token) <= n - ceil(n * 0.8 - 1e-9) + 1),
+c AS (SELECT DISTINCT a.sid AS early, b.sid AS late FROM p a JOIN p b ON a.token = b.token AND a.sid < b.sid AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+m AS (SELECT DISTINCT late FROM (SELECT late, a.s AS x, b.s AS y, len(list_intersect(a.s, b.s)) AS o FROM c JOIN f a ON a.sid = early JOIN f b ON b.sid = late) WHERE o >= 0.8 * (len(x) + len(y) - o) - 1e-9),
+k AS (SELECT l.doc_id, l.no, l.line FROM l LEFT JOIN (SELECT * FROM f ANTI JOIN m ON late = sid) g ON g.doc_id = l.doc_id AND g.no = l.no WHERE len(l.s) = 0 OR g.sid IS NOT NULL),
+o AS (SELECT doc_id, count(*) AS kept, string_agg(line, chr(10) ORDER BY no) AS text FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines, coalesce(len(string_split(d.text, chr(10))) - coalesce(kept, 0), 0) AS n_removed,
+  CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(o.text, '')) END AS text_sha256 FROM documents d LEFT JOIN o ON o.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op5_substring": OP5_SQL, "op8_lines": OP8_SQL, "op7_quality": OP7_SQL, "op10_urls": _url_sql()}
