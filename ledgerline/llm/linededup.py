@@ -3,7 +3,7 @@
 A line's tokens are ordered from rare to common, by counts over the whole corpus in a fixed number of token
 classes, so one order serves all lines with a bounded table. Two lines can be similar only if they share a token
 of their short prefixes. Equal token sets are one set; a set first meets the earliest set of each of its prefix
-tokens, and only sets that found no earlier match there meet all others of the token, so that a family of
+tokens, and only sets that the filters tell apart from it meet all others of the token, so that a family of
 variants does not cost the square of its size.
 """
 
@@ -11,102 +11,123 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+from pyspark.sql.window import Window
 
 from .shared import materialize, once, words
 
 SIMILARITY = 0.8
-#: Token classes whose counts decide the order; a 16-bit rank stands in front of 47 bits of the token's hash.
-CLASSES = 1 << 16
+#: Token classes whose counts decide the order. The level of a class (quarters of the count's logarithm, at most
+#: 127) stands in front of 56 bits of the token's hash.
+CLASS_BITS = 18
 #: Sets up to which the wanted ones are broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
 def _class(h: Column) -> Column:
-    return F.call_function("shiftrightunsigned", h, F.lit(48)).cast("int")
+    return F.call_function("shiftrightunsigned", h, F.lit(64 - CLASS_BITS)).cast("int")
 
 
-def _ranks(rows: DataFrame) -> Column:
-    """Rank of every token class from rare to common, as a constant array."""
+def _levels(rows: DataFrame) -> Column:
+    """Level of every token class from rare to common, as a constant array."""
     tokens = rows.select(F.explode(words(F.col("text"))).alias("w")).select(_class(F.xxhash64("w")).alias("c"))
-    counts = dict(tokens.groupBy("c").agg(F.count("*").alias("n")).collect())  # at most CLASSES rows
-    order = sorted(range(CLASSES), key=lambda c: (counts.get(c, 0), c))
-    ranks = [0] * CLASSES
-    for rank, c in enumerate(order):
-        ranks[c] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
-
-
-def _sets(rows: DataFrame, ranks: Column) -> DataFrame:
-    """id, key, line, tokens (sorted), set_key for every line with words."""
-    lines = rows.select("id", "key", F.posexplode(F.split("text", "\n")).alias("line", "value"))
+    level = F.least(F.floor(4 * F.log2(F.count("*"))), F.lit(127)).cast("long")
+    counts = tokens.groupBy("c").agg(level.alias("level"))
+    packed = counts.groupBy(F.call_function("shiftright", F.col("c"), F.lit(10)).alias("part")).agg(F.collect_list(F.col("c").cast("long") * 128 + F.col("level")).alias("of"))
+    levels = [0] * (1 << CLASS_BITS)
+    for _, of in packed.collect():  # a number per class
+        for x in of:
+            levels[x >> 7] = x & 127
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<tinyint>")
+
+
+def _sets(lines: DataFrame, levels: Column, *more: str) -> DataFrame:
+    """id, key, line, tokens (sorted), set_key of every line with words; lines: id, key, line, value."""
     hashed = F.transform(F.array_distinct(words(F.col("value"))), lambda w: F.xxhash64(w))
-    low = (1 << 47) - 1
-    ranked = F.transform(hashed, lambda h: F.call_function("shiftleft", F.get(ranks, _class(h)).cast("long"), F.lit(47)).bitwiseOR(h.bitwiseAND(F.lit(low))))
-    sets = once(lines, tokens=F.sort_array(ranked)).drop("value").where(F.size("tokens") > 0)
+    low = F.lit((1 << 56) - 1)
+    ranked = F.transform(hashed, lambda h: F.call_function("shiftleft", F.get(levels, _class(h)).cast("long"), F.lit(56)).bitwiseOR(h.bitwiseAND(low)))
+    sets = once(lines, tokens=F.sort_array(ranked)).select("id", "key", "line", "tokens", *more).where(F.size("tokens") > 0)
     return sets.withColumn("set_key", F.xxhash64("tokens"))
 
 
-def _parity(tokens: str, shift: int) -> Column:
+def _parity(tokens: str) -> Column:
     """64 parities of the tokens; sets that differ in d tokens differ in at most d of them."""
-    one = F.lit(1).cast("long")
-    return F.aggregate(
-        tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, F.call_function("shiftright", t, F.lit(shift)).bitwiseAND(F.lit(63).cast("long")).cast("int")))
-    )
+    one, mask = F.lit(1).cast("long"), F.lit(63).cast("long")
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(mask).cast("int"))))
+
+
+def _possible(similarity: float) -> Column:
+    """Length, positional and parity filters on the columns n, pos, s1 of an early row (prefix e_) and a late one."""
+    early, late = F.col("e_n"), F.col("n")
+    overlap = F.ceil((early + late) * (similarity / (1 + similarity)) - 1e-9)
+    bound = F.least(early - F.col("e_pos"), late - F.col("pos"))  # the shared token and what can follow it
+    differing = F.bit_count(F.col("e_s1").bitwiseXOR(F.col("s1")))
+    return (F.least(early, late) >= similarity * F.greatest(early, late) - 1e-9) & (bound >= overlap) & (differing <= early + late - 2 * overlap)
 
 
-def _possible(a: str, b: str, similarity: float) -> Column:
-    """Length, positional and parity filters on two prefix rows."""
-    na, nb, pa, pb = (F.col(f"{x}.{y}") for y in ("n", "pos") for x in (a, b))
-    overlap = F.ceil((na + nb) * (similarity / (1 + similarity)) - 1e-9)
-    bound = F.least(na - pa, nb - pb)  # the shared token and what can follow it
-    differing = F.bit_count(F.col(f"{a}.s1").bitwiseXOR(F.col(f"{b}.s1"))), F.bit_count(F.col(f"{a}.s2").bitwiseXOR(F.col(f"{b}.s2")))
-    return (F.least(na, nb) >= similarity * F.greatest(na, nb) - 1e-9) & (bound >= overlap) & (F.greatest(*differing) <= na + nb - 2 * overlap)
+def _numbered(firsts: DataFrame) -> Column:
+    """Order of a set by its first line: one number where ids and line numbers fit and don't repeat, else a struct."""
+    if isinstance(firsts.schema["first"].dataType["id"].dataType, IntegralType):
+        low, high, lines, n, distinct = firsts.agg(F.min("first.id"), F.max("first.id"), F.max("first.line"), F.count("first.id"), F.count_distinct("first.id", "first.line")).first()
+        if n == distinct == firsts.count() and n and low >= 0 and high < 1 << 43 and lines < 1 << 20:
+            return F.call_function("shiftleft", F.col("first.id").cast("long"), F.lit(20)).bitwiseOR(F.col("first.line").cast("long"))
+    return F.struct(F.col("first.id").alias("id"), F.col("first.line").alias("line"), F.col("set_key").alias("set_key"))
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """key and kept (numbers of the lines with words that stay) for rows with such lines.
 
-    A line goes if an earlier one, by id, key (a hash of id and text) and number, has a token set of at least this
-    Jaccard similarity. Rows that share id and text are one document. Null ids come first.
+    A line goes if an earlier one, by id, number and token set, has a token set of at least this Jaccard similarity.
+    Rows that share id and text (key: a hash of both) are one document. Null ids come first.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where("text is not null")
-    ranks = _ranks(rows)
-    rows = rows.withColumn("key", F.xxhash64("id", "text"))
+    levels = _levels(rows)
+    lines = rows.select("id", F.xxhash64("id", "text").alias("key"), F.posexplode(F.split("text", "\n")).alias("line", "value"))
     n = F.size("tokens")
     prefix = n - F.ceil(n * similarity - 1e-9).cast("int") + 1
-    all_sets = _sets(rows, ranks)
-    drawn = all_sets.select(
-        "set_key", F.struct("id", "key", "line").alias("first"), n.alias("n"), F.slice("tokens", F.lit(1), prefix).alias("prefix"), _parity("tokens", 0).alias("s1"), _parity("tokens", 6).alias("s2")
-    )
-    firsts = drawn.groupBy("set_key").agg(F.min("first").alias("first"), *[F.first(c).alias(c) for c in ("n", "prefix", "s1", "s2")])
-    firsts = materialize(firsts, "line-sets")
-    posts = firsts.select("set_key", "first", "n", "s1", "s2", F.posexplode("prefix").alias("pos", "token"))
-    member = F.struct("first", "set_key", "n", "pos", "s1", "s2")
-    heads = posts.groupBy("token").agg(F.min(member).alias("head"), F.count("*").alias("members")).where("members > 1")
-    heads = materialize(heads.select("token", "head.*", "members"), "heads")
+    drawn = _sets(lines, levels).select("set_key", F.struct("id", "line", "key").alias("first"), n.alias("n"), F.slice("tokens", F.lit(1), prefix).alias("prefix"), _parity("tokens").alias("s1"))
+    firsts = materialize(drawn.groupBy("set_key").agg(F.min("first").alias("first"), *[F.first(c).alias(c) for c in ("n", "prefix", "s1")]), "line-sets")
+    firsts = firsts.withColumn("sid", _numbered(firsts))
+    posts = firsts.select("sid", "n", "s1", F.posexplode("prefix").alias("pos", "token")).where("token is not null")
+    # One exchange by token: every row meets the earliest set of its token; tokens of one set drop out.
+    group = Window.partitionBy("token")
+    head = F.first(F.struct("sid", "n", "pos", "s1")).over(group.orderBy("sid"))
+    shared = posts.withColumn("head", head).withColumn("members", F.count("*").over(group)).where("members > 1")
+    shared = shared.select("token", "sid", "n", "pos", "s1", *[F.col(f"head.{c}").alias(f"e_{c}") for c in ("sid", "n", "pos", "s1")]).where("sid != e_sid or members > 2")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Sets with an exact match among pairs (early, late)."""
-        wanted = materialize(pairs.select(F.explode(F.array("early", "late")).alias("set_key")).distinct(), "wanted")
+        """Sets (sid) with an exact match among pairs (early, late): only their first lines are tokenized again."""
+        sids = pairs.select(F.explode(F.array("early", "late")).alias("sid")).distinct()
+        wanted = materialize(firsts.join(sids, "sid").select("sid", "first.key", "first.line"), "wanted")
         few = wanted.count() <= BROADCAST_ROWS
-        again = _sets(rows, ranks).join(F.broadcast(wanted) if few else wanted, "set_key", "left_semi")
-        tokens = materialize(again.groupBy("set_key").agg(F.first("tokens").alias("tokens")), "tokens")
-        both = pairs.join(tokens.select(F.col("set_key").alias("early"), F.col("tokens").alias("a")), "early")
-        both = both.join(tokens.select(F.col("set_key").alias("late"), F.col("tokens").alias("b")), "late")
-        shared = F.size(F.array_intersect("a", "b"))
-        return both.where(shared >= similarity * (F.size("a") + F.size("b") - shared) - 1e-9).select(F.col("late").alias("set_key")).distinct()
-
-    possible = _possible("a", "b", similarity)
-    later = F.col("a.first") < F.col("b.first")
-    pair = [F.col("a.set_key").alias("early"), F.col("b.set_key").alias("late")]
-    near_head = heads.alias("a").join(posts.alias("b"), F.col("a.token") == F.col("b.token")).where(later & possible).select(*pair).distinct()
-    near_head = materialize(near_head, "near-head")
-    matched = materialize(verified(near_head), "matched")
-    open_posts = posts.join(heads.where("members > 2").select("token"), "token", "left_semi").join(matched, "set_key", "left_anti")
-    others = posts.alias("a").join(open_posts.alias("b"), F.col("a.token") == F.col("b.token")).where(later & possible).select(*pair).distinct()
-    others = materialize(others.join(near_head, ["early", "late"], "left_anti"), "others")
-    matched = matched.unionByName(verified(others)) if not others.isEmpty() else matched
-    stay = firsts.join(matched, "set_key", "left_anti").select("first.key", "first.line")
+        again = lines.join(F.broadcast(wanted) if few else wanted, ["key", "line"]).dropDuplicates(["sid"])
+        tokens = materialize(_sets(again, levels, "sid").select("sid", "tokens"), "tokens")
+        both = pairs.join(tokens.select(F.col("sid").alias("early"), F.col("tokens").alias("a")), "early")
+        both = both.join(tokens.select(F.col("sid").alias("late"), F.col("tokens").alias("b")), "late")
+        common = F.size(F.array_intersect("a", "b"))
+        return both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct()
+
+    def met(late: DataFrame) -> DataFrame:
+        """Pairs of late rows with any other set of their token, the earliest aside."""
+        others = shared.select("token", *[F.col(c).alias(f"e_{c}") for c in ("sid", "n", "pos", "s1")])
+        late = late.withColumnRenamed("e_sid", "head").drop("e_n", "e_pos", "e_s1")
+        return late.join(others, "token").where((F.col("e_sid") < F.col("sid")) & (F.col("e_sid") != F.col("head")) & _possible(similarity)).select(*pair)
+
+    pair = [F.col("e_sid").alias("early"), F.col("sid").alias("late")]
+    late = shared.where("sid != e_sid")
+    with_head = late.where(_possible(similarity)).select(*pair)
+    pairs = materialize(with_head.unionByName(met(late.where(~_possible(similarity)))).distinct(), "pairs")
+    # Most sets match the earliest partner that the filters leave; the others are held against all of theirs.
+    earliest = pairs.groupBy("late").agg(F.min("early").alias("early")).select("early", "late")
+    matched = materialize(verified(earliest), "matched")
+    doubtful = materialize(pairs.select(F.col("late").alias("sid")).distinct().join(matched, "sid", "left_anti"), "doubtful")
+    if not doubtful.isEmpty():
+        few = doubtful.count() <= BROADCAST_ROWS
+        asked = F.broadcast(doubtful) if few else doubtful
+        rest = pairs.join(asked.withColumnRenamed("sid", "late"), "late", "left_semi").select("early", "late")
+        more = met(late.where(_possible(similarity)).join(asked, "sid", "left_semi"))
+        matched = matched.unionByName(verified(materialize(rest.unionByName(more).distinct(), "more-pairs")))
+    stay = firsts.select("sid", "first.key", "first.line").join(matched, "sid", "left_anti")
     return stay.groupBy("key").agg(F.collect_list("line").alias("kept"))
 
 
@@ -129,5 +150,5 @@ def remove_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("l_lines", F.when(F.col(text_col).isNull(), 0).otherwise(lines).cast("long"))
     rows = rows.withColumn("l_removed", F.when(F.col(text_col).isNull(), 0).otherwise(lines - F.size("__stay")).cast("long"))
     rows = rows.withColumn("__text", F.when(F.col("l_removed") > 0, text).otherwise(F.col(text_col)))
-    rows = rows.select(*[F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns], F.col("l_lines").alias("__n"), F.col("l_removed").alias("__gone"))
+    rows = rows.select(*[F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("l_lines", "l_removed")], F.col("l_lines").alias("__n"), F.col("l_removed").alias("__gone"))
     return once(rows, l_lines=F.col("__n"), l_removed=F.col("__gone")).drop("__n", "__gone")
