@@ -88,12 +88,11 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     drawn = _sets(lines, levels).select("set_key", F.struct("id", "line", "key").alias("first"), n.alias("n"), F.slice("tokens", F.lit(1), prefix).alias("prefix"), _parity("tokens").alias("s1"))
     firsts = materialize(drawn.groupBy("set_key").agg(F.min("first").alias("first"), *[F.first(c).alias(c) for c in ("n", "prefix", "s1")]), "line-sets")
     firsts = firsts.withColumn("sid", _numbered(firsts))
-    posts = firsts.select("sid", "n", "s1", F.posexplode("prefix").alias("pos", "token")).where("token is not null")
-    # One exchange by token: every row meets the earliest set of its token; tokens of one set drop out.
-    group = Window.partitionBy("token")
-    head = F.first(F.struct("sid", "n", "pos", "s1")).over(group.orderBy("sid"))
-    shared = posts.withColumn("head", head).withColumn("members", F.count("*").over(group)).where("members > 1")
-    shared = shared.select("token", "sid", "n", "pos", "s1", *[F.col(f"head.{c}").alias(f"e_{c}") for c in ("sid", "n", "pos", "s1")]).where("sid != e_sid or members > 2")
+    posts = firsts.select("sid", "n", "s1", F.posexplode("prefix").alias("pos", "token"))
+    posts = posts.where("token is not null and sid is not null and n is not null and s1 is not null")  # alike for all uses
+    # One exchange by token, used three times: every row meets the earliest set of its token.
+    in_order = Window.partitionBy("token").orderBy("sid")
+    late = posts.withColumns({f"e_{c}": F.first(c).over(in_order) for c in ("sid", "n", "pos", "s1")}).where("sid != e_sid")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Sets (sid) with an exact match among pairs (early, late): only their first lines are tokenized again."""
@@ -109,12 +108,12 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def met(late: DataFrame) -> DataFrame:
         """Pairs of late rows with any other set of their token, the earliest aside."""
-        others = shared.select("token", *[F.col(c).alias(f"e_{c}") for c in ("sid", "n", "pos", "s1")])
+        others = posts.withColumn("rank", F.row_number().over(in_order)).where("rank > 1")  # the earliest is met already
+        others = others.select("token", *[F.col(c).alias(f"e_{c}") for c in ("sid", "n", "pos", "s1")])
         late = late.withColumnRenamed("e_sid", "head").drop("e_n", "e_pos", "e_s1")
         return late.join(others, "token").where((F.col("e_sid") < F.col("sid")) & (F.col("e_sid") != F.col("head")) & _possible(similarity)).select(*pair)
 
     pair = [F.col("e_sid").alias("early"), F.col("sid").alias("late")]
-    late = shared.where("sid != e_sid")
     with_head = late.where(_possible(similarity)).select(*pair)
     pairs = materialize(with_head.unionByName(met(late.where(~_possible(similarity)))).distinct(), "pairs")
     # Most sets match the earliest partner that the filters leave; the others are held against all of theirs.
