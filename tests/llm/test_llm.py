@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ledgerline.llm import bpe, decontaminate, html, linededup, pii, quality, queries, sharding, simhash, substring, urlfilter
+from ledgerline.llm import bpe, decontaminate, html, linededup, neardup, pii, quality, queries, sharding, simhash, substring, urlfilter
 
 from . import brute
 
@@ -252,3 +252,30 @@ def test_pipeline_against_brute_force(spark):
         ids = own.encode(cut[r.doc_id], add_special_tokens=False).ids
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(cut[r.doc_id].encode()).hexdigest()
+
+
+def test_near_dedup_stage_removes_copies_of_similarity_080(spark):
+    base = prose(80, 200)
+    near = [edited(base, 81 + i, 3) for i in range(6)]
+    texts = [(9, base), *enumerate(near), (20, prose(90, 200)), (20, prose(91, 200)), (21, edited(base, 99, 40)), (None, near[0]), (None, "own words of no one"), (30, "a b c"), (31, "A b C"), (32, ""), (33, None), (34, "d e f")]
+    texts += [(40 + i, " ".join(w + str(j) for j, w in enumerate(prose(100, 60).split()[: 60 - 2 * i]))) for i in range(6)]  # a chain: the ends are unlike
+    rows = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in [*texts, texts[7]]], SCHEMA).repartition(3)
+    grams = [{tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if (w := (t or "").lower().split()) else set() for _, t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for i, a in enumerate(grams):
+        for j, b in enumerate(grams[:i]):
+            if len(a & b) >= 0.8 * len(a | b) - 1e-9:
+                parent[find(i)] = find(j)
+    low = {}
+    for i, (k, t) in enumerate(texts):
+        low[find(i)] = min(low.get(find(i), (True, 0, t)), (k is None, k or 0, t), key=lambda x: x[:2])
+    want = sorted((0 if n else k, t or "") for n, k, t in low.values())
+    got = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.near_dedup(spark, rows, "").collect())
+    assert got == want
+    radius_2 = {c for c in brute.components([(i, brute.fingerprint(t)) for i, t in enumerate(t for _, t in texts)])}
+    assert len(want) < len(radius_2)
+    assert corpus_pipeline.near_dedup(spark, rows.limit(0), "").count() == 0
