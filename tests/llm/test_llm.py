@@ -279,3 +279,20 @@ def test_near_dedup_stage_removes_copies_of_similarity_080(spark):
     radius_2 = {c for c in brute.components([(i, brute.fingerprint(t)) for i, t in enumerate(t for _, t in texts)])}
     assert len(want) < len(radius_2)
     assert corpus_pipeline.near_dedup(spark, rows.limit(0), "").count() == 0
+
+
+def test_html_keeps_all_sections_rows_and_articles(spark):
+    def page(i, kind):
+        x = [f"{kind} {i} part {j} " + "word " * (5 + 9 * j) for j in range(3)]
+        inner = {
+            "sections": "<h1>Head {0}</h1><p>Lead {0}</p>" + "".join(f"<div class=section><p>{t}</p></div>" for t in x),
+            "rows": "<table>" + "".join(f"<tr><td>{t}</td></tr>" for t in x) + "</table>",
+            "articles": "".join(f"<article><p>{t}</p></article>" for t in x),
+        }[kind].format(i)
+        want = ([f"Head {i}", f"Lead {i}"] if kind == "sections" else []) + [t.strip() for t in x]
+        return f"<html><body><nav>Menu {i}</nav>{inner}<div class=legal>Same</div></body></html>", "\n".join(want)
+
+    made = [(k, i, *page(i, k)) for k in ("sections", "rows", "articles") for i in range(4)]
+    rows = [(n, f"http://{k}.example/{i}", h) for n, (k, i, h, _) in enumerate(made)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[n] for n in range(len(made))] == [w for *_, w in made]
