@@ -296,3 +296,13 @@ def test_html_keeps_all_sections_rows_and_articles(spark):
     rows = [(n, f"http://{k}.example/{i}", h) for n, (k, i, h, _) in enumerate(made)]
     got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert [got[n] for n in range(len(made))] == [w for *_, w in made]
+
+
+def test_html_template_inside_articles_and_beyond_200_texts(spark):
+    many = "".join(f"<section class=s{j}><p>fixed {j}</p></section>" for j in range(230))
+    page = "<body><article><h1>Head {0}</h1><p class=by>Share this</p><p>Body {0}</p><ul><li>one</li><li>two</li></ul></article>" + many + "</body>"
+    rows = [(i, f"http://t.example/{i}", page.format(i)) for i in range(9)] + [(20, "http://u.example/", page.format(20))]
+    rows += [(30 + i, "http://v.example/", "<body><p>same</p></body>") for i in range(3)]  # copies of one page show no template
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert [got[i] for i in range(9)] == [f"Head {i}\nBody {i}" for i in range(9)]
+    assert got[20] == "Head 20\nShare this\nBody 20\none\ntwo" and got[30] == got[31] == got[32] == "same"
