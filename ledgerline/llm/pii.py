@@ -1,9 +1,9 @@
 """Personal data: base patterns, then identifiers that appear in the same lexical contexts.
 
-Base matches are the seeds. The words before a seed are a pattern; tokens that look like identifiers are
-instances. Patterns and instances form a graph scored in rounds: a pattern by the share of its instances that are
+Base matches are the seeds. The two words before a seed are a pattern, and so are the two after it; tokens that
+look like identifiers, short numbers side by side taken as one, are instances. Patterns and instances form a graph scored in rounds: a pattern by the share of its instances that are
 believed to be of a kind, an instance by its best patterns. Patterns with enough distinct seeds and a high score
-add the other identifiers that they precede. All steps are column expressions, joins and sums.
+add the other identifiers that they stand beside. All steps are column expressions, joins and sums.
 """
 
 from __future__ import annotations
@@ -27,12 +27,15 @@ PATTERNS = {
 }
 _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _NONSPACE = r"[^\x20\x09-\x0D]"
-#: A token with a digit or an at sign.
-TOKEN = rf"(?<!{_NONSPACE})[^\x20\x09-\x0D0-9@]*+[0-9@]{_NONSPACE}*+"
+#: A number of at most six digits, and two to six of them with blanks between, which may be one identifier.
+_PART = rf"[+(]?+(?:[0-9][()/-]*+){{1,6}}+(?!{_NONSPACE})"
+_JOINED = rf"(?<!{_NONSPACE}){_PART}(?:\x20{_PART}){{1,5}}+"
+#: A token with a digit or an at sign, or numbers that stand side by side.
+TOKEN = rf"{_JOINED}|(?<!{_NONSPACE})[^\x20\x09-\x0D0-9@]*+[0-9@]{_NONSPACE}*+"
 
 #: Distinct seeds that a pattern needs, the score that patterns and instances need, rounds of scoring.
 MIN_SEEDS, MIN_SCORE, ROUNDS = 5, 0.8, 3
-#: Characters before a token among which its two context words are looked for.
+#: Characters on either side of a token among which its two context words are looked for; longer words are cut there.
 CONTEXT = 80
 
 
@@ -64,29 +67,47 @@ def _match_passes(kind: str, match):
 
 
 def _located(rows: DataFrame, text: str, pattern: str, when: Column, out: str, keep) -> DataFrame:
-    """Add out: array of (start, end, value, before) of a pattern's matches, in code points.
+    """Add out: array of (start, end, value, before, after) of a pattern's matches, in code points.
 
-    Splitting at the same pattern gives the gaps between matches, so offsets are running sums of lengths.
+    Splitting at the same pattern gives the gaps between matches, so offsets are running sums of lengths; before and
+    after are the text around the match, whatever it holds.
     """
     rows = rows.withColumn("__found", F.when(when, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
     rows = rows.withColumn("__gaps", F.when(F.size("__found") > 0, F.split(text, pattern, -1)))
     found, gaps = F.col("__found"), F.col("__gaps")
-    shape = "array<struct<start:int,end:int,value:string,before:string>>"
+    shape = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+
+    def tail(*x: Column) -> Column:
+        return F.right(F.concat(*x), F.lit(CONTEXT))
 
     def step(acc: Column, i: Column) -> Column:
         start = acc["at"] + F.length(F.get(gaps, i))
         end = start + F.length(F.get(found, i))
-        item = F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("value"), F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("before"))
-        return F.struct(end.alias("at"), F.array_append(acc["items"], item).alias("items"))
+        before = tail(acc["tail"], F.get(gaps, i))
+        after = F.concat(*[F.coalesce(F.left(x, F.lit(CONTEXT)), F.lit("")) for x in (F.get(gaps, i + 1), F.get(found, i + 1), F.get(gaps, i + 2), F.get(found, i + 2))])
+        item = F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("value"), before.alias("before"), after.alias("after"))
+        return F.struct(end.alias("at"), tail(before, F.get(found, i)).alias("tail"), F.array_append(acc["items"], item).alias("items"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(shape).alias("items"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(shape).alias("items"))
     located = F.aggregate(F.sequence(F.lit(0), F.size(gaps) - 2), start, step, lambda acc: acc["items"])
     rows = rows.withColumn(out, F.when(gaps.isNotNull(), F.filter(located, keep)).otherwise(F.array().cast(shape)))
     return rows.drop("__found", "__gaps")
 
 
+def _contexts(before: Column, after: Column) -> Column:
+    """Patterns of a token: the two words before it and the two after it, in which a token with a digit or @ is # and
+    the ends of the text are ^ and $; a side without any letter is none."""
+
+    def plain(x: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(F.lower(x), rf"{_NONSPACE}*[0-9@]{_NONSPACE}*", "#"), rf"{SPACE_CLASS}+", " ")
+
+    left = F.regexp_extract(plain(F.concat(F.lit("^ ^ "), before)), r"([^\x20]+ [^\x20]+) ?$", 1)
+    right = F.regexp_extract(plain(F.concat(after, F.lit(" $ $"))), r"^ ?([^\x20]+ [^\x20]+)", 1)
+    return F.filter(F.array(F.concat(F.lit("<"), left), F.concat(F.lit(">"), right)), lambda p: p.rlike(r"\p{L}"))
+
+
 def base_spans(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """Add b_email, b_ip, b_card, b_phone: arrays of (start, end, value, before); null and empty texts have none."""
+    """Add b_email, b_ip, b_card, b_phone: arrays of (start, end, value, before, after); null and empty texts have none."""
     rows = docs.withColumn("__text", F.coalesce(docs[text_col], F.lit("")))
     has_digit = F.col("__text").rlike("[0-9]")
     for kind in KINDS:
@@ -137,12 +158,14 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rou
     kind = F.coalesce(*[F.when(started(k).isNotNull(), k) for k in KINDS])
     value = F.coalesce(*[started(k) for k in KINDS], F.col("t.value"))
     touched = F.coalesce(*[F.when(touches(k), True) for k in KINDS], F.lit(False))
-    before = F.lower(F.regexp_extract("t.before", rf"({_NONSPACE}+{SPACE_CLASS}+{_NONSPACE}+){SPACE_CLASS}*$", 1))
-    tokens = per.select("id", "key", F.col("t.start").alias("start"), F.col("t.end").alias("end"), value.alias("value"), kind.alias("kind"), touched.alias("touched"), before.alias("pattern"))
-    tokens = materialize(tokens.where("pattern != '' and (kind is not null or not touched)"), "tokens")
+    patterns = _contexts(F.col("t.before"), F.col("t.after"))
+    tokens = per.select("id", "key", F.col("t.start").alias("start"), F.col("t.end").alias("end"), value.alias("value"), kind.alias("kind"), touched.alias("touched"), patterns.alias("patterns"))
+    tokens = tokens.where("kind is not null or not touched").select("id", "key", "start", "end", "value", "kind", F.explode("patterns").alias("pattern"))
+    tokens = materialize(tokens, "tokens")
     edges = materialize(tokens.groupBy("pattern", "value", "kind").agg(F.count("*").alias("n")), "edges")
     scores = _score(edges, rounds).where(F.col("score") >= MIN_SCORE)
     enough = {"email": F.col("value").contains("@")} | {k: F.length(_digits(F.col("value"))) >= n for k, n in (("ip", 4), ("card", 12), ("phone", 7))}
+    enough["ip"] &= ~F.col("value").rlike(rf"^(?:{_JOINED})$")
     fits = F.coalesce(*[F.when((F.col("found") == k) & ok, True) for k, ok in enough.items()], F.lit(False))
     new = tokens.where("kind is null").join(scores.select("pattern", F.col("kind").alias("found"), "score"), "pattern").where(fits)
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("found"))

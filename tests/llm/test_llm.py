@@ -306,3 +306,21 @@ def test_html_template_inside_articles_and_beyond_200_texts(spark):
     got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
     assert [got[i] for i in range(9)] == [f"Head {i}\nBody {i}" for i in range(9)]
     assert got[20] == "Head 20\nShare this\nBody 20\none\ntwo" and got[30] == got[31] == got[32] == "same"
+
+
+def test_pii_contexts_after_numbers_one_word_and_split_identifiers(spark):
+    ask = ["please call +1 555 0100 {0} or +1 555 0101 {0} now", "phone: +1 555 0102 {0} is mine", "the card 41111111111{0} expires soon"]
+    cards = ["41111111" + str(x) for x in range(10000000, 10003000) if brute.pii("41111111" + str(x)).startswith("card")][:8]
+    seeds = [(10 * i + j, a.format(1000 + i)) for i in range(8) for j, a in enumerate(ask[:2])] + [(200 + i, f"the card {c} expires soon") for i, c in enumerate(cards)]
+    unseen = {
+        900: ("please call 5550199 or 5550188 now", "phone:12:19,phone:23:30"),
+        901: ("Phone: 555-0199", "phone:7:15"),
+        902: ("please call 555 010 0199 now", "phone:12:24"),
+        903: ("the card 4111 1111 1111 1112 expires soon", "card:9:28"),
+        904: ("room 101 please call 5550177 now", "phone:21:28"),
+        905: ("sold 12 34 and 5550188 pieces of it", ""),
+        906: ("reach 5550166 or well", ""),
+    }
+    got = {r.doc_id: (r.base, r.spans) for r in pii.find(spark.createDataFrame(seeds + [(i, t) for i, (t, _) in unseen.items()], "doc_id long, text string")).collect()}
+    assert {i: got[i][1] for i in unseen} == {i: w for i, (_, w) in unseen.items()}
+    assert all(got[i][0] == got[i][1] != "" for i, _ in seeds)
