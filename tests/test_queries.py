@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from ledgerline.plans import more, queries, round_trips  # noqa: F401
+from ledgerline.plans import adapters, more, queries, round_trips  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver's tables")
@@ -39,3 +39,9 @@ def test_query(spark, duck, name):
         assert got == want
     else:
         assert got
+
+
+def test_announcement_texts_hold_whole_pages(spark, duck):
+    texts = {r.accession: r.text for r in adapters.load(spark, SF, "announcement_texts").collect()}
+    pages = dict(duck.execute("SELECT 'p-' || page_id, html FROM pages").fetchall())
+    assert all(pages[k] in t for k, t in texts.items()) and len(texts) == len(pages)
