@@ -2,37 +2,47 @@
 
 A line's tokens are ordered from rare to common, by counts over the whole corpus in a fixed number of token
 classes, so one order serves all lines with a bounded table. Two lines can be similar only if they share a token
-of their short prefixes. Equal token sets are one set; a set first meets the earliest set of each of its prefix
-tokens, and only sets that the filters tell apart from it meet all others of the token, so that a family of
-variants does not cost the square of its size.
+of their short prefixes. Equal token sets are one set. A set first meets the earliest and the most frequent set of
+its least, its greatest and its rarest token; most members of a family of variants match there. Only the others
+meet all sets of their prefix tokens, so that a family does not cost the square of its size. The order only decides
+which tokens are prefixes, never which pairs are found; every match is verified on the exact sets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
-from .shared import materialize, once, words
+from .shared import materialize, once
 
 SIMILARITY = 0.8
 #: Token classes whose counts decide the order. The level of a class (quarters of the count's logarithm, at most
 #: 127) stands in front of 56 bits of the token's hash.
 CLASS_BITS = 18
-#: Sets up to which the wanted ones are broadcast.
-BROADCAST_ROWS = 1_000_000
+#: Documents up to which the wanted ones are broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def _class(h: Column) -> Column:
     return F.call_function("shiftrightunsigned", h, F.lit(64 - CLASS_BITS)).cast("int")
 
 
+def _spaced(text: Column) -> Column:
+    """Blanks for the other white space inside lines."""
+    other = "\t\x0b\f\r"
+    return F.when(reduce(lambda x, y: x | y, [text.contains(c) for c in other]), F.translate(text, other, "    ")).otherwise(text)
+
+
 def _levels(rows: DataFrame) -> Column:
-    """Level of every token class from rare to common, as a constant array."""
-    tokens = rows.select(F.explode(words(F.col("text"))).alias("w")).select(_class(F.xxhash64("w")).alias("c"))
+    """Level of every token class from rare to common, as a constant array: a number per class, used in one plan."""
+    tokens = rows.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w != ''")
     level = F.least(F.floor(4 * F.log2(F.count("*"))), F.lit(127)).cast("long")
-    counts = tokens.groupBy("c").agg(level.alias("level"))
+    counts = tokens.groupBy(_class(F.xxhash64("w")).alias("c")).agg(level.alias("level"))
     packed = counts.groupBy(F.call_function("shiftright", F.col("c"), F.lit(10)).alias("part")).agg(F.collect_list(F.col("c").cast("long") * 128 + F.col("level")).alias("of"))
     levels = [0] * (1 << CLASS_BITS)
     for _, of in packed.collect():  # a number per class
@@ -41,13 +51,10 @@ def _levels(rows: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<tinyint>")
 
 
-def _sets(lines: DataFrame, levels: Column, *more: str) -> DataFrame:
-    """id, key, line, tokens (sorted), set_key of every line with words; lines: id, key, line, value."""
-    hashed = F.transform(F.array_distinct(words(F.col("value"))), lambda w: F.xxhash64(w))
-    low = F.lit((1 << 56) - 1)
-    ranked = F.transform(hashed, lambda h: F.call_function("shiftleft", F.get(levels, _class(h)).cast("long"), F.lit(56)).bitwiseOR(h.bitwiseAND(low)))
-    sets = once(lines, tokens=F.sort_array(ranked)).select("id", "key", "line", "tokens", *more).where(F.size("tokens") > 0)
-    return sets.withColumn("set_key", F.xxhash64("tokens"))
+def _hashes(line: Column) -> Column:
+    """Distinct hashes of a line's words."""
+    hashed = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
+    return F.array_remove(hashed, F.xxhash64(F.lit("")))
 
 
 def _parity(tokens: str) -> Column:
@@ -56,78 +63,112 @@ def _parity(tokens: str) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(mask).cast("int"))))
 
 
-def _possible(similarity: float) -> Column:
-    """Length, positional and parity filters on the columns n, pos, s1 of an early row (prefix e_) and a late one."""
-    early, late = F.col("e_n"), F.col("n")
-    overlap = F.ceil((early + late) * (similarity / (1 + similarity)) - 1e-9)
-    bound = F.least(early - F.col("e_pos"), late - F.col("pos"))  # the shared token and what can follow it
-    differing = F.bit_count(F.col("e_s1").bitwiseXOR(F.col("s1")))
-    return (F.least(early, late) >= similarity * F.greatest(early, late) - 1e-9) & (bound >= overlap) & (differing <= early + late - 2 * overlap)
+def _fits(similarity: float, early: Column, late: Column, early_parity: Column, late_parity: Column) -> Column:
+    """Length and parity filters on the sizes of two sets; a late size below zero fits none."""
+    sizes = (early >= similarity * late - 1e-9) & (late >= similarity * early - 1e-9)
+    return sizes & (F.bit_count(early_parity.bitwiseXOR(late_parity)) <= early + late - 2 * _overlap(similarity, early, late))
+
+
+def _overlap(similarity: float, early: Column, late: Column) -> Column:
+    return F.ceil((early + late) * (similarity / (1 + similarity)) - 1e-9)
+
+
+class Numbering:
+    """How documents and the first lines of sets are named.
 
+    Where ids are distinct numbers, a document is its id and a line one long in the order of (id, line); else a
+    document is (id, digest of the text) and a line a struct, in the order of id, line and token set.
+    """
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str):
+        self.bits = 0
+        if isinstance(docs.schema[id_col].dataType, IntegralType):
+            low, high, n, named, distinct, longest = docs.agg(F.min(id_col), F.max(id_col), F.count("*"), F.count(id_col), F.count_distinct(id_col), F.max(F.length(text_col))).first()
+            bits = int(longest or 0).bit_length() + 1
+            if n and n == named == distinct and low >= 0 and high < 1 << 62 - bits:
+                self.bits = bits
+
+    def doc(self, id_: Column, text: Column) -> Column:
+        return id_.cast("long") if self.bits else F.struct(id_.alias("id"), F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2"))
+
+    def line(self, doc: str, line: str) -> Column:
+        if self.bits:
+            return F.call_function("shiftleft", F.col(doc), F.lit(self.bits)).bitwiseOR(F.col(line).cast("long"))
+        return F.struct(F.col(f"{doc}.id").alias("id"), F.col(line).alias("line"), F.col("k1"), F.col("k2"), F.col(f"{doc}.d1").alias("d1"), F.col(f"{doc}.d2").alias("d2"))
 
-def _numbered(firsts: DataFrame) -> Column:
-    """Order of a set by its first line: one number where ids and line numbers fit and don't repeat, else a struct."""
-    if isinstance(firsts.schema["first"].dataType["id"].dataType, IntegralType):
-        low, high, lines, n, distinct = firsts.agg(F.min("first.id"), F.max("first.id"), F.max("first.line"), F.count("first.id"), F.count_distinct("first.id", "first.line")).first()
-        if n == distinct == firsts.count() and n and low >= 0 and high < 1 << 43 and lines < 1 << 20:
-            return F.call_function("shiftleft", F.col("first.id").cast("long"), F.lit(20)).bitwiseOR(F.col("first.line").cast("long"))
-    return F.struct(F.col("first.id").alias("id"), F.col("first.line").alias("line"), F.col("set_key").alias("set_key"))
+    def doc_of(self, sid: str) -> Column:
+        return F.call_function("shiftright", F.col(sid), F.lit(self.bits)) if self.bits else F.struct(*[F.col(f"{sid}.{c}").alias(c) for c in ("id", "d1", "d2")])
+
+    def line_of(self, sid: str) -> Column:
+        return F.col(sid).bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int") if self.bits else F.col(f"{sid}.line")
+
+
+def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity: float) -> DataFrame:
+    """sid (first line), copies, n, prefix, parity, least and greatest hash of every distinct token set."""
+    low = F.lit((1 << 56) - 1)
+    hashed = lines.select("doc", "line", _hashes(F.col("value")).alias("hashed"))
+    ranked = F.transform("hashed", lambda h: F.call_function("shiftleft", F.get(levels, _class(h)).cast("long"), F.lit(56)).bitwiseOR(h.bitwiseAND(low)))
+    ranked = hashed.withColumn("tokens", F.sort_array(ranked)).withColumn("n", F.size("tokens"))
+    size = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
+    # 31 bits of a token stand for it among the posts: tokens that share them only make more candidates.
+    prefix = F.transform(F.slice("tokens", F.lit(1), size), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
+    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "least": F.array_min("hashed"), "greatest": F.array_max("hashed"), "prefix": prefix}
+    drawn = ranked.select("doc", "line", "n", *[c.alias(name) for name, c in of_set.items()]).withColumn("sid", naming.line("doc", "line"))
+    # All columns of a set are keys, so that Spark can sum in a hash map before the exchange.
+    return materialize(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid"), F.count("*").alias("copies")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
 
 
-def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """key and kept (numbers of the lines with words that stay) for rows with such lines.
+def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
+    """doc and kept (numbers of the lines with words that stay) for rows with such lines, and how doc is formed.
 
     A line goes if an earlier one, by id, number and token set, has a token set of at least this Jaccard similarity.
-    Rows that share id and text (key: a hash of both) are one document. Null ids come first.
+    Rows that share id and text are one document. Null ids come first.
     """
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where("text is not null")
-    levels = _levels(rows)
-    lines = rows.select("id", F.xxhash64("id", "text").alias("key"), F.posexplode(F.split("text", "\n")).alias("line", "value"))
-    n = F.size("tokens")
-    prefix = n - F.ceil(n * similarity - 1e-9).cast("int") + 1
-    drawn = _sets(lines, levels).select("set_key", F.struct("id", "line", "key").alias("first"), n.alias("n"), F.slice("tokens", F.lit(1), prefix).alias("prefix"), _parity("tokens").alias("s1"))
-    firsts = materialize(drawn.groupBy("set_key").agg(F.min("first").alias("first"), *[F.first(c).alias(c) for c in ("n", "prefix", "s1")]), "line-sets")
-    firsts = firsts.withColumn("sid", _numbered(firsts))
-    posts = firsts.select("sid", "n", "s1", F.posexplode("prefix").alias("pos", "token"))
-    posts = posts.where("token is not null and sid is not null and n is not null and s1 is not null")  # alike for all uses
-    # One exchange by token, used three times: every row meets the earliest set of its token.
-    in_order = Window.partitionBy("token").orderBy("sid")
-    late = posts.withColumns({f"e_{c}": F.first(c).over(in_order) for c in ("sid", "n", "pos", "s1")}).where("sid != e_sid")
+    naming = Numbering(docs, id_col, text_col)
+    rows = docs.select(naming.doc(docs[id_col], docs[text_col]).alias("doc"), _spaced(docs[text_col]).alias("text")).where("text is not null")
+    lines = rows.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "value"))
+    sets = _line_sets(lines, _levels(rows), naming, similarity)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Sets (sid) with an exact match among pairs (early, late): only their first lines are tokenized again."""
-        sids = pairs.select(F.explode(F.array("early", "late")).alias("sid")).distinct()
-        wanted = materialize(firsts.join(sids, "sid").select("sid", "first.key", "first.line"), "wanted")
+        """Sets (late) with an exact match among the pairs (early, late); only the lines in question are read again."""
+        wanted = pairs.select(F.explode(F.array("early", "late")).alias("sid")).distinct()
+        wanted = materialize(wanted.groupBy(naming.doc_of("sid").alias("doc")).agg(F.collect_list(F.struct(naming.line_of("sid").alias("line"), "sid")).alias("of")), "wanted")
         few = wanted.count() <= BROADCAST_ROWS
-        again = lines.join(F.broadcast(wanted) if few else wanted, ["key", "line"]).dropDuplicates(["sid"])
-        tokens = materialize(_sets(again, levels, "sid").select("sid", "tokens"), "tokens")
-        both = pairs.join(tokens.select(F.col("sid").alias("early"), F.col("tokens").alias("a")), "early")
-        both = both.join(tokens.select(F.col("sid").alias("late"), F.col("tokens").alias("b")), "late")
+        again = rows.join(F.broadcast(wanted) if few else wanted, "doc").withColumn("lines", F.split("text", "\n"))
+        again = again.select(F.explode(F.transform("of", lambda x: F.struct(x["sid"].alias("sid"), F.get("lines", x["line"]).alias("value")))).alias("x"))
+        exact = again.select("x.sid", _hashes(F.col("x.value")).alias("tokens"))
+        exact = materialize(exact if naming.bits else exact.dropDuplicates(["sid"]), "tokens")
+        both = pairs.join(exact.select(F.col("sid").alias("early"), F.col("tokens").alias("a")), "early")
+        both = both.join(exact.select(F.col("sid").alias("late"), F.col("tokens").alias("b")), "late")
         common = F.size(F.array_intersect("a", "b"))
-        return both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct()
-
-    def met(late: DataFrame) -> DataFrame:
-        """Pairs of late rows with any other set of their token, the earliest aside."""
-        others = posts.withColumn("rank", F.row_number().over(in_order)).where("rank > 1")  # the earliest is met already
-        others = others.select("token", *[F.col(c).alias(f"e_{c}") for c in ("sid", "n", "pos", "s1")])
-        late = late.withColumnRenamed("e_sid", "head").drop("e_n", "e_pos", "e_s1")
-        return late.join(others, "token").where((F.col("e_sid") < F.col("sid")) & (F.col("e_sid") != F.col("head")) & _possible(similarity)).select(*pair)
-
-    pair = [F.col("e_sid").alias("early"), F.col("sid").alias("late")]
-    with_head = late.where(_possible(similarity)).select(*pair)
-    pairs = materialize(with_head.unionByName(met(late.where(~_possible(similarity)))).distinct(), "pairs")
-    # Most sets match the earliest partner that the filters leave; the others are held against all of theirs.
-    earliest = pairs.groupBy("late").agg(F.min("early").alias("early")).select("early", "late")
-    matched = materialize(verified(earliest), "matched")
-    doubtful = materialize(pairs.select(F.col("late").alias("sid")).distinct().join(matched, "sid", "left_anti"), "doubtful")
-    if not doubtful.isEmpty():
-        few = doubtful.count() <= BROADCAST_ROWS
-        asked = F.broadcast(doubtful) if few else doubtful
-        rest = pairs.join(asked.withColumnRenamed("sid", "late"), "late", "left_semi").select("early", "late")
-        more = met(late.where(_possible(similarity)).join(asked, "sid", "left_semi"))
-        matched = matched.unionByName(verified(materialize(rest.unionByName(more).distinct(), "more-pairs")))
-    stay = firsts.select("sid", "first.key", "first.line").join(matched, "sid", "left_anti")
-    return stay.groupBy("key").agg(F.collect_list("line").alias("kept"))
+        return materialize(both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct(), "matched")
+
+    # First the earliest and the most frequent set of a few tokens.
+    kinds = F.explode(F.array("least", "greatest", F.get("prefix", F.lit(0)).cast("long"))).alias("token")
+    shown = sets.select(kinds, "sid", "copies", F.struct("sid", "n", "parity").alias("own"))
+    group = Window.partitionBy("token")
+    heads = F.array(F.first("own").over(group.orderBy("sid")), F.max_by("own", "copies").over(group))
+    met = shown.select("own", heads.alias("heads")).select("own", F.explode(F.array_distinct("heads")).alias("head"))
+    met = met.where((F.col("head.sid") < F.col("own.sid")) & _fits(similarity, F.col("head.n"), F.col("own.n"), F.col("head.parity"), F.col("own.parity")))
+    met = materialize(met.select(F.col("head.sid").alias("early"), F.col("own.sid").alias("late")).distinct(), "pairs")
+    matched = verified(met)
+
+    # Then the others meet all sets of their prefix tokens. One exchange serves both sides, so all columns are needed on
+    # both; `state` is the size of a set, below zero for one that is matched already.
+    state = F.when(F.col("open").isNull(), F.col("n")).otherwise(-F.col("n")).alias("state")
+    posts = sets.join(matched.withColumn("open", F.lit(False)), "sid", "left")
+    posts = posts.select("sid", state, "parity", F.posexplode("prefix").alias("pos", "token"))
+    posts = posts.where("token is not null and sid is not null and state is not null and parity is not null")  # alike for both sides
+    others = posts.select("token", *[F.col(c).alias(f"e_{c}") for c in ("sid", "state", "parity", "pos")])
+    early, late = F.abs("e_state"), F.col("state")
+    near = (F.col("e_sid") < F.col("sid")) & _fits(similarity, early, late, F.col("e_parity"), F.col("parity"))
+    near &= F.least(early - F.col("e_pos"), late - F.col("pos")) >= _overlap(similarity, early, late)  # what can be common from there on
+    pairs = posts.join(others, "token").where(near)
+    pairs = materialize(pairs.select(F.col("e_sid").alias("early"), F.col("sid").alias("late")).distinct(), "more-pairs")
+    matched = matched.unionByName(verified(pairs))
+    stay = sets.select("sid").join(matched, "sid", "left_anti")
+    kept = stay.groupBy(naming.doc_of("sid").alias("doc")).agg(F.collect_list(naming.line_of("sid")).alias("kept"))
+    return kept, naming.doc
 
 
 def remove_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -136,8 +177,8 @@ def remove_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     Lines are the parts between line feeds; a line without words always stays and matches nothing. Null texts stay
     null, with no lines; repeated rows come out alike; an empty table gives no rows.
     """
-    kept = repeated_lines(docs, id_col=id_col, text_col=text_col, similarity=similarity)
-    rows = docs.withColumn("__key", F.xxhash64(docs[id_col], docs[text_col])).join(kept.withColumnRenamed("key", "__key").withColumnRenamed("kept", "__kept"), "__key", "left")
+    kept, doc = repeated_lines(docs, id_col=id_col, text_col=text_col, similarity=similarity)
+    rows = docs.withColumn("__doc", doc(docs[id_col], docs[text_col])).join(kept.withColumnsRenamed({"doc": "__doc", "kept": "__kept"}), "__doc", "left")
     rows = rows.withColumn("__lines", F.split(text_col, "\n")).withColumn("__kept", F.coalesce("__kept", F.array().cast("array<int>")))
     # One pass: mark kept numbers by sorting, then keep blank lines and marked ones.
     marked = F.transform("__lines", lambda x, i: F.struct(x.alias("x"), i.alias("i")))
