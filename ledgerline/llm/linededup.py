@@ -2,8 +2,8 @@
 
 A line's tokens are ordered from rare to common, by counts over the whole corpus in a fixed number of token
 classes, so one order serves all lines with a bounded table. Two lines can be similar only if they share a token
-of their short prefixes. Equal token sets are one set. A set first meets the earliest and the most frequent set of
-its least, its greatest and its rarest token; most members of a family of variants match there. Only the others
+of their short prefixes. Equal token sets are one set. A set first meets the earliest, the most frequent and the
+preceding sets of its least, its greatest and its rarest token; most members of a family of variants match there. Only the others
 meet all sets of their prefix tokens, so that a family does not cost the square of its size. The order only decides
 which tokens are prefixes, never which pairs are found; every match is verified on the exact sets.
 """
@@ -24,6 +24,8 @@ SIMILARITY = 0.8
 #: Token classes whose counts decide the order. The level of a class (quarters of the count's logarithm, at most
 #: 127) stands in front of 56 bits of the token's hash.
 CLASS_BITS = 18
+#: Tokens from which a set has a second parity.
+LARGE = 64
 #: Documents up to which the wanted ones are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -57,16 +59,25 @@ def _hashes(line: Column) -> Column:
     return F.array_remove(hashed, F.xxhash64(F.lit("")))
 
 
-def _parity(tokens: str) -> Column:
+def _parity(tokens: str | Column) -> Column:
     """64 parities of the tokens; sets that differ in d tokens differ in at most d of them."""
     one, mask = F.lit(1).cast("long"), F.lit(63).cast("long")
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(mask).cast("int"))))
 
 
-def _fits(similarity: float, early: Column, late: Column, early_parity: Column, late_parity: Column) -> Column:
-    """Length and parity filters on the sizes of two sets; a late size below zero fits none."""
+def _half_parity(tokens: str, n: str) -> Column:
+    """The same over half of all tokens, for sets so large that 64 parities tell little: both halves count apart."""
+    half = F.filter(tokens, lambda t: t.bitwiseAND(F.lit(64).cast("long")) != 0)
+    return F.when(F.col(n) >= LARGE, _parity(half)).otherwise(F.lit(0).cast("long"))
+
+
+def _fits(similarity: float, early: Column, late: Column, of_early: list[Column], of_late: list[Column]) -> Column:
+    """Length and parity filters on the sizes of two sets and their parities; a late size below zero fits none."""
     sizes = (early >= similarity * late - 1e-9) & (late >= similarity * early - 1e-9)
-    return sizes & (F.bit_count(early_parity.bitwiseXOR(late_parity)) <= early + late - 2 * _overlap(similarity, early, late))
+    most = early + late - 2 * _overlap(similarity, early, late)
+    whole, half = (x.bitwiseXOR(y) for x, y in zip(of_early, of_late, strict=True))
+    apart = F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half)) <= most
+    return sizes & (F.bit_count(whole) <= most) & ((of_early[1] == 0) | (of_late[1] == 0) | apart)
 
 
 def _overlap(similarity: float, early: Column, late: Column) -> Column:
@@ -104,7 +115,7 @@ class Numbering:
 
 
 def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity: float) -> DataFrame:
-    """sid (first line), copies, n, prefix, parity, least and greatest hash of every distinct token set."""
+    """sid (first line), copies, n, prefix, parities, least and greatest hash of every distinct token set."""
     low = F.lit((1 << 56) - 1)
     hashed = lines.select("doc", "line", _hashes(F.col("value")).alias("hashed"))
     ranked = F.transform("hashed", lambda h: F.call_function("shiftleft", F.get(levels, _class(h)).cast("long"), F.lit(56)).bitwiseOR(h.bitwiseAND(low)))
@@ -112,7 +123,7 @@ def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity:
     size = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
     # 31 bits of a token stand for it among the posts: tokens that share them only make more candidates.
     prefix = F.transform(F.slice("tokens", F.lit(1), size), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
-    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "least": F.array_min("hashed"), "greatest": F.array_max("hashed"), "prefix": prefix}
+    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _half_parity("hashed", "n"), "least": F.array_min("hashed"), "greatest": F.array_max("hashed"), "prefix": prefix}
     drawn = ranked.select("doc", "line", "n", *[c.alias(name) for name, c in of_set.items()]).withColumn("sid", naming.line("doc", "line"))
     # All columns of a set are keys, so that Spark can sum in a hash map before the exchange.
     return materialize(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid"), F.count("*").alias("copies")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
@@ -143,13 +154,15 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         common = F.size(F.array_intersect("a", "b"))
         return materialize(both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct(), "matched")
 
-    # First the earliest and the most frequent set of a few tokens.
+    # First the earliest, the most frequent and the preceding sets of a few tokens.
     kinds = F.explode(F.array("least", "greatest", F.get("prefix", F.lit(0)).cast("long"))).alias("token")
-    shown = sets.select(kinds, "sid", "copies", F.struct("sid", "n", "parity").alias("own"))
+    shown = sets.select(kinds, "sid", "copies", F.struct("sid", "n", "parity", "half").alias("own"))
     group = Window.partitionBy("token")
-    heads = F.array(F.first("own").over(group.orderBy("sid")), F.max_by("own", "copies").over(group))
+    in_order = group.orderBy("sid")
+    heads = F.array_compact(F.array(F.first("own").over(in_order), F.max_by("own", "copies").over(group), *[F.lag("own", i).over(in_order) for i in (1, 2, 3)]))
     met = shown.select("own", heads.alias("heads")).select("own", F.explode(F.array_distinct("heads")).alias("head"))
-    met = met.where((F.col("head.sid") < F.col("own.sid")) & _fits(similarity, F.col("head.n"), F.col("own.n"), F.col("head.parity"), F.col("own.parity")))
+    parities = [[F.col(f"{x}.{c}") for c in ("parity", "half")] for x in ("head", "own")]
+    met = met.where((F.col("head.sid") < F.col("own.sid")) & _fits(similarity, F.col("head.n"), F.col("own.n"), *parities))
     met = materialize(met.select(F.col("head.sid").alias("early"), F.col("own.sid").alias("late")).distinct(), "pairs")
     matched = verified(met)
 
@@ -157,11 +170,12 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     # both; `state` is the size of a set, below zero for one that is matched already.
     state = F.when(F.col("open").isNull(), F.col("n")).otherwise(-F.col("n")).alias("state")
     posts = sets.join(matched.withColumn("open", F.lit(False)), "sid", "left")
-    posts = posts.select("sid", state, "parity", F.posexplode("prefix").alias("pos", "token"))
-    posts = posts.where("token is not null and sid is not null and state is not null and parity is not null")  # alike for both sides
-    others = posts.select("token", *[F.col(c).alias(f"e_{c}") for c in ("sid", "state", "parity", "pos")])
+    posts = posts.select("sid", state, "parity", "half", F.posexplode("prefix").alias("pos", "token"))
+    posts = posts.where("token is not null and sid is not null and state is not null and parity is not null and half is not null")  # alike for both sides
+    others = posts.select("token", *[F.col(c).alias(f"e_{c}") for c in ("sid", "state", "parity", "half", "pos")])
     early, late = F.abs("e_state"), F.col("state")
-    near = (F.col("e_sid") < F.col("sid")) & _fits(similarity, early, late, F.col("e_parity"), F.col("parity"))
+    parities = [[F.col(f"{x}{c}") for c in ("parity", "half")] for x in ("e_", "")]
+    near = (F.col("e_sid") < F.col("sid")) & _fits(similarity, early, late, *parities)
     near &= F.least(early - F.col("e_pos"), late - F.col("pos")) >= _overlap(similarity, early, late)  # what can be common from there on
     pairs = posts.join(others, "token").where(near)
     pairs = materialize(pairs.select(F.col("e_sid").alias("early"), F.col("sid").alias("late")).distinct(), "more-pairs")
