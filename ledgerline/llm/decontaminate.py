@@ -1,9 +1,10 @@
 """Benchmark decontamination: item-sized windows, SimHash blocks, exact weighted-shingle similarity.
 
 A window as long as a benchmark item can reach the similarity only if enough of its shingles are the item's, so
-windows start at shared shingles; the others need no fingerprint. Fingerprints of windows and items within the
-radius agree in at least one of radius + 1 blocks of bits; those within the radius are compared exactly, by the
-multisets of shingles. All of it is column expressions and joins.
+windows start at shared shingles; the others need no fingerprint. Which items a window is held against is then
+decided by its fingerprint alone: fingerprints within the radius agree in at least one of radius + 1 blocks of bits,
+so windows and items of one size meet by an equi-join on (block, bits). Pairs within the radius are compared exactly,
+by the multisets of shingles. All of it is column expressions and joins.
 """
 
 from __future__ import annotations
@@ -98,14 +99,14 @@ def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_
         at = rows.where(F.col("n") >= k).select("key", "n", "hashes", F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("p"))
         at = at.select("key", (F.col("n") - k + 1).alias("size"), "p", F.xxhash64(*[F.get("hashes", F.col("p") + j) for j in range(k)]).alias("gram"))
         mine = seen.where(F.col("k") == k).select("gram", "item", "m")
-        found = at.join(F.broadcast(mine) if small else mine, "gram").select("key", "item", "m", "size", "p")
+        found = at.join(F.broadcast(mine) if small else mine, "gram").select("key", F.lit(k).alias("k"), "item", "m", "size", "p")
         hits = found if hits is None else hits.unionByName(found)
     schema = f"{id_col} {rows.schema['id'].dataType.simpleString()}, {item_col} {items.schema['item'].dataType.simpleString()}, similarity double, key bigint"
     if hits is None:
         return docs.sparkSession.createDataFrame([], schema)
 
     # Positions per document and item; a window from hit i holds enough hits if hit i + least - 1 lies inside it.
-    placed = hits.groupBy("key", "item", "m", "size").agg(F.sort_array(F.collect_set("p")).alias("at"))
+    placed = hits.groupBy("key", "k", "item", "m", "size").agg(F.sort_array(F.collect_set("p")).alias("at"))
     span = F.least("m", "size")
     least = F.greatest(F.ceil((F.col("m") + span) * ratio - 1e-9).cast("int"), F.lit(1))
     placed = placed.withColumn("span", span).withColumn("least", least).where(F.size("at") >= F.col("least"))
@@ -116,17 +117,27 @@ def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_
 
     ends = F.when(F.get("at", F.size("at") - F.col("least")) >= last, F.array(last)).otherwise(F.array().cast("array<int>"))
     starts = F.array_distinct(F.concat(F.filter("at", full), ends))
-    candidates = materialize(placed.select("key", "item", "span", starts.alias("starts")).where(F.size("starts") > 0), "candidates")
+    windows = placed.select("key", "k", "m", "span", F.explode(starts).alias("start")).distinct()
+    candidates = materialize(windows.groupBy("key", "k", "m", "span").agg(F.collect_list("start").alias("starts")), "candidates")
     few = candidates.count() <= BROADCAST_ROWS
     texts = rows.select("id", "key", "hashes", "n").join(F.broadcast(candidates) if few else candidates, "key")
-    texts = texts.join(F.broadcast(items) if small else items, "item")
     grams = F.coalesce(*[F.when(F.col("k") == k, _grams(F.col("hashes"), F.col("n"), k)) for k in lengths])
-    texts = texts.withColumn("grams", grams).select("id", "key", "item", "item_grams", "item_fp", "span", "grams", F.explode("starts").alias("start"))
+    texts = texts.withColumn("grams", grams).select("id", "key", "k", "m", "span", "grams", F.explode("starts").alias("start"))
     windows = texts.withColumn("window", F.slice("grams", F.col("start") + 1, F.col("span"))).drop("grams")
-    windows = materialize(_fingerprint(windows, "window", "fp"), "windows")  # else the filters repeat the fingerprint's terms
-    windows = windows.withColumn("differing", F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = windows.where(reduce(lambda a, b: a | b, [F.col("differing").bitwiseAND(F.lit(m)) == 0 for m in block_masks(radius + 1)]))
-    near = near.where(F.bit_count("differing") <= radius).withColumn("overlap", _overlap("window", "item_grams"))
+    windows = materialize(_fingerprint(windows, "window", "fp"), "windows")  # else the join repeats the fingerprint's terms
+
+    masks = block_masks(radius + 1)
+
+    def by_block(fingerprints: DataFrame, fp: str) -> DataFrame:
+        blocks = F.array(*[F.struct(F.lit(i).alias("block"), F.col(fp).bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)])
+        return fingerprints.select("*", F.inline(blocks))
+
+    index = by_block(items, "item_fp")
+    differing = F.col("fp").bitwiseXOR(F.col("item_fp"))
+    first_shared = F.coalesce(*[F.when(differing.bitwiseAND(F.lit(m)) == 0, i) for i, m in enumerate(masks)])
+    near = by_block(windows.select("id", "key", "k", "m", "start", "window", "fp"), "fp").join(F.broadcast(index) if small else index, ["k", "m", "block", "bits"])
+    near = near.where((first_shared == F.col("block")) & (F.bit_count(differing) <= radius))  # a pair once, whatever it shares
+    near = near.withColumn("overlap", _overlap("window", "item_grams"))
     near = near.withColumn("similarity", F.col("overlap") / (F.size("window") + F.size("item_grams") - F.col("overlap")))
     best = near.where(F.col("similarity") >= similarity - 1e-9).groupBy("id", "key", "item").agg(F.max("similarity").alias("similarity"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "similarity", "key")
