@@ -13,7 +13,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE_CLASS, materialize
+from .shared import materialize, once, words
 
 KINDS = ["email", "ip", "card", "phone"]
 _DIGIT, _LOCAL = "[0-9]", "[A-Za-z0-9._%+-]"
@@ -35,8 +35,8 @@ TOKEN = rf"{_JOINED}|(?<!{_NONSPACE})[^\x20\x09-\x0D0-9@]*+[0-9@]{_NONSPACE}*+"
 
 #: Distinct seeds that a pattern needs, the score that patterns and instances need, rounds of scoring.
 MIN_SEEDS, MIN_SCORE, ROUNDS = 5, 0.8, 3
-#: Characters on either side of a token among which its two context words are looked for; longer words are cut there.
-CONTEXT = 80
+#: Matches whose places are summed together.
+CHUNK = 128
 
 
 def _digits(x: Column) -> Column:
@@ -66,48 +66,70 @@ def _match_passes(kind: str, match):
     return _passes(kind, match["value"])
 
 
-def _located(rows: DataFrame, text: str, pattern: str, when: Column, out: str, keep) -> DataFrame:
-    """Add out: array of (start, end, value, before, after) of a pattern's matches, in code points.
+def _located(rows: DataFrame, text: str, pattern: str, when: Column, out: str, keep, *, in_words: bool = False) -> DataFrame:
+    """Add out: array of (start, end, value, first, last) of a pattern's matches: code points, and with in_words the
+    numbers of the first and last word of a match that is made of whole words.
 
-    Splitting at the same pattern gives the gaps between matches, so offsets are running sums of lengths; before and
-    after are the text around the match, whatever it holds.
+    Splitting at the same pattern gives the gaps between matches, so places are running sums of lengths. They are
+    formed in chunks, each from the sum of the chunks before it: an array grows by copies, so one that held all
+    matches of a long text would cost their square.
     """
-    rows = rows.withColumn("__found", F.when(when, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("__gaps", F.when(F.size("__found") > 0, F.split(text, pattern, -1)))
-    found, gaps = F.col("__found"), F.col("__gaps")
-    shape = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+    # What a lambda below reads is formed by `once`; else it could be formed again for every element.
+    matches = F.when(when, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    rows = once(rows, __found=matches, __gaps=F.when(when, F.split(text, pattern, -1)))
+    found, gaps, zero = F.col("__found"), F.col("__gaps"), F.lit(0)
 
-    def tail(*x: Column) -> Column:
-        return F.right(F.concat(*x), F.lit(CONTEXT))
+    def n_words(x: Column) -> Column:
+        return F.regexp_count(x, F.lit(f"{_NONSPACE}+")) if in_words else zero
 
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(F.get(found, i))
-        before = tail(acc["tail"], F.get(gaps, i))
-        after = F.concat(*[F.coalesce(F.left(x, F.lit(CONTEXT)), F.lit("")) for x in (F.get(gaps, i + 1), F.get(found, i + 1), F.get(gaps, i + 2), F.get(found, i + 2))])
-        item = F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("value"), before.alias("before"), after.alias("after"))
-        return F.struct(end.alias("at"), tail(before, F.get(found, i)).alias("tail"), F.array_append(acc["items"], item).alias("items"))
+    def step(x: Column, i: Column) -> Column:
+        gap = F.get(gaps, i)
+        return F.struct(i.alias("i"), F.length(gap).alias("gap"), F.length(x).alias("own"), n_words(gap).alias("gap_words"), n_words(x).alias("own_words"))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(shape).alias("items"))
-    located = F.aggregate(F.sequence(F.lit(0), F.size(gaps) - 2), start, step, lambda acc: acc["items"])
-    rows = rows.withColumn(out, F.when(gaps.isNotNull(), F.filter(located, keep)).otherwise(F.array().cast(shape)))
-    return rows.drop("__found", "__gaps")
+    rows = once(rows, __steps=F.transform(found, step))
+    steps = F.col("__steps")
+    chunks = F.when(F.size(found) > 0, F.sequence(zero, F.floor((F.size(found) - 1) / CHUNK).cast("int"))).otherwise(F.array().cast("array<int>"))
 
+    def of_chunk(c: Column) -> Column:
+        return F.slice(steps, c * CHUNK + 1, F.lit(CHUNK))
 
-def _contexts(before: Column, after: Column) -> Column:
+    start = F.struct(zero.alias("at"), zero.alias("word"))
+    sums = F.transform(chunks, lambda c: F.aggregate(of_chunk(c), start, lambda a, s: F.struct((a["at"] + s["gap"] + s["own"]).alias("at"), (a["word"] + s["gap_words"] + s["own_words"]).alias("word"))))
+    rows = once(rows, __sums=sums)
+    base = F.transform(chunks, lambda c: F.aggregate(F.slice("__sums", F.lit(1), c), start, lambda a, s: F.struct((a["at"] + s["at"]).alias("at"), (a["word"] + s["word"]).alias("word"))))
+    rows = rows.withColumn("__base", base)
+    shape = "array<struct<i:int,start:int,end:int,first:int,last:int>>"
+
+    def add(acc: Column, s: Column) -> Column:
+        at, word = acc["at"] + s["gap"], acc["word"] + s["gap_words"]
+        end, after = at + s["own"], word + s["own_words"]
+        item = F.struct(s["i"].alias("i"), at.alias("start"), end.alias("end"), word.alias("first"), (after - 1).alias("last"))
+        return F.struct(end.alias("at"), after.alias("word"), F.array_append(acc["items"], item).alias("items"))
+
+    def placed(b: Column, c: Column) -> Column:
+        begun = F.struct(b["at"].alias("at"), b["word"].alias("word"), F.array().cast(shape).alias("items"))
+        return F.aggregate(of_chunk(c), begun, add, lambda acc: acc["items"])
+
+    rows = rows.withColumn("__placed", F.flatten(F.transform("__base", placed)))
+    named = F.transform("__placed", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.get(found, x["i"]).alias("value"), x["first"].alias("first"), x["last"].alias("last")))
+    return rows.withColumn(out, F.filter(named, keep)).drop("__found", "__gaps", "__steps", "__sums", "__base", "__placed")
+
+
+def _contexts(text_words: Column, first: Column, last: Column) -> Column:
     """Patterns of a token: the two words before it and the two after it, in which a token with a digit or @ is # and
     the ends of the text are ^ and $; a side without any letter is none."""
 
-    def plain(x: Column) -> Column:
-        return F.regexp_replace(F.regexp_replace(F.lower(x), rf"{_NONSPACE}*[0-9@]{_NONSPACE}*", "#"), rf"{SPACE_CLASS}+", " ")
+    def word(at: Column, edge: str) -> Column:
+        w = F.when(at >= 0, F.get(text_words, at))
+        return F.coalesce(F.when(w.rlike("[0-9@]"), "#").otherwise(F.lower(w)), F.lit(edge))
 
-    left = F.regexp_extract(plain(F.concat(F.lit("^ ^ "), before)), r"([^\x20]+ [^\x20]+) ?$", 1)
-    right = F.regexp_extract(plain(F.concat(after, F.lit(" $ $"))), r"^ ?([^\x20]+ [^\x20]+)", 1)
+    left = F.concat_ws(" ", word(first - 2, "^"), word(first - 1, "^"))
+    right = F.concat_ws(" ", word(last + 1, "$"), word(last + 2, "$"))
     return F.filter(F.array(F.concat(F.lit("<"), left), F.concat(F.lit(">"), right)), lambda p: p.rlike(r"\p{L}"))
 
 
 def base_spans(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """Add b_email, b_ip, b_card, b_phone: arrays of (start, end, value, before, after); null and empty texts have none."""
+    """Add b_email, b_ip, b_card, b_phone: arrays of (start, end, value, ...); null and empty texts have none."""
     rows = docs.withColumn("__text", F.coalesce(docs[text_col], F.lit("")))
     has_digit = F.col("__text").rlike("[0-9]")
     for kind in KINDS:
@@ -142,7 +164,9 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rou
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     rows = base_spans(rows).withColumn("key", F.xxhash64("id", "text"))
     looks = F.col("__text").rlike("[0-9@]")
-    rows = _located(rows, "__text", TOKEN, looks, "tokens", lambda x: F.length(x["value"]) > 0)
+    rows = _located(rows, "__text", TOKEN, looks, "tokens", lambda x: F.length(x["value"]) > 0, in_words=True)
+    rows = once(rows.drop("text"), words=F.when(F.size("tokens") > 0, words(F.col("__text"))))
+    rows = rows.withColumn("tokens", F.transform("tokens", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), t["value"].alias("value"), _contexts(F.col("words"), t["first"], t["last"]).alias("patterns"))))
     rows = materialize(rows.select("id", "key", *[f"b_{k}" for k in KINDS], "tokens"), "spans")
 
     # Tokens: one that starts a base span is a seed of its kind, one that touches none is unlabelled.
@@ -158,8 +182,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rou
     kind = F.coalesce(*[F.when(started(k).isNotNull(), k) for k in KINDS])
     value = F.coalesce(*[started(k) for k in KINDS], F.col("t.value"))
     touched = F.coalesce(*[F.when(touches(k), True) for k in KINDS], F.lit(False))
-    patterns = _contexts(F.col("t.before"), F.col("t.after"))
-    tokens = per.select("id", "key", F.col("t.start").alias("start"), F.col("t.end").alias("end"), value.alias("value"), kind.alias("kind"), touched.alias("touched"), patterns.alias("patterns"))
+    tokens = per.select("id", "key", F.col("t.start").alias("start"), F.col("t.end").alias("end"), value.alias("value"), kind.alias("kind"), touched.alias("touched"), F.col("t.patterns").alias("patterns"))
     tokens = tokens.where("kind is not null or not touched").select("id", "key", "start", "end", "value", "kind", F.explode("patterns").alias("pattern"))
     tokens = materialize(tokens, "tokens")
     edges = materialize(tokens.groupBy("pattern", "value", "kind").agg(F.count("*").alias("n")), "edges")
