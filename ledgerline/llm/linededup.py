@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
-from .shared import materialize, once
+from .shared import Scratch, materialize, once
 
 SIMILARITY = 0.8
 #: Token classes whose counts decide the order. The level of a class (quarters of the count's logarithm, at most
@@ -114,7 +114,7 @@ class Numbering:
         return F.col(sid).bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int") if self.bits else F.col(f"{sid}.line")
 
 
-def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity: float) -> DataFrame:
+def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity: float, scratch: Scratch) -> DataFrame:
     """sid (first line), copies, n, prefix, parities, least and greatest hash of every distinct token set."""
     low = F.lit((1 << 56) - 1)
     hashed = lines.select("doc", "line", _hashes(F.col("value")).alias("hashed"))
@@ -126,7 +126,7 @@ def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity:
     of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _half_parity("hashed", "n"), "least": F.array_min("hashed"), "greatest": F.array_max("hashed"), "prefix": prefix}
     drawn = ranked.select("doc", "line", "n", *[c.alias(name) for name, c in of_set.items()]).withColumn("sid", naming.line("doc", "line"))
     # All columns of a set are keys, so that Spark can sum in a hash map before the exchange.
-    return materialize(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid"), F.count("*").alias("copies")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
+    return scratch.write(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid"), F.count("*").alias("copies")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
@@ -135,24 +135,24 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     A line goes if an earlier one, by id, number and token set, has a token set of at least this Jaccard similarity.
     Rows that share id and text are one document. Null ids come first.
     """
-    naming = Numbering(docs, id_col, text_col)
+    naming, scratch = Numbering(docs, id_col, text_col), Scratch(docs.sparkSession)
     rows = docs.select(naming.doc(docs[id_col], docs[text_col]).alias("doc"), _spaced(docs[text_col]).alias("text")).where("text is not null")
     lines = rows.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "value"))
-    sets = _line_sets(lines, _levels(rows), naming, similarity)
+    sets = _line_sets(lines, _levels(rows), naming, similarity, scratch)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Sets (late) with an exact match among the pairs (early, late); only the lines in question are read again."""
         wanted = pairs.select(F.explode(F.array("early", "late")).alias("sid")).distinct()
-        wanted = materialize(wanted.groupBy(naming.doc_of("sid").alias("doc")).agg(F.collect_list(F.struct(naming.line_of("sid").alias("line"), "sid")).alias("of")), "wanted")
+        wanted = scratch.write(wanted.groupBy(naming.doc_of("sid").alias("doc")).agg(F.collect_list(F.struct(naming.line_of("sid").alias("line"), "sid")).alias("of")), "wanted")
         few = wanted.count() <= BROADCAST_ROWS
         again = rows.join(F.broadcast(wanted) if few else wanted, "doc").withColumn("lines", F.split("text", "\n"))
         again = again.select(F.explode(F.transform("of", lambda x: F.struct(x["sid"].alias("sid"), F.get("lines", x["line"]).alias("value")))).alias("x"))
         exact = again.select("x.sid", _hashes(F.col("x.value")).alias("tokens"))
-        exact = materialize(exact if naming.bits else exact.dropDuplicates(["sid"]), "tokens")
+        exact = scratch.write(exact if naming.bits else exact.dropDuplicates(["sid"]), "tokens")
         both = pairs.join(exact.select(F.col("sid").alias("early"), F.col("tokens").alias("a")), "early")
         both = both.join(exact.select(F.col("sid").alias("late"), F.col("tokens").alias("b")), "late")
         common = F.size(F.array_intersect("a", "b"))
-        return materialize(both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct(), "matched")
+        return scratch.write(both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct(), "matched")
 
     # First the earliest, the most frequent and the preceding sets of a few tokens.
     kinds = F.explode(F.array("least", "greatest", F.get("prefix", F.lit(0)).cast("long"))).alias("token")
@@ -163,25 +163,26 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     met = shown.select("own", heads.alias("heads")).select("own", F.explode(F.array_distinct("heads")).alias("head"))
     parities = [[F.col(f"{x}.{c}") for c in ("parity", "half")] for x in ("head", "own")]
     met = met.where((F.col("head.sid") < F.col("own.sid")) & _fits(similarity, F.col("head.n"), F.col("own.n"), *parities))
-    met = materialize(met.select(F.col("head.sid").alias("early"), F.col("own.sid").alias("late")).distinct(), "pairs")
+    met = scratch.write(met.select(F.col("head.sid").alias("early"), F.col("own.sid").alias("late")).distinct(), "pairs")
     matched = verified(met)
 
     # Then the others meet all sets of their prefix tokens. One exchange serves both sides, so all columns are needed on
     # both; `state` is the size of a set, below zero for one that is matched already.
     state = F.when(F.col("open").isNull(), F.col("n")).otherwise(-F.col("n")).alias("state")
-    posts = sets.join(matched.withColumn("open", F.lit(False)), "sid", "left")
+    done = matched.withColumn("open", F.lit(False))
+    posts = sets.join(F.broadcast(done) if done.count() <= BROADCAST_ROWS else done, "sid", "left")
     posts = posts.select("sid", state, "parity", "half", F.posexplode("prefix").alias("pos", "token"))
-    posts = posts.where("token is not null and sid is not null and state is not null and parity is not null and half is not null")  # alike for both sides
-    others = posts.select("token", *[F.col(c).alias(f"e_{c}") for c in ("sid", "state", "parity", "half", "pos")])
-    early, late = F.abs("e_state"), F.col("state")
-    parities = [[F.col(f"{x}{c}") for c in ("parity", "half")] for x in ("e_", "")]
-    near = (F.col("e_sid") < F.col("sid")) & _fits(similarity, early, late, *parities)
-    near &= F.least(early - F.col("e_pos"), late - F.col("pos")) >= _overlap(similarity, early, late)  # what can be common from there on
-    pairs = posts.join(others, "token").where(near)
-    pairs = materialize(pairs.select(F.col("e_sid").alias("early"), F.col("sid").alias("late")).distinct(), "more-pairs")
+    early, late = F.abs("e.state"), F.col("l.state")
+    parities = [[F.col(f"{x}.{c}") for c in ("parity", "half")] for x in ("e", "l")]
+    near = (F.col("e.sid") < F.col("l.sid")) & _fits(similarity, early, late, *parities)
+    near &= F.least(early - F.col("e.pos"), late - F.col("l.pos")) >= _overlap(similarity, early, late)  # what can be common from there on
+    pairs = posts.alias("l").join(posts.alias("e"), F.col("l.token") == F.col("e.token")).where(near)
+    pairs = scratch.write(pairs.select(F.col("e.sid").alias("early"), F.col("l.sid").alias("late")).distinct(), "more-pairs")
     matched = matched.unionByName(verified(pairs))
     stay = sets.select("sid").join(matched, "sid", "left_anti")
     kept = stay.groupBy(naming.doc_of("sid").alias("doc")).agg(F.collect_list(naming.line_of("sid")).alias("kept"))
+    kept = materialize(kept, "kept-lines")
+    scratch.release()
     return kept, naming.doc
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,11 @@ ASCII_SPACE = " \t\n\x0b\f\r"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where that is unset (tests), a folder of its own."""
+    """The shared folder of spark.checkpoint.dir; where that is unset, only a local session gets one of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/{spark.sparkContext.applicationId}"
@@ -30,6 +33,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one operator, which go as soon as what is made of them has been written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.written = spark, []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """As materialize; the table stays until release()."""
+        path = f"{scratch_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.written.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for path in self.written:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        self.written.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
