@@ -324,3 +324,66 @@ def test_pii_contexts_after_numbers_one_word_and_split_identifiers(spark):
     got = {r.doc_id: (r.base, r.spans) for r in pii.find(spark.createDataFrame(seeds + [(i, t) for i, (t, _) in unseen.items()], "doc_id long, text string")).collect()}
     assert {i: got[i][1] for i in unseen} == {i: w for i, (_, w) in unseen.items()}
     assert all(got[i][0] == got[i][1] != "" for i, _ in seeds)
+
+
+def test_html_deep_wide_and_named_pages():
+    deep = "<body>" + "<div>" * 3000 + "<p>x {0}</p>" + "</div>" * 3000
+    assert html.induce([deep.format(1), deep.format(2)])[-1].endswith("/div/p") and html.main_text(deep.format(1), frozenset(), frozenset()) == "x 1"
+    wide = "<body>" + "".join(f"<div class=a{i % 2}>{{0}} {i}</div>" for i in range(5000))
+    assert html.induce([wide.format("p"), wide.format("q")]) == ["/body/div.a0", "/body/div.a1"]
+    page = '<article><h1>T</h1><div class="share-price">12</div><div class="share-buttons">s</div><div id="comments">c</div><p>body</p></article>'
+    assert html.main_text(page, frozenset(), frozenset()) == "T\n12\nbody"
+
+
+def test_tree_matching_against_all_matchings():
+    """Size of the matching equals a plain recursion over all order-preserving matchings."""
+
+    def grown(r, depth):
+        shape = html.Shape(r.choice("ab") if depth else "root")
+        shape.children = [grown(r, depth + 1) for _ in range(r.randrange(4) if depth < 3 else 0)]
+        return shape
+
+    def size(a, b):
+        if a.name != b.name:
+            return 0
+
+        def best(i, j):
+            if i == len(a.children) or j == len(b.children):
+                return 0
+            return max(best(i + 1, j), best(i, j + 1), best(i + 1, j + 1) + size(a.children[i], b.children[j]))
+
+        return 1 + best(0, 0)
+
+    r = random.Random(5)
+    for _ in range(60):
+        a, b = grown(r, 0), grown(r, 0)
+        pairs = html.match(a, b)
+        assert len(pairs) == size(a, b) and len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == len(pairs)
+        assert all(x.name == y.name for x, y in pairs)
+
+
+def test_html_against_pages_made_from_known_text(spark):
+    """Brute force: pages of random hosts and templates, of which the text is known."""
+    r = random.Random(8)
+
+    def page(host, i):
+        own = [" ".join(r.choices(VOCABULARY, k=r.randrange(3, 30))) for _ in range(r.randrange(2, 7))]
+        tag = ["div class=body", "section", "article"][host % 3]
+        inner = f"<h1>{own[0]}</h1>" + "".join(f"<p>{x}</p>" for x in own[1:])
+        menu = "".join(f"<li><a href=/{k}>item {k} of {host}</a></li>" for k in range(4))
+        html_text = f"<html><head><title>{own[0]}</title></head><body><div class=hd><ul>{menu}</ul></div><{tag}>{inner}</{tag.split()[0]}><div class=ft>All rights of host {host}</div></body></html>"
+        return html_text, "\n".join(own)
+
+    made = [(100 * host + i, f"http://h{host}.example/{i}", *page(host, i)) for host in range(6) for i in range(8)]
+    rows = spark.createDataFrame([m[:3] for m in made], "page_id long, url string, html string").repartition(3)
+    got = {x.page_id: x.text for x in html.extract(rows).collect()}
+    assert got == {m[0]: m[3] for m in made}
+    alone = {m[0]: html.main_text(m[2], frozenset(), frozenset()) for m in made}
+    assert sum(alone[m[0]] != m[3] for m in made) >= 32  # without the wrapper, menus and footers stay
+    assert html.extract(rows.limit(0)).count() == 0
+
+
+def test_pii_of_a_long_text(spark):
+    text = " ".join(f"a{i}x word" for i in range(30000)) + " mail a@b.example now"
+    [row] = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert row.base == brute.pii(text) and row.n_email == 1
