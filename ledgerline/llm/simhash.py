@@ -3,13 +3,15 @@
 Fingerprints are split by their Hamming distance to vantage points. By the triangle inequality two fingerprints
 within the radius whose distances to a vantage point lie on either side of its threshold both lie within the
 radius of it, so the outer branch also takes the boundary band of the inner one: every linked pair meets in a
-branch. The upper levels, fitted on a bounded sample, deal fingerprints to shards; each shard goes on splitting
-the same way. The tree decides where work is done, never which pairs are found.
+branch. The upper levels, fitted on a bounded sample, deal fingerprints to shards; a shard that holds too many is
+dealt again by a tree fitted on a sample of its own, until all fit; inside, each goes on splitting the same way. The
+trees decide where work is done, never which pairs are found.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import sys
 
 import numpy as np
@@ -160,10 +162,49 @@ def local_roots(fps: np.ndarray, radius: int) -> np.ndarray:
     return _settle(len(fps), np.concatenate([empty, *heads]), np.concatenate([empty, *tails]))
 
 
+def _tree_levels(n: int, shard: int) -> int:
+    """Levels that bring n fingerprints to about the size of a shard; a branch keeps some 0.6 of its parent."""
+    return min(LEVELS, max(0, math.ceil(math.log(max(n, 1) / shard) / math.log(1 / 0.6)))) if n > shard else 0
+
+
+def _dealt_again(dealt: DataFrame, radius: int, shard: int, sample: int, turn: int) -> DataFrame:
+    """dealt (shard, fp, open) with every open shard above the size split by a tree of its own.
+
+    open is false for a shard that fits or that its tree doesn't split.
+    """
+    large = materialize(dealt.where("open").groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > shard), f"large-{turn}")
+    rows = dealt.join(large, "shard", "left")
+    done = rows.where("n is null").select("shard", "fp", F.lit(False).alias("open"))
+    mine = rows.where("n is not null")
+    drawn = mine.where(F.pmod(F.xxhash64("fp", F.lit(turn)), "n") < sample).select("shard", "n", "fp")
+
+    def fit(key, got):
+        fps = got.column("fp").to_numpy()
+        tree = build_tree(fps, _tree_levels(got.column("n")[0].as_py(), shard), radius)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    trees = materialize(drawn.groupBy("shard").applyInArrow(fit, "shard bigint, tree binary"), f"trees-{turn}")
+
+    def deal(batches):
+        for batch in batches:
+            of = batch.column(0).to_numpy()
+            for at in np.unique(of):
+                here = np.flatnonzero(of == at)
+                tree = pickle.loads(batch.column(2)[int(here[0])].as_py())
+                for leaf, fps in route(batch.column(1).to_numpy()[here], tree, radius):
+                    # The name of a leaf is a hash; should two agree, they are one larger shard.
+                    name = int(at) if tree is None else (int(at) * 0x9E3779B97F4A7C15 + leaf * 0xBF58476D1CE4E5B9 + (1 << 63)) % (1 << 64) - (1 << 63)
+                    n = len(fps)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, name), pa.int64()), pa.array(fps, pa.int64()), pa.array(np.full(n, tree is not None))], ["shard", "fp", "open"])
+
+    again = mine.select("shard", "fp").join(trees, "shard").select("shard", "fp", "tree").mapInArrow(deal, "shard bigint, fp bigint, open boolean")
+    return done.unionByName(again)
+
+
 def link_roots(unique: DataFrame, *, radius: int = 2, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
     """Links (fp, root) that join all fingerprints within the radius of each other; unique: fp, distinct."""
     n = unique.count()
-    levels = min(LEVELS, max(0, math.ceil(math.log(max(n, 1) / shard) / math.log(1 / 0.6)))) if n > shard else 0
+    levels = _tree_levels(n, shard)
     picked = [r[0] for r in unique.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()] if levels else []
     tree = build_tree(np.array(picked, np.int64), levels, radius)
 
@@ -178,7 +219,14 @@ def link_roots(unique: DataFrame, *, radius: int = 2, shard: int = SHARD, sample
         linked = root != fps
         return pa.table({"fp": fps[linked], "root": root[linked]})
 
-    return unique.select("fp").mapInArrow(deal, "shard bigint, fp bigint").groupBy("shard").applyInArrow(solve, "fp bigint, root bigint")
+    dealt = unique.select("fp").mapInArrow(deal, "shard bigint, fp bigint")
+    if tree is not None:
+        dealt = materialize(dealt.withColumn("open", F.lit(True)), "dealt")
+        turn = 0
+        while not dealt.where("open").groupBy("shard").count().where(F.col("count") > 2 * shard).isEmpty():
+            turn += 1
+            dealt = materialize(_dealt_again(dealt, radius, shard, sample, turn), "dealt")
+    return dealt.select("shard", "fp").groupBy("shard").applyInArrow(solve, "fp bigint, root bigint")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, seed: int = 42, radius: int = 2) -> DataFrame:
