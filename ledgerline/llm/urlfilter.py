@@ -3,13 +3,12 @@
 The corpus's own candidate keys (host suffixes with path prefixes) are the whole universe of questions. Level 1
 encodes the listed keys of that universe; level 2 the other keys that level 1 lets through; level 3 the listed
 keys that level 2 lets through, and so on until nothing is left. A key then is listed exactly if the first level
-that it misses is an even one. The filters are small literals in the plan, so pages are judged in place.
+that it misses is an even one. The filters are small literals in the plan, so pages are judged in place. A list of
+which more keys than a filter of that size holds occur in the corpus is looked up by a join on hosts instead.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +20,8 @@ RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block",
 BLOCKED_HOSTS = ["cheap-pills.example.com", "spam-farm.example.org"]
 
 HASHES, BITS_PER_KEY = 5, 10
-#: Keys that one level may hold: 10 bits each come to 10 MB in the plan.
-MAX_KEYS = 8_000_000
+#: Keys that one level may hold: 10 bits each come to 1.3 MB in the plan.
+MAX_KEYS = 1_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,7 +59,7 @@ class Cascade:
             word = F.get(held, F.call_function("shiftright", at, F.lit(6)))
             return F.call_function("shiftright", word, at.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1).cast("long")) == 1
 
-        return reduce(lambda x, y: x & y, [is_set(p) for p in _positions(key, level, bits)])
+        return F.forall(F.array(*_positions(key, level, bits)), is_set)  # the filter stands in the plan once
 
     def contains(self, key: Column) -> Column:
         """Exact for keys of the universe that it was built on."""
@@ -70,8 +69,6 @@ class Cascade:
         return out
 
     def add_level(self, keys: DataFrame, n: int) -> None:
-        if n > MAX_KEYS:
-            raise ValueError(f"a level would hold {n} keys; the bound is {MAX_KEYS}")
         bits = max(1024, 1 << (n * BITS_PER_KEY - 1).bit_length())
         at = F.explode(F.array(*_positions(F.col("key"), len(self.levels), bits))).alias("at")
         word = F.call_function("shiftright", F.col("at"), F.lit(6))
@@ -80,14 +77,19 @@ class Cascade:
         self.levels.append((bits, [filled.get(i, 0) for i in range(bits // 64)]))
 
 
-def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
-    """Cascade over universe (key, distinct) for the keys of listed (key, distinct). Joins happen here only."""
+def build_cascade(universe: DataFrame, listed: DataFrame, max_keys: int | None = None) -> Cascade | None:
+    """Cascade over universe (key, distinct) for the keys of listed (key, distinct). Joins happen here only.
+
+    None if a level would hold more than max_keys keys; then a join has to decide.
+    """
     marked = universe.join(listed.withColumn("__listed", F.lit(True)), "key", "left").select("key", F.coalesce("__listed", F.lit(False)).alias("listed"))
     marked = materialize(marked, "universe")
     cascade = Cascade()
     ours, others = marked.where("listed"), marked.where("not listed")
     n = ours.count()
     while n:
+        if n > (max_keys or MAX_KEYS):
+            return None
         cascade.add_level(ours, n)
         passed = cascade._in_level(F.col("key"), len(cascade.levels) - 1)
         ours, others = others.where(passed), ours
@@ -95,7 +97,7 @@ def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
     return cascade
 
 
-def judge_urls(pages: DataFrame, *, url_col: str = "url", rules=RULES, blocked: DataFrame | None = None, blocked_hosts=BLOCKED_HOSTS) -> DataFrame:
+def judge_urls(pages: DataFrame, *, url_col: str = "url", rules=RULES, blocked: DataFrame | None = None, blocked_hosts=BLOCKED_HOSTS, max_keys: int | None = None) -> DataFrame:
     """Add host, path, rule and verdict to every row.
 
     rules: (verdict, host, path); the longest that fits wins. blocked: more listed hosts (column key) beside
@@ -116,9 +118,16 @@ def judge_urls(pages: DataFrame, *, url_col: str = "url", rules=RULES, blocked:
     hosts = hosts.unionByName(blocked.select("key")).distinct() if blocked is not None else hosts.distinct()
     any_rule = build_cascade(of_rules, listed.select("key").distinct())
     block_rule = build_cascade(of_rules, listed.where("verdict = 'block'").select("key"))
-    block_host = build_cascade(of_hosts, hosts)
+    block_host = build_cascade(of_hosts, hosts, max_keys)
     fitting = F.filter(rule_keys, any_rule.contains)
     longest = F.aggregate(fitting, F.lit(None).cast("string"), lambda a, x: F.when(a.isNull() | (F.length(x) > F.length(a)), x).otherwise(a))
     rows = rows.withColumn("rule", longest)
-    by_list = F.exists(host_keys, block_host.contains)
-    return rows.withColumn("verdict", F.when(F.when(F.col("rule").isNotNull(), block_rule.contains(F.col("rule"))).otherwise(by_list), "block").otherwise("allow"))
+    if block_host is None:  # hosts are few beside pages, and their join is split where one is hot
+        keys = rows.select("host").distinct().withColumn("key", F.explode(candidates(F.col("host"), F.lit(""), [0])))
+        found = materialize(keys.join(hosts, "key", "left_semi").select(F.col("host").alias("__host")).distinct(), "blocked-hosts")
+        rows = rows.join(found, rows["host"] == found["__host"], "left")
+        by_list = F.col("__host").isNotNull()
+    else:
+        by_list = F.exists(host_keys, block_host.contains)
+    rows = rows.withColumn("verdict", F.when(F.when(F.col("rule").isNotNull(), block_rule.contains(F.col("rule"))).otherwise(by_list), "block").otherwise("allow"))
+    return rows.drop("__host")
