@@ -7,11 +7,15 @@ per-slot sums have one row per slot, so both are bounded by the number of slots,
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .shared import scratch_dir
+
 SLOTS = 8192
 MAP_SCHEMA = T.StructType([T.StructField("version", T.IntegerType()), T.StructField("virtual_slot", T.IntegerType()), T.StructField("shard", T.IntegerType())])
 
@@ -67,14 +71,16 @@ def edit_map(current: list[int], slot_bytes: dict[int, int], shards: int) -> lis
     return new
 
 
-def store_map(spark: SparkSession, versions: list[list[int]], path: str | None = None) -> DataFrame:
-    """The map's history as a table (version, virtual_slot, shard); kept at path if one is given."""
-    rows = [(v, slot, shard) for v, mapping in enumerate(versions) for slot, shard in enumerate(mapping)]
-    out = spark.createDataFrame(rows, MAP_SCHEMA)
-    if path:
-        out.write.mode("overwrite").parquet(path)
-        out = spark.read.schema(MAP_SCHEMA).parquet(path)
-    return out
+def store_version(spark: SparkSession, path: str, version: int, mapping: list[int]) -> None:
+    """Add a version of the map to the table at path: a folder per version, written once, never changed."""
+    rows = [(version, slot, shard) for slot, shard in enumerate(mapping)]
+    spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(f"{path}/v{version}")
+
+
+def read_version(spark: SparkSession, path: str, version: int) -> list[int]:
+    """Shard of every slot in a stored version."""
+    rows = spark.read.schema(MAP_SCHEMA).parquet(f"{path}/v{version}").collect()  # one row per slot
+    return [shard for _, _, shard in sorted(rows, key=lambda r: r[1])]
 
 
 def slot_sizes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
@@ -94,7 +100,8 @@ def assign_shards(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text_
     """Put every record into a shard so that the shards' bytes come out nearly equal.
 
     Returns id_col, size, text_crc32, virtual_slot, shard, map_version, position (gapless from 0 within each shard).
-    Version 0 of the map deals slots round robin, version 1 is edited by the measured bytes per slot. Records with
+    Version 0 of the map deals slots round robin, version 1 is edited by the measured bytes per slot; both are stored
+    at map_path (by default a new folder in the shared one), and records are placed by the stored version 1. Records with
     one key share a slot; a null text has no bytes and the checksum 0; an empty table gives no rows; rows that are
     equal in every column still get different positions. Positions come from ranks within slots plus the slots'
     offsets, so no task holds more than a slot.
@@ -103,8 +110,10 @@ def assign_shards(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text_
     sizes = {r[0]: (r[1], r[2]) for r in slot_sizes(docs, id_col=id_col, text_col=text_col, slots=slots).collect()}
     first = initial_map(shards, slots)
     edited = edit_map(first, {k: v[0] for k, v in sizes.items()}, shards)
-    if map_path:
-        store_map(spark, [first, edited], map_path)
+    map_path = map_path or f"{scratch_dir(spark)}/slot-map-{uuid.uuid4().hex}"
+    for version, mapping in enumerate((first, edited)):
+        store_version(spark, map_path, version, mapping)
+    edited = read_version(spark, map_path, 1)
     offset, filled = [0] * slots, [0] * shards
     for slot, shard in enumerate(edited):
         offset[slot] = filled[shard]

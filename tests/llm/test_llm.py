@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+import zlib
 
 import public_tokenizers
 import pytest
@@ -79,9 +80,21 @@ def test_sharding_balances_bytes(spark, docs, none):
     fullest = max(r["size"] for r in got)
     assert max(load.values()) - min(load.values()) <= fullest
     assert {r.doc_id: r["size"] for r in got}[9] == 16 and {r.doc_id: r.text_crc32 for r in got}[9] == 0
+    texts = {r.doc_id: r.text for r in rows.select("doc_id", "text").collect()}
+    assert all(r["size"] == len((texts[r.doc_id] or "").encode()) + 16 and r.text_crc32 == zlib.crc32((texts[r.doc_id] or "").encode()) for r in got)
     assert sharding.assign_shards(none, 7).count() == 0
 
 
+def test_slot_map_is_stored_by_version(spark, docs, tmp_path):
+    path = str(tmp_path / "map")
+    got = sharding.assign_shards(docs, 5, slots=64, map_path=path).collect()
+    first, second = (sharding.read_version(spark, path, v) for v in (0, 1))
+    assert first == sharding.initial_map(5, 64) and all(second[r.virtual_slot] == r.shard for r in got)
+    sharding.store_version(spark, path, 2, sharding.edit_map(second, dict.fromkeys(range(64), 10), 6))
+    third = sharding.read_version(spark, path, 2)
+    assert {b for a, b in zip(second, third, strict=True) if a != b} and sharding.read_version(spark, path, 1) == second
+
+
 def test_map_edits_move_few_slots():
     first = sharding.initial_map(4, 64)
     weights = {s: 10 for s in range(64)} | {0: 50}
@@ -113,6 +126,10 @@ def test_tree_finds_all_links_however_it_splits(spark):
     got = {row.node: row.root for row in simhash.connected_components(links, "fp", "root").collect()}
     want = brute.components(list(zip(signed, fps, strict=True)))
     assert [got.get(x, x) for x in signed] == want
+    # Shards that hold too many are dealt again.
+    again = simhash.link_roots(spark.createDataFrame([(x,) for x in signed], "fp long"), shard=20, sample=128)
+    got = {row.node: row.root for row in simhash.connected_components(again, "fp", "root").collect()}
+    assert [got.get(x, x) for x in signed] == want
 
 
 def test_substring_removal(docs, none):
@@ -218,6 +235,10 @@ def test_url_rules_and_cascade(spark):
     rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("key", F.lit(1))
     got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge_urls(rows).collect()}
     assert [got[i] for i in range(len(urls))] == want
+    joined = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge_urls(rows, blocked=spark.createDataFrame([("b.org",), ("net",)], "key string"), blocked_hosts=urlfilter.BLOCKED_HOSTS, max_keys=1).collect()}
+    plain = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge_urls(rows, blocked=spark.createDataFrame([("b.org",), ("net",)], "key string")).collect()}
+    assert joined == plain and plain != got
+    assert urlfilter.judge_urls(rows.limit(0)).count() == 0
     universe = spark.range(20000).select(F.col("id").cast("string").alias("key"))
     cascade = urlfilter.build_cascade(universe, universe.where("key % 7 = 3"))
     assert len(cascade.levels) > 1
