@@ -62,26 +62,31 @@ def classify_period(instant: Column, start: Column, end: Column, report: Column)
     )
 
 
-def normalize_unit(numerator: Column, denominator: Column) -> Column:
-    """Name of a unit from arrays of struct(ns, local): currencies, shares and pure by name, others as ns#local."""
+def normalize_unit(measures: Column, numerator: Column, denominator: Column, unit_id: Column) -> Column:
+    """Name of a unit from arrays of struct(ns, local): measures, or a numerator over a denominator.
 
-    def side(measures: Column) -> Column:
-        return F.array_join(
-            F.transform(
-                measures,
-                lambda m: F.when(m["ns"].contains("iso4217"), F.upper(m["local"]))
-                .when(m["local"].isin("shares", "pure"), m["local"])
-                .otherwise(F.concat(m["ns"], F.lit("#"), m["local"])),
-            ),
-            "*",
-        )
+    USD, shares and pure by name, others as ns#local; a unit without measures, or with one side only, is unknown:id.
+    """
+
+    def name(m: Column) -> Column:
+        local = F.lower(m["local"])
+        plain = F.when(local == "usd", "USD").when(local.isin("shares", "share"), "shares").when(local == "pure", "pure")
+        return F.coalesce(plain, F.when(F.coalesce(m["ns"], F.lit("")) != "", F.concat(m["ns"], F.lit("#"), m["local"])), m["local"])
+
+    def side(x: Column) -> Column:
+        return F.array_join(F.transform(x, name), "*")
 
-    return F.when(F.coalesce(F.size(denominator), F.lit(0)) > 0, F.concat(side(numerator), F.lit("/"), side(denominator))).otherwise(side(numerator))
+    def filled(x: Column) -> Column:
+        return F.coalesce(F.size(x), F.lit(0)) > 0
+
+    both = filled(numerator) & filled(denominator)
+    return F.when(filled(measures), side(measures)).when(both, F.concat(side(numerator), F.lit("/"), side(denominator))).otherwise(F.concat(F.lit("unknown:"), unit_id))
 
 
 def namespace_matches(namespace: Column, family: Column) -> Column:
     """Any or empty family fits all; us-gaap fits its standard namespaces; else the family is a fragment."""
-    return (family.isin("", "any") | family.isNull()) | F.when(family == "us-gaap", namespace.contains("us-gaap") | namespace.contains("fasb.org")).otherwise(namespace.contains(family))
+    standard = namespace.contains("/us-gaap/") | namespace.contains("/us-gaap:")
+    return (family.isin("", "any") | family.isNull()) | F.when(family == "us-gaap", standard).otherwise(namespace.contains(family))
 
 
 def parse_amount(x: Column) -> Column:
@@ -109,21 +114,31 @@ def ratio_string(numerator: Column, denominator: Column, style: Column) -> Colum
     return F.concat(F.round(q, 2).cast("decimal(24,2)").cast("string"), F.when(style == "percent", "%").otherwise("x"))
 
 
+def _trimmed(x: Column) -> Column:
+    """Text of a decimal without trailing zeros or point."""
+    return F.regexp_replace(x.cast("string"), r"\.?0+$", "")
+
+
 def compact_number(x: Column) -> Column:
-    """K, M, B or T with one decimal at most; negatives in parentheses."""
-    a = F.abs(x).cast("double")
-    out = F.lit(None).cast("string")
-    for limit, suffix in ((1e3, "K"), (1e6, "M"), (1e9, "B"), (1e12, "T")):
-        text = F.concat(F.regexp_replace(F.format_string("%.1f", a / limit), r"\.0$", ""), F.lit(suffix))
-        out = F.when(a >= limit, text).otherwise(out)
-    out = F.coalesce(out, F.regexp_replace(F.format_string("%.2f", a), r"\.?0+$", ""))
+    """K, M, B or T with one decimal at most, half away from zero; negatives in parentheses."""
+    a = F.abs(x.cast(MONEY))
+    out = _trimmed(F.round(a, 1).cast("decimal(24,1)"))
+    for power, suffix in ((3, "K"), (6, "M"), (9, "B"), (12, "T")):
+        scaled = F.round(a / F.lit(10**power).cast(f"decimal({power + 1},0)"), 1).cast("decimal(24,1)")
+        out = F.when(a >= 10**power, F.concat(_trimmed(scaled), F.lit(suffix))).otherwise(out)
     return F.when(x < 0, F.concat(F.lit("("), out, F.lit(")"))).otherwise(out)
 
 
 def format_fact_value(value: Column, nil: Column, unit: Column) -> Column:
-    number = parse_amount(value)
-    text = F.when(F.abs(number) < 1000, F.format_string("%.2f", number.cast("double"))).otherwise(compact_number(number))
-    return F.when(nil | (F.trim(value) == "") | value.isNull(), "-").when(number.isNull(), value).when(unit.startswith("USD"), F.concat(F.lit("$"), text)).otherwise(text)
+    """A value for display: nil and blank as a dash, no number as it is; units with usd or per share get a dollar sign,
+    and two decimals below a thousand."""
+    number, u = parse_amount(value), F.lower(unit)
+    priced = F.coalesce(u.contains("usd") | u.contains("pershare") | u.contains("/shares"), F.lit(False))
+    compact = compact_number(number)
+    text = F.when(priced & (F.abs(number) < 1000), _trimmed(F.round(number, 2).cast("decimal(24,2)"))).otherwise(compact)
+    money = F.when(text.startswith("("), F.concat(F.lit("($"), F.substr(text, F.lit(2)))).otherwise(F.concat(F.lit("$"), text))
+    shown = F.when(number.isNull(), value).when(priced, money).otherwise(text)
+    return F.when(F.coalesce(nil, F.lit(False)) | value.isNull() | (F.trim(value) == ""), "-").otherwise(shown)
 
 
 def dividend_year(x: Column) -> Column:
@@ -213,6 +228,17 @@ def parse_boolean(x: Column) -> Column:
     return F.coalesce(F.lower(F.trim(x)).isin("1", "true", "y", "yes"), F.lit(False))
 
 
+def filing_path_from_href(href: Column) -> Column:
+    """edgar/data/… path of a link, without query and fragment; null where there is none."""
+    path = F.regexp_extract(href, r"edgar/data/[^?#]*", 0)
+    return F.nullif(F.trim(path), F.lit(""))
+
+
+def unwrap_value(element: Column) -> Column:
+    """Trimmed text of a value element; null where it is missing or blank."""
+    return F.nullif(F.trim(element), F.lit(""))
+
+
 def fx_series_key(currency: Column, denominator: Column) -> Column:
     return F.concat(F.lit("D."), F.upper(currency), F.lit("."), F.upper(denominator), F.lit(".SP00.A"))
 

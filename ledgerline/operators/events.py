@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .predicates import small
+
 
 def new_accessions(events: DataFrame, seen: DataFrame) -> DataFrame:
     """First event of every accession not seen before."""
@@ -114,7 +116,7 @@ def split_exceptions(gaps: DataFrame, exceptions: DataFrame) -> tuple[DataFrame,
 
 
 def filing_ticker(filings: DataFrame, members: DataFrame) -> DataFrame:
-    return filings.join(F.broadcast(members.groupBy("cik").agg(F.min("ticker").alias("ticker"))), "cik", "left")  # a constituent set
+    return filings.join(small(members.groupBy("cik").agg(F.min("ticker").alias("ticker"))), "cik", "left")
 
 
 def outcomes(current: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import scalars as fn
-from .predicates import company_extension, statement_period
+from .predicates import company_extension, small, statement_period
 
 GROUPS = ["Fiscal year", "Quarterly", "Year to date", "Instant"]
 #: Result = sum of terms, tried from the most direct; an identity is skipped where one of `unless` has a value (fixed values).
@@ -35,9 +35,9 @@ def fact_unit(facts: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def fact_metric(facts: DataFrame, concepts: DataFrame) -> DataFrame:
-    """Facts with the first concept in file order that fits name and namespace. The taxonomy has tens of rows."""
+    """Facts with the first concept in file order that fits name and namespace."""
     c = concepts.select(F.col("concept").alias("__c"), "family", "metric", "label", "statement", "tier", "priority", "position")
-    out = facts.join(F.broadcast(c), (F.col("local") == F.col("__c")) & fn.namespace_matches(F.col("namespace"), F.col("family")))
+    out = facts.join(small(c), (F.col("local") == F.col("__c")) & fn.namespace_matches(F.col("namespace"), F.col("family")))
     once = concepts.groupBy("concept").count().where("count > 1").isEmpty()
     if not once:  # only a taxonomy that lists a concept twice needs the choice
         w = Window.partitionBy("accession", "instance", "ordinal").orderBy("position")
@@ -76,45 +76,73 @@ def summary(mapped: DataFrame) -> DataFrame:
 
 def statements(mapped: DataFrame) -> DataFrame:
     """Best values whose period suits their statement, with liabilities derived and equity filled in."""
-    return equity_fallback(derive_liabilities(statement_period(best_fact(mapped, KEYS))))
+    return _completed(statement_period(best_fact(mapped, KEYS)), liabilities=True, equity=True)
 
 
-def _without(values: DataFrame, metric: str) -> DataFrame:
-    """accession, unit pairs that have the metric."""
-    return values.where((F.col("metric") == metric) & (F.col("statement") == "balance")).select("accession", "unit").distinct()
+def _has(metric: str) -> Column:
+    """Whether the row's accession and unit have the metric among their balances."""
+    return F.max((F.col("metric") == metric) & (F.col("statement") == "balance")).over(Window.partitionBy("accession", "unit"))
 
 
-def derive_liabilities(values: DataFrame) -> DataFrame:
-    """Add total minus equity where a unit has no liabilities: plain equity, else with noncontrolling interest; one context, no nil."""
-    balance = values.where((F.col("statement") == "balance") & ~F.col("nil") & (F.col("context_ref") != ""))
-    keys = ["accession", "group", "unit", "period", "context_ref"]
-    amount = fn.parse_amount(F.col("value"))
+def _with_rows(values: DataFrame, made: list[tuple[Column, dict[str, Column]]]) -> DataFrame:
+    """values and, for every row where a condition holds, a copy with other columns. Keys of the windows pass through,
+    so that rows stay where they are."""
+    through = ["accession", "statement", "group", "unit", "period", "context_ref"]
+    rest = [c for c in values.columns if c not in through]
+
+    def shape(other: dict[str, Column]) -> Column:
+        return F.struct(*[(other[c] if c in other else F.col(c)).cast(values.schema[c].dataType).alias(c) for c in rest])
+
+    copies = F.array_compact(F.array(shape({}), *[F.when(when, shape(other)) for when, other in made]))
+    return values.select(*through, F.inline(copies)).select(*values.columns)
+
+
+def _derived(values: DataFrame) -> tuple[DataFrame, Column, dict[str, Column]]:
+    """values with helper columns, where liabilities are made from a row, and their columns."""
+    amount = F.when((F.col("statement") == "balance") & ~F.col("nil") & (F.col("context_ref") != ""), fn.parse_amount(F.col("value")))
+    cell = Window.partitionBy("accession", "unit", "group", "period", "context_ref")
+    total, plain, nci = (F.max(F.when(F.col("metric") == m, amount)).over(cell) for m in ("liabilities_and_equity", "equity", "equity_including_noncontrolling_interest"))
+    first = F.row_number().over(cell.orderBy(F.when((F.col("metric") == "liabilities_and_equity") & amount.isNotNull(), 0).otherwise(1), "label", "tier"))
+    rows = values.withColumns({"__left": total - F.coalesce(plain, nci), "__first": first, "__liabilities": _has("liabilities"), "__equity": _has("equity")})
+    fixed = {"metric": "liabilities", "label": "Liabilities", "tier": "core", "namespace": "derived", "local": "Liabilities", "nil": False}
+    columns = {c: F.lit(None) for c in values.columns} | {c: F.lit(v) for c, v in fixed.items()}
+    columns["value"] = F.regexp_replace(F.col("__left").cast("string"), r"\.?0+$", "")
+    when = (F.col("__first") == 1) & (F.col("statement") == "balance") & (F.col("metric") == "liabilities_and_equity") & F.col("__left").isNotNull() & ~F.col("__liabilities")
+    return rows, when, columns
+
+
+def _filled() -> tuple[Column, dict[str, Column]]:
+    nci = (F.col("metric") == "equity_including_noncontrolling_interest") & (F.col("statement") == "balance")
+    return nci & ~F.col("__equity"), {"metric": F.lit("equity"), "label": F.lit("Shareholders' equity"), "tier": F.lit("core")}
+
 
-    def of(metric: str) -> Column:
-        return F.max(F.when(F.col("metric") == metric, amount))
+def _completed(values: DataFrame, *, liabilities: bool, equity: bool) -> DataFrame:
+    rows, when, columns = _derived(values)
+    made = [(when, columns)] * liabilities + [_filled()] * equity
+    return _with_rows(rows, made).select(*values.columns)
 
-    both = balance.groupBy(*keys).agg(of("liabilities_and_equity").alias("total"), of("equity").alias("plain"), of("equity_including_noncontrolling_interest").alias("nci"))
-    made = both.withColumn("left_over", F.col("total") - F.coalesce("plain", "nci")).where("left_over is not null")
-    made = made.join(_without(values, "liabilities"), ["accession", "unit"], "left_anti")
-    fixed = {"statement": "balance", "metric": "liabilities", "label": "Liabilities", "tier": "core", "namespace": "derived", "local": "Liabilities"}
-    cols = {c: F.lit(v) for c, v in fixed.items()} | {"value": F.regexp_replace(F.col("left_over").cast("string"), r"\.?0+$", ""), "nil": F.lit(False)}
-    made = made.select(*[(cols[c] if c in cols else F.col(c) if c in keys else F.lit(None)).cast(values.schema[c].dataType).alias(c) for c in values.columns])
-    return values.unionByName(made)
+
+def derive_liabilities(values: DataFrame) -> DataFrame:
+    """Add total minus equity where a unit has no liabilities: plain equity, else with noncontrolling interest; one context, no nil."""
+    return _completed(values, liabilities=True, equity=False)
 
 
 def equity_fallback(values: DataFrame) -> DataFrame:
     """Copy equity with noncontrolling interest to equity where a unit has no plain equity."""
-    nci = values.where("metric = 'equity_including_noncontrolling_interest' and statement = 'balance'")
-    copy = nci.join(_without(values, "equity"), ["accession", "unit"], "left_anti").withColumns({"metric": F.lit("equity"), "label": F.lit("Shareholders' equity"), "tier": F.lit("core")})
-    return values.unionByName(copy.select(*values.columns))
+    return _completed(values, liabilities=False, equity=True)
 
 
 def ratios(values: DataFrame, specs: DataFrame) -> DataFrame:
-    """accession, ratio, group, unit, period, value; one grouping instead of a self-join, then a tiny broadcast."""
+    """accession, ratio, group, unit, period, value; one grouping instead of a self-join, then a small broadcast. Of
+    several amounts of one metric the largest counts."""
     live = values.where(~F.col("nil")).withColumn("amount", fn.parse_amount(F.col("value")))
-    cells = live.groupBy("accession", "group", "unit", "period").agg(F.map_from_entries(F.collect_set(F.struct("metric", "amount"))).alias("of"))
-    out = cells.crossJoin(F.broadcast(specs))  # five ratios
-    out = out.withColumn("value", fn.ratio_string(F.try_element_at("of", F.col("numerator")), F.try_element_at("of", F.col("denominator")), F.col("style")))
+    cells = live.groupBy("accession", "group", "unit", "period").agg(F.collect_set(F.struct("metric", "amount")).alias("of"))
+    out = cells.crossJoin(small(specs))
+
+    def amount(metric: str) -> Column:
+        return F.array_max(F.filter("of", lambda x: x["metric"] == F.col(metric)))["amount"]
+
+    out = out.withColumn("value", fn.ratio_string(amount("numerator"), amount("denominator"), F.col("style")))
     balance = F.col("ratio").isin("current_ratio", "debt_to_equity")
     return out.where(F.col("value").isNotNull() & (balance == (F.col("group") == "Instant"))).select("accession", "ratio", "group", "unit", "period", "value")
 
@@ -144,6 +172,7 @@ def identities(values: DataFrame) -> DataFrame:
             "accession", "unit", "period", F.lit(name).alias("name"),
             F.when(gap.isNotNull(), "skipped").when(off, "fail").otherwise("pass").alias("status"),
             F.when(gap.isNull(), expected).alias("expected"), F.when(gap.isNull(), F.col("assets.amount")).alias("actual"),
+            F.when(gap.isNull(), tolerance).alias("tolerance"),
             F.coalesce(gap, F.when(off, "reported value differs from identity"), F.lit("")).alias("message"),
         )
         out = rows if out is None else out.unionByName(rows)
@@ -151,16 +180,22 @@ def identities(values: DataFrame) -> DataFrame:
 
 
 def history(values: DataFrame, filings: DataFrame, *, years: int = 10) -> DataFrame:
-    """Annual values of a company: the newest filing wins, then accession, latest period, smallest concept; latest years only."""
+    """Annual values of a company: the newest filing wins, then accession, latest period, smallest concept; latest years only.
+
+    Accessions and periods are ASCII.
+    """
     annual = filings.where(F.col("form").isin("10-K", "10-K/A")).select("accession", "cik", "filing_date")
     rows = values.where(F.col("group").isin("Fiscal year", "Instant") & ~F.col("nil")).join(annual, "accession")
     rows = rows.withColumn("year", fn.history_year(F.col("period"))).where("year != ''")
     keys = ["cik", "statement", "metric", "unit", "year"]
-    pick = F.struct("filing_date", "accession", "period")
-    best = rows.groupBy(*keys, "local").agg(F.max_by(F.struct("value", "accession"), pick).alias("v"), F.max(pick).alias("p"))
-    best = best.groupBy(*keys).agg(F.max(F.struct(F.col("p.filing_date"), F.col("p.accession"), F.col("p.period"))).alias("top"), F.collect_list(F.struct("local", "v", "p")).alias("all"))
-    chosen = F.array_min(F.filter("all", lambda x: (x["p"]["filing_date"] == F.col("top.filing_date")) & (x["p"]["accession"] == F.col("top.accession")) & (x["p"]["period"] == F.col("top.period"))))
-    out = best.withColumn("c", chosen).select(*keys, F.col("c.v.value").alias("value"), F.col("c.v.accession").alias("accession"))
+    # One minimum, combined on the map side: newest filing, largest accession, latest period, smallest concept. Texts
+    # are inverted character by character, as a minimum has to prefer the largest; an end mark lets longer ones win.
+    def down(x: str) -> Column:
+        return F.concat(F.transform(F.split(x, ""), lambda c: -F.ascii(c)), F.array(F.lit(1)))
+
+    order = F.struct(-F.unix_date("filing_date"), down("accession"), down("period"), F.col("local"))
+    out = rows.groupBy(*keys).agg(F.min_by(F.struct("value", "accession"), order).alias("c"))
+    out = out.select(*keys, F.col("c.value").alias("value"), F.col("c.accession").alias("accession"))
     recent = F.dense_rank().over(Window.partitionBy("cik").orderBy(F.desc("year")))
     return out.withColumn("__r", recent).where(F.col("__r") <= years).drop("__r")
 
@@ -176,7 +211,7 @@ def broken_references(facts: DataFrame, contexts: DataFrame, units: DataFrame) -
 
 def source_coverage(facts: DataFrame, contexts: DataFrame, dimensions: DataFrame, concepts: DataFrame) -> DataFrame:
     """Per filing: facts, mapped, unmapped, extension, dimensional and without context; repeated facts."""
-    known = F.broadcast(concepts.select(F.col("concept").alias("local"), F.lit(True).alias("known")).distinct())
+    known = small(concepts.select(F.col("concept").alias("local"), F.lit(True).alias("known")).distinct())
     c = contexts.select("accession", "instance", F.col("id").alias("context_ref"), F.lit(True).alias("has_context"))
     d = dimensions.select("accession", "instance", F.col("context_id").alias("context_ref"), F.lit(True).alias("has_dimension")).distinct()
     rows = facts.join(known, "local", "left").join(c, ["accession", "instance", "context_ref"], "left").join(d, ["accession", "instance", "context_ref"], "left")
@@ -193,10 +228,14 @@ def source_coverage(facts: DataFrame, contexts: DataFrame, dimensions: DataFrame
     )
 
 
+def open_terms(facts: DataFrame, concepts: DataFrame) -> DataFrame:
+    """Facts of concepts that the taxonomy doesn't map."""
+    return facts.join(small(concepts.select(F.col("concept").alias("local")).distinct()), "local", "left_anti")
+
+
 def term_counts(facts: DataFrame, concepts: DataFrame, *, k: int = 25) -> DataFrame:
     """The k unmapped concepts with most facts."""
-    open_terms = facts.join(F.broadcast(concepts.select(F.col("concept").alias("local")).distinct()), "local", "left_anti")
-    return open_terms.groupBy("namespace", "local").agg(F.count("*").alias("facts")).orderBy(F.desc("facts"), "local", "namespace").limit(k)
+    return open_terms(facts, concepts).groupBy("namespace", "local").agg(F.count("*").alias("facts")).orderBy(F.desc("facts"), "local", "namespace").limit(k)
 
 
 def metric_presence(values: DataFrame, metrics: DataFrame, filings: DataFrame) -> DataFrame:

@@ -27,8 +27,14 @@ def changed_actions(current: DataFrame, batch: DataFrame) -> DataFrame:
     return rows.withColumn("changed", F.col("__old").isNull() | ~F.col("__old").eqNullSafe(F.struct(*values))).drop("__old")
 
 
+def replace_actions(current: DataFrame, batch: DataFrame, now: str) -> DataFrame:
+    """Actions after a bootstrap or reconcile run: the batch in place of all actions of its securities, reconciled now."""
+    kept = current.join(batch.select("security").distinct(), "security", "left_anti")
+    return kept.unionByName(batch.withColumn("reconciled_at", F.lit(now).cast(current.schema["reconciled_at"].dataType)).select(*current.columns))
+
+
 def apply_actions(current: DataFrame, batch: DataFrame) -> DataFrame:
-    """Actions after a batch; a changed action loses its reconciled_at."""
+    """Actions after an incremental or repair batch; a changed action loses its reconciled_at."""
     marked = changed_actions(current, batch)
     kept = current.select("security", "source_id", F.col("reconciled_at").alias("__at"))
     fresh = marked.join(kept, ["security", "source_id"], "left").withColumn("reconciled_at", F.when(~F.col("changed"), F.col("__at")))
@@ -121,7 +127,7 @@ def overview(securities: DataFrame, prices: DataFrame, actions: DataFrame, state
     one = securities.agg(F.count("*").alias("securities"))
     one = one.crossJoin(prices.agg(F.count_distinct("security").alias("priced"), F.count("*").alias("prices"), F.count_if(F.col("open").isNull()).alias("missing_opens")))
     one = one.crossJoin(actions.agg(F.count("*").alias("actions")))
-    one = one.crossJoin(state.agg(F.count_if("bootstrapped").alias("known"), F.count_if("reconcile").alias("reconciles"), F.count_if(F.col("failures") > 0).alias("retries")))
+    one = one.crossJoin(state.agg(F.count_if(F.col("covered_from").isNotNull()).alias("known"), F.count_if("reconcile").alias("reconciles"), F.count_if(F.col("failures") > 0).alias("retries")))
     label = F.when(F.col("retries") > 0, "ATTENTION").when(F.col("reconciles") > 0, "RECONCILING").when(F.col("priced") < F.col("securities"), "LOADING").when(F.col("known") < F.col("securities"), "BACKFILL").otherwise("READY")
     return one.withColumn("status", label)
 

@@ -13,11 +13,20 @@ PARSED_FORMS = ["10-K", "10-Q", "8-K"]
 #: Ownership forms by family (fixed values); the first of a pair of lists has a parser.
 FAMILIES = {
     "insider": (["3", "4", "5", "3/A", "4/A", "5/A"], []),
-    "institutional": (["13F-HR", "13F-HR/A", "13F-NT", "13F-NT/A"], ["13F-CTR", "13F-CTR/A"]),
-    "beneficial": (["SCHEDULE 13D", "SCHEDULE 13D/A", "SCHEDULE 13G", "SCHEDULE 13G/A"], ["SC 13D", "SC 13G"]),
+    "institutional": (["13F-HR", "13F-HR/A", "13F-NT", "13F-NT/A"], []),
+    "beneficial": (["SCHEDULE 13D", "SCHEDULE 13D/A", "SCHEDULE 13G", "SCHEDULE 13G/A"], ["SC 13D", "SC 13D/A", "SC 13G", "SC 13G/A"]),
 }
 
 
+#: Rows up to which a table that is small by nature is broadcast; a larger one is shuffled.
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint where a count shows that it is small."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def index_filter(index: DataFrame, *, cik: str = "", ciks=(), year: int = 0, from_year: int = 0, to_year: int = 0, forms=()) -> DataFrame:
     """Index rows that pass every filter given; padding of CIKs is ignored, an empty filter lets all pass."""
     wanted = [str(c).strip().lstrip("0") or "0" for c in ([cik] if cik else []) + list(ciks)]
@@ -52,7 +61,7 @@ def selection(events: DataFrame, members: DataFrame, forms, set_name: str) -> Da
     cik = fn.canonical_cik(F.col("cik"))
     inside = members.select(F.col("cik").alias("__member")).distinct()
     form = fn.normalize_form(F.col("form"))
-    rows = events.join(F.broadcast(inside), cik == F.col("__member"), "left")  # a constituent set: hundreds of rows
+    rows = events.join(small(inside), cik == F.col("__member"), "left")
     reason = (
         F.when(~form.isin(PARSED_FORMS), "form is not supported by the parser")
         .when(~form.isin(list(forms)), "form is not enabled by EDGAR_FORM_TYPES")
@@ -146,7 +155,7 @@ def valid_period(instant: Column, start: Column, end: Column) -> Column:
 
 def company_extension(namespace: Column) -> Column:
     """A namespace that holds none of the standard fragments (fixed values)."""
-    standard = ["us-gaap", "fasb.org", "xbrl.sec.gov", "xbrl.org", "ifrs.org"]
+    standard = ["/us-gaap/", "/us-gaap:", "xbrl.sec.gov/dei", "xbrl.org/", "www.xbrl.org/"]
     return (F.coalesce(namespace, F.lit("")) != "") & ~reduce(lambda a, b: a | b, [namespace.contains(s) for s in standard])
 
 

@@ -45,9 +45,12 @@ TAXONOMY = [
 ]
 _CONCEPT_ROWS = [(c, "us-gaap", m, label, s, t, p) for m, label, s, t, cs in TAXONOMY for c, p in cs]
 
+#: Every ownership form, two spellings and forms of no family.
+FORMS = ["13F-HR", "13F-HR/A", "13F-NT", "13F-NT/A", "3", "3/A", "4", "4/A", "5", "5/A", "SCHEDULE 13D", "SCHEDULE 13D/A", "SCHEDULE 13G", "SCHEDULE 13G/A", "SC 13D", "SC 13D/A", "SC 13G", "SC 13G/A", " sc  13d/a ", "schedule 13g", "13F-CTR", "13F-CTR/A", "10-K", "8-K/A"]
+
 ADAPTERS = {
     "filings": f"SELECT DISTINCT {_ACC} AS accession, {_CIK} AS cik, CASE (o_custkey + year(o_orderdate)) % 5 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' WHEN 2 THEN '8-K' WHEN 3 THEN '10-K/A' ELSE '13F-HR' END AS form, make_date(CAST(year(o_orderdate) + 1 AS INT), CAST(1 + o_custkey % 12 AS INT), CAST(1 + o_custkey % 28 AS INT)) AS filing_date, make_date(CAST(year(o_orderdate) AS INT), 12, 31) AS report_date, 'Company ' || CAST(o_custkey AS STRING) AS company FROM {{orders}}",
-    "facts": f"SELECT DISTINCT {_ACC} AS accession, 'i1' AS instance, CAST(l_orderkey AS STRING) || '-' || CAST({_ROW} AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING) AS id, CASE WHEN l_partkey % 17 = 14 THEN 'http://company.com/2020' ELSE 'http://fasb.org/us-gaap/2020' END AS namespace, {_LOCAL} AS local, CAST(CAST(round(l_extendedprice) AS BIGINT) AS STRING) AS value, CASE WHEN l_suppkey % 13 = 0 THEN 'c9' WHEN l_suppkey % 11 = 0 THEN 'c4' WHEN l_partkey % 17 < 7 THEN 'c0' ELSE 'c' || CAST(1 + l_suppkey % 3 AS STRING) END AS context_ref, CASE WHEN l_linenumber % 5 = 0 THEN 'u9' WHEN l_suppkey % 10 = 1 THEN 'u2' ELSE 'u1' END AS unit_ref, CASE l_linestatus WHEN 'F' THEN '-3' ELSE 'INF' END AS decimals, CAST(NULL AS STRING) AS precision, l_discount > 0.09 AS nil FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey",
+    "facts": f"SELECT DISTINCT {_ACC} AS accession, 'i1' AS instance, CAST(l_orderkey AS STRING) || '-' || CAST({_ROW} AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING) AS id, CASE WHEN l_partkey % 17 = 14 THEN 'http://company.com/2020' WHEN l_suppkey % 29 = 3 THEN 'http://fasb.org/srt/2020' WHEN l_suppkey % 29 = 4 THEN 'http://xbrl.sec.gov/dei/2020' WHEN l_suppkey % 29 = 5 THEN 'urn:x/us-gaap:2009' ELSE 'http://fasb.org/us-gaap/2020' END AS namespace, {_LOCAL} AS local, CAST(CAST(round(l_extendedprice) AS BIGINT) AS STRING) AS value, CASE WHEN l_suppkey % 13 = 0 THEN 'c9' WHEN l_suppkey % 11 = 0 THEN 'c4' WHEN l_partkey % 17 < 7 THEN 'c0' ELSE 'c' || CAST(1 + l_suppkey % 3 AS STRING) END AS context_ref, CASE WHEN l_linenumber % 5 = 0 THEN 'u9' WHEN l_suppkey % 10 = 1 THEN 'u2' ELSE 'u1' END AS unit_ref, CASE l_linestatus WHEN 'F' THEN '-3' ELSE 'INF' END AS decimals, CAST(NULL AS STRING) AS precision, l_discount > 0.09 AS nil FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey",
     "contexts": f"SELECT accession, 'i1' AS instance, c.id, CASE WHEN c.id IN ('c0', 'c4') THEN make_date(CAST(y AS INT), 12, 31) END AS instant, CASE c.id WHEN 'c1' THEN make_date(CAST(y AS INT), 10, 1) WHEN 'c2' THEN make_date(CAST(y AS INT), 1, 1) WHEN 'c3' THEN make_date(CAST(y AS INT), 7, 1) END AS start_date, CASE WHEN c.id IN ('c1', 'c2', 'c3') THEN make_date(CAST(y AS INT), 12, 31) END AS end_date FROM ({_YEARS}) k CROSS JOIN (VALUES ('c0'), ('c1'), ('c2'), ('c3'), ('c4')) AS c(id)",
     "dimensions": f"SELECT accession, 'i1' AS instance, 'c4' AS context_id, 'Segment' AS axis FROM ({_YEARS}) k",
     "units": f"SELECT accession, 'i1' AS instance, u.id, u.unit FROM ({_YEARS}) k CROSS JOIN (VALUES ('u1', 'USD'), ('u2', 'USD/shares')) AS u(id, unit)",
@@ -62,6 +65,7 @@ ADAPTERS = {
     "parties": "SELECT CAST(c_custkey AS STRING) AS party, c_name AS name FROM {customer}",
     "members": "SELECT lpad(CAST(c_custkey AS STRING), 10, '0') AS cik, 'T' || CAST(c_custkey AS STRING) AS ticker, c_name AS name FROM {customer} WHERE c_mktsegment = 'BUILDING'",
     "events_feed": "SELECT 'acc-' || CAST(user_id AS STRING) || '-' || CAST(event_id % 40 AS STRING) AS accession, event_id AS sequence, CASE WHEN event_id % 97 = 0 THEN 'bad' ELSE CAST(user_id AS STRING) END AS cik, CASE event_type WHEN 'view' THEN '10-K' WHEN 'click' THEN '10-Q' WHEN 'signup' THEN '8-K' WHEN 'purchase' THEN '4' ELSE 'S-1' END AS form, CASE event_id % 2 WHEN 0 THEN 'ATOM' ELSE 'BATCH' END AS source, make_date(2014 + CAST(event_id % 5 AS INT), 1, 1 + CAST(event_id % 28 AS INT)) AS filing_date, 'Company ' || CAST(user_id AS STRING) AS company, event_type = 'view' AS selected FROM {events}",
+    "forms": "SELECT event_id AS sequence, CASE event_id % 24 " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(FORMS)) + " END AS form FROM {events}",
     "failure_log": "SELECT event_id AS sequence, CASE event_id % 2 WHEN 0 THEN 'process' ELSE 'download' END AS stage, 'acc-' || CAST(user_id AS STRING) AS accession, CASE event_type WHEN 'error' THEN 'failed' WHEN 'click' THEN 'failed' WHEN 'signup' THEN 'ok' ELSE 'skipped' END AS outcome, 'failure ' || CAST(event_id % 23 AS STRING) AS message FROM {events}",
     "prices": "SELECT CAST(user_id AS STRING) AS security, CAST(ts AS DATE) AS date, max(CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END) AS open, max(value) AS close, min(value) AS adjusted_close FROM {events} GROUP BY user_id, CAST(ts AS DATE)",
     "actions": "SELECT CAST(user_id AS STRING) AS security, 'a' || CAST(event_id AS STRING) AS source_id, CAST(ts AS DATE) AS date, CASE event_type WHEN 'purchase' THEN 'dividend' ELSE 'split' END AS action_type, CASE event_type WHEN 'purchase' THEN value END AS amount, CASE event_type WHEN 'signup' THEN 2.0E0 END AS numerator, CASE event_type WHEN 'signup' THEN 1.0E0 END AS denominator, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS reconciled_at FROM {events} WHERE event_type IN ('purchase', 'signup')",

@@ -57,11 +57,13 @@ def _(m, p):
     return m.join(known, "cik", "left").select("ticker", "cik", F.coalesce("known", F.lit(False)).alias("resolved"))
 
 
-@query("j17_compare_baseline", FACT_TABLES, "SELECT accession, unit, period, CASE WHEN CAST(value AS BIGINT) % 3 = 0 THEN 'differs' ELSE 'match' END AS status FROM best WHERE metric = 'assets'", ctes=_MAPPED)
+@query("j17_compare_baseline", FACT_TABLES, "SELECT e.accession, e.unit, e.period, CASE WHEN a.value IS NULL THEN 'missing' WHEN abs(CAST(e.value AS BIGINT) - CAST(a.value AS BIGINT)) = 0 THEN 'match' ELSE 'differs' END AS status FROM best e LEFT JOIN best a ON a.metric = 'assets' AND a.accession = e.accession AND a.unit = e.unit AND a.period = e.period WHERE e.metric = 'liabilities_and_equity'", ctes=_MAPPED)
 def _(*t):
-    rows = facts.summary(_mapped(*t)).where("metric = 'assets'").select(F.col("accession").alias("cik"), F.col("unit").alias("metric"), F.col("period").alias("year"), F.col("value").cast("double").alias("actual"))
-    expected = rows.withColumn("expected", F.col("actual") + F.when(F.col("actual") % 3 == 0, 1.0).otherwise(0.0)).drop("actual")
-    return facts.compare_baseline(expected, rows).select(F.col("cik").alias("accession"), F.col("metric").alias("unit"), F.col("year").alias("period"), "status")
+    """Totals of the other side of the balance are the expected assets."""
+    rows = facts.summary(_mapped(*t)).where("metric in ('assets', 'liabilities_and_equity')")
+    rows = rows.select("metric", F.col("accession").alias("cik"), F.col("unit").alias("of"), F.col("period").alias("year"), F.col("value").cast("double").alias("v"))
+    actual, expected = (rows.where(f"metric = '{m}'").select("cik", F.col("of").alias("metric"), "year", F.col("v").alias(c)) for m, c in (("assets", "actual"), ("liabilities_and_equity", "expected")))
+    return facts.compare_baseline(expected, actual).select(F.col("cik").alias("accession"), F.col("metric").alias("unit"), F.col("year").alias("period"), "status")
 
 
 @query("j20_sync_by_symbol", "state prices", 'SELECT s.security, s.covered_through, count(*) AS prices, max(date) AS "last" FROM state s JOIN prices p ON p.security = s.security GROUP BY ALL')
@@ -103,7 +105,7 @@ def _(r):
 
 @query("t06_top_terms", "facts concepts", "SELECT local, n, (SELECT count(DISTINCT (namespace, local)) FROM facts WHERE local NOT IN (SELECT concept FROM concepts)) AS terms FROM (SELECT local, count(*) AS n FROM facts WHERE local NOT IN (SELECT concept FROM concepts) GROUP BY namespace, local ORDER BY n DESC, local LIMIT 2)")
 def _(f, t):
-    all_terms = facts.term_counts(f, t, k=1_000_000).agg(F.count("*").alias("terms"))
+    all_terms = facts.open_terms(f, t).agg(F.count_distinct("namespace", "local").alias("terms"))
     return facts.term_counts(f, t, k=2).select("local", F.col("facts").alias("n")).crossJoin(all_terms)
 
 
@@ -130,19 +132,24 @@ def _(t, f):
     return dividends.announcements(t, f).groupBy("cik").agg(F.count("*").alias("events"), F.count_distinct("amount").alias("amounts"))
 
 
-@query("p11_valid_period", "contexts", "SELECT accession, id, true AS valid FROM contexts")
+@query("p11_valid_period", "contexts", "SELECT accession, id, id IN ('c0', 'c2', 'c4') AS valid FROM contexts")
 def _(c):
-    return c.select("accession", "id", predicates.valid_period(*[F.col(x).cast("string") for x in ("instant", "start_date", "end_date")]).alias("valid"))
+    """Turned, unreadable and missing dates beside valid ones."""
+    start, end = (F.col(x).cast("string") for x in ("start_date", "end_date"))
+    turned = F.when(F.col("id") == "c1", end).when(F.col("id") == "c3", "2020-02-30").otherwise(start)
+    return c.select("accession", "id", predicates.valid_period(F.col("instant").cast("string"), turned, F.when(F.col("id") == "c1", start).otherwise(end)).alias("valid"))
 
 
-@query("p12_company_extension", "facts", "SELECT id, namespace LIKE '%company%' AS extension FROM facts")
+@query("p12_company_extension", "facts", "SELECT id, namespace LIKE '%company%' OR namespace LIKE '%/srt/%' AS extension FROM facts")
 def _(f):
     return f.select("id", predicates.company_extension(F.col("namespace")).alias("extension"))
 
 
-@query("p14_valid_period_key", FACT_TABLES, "SELECT id, true AS valid FROM best", ctes=_MAPPED)
+@query("p14_valid_period_key", FACT_TABLES, "SELECT id, NOT nil AS valid FROM best", ctes=_MAPPED)
 def _(*t):
-    return facts.summary(_mapped(*t)).select("id", predicates.valid_period_key(F.col("period")).alias("valid"))
+    """Keys of nil facts are spoilt."""
+    key = F.when(F.col("nil"), F.concat(F.lit("in "), "period")).otherwise(F.col("period"))
+    return facts.summary(_mapped(*t)).select("id", predicates.valid_period_key(key).alias("valid"))
 
 
 @query("p15_extraction_failures", "filings facts", "SELECT DISTINCT accession FROM facts WHERE context_ref = 'c9'")

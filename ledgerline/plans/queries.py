@@ -30,21 +30,21 @@ def query(name: str, tables: str, sql: str | None = None, *, ctes: str = ""):
 
 # Facts and statements.
 FACT_TABLES = "facts contexts dimensions units concepts filings"
-_MAPPED = """, dated AS (SELECT f.*, c.instant, c.start_date, c.end_date FROM facts f JOIN contexts c ON f.accession = c.accession AND f.context_ref = c.id
+_MAPPED = """, dated AS (SELECT f.*, f.namespace LIKE '%/us-gaap/%' OR f.namespace LIKE '%/us-gaap:%' AS gaap, c.instant, c.start_date, c.end_date FROM facts f JOIN contexts c ON f.accession = c.accession AND f.context_ref = c.id
   WHERE NOT EXISTS (SELECT 1 FROM dimensions d WHERE d.accession = f.accession AND d.context_id = f.context_ref)),
-mapped AS (SELECT d.*, coalesce(u.unit, 'unknown:' || d.unit_ref) AS unit, t.metric, t.label, t.statement, t.tier, t.priority, g.report_date,
-  (year(end_date) - year(start_date)) * 12 + month(end_date) - month(start_date) + 1 AS months FROM dated d JOIN concepts t ON d.local = t.concept AND d.namespace LIKE '%us-gaap%'
+mapped AS (SELECT d.* EXCLUDE (gaap), coalesce(u.unit, 'unknown:' || d.unit_ref) AS unit, t.metric, t.label, t.statement, t.tier, t.priority, g.report_date,
+  (year(end_date) - year(start_date)) * 12 + month(end_date) - month(start_date) + 1 AS months FROM dated d JOIN concepts t ON d.local = t.concept AND d.gaap
   JOIN filings g ON g.accession = d.accession LEFT JOIN units u ON u.accession = d.accession AND u.id = d.unit_ref),
 placed AS (SELECT *, CASE WHEN instant IS NOT NULL THEN 'Instant' WHEN months >= 10 THEN 'Fiscal year' WHEN months = 3 THEN 'Quarterly' ELSE 'Year to date' END AS "group",
   CASE WHEN instant IS NOT NULL THEN CAST(instant AS STRING) WHEN months >= 10 THEN 'FY' || year(end_date) WHEN months = 3 THEN 'Q4 FY' || year(end_date) ELSE 'YTD FY' || year(end_date) END AS period FROM mapped),
-best AS (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY accession, statement, "group", metric, unit, period ORDER BY priority, nil, CASE decimals WHEN 'INF' THEN 9999 ELSE CAST(decimals AS INT) END DESC, id) = 1)"""
-_STATED = _MAPPED + """, held AS (SELECT accession, statement, "group", metric, label, unit, period, local, value, nil, context_ref, decimals, tier FROM best WHERE (statement = 'balance') = ("group" = 'Instant')),
+best AS MATERIALIZED (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY accession, statement, "group", metric, unit, period ORDER BY priority, nil, CASE decimals WHEN 'INF' THEN 9999 ELSE CAST(decimals AS INT) END DESC, id) = 1)"""
+_STATED = _MAPPED + """, held AS MATERIALIZED (SELECT accession, statement, "group", metric, label, unit, period, local, value, nil, context_ref, decimals, tier FROM best WHERE (statement = 'balance') = ("group" = 'Instant')),
 pairs AS (SELECT accession, "group", unit, period, context_ref, max(CASE WHEN metric = 'liabilities_and_equity' THEN CAST(value AS BIGINT) END) AS total,
   coalesce(max(CASE WHEN metric = 'equity' THEN CAST(value AS BIGINT) END), max(CASE WHEN metric = 'equity_including_noncontrolling_interest' THEN CAST(value AS BIGINT) END)) AS eq
   FROM held WHERE statement = 'balance' AND NOT nil GROUP BY ALL),
-derived AS (SELECT * FROM held UNION ALL BY NAME SELECT accession, 'balance' AS statement, "group", 'liabilities' AS metric, 'Liabilities' AS label, unit, period, 'Liabilities' AS local, CAST(total - eq AS STRING) AS value, false AS nil, context_ref, 'core' AS tier
+derived AS MATERIALIZED (SELECT * FROM held UNION ALL BY NAME SELECT accession, 'balance' AS statement, "group", 'liabilities' AS metric, 'Liabilities' AS label, unit, period, 'Liabilities' AS local, CAST(total - eq AS STRING) AS value, false AS nil, context_ref, 'core' AS tier
   FROM pairs WHERE total IS NOT NULL AND eq IS NOT NULL AND NOT EXISTS (SELECT 1 FROM held h WHERE h.metric = 'liabilities' AND h.accession = pairs.accession AND h.unit = pairs.unit)),
-stated AS (SELECT * FROM derived UNION ALL BY NAME SELECT * REPLACE ('equity' AS metric, 'Shareholders'' equity' AS label, 'core' AS tier) FROM derived d WHERE metric = 'equity_including_noncontrolling_interest'
+stated AS MATERIALIZED (SELECT * FROM derived UNION ALL BY NAME SELECT * REPLACE ('equity' AS metric, 'Shareholders'' equity' AS label, 'core' AS tier) FROM derived d WHERE metric = 'equity_including_noncontrolling_interest'
   AND NOT EXISTS (SELECT 1 FROM derived h WHERE h.metric = 'equity' AND h.accession = d.accession AND h.unit = d.unit))"""
 _VALUES = ["accession", "statement", "group", "metric", "unit", "period", "value", "nil"]
 _VALUE_SQL = 'accession, statement, "group", metric, unit, period, value, nil'
@@ -64,7 +64,7 @@ def _(f, u):
     return facts.fact_unit(f, u).select("id", "unit")
 
 
-@query("j03_fact_metric", "facts concepts", "SELECT id, metric, priority FROM facts JOIN concepts ON local = concept AND namespace LIKE '%us-gaap%'")
+@query("j03_fact_metric", "facts concepts", "SELECT id, metric, priority FROM facts JOIN concepts ON local = concept AND (namespace LIKE '%/us-gaap/%' OR namespace LIKE '%/us-gaap:%')")
 def _(f, t):
     return facts.fact_metric(f, t).select("id", "metric", "priority")
 
@@ -101,28 +101,47 @@ def _(*t):
 
 @query(
     "a07_ratios", FACT_TABLES + " ratios",
-    """SELECT n.accession, ratio, n."group", n.unit, n.period, CASE WHEN h < 0 THEN '-' ELSE '' END || CAST(abs(h) // 100 AS STRING) || '.' || lpad(CAST(abs(h) % 100 AS STRING), 2, '0') || CASE style WHEN 'percent' THEN '%' ELSE 'x' END AS value
-FROM (SELECT n.accession, ratio, n."group", n.unit, n.period, style, CASE WHEN CAST(n.value AS HUGEINT) * d.v < 0 THEN -1 ELSE 1 END *
-  ((2 * abs(CAST(n.value AS HUGEINT)) * CASE style WHEN 'percent' THEN 10000 ELSE 100 END + abs(d.v)) // (2 * abs(d.v))) AS h
-  FROM ratios r JOIN stated n ON n.metric = r.numerator AND NOT n.nil JOIN (SELECT *, CAST(value AS HUGEINT) AS v FROM stated WHERE NOT nil) d ON d.metric = r.denominator AND d.accession = n.accession AND d."group" = n."group" AND d.unit = n.unit AND d.period = n.period
-  WHERE d.v <> 0 AND (ratio IN ('current_ratio', 'debt_to_equity')) = (n."group" = 'Instant')) n""",
+    """, amounts AS (SELECT accession, "group", unit, period, metric, max(CAST(value AS HUGEINT)) AS v FROM stated WHERE NOT nil GROUP BY ALL),
+cells AS (SELECT accession, "group", unit, period, map(list(metric ORDER BY metric), list(v ORDER BY metric)) AS m FROM amounts GROUP BY ALL),
+fractions AS (SELECT accession, ratio, "group", unit, period, style, m[numerator] AS n, m[denominator] AS d FROM cells, ratios
+  WHERE (ratio IN ('current_ratio', 'debt_to_equity')) = ("group" = 'Instant') AND m[numerator] IS NOT NULL AND m[denominator] <> 0),
+hundredths AS (SELECT *, CASE WHEN n * d < 0 THEN -1 ELSE 1 END * ((2 * abs(n) * CASE style WHEN 'percent' THEN 10000 ELSE 100 END + abs(d)) // (2 * abs(d))) AS h FROM fractions)
+SELECT accession, ratio, "group", unit, period, CASE WHEN h < 0 THEN '-' ELSE '' END || CAST(abs(h) // 100 AS STRING) || '.' || lpad(CAST(abs(h) % 100 AS STRING), 2, '0') || CASE style WHEN 'percent' THEN '%' ELSE 'x' END AS value FROM hundredths""",
     ctes=_STATED,
 )
 def _(f, c, d, u, t, g, r):
     return facts.ratios(facts.statements(_mapped(f, c, d, u, t, g)), r)
 
 
-_IDENTITY = """SELECT accession, unit, period, name, status, CASE WHEN status <> 'skipped' THEN e END AS expected, message FROM (
-SELECT *, CASE WHEN message IN ('', 'reported value differs from identity') THEN CASE WHEN message = '' THEN 'pass' ELSE 'fail' END ELSE 'skipped' END AS status FROM (
-SELECT w.accession, w.unit, w.period, 'assets = liabilities_and_equity' AS name, le.v AS e, CASE WHEN a.v IS NULL THEN 'missing assets' WHEN le.v IS NULL THEN 'missing liabilities_and_equity' WHEN a.context_ref <> le.context_ref THEN 'formula facts use different contexts'
-  WHEN abs(a.v - le.v) > a.tol + le.tol THEN 'reported value differs from identity' ELSE '' END AS message
-FROM (SELECT DISTINCT accession, unit, period FROM live) w LEFT JOIN (SELECT * FROM live WHERE metric = 'assets') a USING (accession, unit, period) LEFT JOIN (SELECT * FROM live WHERE metric = 'liabilities_and_equity') le USING (accession, unit, period)))"""
+_PARTS = [("a", "assets"), ("l", "liabilities"), ("e", "equity"), ("le", "liabilities_and_equity"), ("nci", "equity_including_noncontrolling_interest")]
 
 
-@query("a08_identities", FACT_TABLES, _IDENTITY, ctes=_STATED + ", live AS (SELECT accession, unit, period, metric, CAST(value AS BIGINT) AS v, context_ref, CASE decimals WHEN '-3' THEN 500 ELSE 0 END AS tol FROM stated WHERE statement = 'balance' AND NOT nil)")
+def _identity_sql(name: str, terms: list[str], where: str) -> str:
+    """One identity over the wide rows of _CHECKED; terms are short names of _PARTS."""
+    used = ["a", *terms]
+    gaps = " ".join(f"WHEN {x} IS NULL THEN 'missing {dict(_PARTS)[x]}'" for x in used)
+    mixed = " OR ".join(f"a_c <> {x}_c" for x in terms)
+    return f"SELECT accession, unit, period, '{name}' AS name, a, {' + '.join(terms)} AS x, {' + '.join(f'{x}_t' for x in used)} AS tol, CASE {gaps} WHEN {mixed} THEN 'formula facts use different contexts' ELSE '' END AS gap FROM wide WHERE {where}"
+
+
+_CHECKED = (
+    _STATED
+    + ", live AS (SELECT accession, unit, period, metric, CAST(value AS BIGINT) AS v, context_ref, CASE decimals WHEN '-3' THEN 500 ELSE 0 END AS tol FROM stated WHERE statement = 'balance' AND NOT nil), wide AS (SELECT accession, unit, period, "
+    + ", ".join(f"max(v) FILTER (metric = '{m}') AS {x}, max(context_ref) FILTER (metric = '{m}') AS {x}_c, max(tol) FILTER (metric = '{m}') AS {x}_t" for x, m in _PARTS)
+    + " FROM live GROUP BY ALL), checks AS ("
+    + " UNION ALL ".join([
+        _identity_sql("assets = liabilities_and_equity", ["le"], "true"),
+        _identity_sql("assets = liabilities + equity_including_noncontrolling_interest", ["l", "nci"], "le IS NULL"),
+        _identity_sql("assets = liabilities + equity", ["l", "e"], "le IS NULL AND nci IS NULL"),
+    ])
+    + "), checked AS (SELECT *, CASE WHEN gap <> '' THEN 'skipped' WHEN abs(a - x) > tol THEN 'fail' ELSE 'pass' END AS status FROM checks)"
+)
+
+
+@query("a08_identities", FACT_TABLES, "SELECT accession, unit, period, name, status, CASE WHEN status <> 'skipped' THEN x END AS expected, CASE WHEN status <> 'skipped' THEN tol END AS tolerance, CASE WHEN status = 'fail' THEN 'reported value differs from identity' ELSE gap END AS message FROM checked", ctes=_CHECKED)
 def _(*t):
-    rows = facts.identities(facts.statements(_mapped(*t))).where("name = 'assets = liabilities_and_equity'")
-    return rows.select("accession", "unit", "period", "name", "status", F.col("expected").cast("long").alias("expected"), "message")
+    rows = facts.identities(facts.statements(_mapped(*t)))
+    return rows.select("accession", "unit", "period", "name", "status", F.col("expected").cast("long").alias("expected"), F.col("tolerance").cast("long").alias("tolerance"), "message")
 
 
 @query(
@@ -168,10 +187,10 @@ def _(*t):
     return facts.missing_hotspots(facts.missing_by_tier(_presence(*t)), t[5])
 
 
-@query("a33_quality_deltas", FACT_TABLES, f"SELECT accession, unit, period, abs(e - v) AS delta FROM (SELECT a.accession, a.unit, a.period, a.v, le.v AS e, a.tol + le.tol AS tol FROM live a JOIN live le USING (accession, unit, period) WHERE a.metric = 'assets' AND le.metric = 'liabilities_and_equity' AND a.context_ref = le.context_ref) WHERE abs(e - v) > tol ORDER BY delta DESC, accession, unit, period LIMIT 20", ctes=_STATED + ", live AS (SELECT accession, unit, period, metric, CAST(value AS BIGINT) AS v, context_ref, CASE decimals WHEN '-3' THEN 500 ELSE 0 END AS tol FROM stated WHERE statement = 'balance' AND NOT nil)")
+@query("a33_quality_deltas", FACT_TABLES, "SELECT accession, unit, period, name, abs(a - x) AS delta FROM checked WHERE status = 'fail' ORDER BY delta DESC, accession, unit, period, name LIMIT 20", ctes=_CHECKED)
 def _(*t):
-    checks = facts.identities(facts.statements(_mapped(*t))).where("name = 'assets = liabilities_and_equity'")
-    return facts.quality_deltas(checks).select("accession", "unit", "period", F.col("delta").cast("long").alias("delta"))
+    checks = facts.identities(facts.statements(_mapped(*t)))
+    return facts.quality_deltas(checks).select("accession", "unit", "period", "name", F.col("delta").cast("long").alias("delta"))
 
 
 @query("a11_lint", FACT_TABLES, """SELECT DISTINCT accession, issue FROM (SELECT accession, metric, "group", 'several units: ' || metric AS issue FROM best GROUP BY ALL HAVING count(DISTINCT unit) > 1 UNION ALL SELECT accession, metric, "group", 'no values: ' || metric FROM best GROUP BY ALL HAVING count(*) FILTER (NOT nil AND trim(value) <> '') = 0)""", ctes=_MAPPED)
@@ -181,7 +200,7 @@ def _(*t):
 
 @query(
     "a10_source_coverage", "facts contexts dimensions concepts",
-    """SELECT f.accession, count(*) AS facts, count(*) FILTER (local IN (SELECT concept FROM concepts)) AS mapped, count(*) FILTER (local NOT IN (SELECT concept FROM concepts)) AS unmapped, count(*) FILTER (namespace LIKE '%company%') AS extension,
+    """SELECT f.accession, count(*) AS facts, count(*) FILTER (local IN (SELECT concept FROM concepts)) AS mapped, count(*) FILTER (local NOT IN (SELECT concept FROM concepts)) AS unmapped, count(*) FILTER (namespace LIKE '%company%' OR namespace LIKE '%/srt/%') AS extension,
 count(*) FILTER (context_ref = 'c4') AS dimensional, count(*) FILTER (context_ref = 'c9') AS missing_context, count(*) - count(DISTINCT (namespace, local, context_ref, unit_ref)) AS duplicates FROM facts f GROUP BY f.accession""",
 )
 def _(f, c, d, t):
@@ -198,7 +217,7 @@ def _(f, t):
     return facts.term_counts(f, t)
 
 
-@query("a39_view_counts", "filings facts contexts dimensions", "SELECT g.accession, coalesce(f, 0) AS facts, CASE WHEN f > 0 THEN 1 ELSE 0 END AS instances, 5 AS contexts, coalesce(d, 0) AS dimensional, CASE WHEN f > 0 THEN 'complete' ELSE 'no_xbrl' END AS status FROM filings g LEFT JOIN (SELECT accession, count(*) AS f, count(*) FILTER (context_ref = 'c4') AS d FROM facts GROUP BY accession) x ON x.accession = g.accession")
+@query("a39_view_counts", "filings facts contexts dimensions", "SELECT g.accession, coalesce(f, 0) AS facts, CASE WHEN f > 0 THEN 1 ELSE 0 END AS instances, (SELECT count(*) FROM contexts c WHERE c.accession = g.accession) AS contexts, coalesce(d, 0) AS dimensional, CASE WHEN f > 0 THEN 'complete' ELSE 'no_xbrl' END AS status FROM filings g LEFT JOIN (SELECT accession, count(*) AS f, count(*) FILTER (context_ref = 'c4') AS d FROM facts GROUP BY accession) x ON x.accession = g.accession")
 def _(*t):
     return facts.view_counts(*t)
 
@@ -299,9 +318,13 @@ def _(f):
     return f.where(predicates.supported_form(F.col("form"))).select("accession")
 
 
-@query("p03_ownership_family", "events_feed", "SELECT sequence, CASE WHEN form = '4' THEN 'insider' END AS family, form = '4' AS supported, form LIKE '%/A' AS amendment FROM events_feed")
+_FORM = "upper(regexp_replace(trim(form), '\\s+', ' ', 'g'))"
+
+
+@query("p03_ownership_family", "forms", f"""SELECT sequence, CASE WHEN f IN ('3', '4', '5', '3/A', '4/A', '5/A') THEN 'insider' WHEN f IN ('13F-HR', '13F-HR/A', '13F-NT', '13F-NT/A') THEN 'institutional' WHEN f LIKE 'SC%13D%' OR f LIKE 'SC%13G%' THEN 'beneficial' END AS family,
+f IN ('3', '4', '5', '3/A', '4/A', '5/A', '13F-HR', '13F-HR/A', '13F-NT', '13F-NT/A') OR f LIKE 'SCHEDULE 13%' AS supported, f LIKE '%/A' AS amendment FROM (SELECT sequence, {_FORM} AS f FROM forms)""")
 def _(e):
-    return e.select("sequence", predicates.ownership_family(F.col("form")).alias("x")).select("sequence", "x.*")
+    return e.select("sequence", predicates.ownership_family(F.col("form")).alias("o")).select("sequence", "o.family", "o.supported", "o.amendment")
 
 
 @query("p04_selection", "events_feed members", "SELECT sequence, CASE WHEN form NOT IN ('10-K', '10-Q', '8-K') THEN 'form is not supported by the parser' WHEN form NOT IN ('10-K', '10-Q') THEN 'form is not enabled by EDGAR_FORM_TYPES' WHEN e.cik = 'bad' THEN 'filing has an invalid CIK' WHEN m.cik IS NULL THEN 'company is outside EDGAR_SET=building' ELSE 'supported form and member of EDGAR_SET=building' END AS selection_reason FROM events_feed e LEFT JOIN members m ON m.cik = lpad(e.cik, 10, '0')")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,11 @@ from .queries import ORACLES, QUERIES
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir; only where that is unset (tests), under a folder of its own."""
+    """A new folder under spark.checkpoint.dir; where that is unset, only a local session gets one of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
@@ -58,8 +61,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.read_price_batches(spark, path)[0].select("security", "date", "close")
 
 
-def _land_xml(elements: DataFrame, root: str, path: str, files: int = 16) -> None:
-    """One document per file, the elements dealt over them."""
+def _land_xml(elements: DataFrame, root: str, path: str, per_file: int = 1000) -> None:
+    """One document per file, about per_file elements dealt by hash to each, so that files grow in number only."""
+    files = elements.count() // per_file + 1
     dealt = elements.groupBy(F.pmod(F.xxhash64("value"), F.lit(files)).alias("n")).agg(F.array_join(F.collect_list("value"), "").alias("value"))
     dealt.select(F.concat(F.lit(f"<{root}>"), "value", F.lit(f"</{root}>")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
@@ -142,11 +146,16 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(spark, stream.ownership_branch(events)).select("event_id", "family")
 
 
-@_register("st06_retry", "failure_log", None)
+@_register(
+    "st06_retry", "failure_log",
+    """SELECT accession, attempts, CASE WHEN ok THEN 'resolved' WHEN attempts >= 5 THEN 'exhausted' ELSE 'retry' END AS status, CASE WHEN NOT ok AND attempts < 5 THEN sequence + 60 END AS next_at FROM (
+SELECT *, count(*) FILTER (NOT ok) OVER (PARTITION BY accession, g ORDER BY sequence) AS attempts FROM (
+SELECT accession, sequence, outcome = 'ok' AS ok, count(*) FILTER (outcome = 'ok') OVER (PARTITION BY accession ORDER BY sequence) AS g FROM failure_log WHERE outcome <> 'skipped'))""",
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _folder(spark, "outcomes")
     log = adapters.load(spark, sf_dir, "failure_log").where("outcome != 'skipped'")
-    log.select("accession", (F.col("outcome") == "ok").alias("ok"), F.col("sequence").alias("at")).coalesce(1).write.parquet(f"{out}/landed")
+    log.select("accession", (F.col("outcome") == "ok").alias("ok"), F.col("sequence").alias("at")).repartition("accession").write.parquet(f"{out}/landed")
     rows = spark.readStream.schema("accession string, ok boolean, at long").parquet(f"{out}/landed")
     stream.drain(stream.retry(rows), f"{out}/rows", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/rows")

@@ -19,12 +19,14 @@ def read_index(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame,
     return rows.where("reason is null").drop("value", "reason"), rows.where("reason is not null").select("value", "reason")
 
 
-def read_raw_index(spark: SparkSession, paths: str | list[str], *, header_lines: int = 11) -> DataFrame:
-    """Rows of raw index files below their header lines; rows with fewer than five fields are left out."""
+def read_raw_index(spark: SparkSession, paths: str | list[str], *, header_lines: int = 11) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of raw index files below their header lines; lines with fewer than five fields are set apart."""
     whole = spark.read.text(paths, wholetext=True)
     lines = whole.select(F.posexplode(F.split("value", "\n")).alias("n", "line")).where(F.col("n") >= header_lines)
-    parts = lines.select(F.split("line", r"\|").alias("p")).where(F.size("p") >= 5)
-    return parts.select(*[F.trim(F.get("p", F.lit(i))).alias(c) for i, c in enumerate(("cik", "company", "form", "filing_date", "path"))])
+    parts = lines.where("trim(line) != ''").select("line", F.split("line", r"\|").alias("p"))
+    good = parts.where(F.size("p") >= 5)
+    rows = good.select(*[F.trim(F.get("p", F.lit(i))).alias(c) for i, c in enumerate(("cik", "company", "form", "filing_date", "path"))])
+    return rows, parts.where(F.size("p") < 5).select(F.col("line").alias("value"), F.lit("column count").alias("reason"))
 
 
 def write_index(index: DataFrame, path: str) -> None:
@@ -36,7 +38,8 @@ _ATOM = "title string, updated string, summary struct<_VALUE:string, _type:strin
 
 
 def read_atom_feed(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(events, dead letters) of feed files: one event per accession, entries without an accession set apart."""
+    """(events, dead letters) of feed files: one event per accession, entries without an accession set apart. A title
+    of another form is the company's name as it stands. The patterns are fixed values."""
     rows = spark.read.format("xml").options(rowTag="entry", ignoreNamespace="true").schema(_ATOM).load(paths)
     href, title = F.coalesce("link._href", F.lit("")), F.coalesce("title", F.lit(""))
     summary = fn.clean_text(F.coalesce("summary._VALUE", F.lit("")))
@@ -49,11 +52,11 @@ def read_atom_feed(spark: SparkSession, paths: str | list[str]) -> tuple[DataFra
     rows = rows.select(
         F.when(F.length(accession) == 20, accession).alias("accession"), fn.canonical_cik(F.coalesce(found(summary, r"(?i)\bCIK\s*[:=]\s*([0-9]{1,10})"), found(title, r"\(([0-9]{10})\)"))).alias("cik"),
         fn.normalize_form(F.coalesce(found(summary, r"(?i)\bForm Type\s*:\s*([^\s]+)"), "category._term")).alias("form"),
-        found(title, r"^\s*.+?\s+-\s+(.*?)\s+\([0-9]{10}\)").alias("company"), href.alias("url"), "updated",
+        F.coalesce(found(title, r"^\s*.+?\s+-\s+(.*?)\s+\([0-9]{10}\)"), F.trim(title)).alias("company"), href.alias("url"), "updated",
     )
-    keep = rows.where("accession is not null and cik is not null and form is not null")
+    keep = rows.where("accession is not null")
     events = keep.groupBy("accession").agg(F.min(F.struct("url", "cik", "form", "company", "updated")).alias("e")).select("accession", "e.*")
-    return events, rows.where("accession is null or cik is null or form is null")
+    return events, rows.where("accession is null")
 
 
 def read_fx(spark: SparkSession, paths: str | list[str]) -> DataFrame:

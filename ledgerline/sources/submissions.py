@@ -72,6 +72,13 @@ def _name(tag: str) -> tuple[str, str]:
     return tuple(tag[1:].split("}", 1)) if tag.startswith("{") else ("", tag)
 
 
+def _measure(text: str | None, prefixes: dict[str, str]) -> str:
+    """Name of a measure as scalars.normalize_unit gives it."""
+    prefix, _, local = (text or "").strip().rpartition(":")
+    plain = {"usd": "USD", "shares": "shares", "share": "shares", "pure": "pure"}.get(local.lower())
+    return plain or (f"{prefixes[prefix]}#{local}" if prefix in prefixes else local)
+
+
 def shred_instance(accession: str, body: str) -> list[dict]:
     """Fact, context, dimension and unit records of one instance; broken XML gives a diagnostic."""
     body = re.sub(r"(?s)^\s*<XBRL>\s*|\s*</XBRL>\s*$", "", body)
@@ -79,6 +86,7 @@ def shred_instance(accession: str, body: str) -> list[dict]:
         root = ElementTree.fromstring(re.sub(r"&(?!(?:[A-Za-z]+|#\d+|#x[0-9A-Fa-f]+);)", "&amp;", body).encode())
     except ElementTree.ParseError as e:
         return [{"accession": accession, "kind": "diagnostic", "message": f"xbrl_error: {e}"}]
+    prefixes = dict(re.findall(r"xmlns:([\w.-]+)\s*=\s*[\"']([^\"']*)", body))
     out = []
     for node in root:
         namespace, local = _name(node.tag)
@@ -88,8 +96,10 @@ def shred_instance(accession: str, body: str) -> list[dict]:
             for m in [*node.iter(f"{_DIMENSION}explicitMember"), *node.iter(f"{_DIMENSION}typedMember")]:
                 out.append({"kind": "dimension", "id": node.get("id"), "axis": m.get("dimension"), "member": "".join(m.itertext()).strip()})
         elif node.tag == f"{_INSTANT}unit":
-            sides = [node.findall(f"./{_INSTANT}measure")] if node.find(f"./{_INSTANT}divide") is None else [node.findall(f".//{_INSTANT}{s}/{_INSTANT}measure") for s in ("unitNumerator", "unitDenominator")]
-            out.append({"kind": "unit", "id": node.get("id"), "unit": "/".join("*".join((m.text or "").strip().split(":")[-1] for m in side) for side in sides)})
+            measures, top, bottom = (node.findall(p) for p in (f"./{_INSTANT}measure", *[f".//{_INSTANT}{s}/{_INSTANT}measure" for s in ("unitNumerator", "unitDenominator")]))
+            named = ["*".join(_measure(m.text, prefixes) for m in side) for side in (measures, top, bottom)]
+            unit = named[0] or ("/".join(named[1:]) if all(named[1:]) else f"unknown:{node.get('id')}")
+            out.append({"kind": "unit", "id": node.get("id"), "unit": unit})
         elif node.get("contextRef"):
             nil = node.get("{http://www.w3.org/2001/XMLSchema-instance}nil") in ("true", "1")
             out.append({"kind": "fact", "id": node.get("id"), "namespace": namespace, "local": local, "value": None if nil else (node.text or "").strip(), "context_ref": node.get("contextRef"), "unit_ref": node.get("unitRef"), "decimals": node.get("decimals"), "precision": node.get("precision"), "nil": nil})

@@ -85,11 +85,10 @@ def retry(outcomes: DataFrame, *, limit: int = 5, delay_seconds: int = 60) -> Da
     def step(key, batches, state):
         attempts = state.get[0] if state.exists else 0
         rows = []
-        for batch in batches:
-            for ok, at in batch.sort_values("at")[["ok", "at"]].itertuples(index=False):
-                attempts = 0 if ok else attempts + 1
-                status = "resolved" if ok else "exhausted" if attempts >= limit else "retry"
-                rows.append((key[0], attempts, status, None if status != "retry" else int(at) + delay_seconds))
+        for ok, at in pd.concat(list(batches)).sort_values("at")[["ok", "at"]].itertuples(index=False):
+            attempts = 0 if ok else attempts + 1
+            status = "resolved" if ok else "exhausted" if attempts >= limit else "retry"
+            rows.append((key[0], attempts, status, None if status != "retry" else int(at) + delay_seconds))
         if attempts:
             state.update((attempts,))
         elif state.exists:

@@ -65,8 +65,25 @@ def test_scheduled_through_follows_daylight_saving(spark):
 
 def test_units(spark):
     m = "array<struct<ns:string,local:string>>"
-    df = spark.createDataFrame([([("http://www.xbrl.org/2003/iso4217", "usd")], [("x", "shares")]), ([("x", "pure")], None), ([("ns", "barrel")], [])], f"n {m}, d {m}")
-    assert [r[0] for r in df.select(fn.normalize_unit(F.col("n"), F.col("d"))).collect()] == ["USD/shares", "pure", "ns#barrel"]
+    usd, share = [("http://www.xbrl.org/2003/iso4217", "usd")], [("x", "Share")]
+    rows = [(usd, [], []), (None, usd, share), ([("x", "pure")], None, None), ([("ns", "barrel")], [], []), ([("", "EUR")], [], []), ([("i", "EUR")], [], []), ([], usd, []), (None, None, None), (usd + share, [], [])]
+    df = spark.createDataFrame([(*r, f"u{i}") for i, r in enumerate(rows)], f"m {m}, n {m}, d {m}, id string").orderBy("id")
+    got = [r[0] for r in df.select(fn.normalize_unit(*[F.col(c) for c in ("m", "n", "d", "id")])).collect()]
+    assert got == ["USD", "USD/shares", "pure", "ns#barrel", "EUR", "i#EUR", "unknown:u6", "unknown:u7", "USD*shares"]
+
+
+def test_display_values(one):
+    def shown(value, unit, nil=False):
+        return fn.format_fact_value(F.lit(value), F.lit(nil), F.lit(unit))
+
+    row = one(shown("1,234.5", "USD"), shown("-1500", "USD"), shown("-5.25", "USD"), shown("12.34", "shares"), shown("12.345", "USD/shares"), shown("2000000", "shares"), shown("x", "USD"), shown(" ", "USD"), shown("5", "USD", True), shown("0", "usdPerShare"), shown("999.96", "pure"))
+    assert list(row) == ["$1.2K", "($1.5K)", "$-5.25", "12.3", "$12.35", "2M", "x", "-", "-", "$0", "1000"]
+
+
+def test_namespaces_and_links(one):
+    row = one(*[fn.namespace_matches(F.lit(n), F.lit("us-gaap")) for n in ("http://fasb.org/us-gaap/2024", "urn:x/us-gaap:2009", "http://fasb.org/srt/2024", "us-gaap")], fn.namespace_matches(F.lit("x/dei/y"), F.lit("dei")), fn.namespace_matches(F.lit("x"), F.lit("any")),
+              fn.filing_path_from_href(F.lit("https://h/Archives/edgar/data/1/a-index.htm?x=1#b")), fn.filing_path_from_href(F.lit("https://h/")), fn.unwrap_value(F.lit("  ")), fn.unwrap_value(F.lit(" 1 ")))
+    assert list(row) == [True, True, False, False, True, True, "edgar/data/1/a-index.htm", None, None, "1"]
 
 
 def test_validate_batch_sets_bad_rows_apart(spark):
