@@ -69,7 +69,7 @@ ADAPTERS = {
     "failure_log": "SELECT event_id AS sequence, CASE event_id % 2 WHEN 0 THEN 'process' ELSE 'download' END AS stage, 'acc-' || CAST(user_id AS STRING) AS accession, CASE event_type WHEN 'error' THEN 'failed' WHEN 'click' THEN 'failed' WHEN 'signup' THEN 'ok' ELSE 'skipped' END AS outcome, 'failure ' || CAST(event_id % 23 AS STRING) AS message FROM {events}",
     "prices": "SELECT CAST(user_id AS STRING) AS security, CAST(ts AS DATE) AS date, max(CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END) AS open, max(value) AS close, min(value) AS adjusted_close FROM {events} GROUP BY user_id, CAST(ts AS DATE)",
     "actions": "SELECT CAST(user_id AS STRING) AS security, 'a' || CAST(event_id AS STRING) AS source_id, CAST(ts AS DATE) AS date, CASE event_type WHEN 'purchase' THEN 'dividend' ELSE 'split' END AS action_type, CASE event_type WHEN 'purchase' THEN value END AS amount, CASE event_type WHEN 'signup' THEN 2.0E0 END AS numerator, CASE event_type WHEN 'signup' THEN 1.0E0 END AS denominator, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS reconciled_at FROM {events} WHERE event_type IN ('purchase', 'signup')",
-    "state": "SELECT CAST(user_id AS STRING) AS security, user_id % 5 <> 0 AS bootstrapped, min(CAST(ts AS DATE)) AS covered_from, max(CAST(ts AS DATE)) AS covered_through, min(CAST(ts AS DATE)) AS observed_from, CASE WHEN user_id % 3 = 0 THEN NULL ELSE max(CAST(ts AS DATE)) END AS observed_through, user_id % 7 = 0 AS reconcile, CAST(user_id % 4 AS INT) AS failures FROM {events} WHERE user_id % 10 <> 9 GROUP BY user_id",
+    "state": "SELECT CAST(user_id AS STRING) AS security, user_id % 5 <> 0 AS bootstrapped, CASE WHEN user_id % 11 <> 0 THEN min(CAST(ts AS DATE)) END AS covered_from, max(CAST(ts AS DATE)) AS covered_through, min(CAST(ts AS DATE)) AS observed_from, CASE WHEN user_id % 3 = 0 THEN NULL ELSE max(CAST(ts AS DATE)) END AS observed_through, user_id % 7 = 0 AS reconcile, CAST(user_id % 4 AS INT) AS failures FROM {events} WHERE user_id % 10 <> 9 GROUP BY user_id",
     "securities": "SELECT CAST(c_custkey AS STRING) AS security FROM {customer}",
     "repairs": "SELECT CAST(user_id AS STRING) AS security, CAST(ts AS DATE) AS from_date, CASE WHEN event_id % 3 = 0 THEN CAST(ts AS DATE) ELSE make_date(2024, 1, 28) END AS through, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS completed_at, event_id FROM {events} WHERE event_type = 'error'",
     "batches": "SELECT CAST(o_custkey AS STRING) AS symbol, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'snapshot' ELSE 'incremental' END AS kind, o_orderkey AS batch, CAST(o_orderdate AS DATE) AS from_date, CAST(o_orderdate AS DATE) + CAST(300 * (o_orderkey % 5) AS INT) AS through FROM {orders}",

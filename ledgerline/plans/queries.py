@@ -544,7 +544,7 @@ def _(p):
     return market.price_coverage(p, by_symbol=True)
 
 
-_OVERVIEW = "SELECT (SELECT count(*) FROM securities) AS securities, (SELECT count(DISTINCT security) FROM prices) AS priced, (SELECT count(*) FROM prices) AS prices, (SELECT count(*) FROM prices WHERE open IS NULL) AS missing_opens, (SELECT count(*) FROM actions) AS actions, (SELECT count(*) FROM state WHERE bootstrapped) AS known, (SELECT count(*) FROM state WHERE reconcile) AS reconciles, (SELECT count(*) FROM state WHERE failures > 0) AS retries, 'ATTENTION' AS status"
+_OVERVIEW = "SELECT (SELECT count(*) FROM securities) AS securities, (SELECT count(DISTINCT security) FROM prices) AS priced, (SELECT count(*) FROM prices) AS prices, (SELECT count(*) FROM prices WHERE open IS NULL) AS missing_opens, (SELECT count(*) FROM actions) AS actions, (SELECT count(covered_from) FROM state) AS known, (SELECT count(*) FROM state WHERE reconcile) AS reconciles, (SELECT count(*) FROM state WHERE failures > 0) AS retries, 'ATTENTION' AS status"
 
 
 @query("a26_market_overview", "securities prices actions state", _OVERVIEW)
