@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 from .shared import SPACE_CLASS, once, words
 
 SYMBOLS = r"[#*$%&|<>]"
-#: Phrases of lines that no article is made of (fixed values).
-BOILERPLATE = r"(?i)\b(all rights reserved|cookie policy|privacy policy|terms of (use|service)|click here|sign (in|up)|log ?in|subscribe now|enable javascript|skip to content|back to top|read more)\b"
+#: Phrases of lines that no article is made of, in the languages of the corpus (fixed values).
+BOILERPLATE = (
+    r"(?i)\b(all rights reserved|cookie policy|privacy policy|terms of (use|service)|click here|sign (in|up)|log ?in|subscribe now|enable javascript|skip to content|back to top|read more"
+    r"|alle rechte vorbehalten|datenschutzerklärung|impressum|hier klicken|jetzt anmelden|weiterlesen|zum seitenanfang"
+    r"|tous droits réservés|politique de confidentialité|mentions légales|cliquez ici|se connecter|lire la suite|haut de page"
+    r"|todos los derechos reservados|política de privacidad|aviso legal|haga clic aquí|iniciar sesión|leer más|volver arriba)\b"
+)
+#: Marks of sentences and clauses, of other scripts too (fixed values).
+PUNCTUATION = "[.,;:!?…。、，！？；：؟،؛।]"
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 MAX_LOST = 0.5
@@ -28,7 +35,7 @@ def line_fails(line: Column) -> Column:
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
     separators = F.regexp_count(line, F.lit(r"[|»›·]"))
     capitals, small = F.regexp_count(line, F.lit(r"\p{Lu}")), F.regexp_count(line, F.lit(r"\p{Ll}"))
-    unpunctuated = (n >= 8) & ~line.rlike(r"[.,;:!?…]")
+    unpunctuated = (n >= 8) & ~line.rlike(PUNCTUATION)
     shouted = (n >= 3) & (capitals > 2 * small) & (capitals >= 10) | (F.regexp_count(line, F.lit("!!")) * 3 >= n) & (n >= 3)
     navigation = (separators >= 3) & (separators * 4 >= n)
     boilerplate = (n <= 30) & line.rlike(BOILERPLATE)
@@ -53,11 +60,17 @@ def repeated_words(rows: DataFrame, n_words: str, word_array: str, out: str) ->
     rows = rows.withColumn("__sorted", F.when(F.col("__twice"), tagged))
     s = F.col("__sorted")
 
+    low = F.call_function("shiftleft", F.lit(1).cast("long"), b) - 1
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(low).cast("int")
+
     def same(x, y):
-        return F.coalesce(F.call_function("shiftright", x.bitwiseXOR(y), b) == 0, F.lit(False))
+        """Equal in what is left of the hashes, and then in their words."""
+        return F.coalesce((F.call_function("shiftright", x.bitwiseXOR(y), b) == 0) & (F.slice(w, place(x) + 1, F.lit(3)) == F.slice(w, place(y) + 1, F.lit(3))), F.lit(False))
 
     found = F.filter(s, lambda x, i: F.when(i > 0, same(x, F.get(s, i - 1))).otherwise(False) | same(x, F.get(s, i + 1)))
-    at = F.sort_array(F.transform(found, lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), b) - 1).cast("int")))
+    at = F.sort_array(F.transform(found, place))
     rows = rows.withColumn("__at", at)
     p = F.col("__at")
     covered = F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x)

@@ -117,7 +117,7 @@ def _failing_line(x: str) -> str:
     n = f"greatest({count(_WORD)}, 1)"
     capitals, small, separators, symbols = count(r"\p{Lu}"), count(r"\p{Ll}"), count("[|»›·]"), count(_SYMBOLS)
     return (
-        f"(({n} >= 8 AND NOT regexp_matches({x}, '[.,;:!?…]'))"
+        f"(({n} >= 8 AND NOT regexp_matches({x}, '{quality.PUNCTUATION}'))"
         f" OR ({n} >= 3 AND {capitals} > 2 * {small} AND {capitals} >= 10) OR ({count('!!')} * 3 >= {n} AND {n} >= 3)"
         f" OR ({separators} >= 3 AND {separators} * 4 >= {n}) OR ({n} <= 30 AND regexp_matches({x}, '{quality.BOILERPLATE}'))"
         f" OR ({symbols} * 5 > {n} AND {symbols} >= 3))"
