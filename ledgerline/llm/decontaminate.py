@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize, once, words
+from .shared import materialize, once, row_key, words
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Bits that may differ. Windows of similarity 0.8 differ in about ten bits; more blocks than bits keep the guarantee.
@@ -78,7 +78,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_
     """Pairs of documents and benchmark items of which some item-sized window is similar enough.
 
     Returns id_col, item_col, similarity (of the best window, shingles weighted by how often they occur) and key
-    (a hash of id and text). Words are lower-cased; shingles have five words, all words of an item that has fewer.
+    (the id and a digest of the text). Words are lower-cased; shingles have five words, all words of an item that has fewer.
     A document shorter than an item is one window. Null and blank texts match nothing; rows that share id and text
     give one pair; an empty table gives none; other columns are dropped.
     """
@@ -93,7 +93,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_
     lengths = [r[0] for r in items.select("k").distinct().collect()]  # at most five values
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    rows = once(rows.withColumn("key", F.xxhash64("id", "text")), hashes=_word_hashes(F.col("text"))).withColumn("n", F.size("hashes"))
+    rows = once(rows.withColumn("key", row_key(F.col("id"), F.col("text"))), hashes=_word_hashes(F.col("text"))).withColumn("n", F.size("hashes"))
     hits = None
     for k in lengths:
         at = rows.where(F.col("n") >= k).select("key", "n", "hashes", F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("p"))
@@ -101,7 +101,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_
         mine = seen.where(F.col("k") == k).select("gram", "item", "m")
         found = at.join(F.broadcast(mine) if small else mine, "gram").select("key", F.lit(k).alias("k"), "item", "m", "size", "p")
         hits = found if hits is None else hits.unionByName(found)
-    schema = f"{id_col} {rows.schema['id'].dataType.simpleString()}, {item_col} {items.schema['item'].dataType.simpleString()}, similarity double, key bigint"
+    schema = f"{id_col} {rows.schema['id'].dataType.simpleString()}, {item_col} {items.schema['item'].dataType.simpleString()}, similarity double, key {rows.schema['key'].dataType.simpleString()}"
     if hits is None:
         return docs.sparkSession.createDataFrame([], schema)
 
@@ -153,5 +153,5 @@ def remove(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", tex
     """The documents of which no window matches a benchmark item, with all their columns."""
     found = materialize(find(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(F.col("key").alias("__leak")).distinct(), "leaks")
     few = found.count() <= BROADCAST_ROWS
-    key = F.xxhash64(docs[id_col], docs[text_col])
+    key = row_key(docs[id_col], docs[text_col])
     return docs.join(F.broadcast(found) if few else found, key == F.col("__leak"), "left_anti")

@@ -13,7 +13,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize, once, words
+from .shared import materialize, once, row_key, words
 
 KINDS = ["email", "ip", "card", "phone"]
 _DIGIT, _LOCAL = "[0-9]", "[A-Za-z0-9._%+-]"
@@ -162,7 +162,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rou
     empty table gives no rows. Offsets of rows that share id and text are found once and given to all of them.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    rows = base_spans(rows).withColumn("key", F.xxhash64("id", "text"))
+    rows = base_spans(rows).withColumn("key", row_key(F.col("id"), F.col("text")))
     looks = F.col("__text").rlike("[0-9@]")
     rows = _located(rows, "__text", TOKEN, looks, "tokens", lambda x: F.length(x["value"]) > 0, in_words=True)
     rows = once(rows.drop("text"), words=F.when(F.size("tokens") > 0, words(F.col("__text"))))

@@ -58,6 +58,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(id_: Column, text: Column) -> Column:
+    """What tells rows apart: the id itself and a digest of the text, so that only texts of one id could be confused."""
+    return F.struct(id_.alias("id"), F.xxhash64(text).alias("digest"))
+
+
 def by_value(module) -> None:
     """Ship a module's Python functions inside the tasks, so that executors need no copy of the repository."""
     cloudpickle.register_pickle_by_value(module)
