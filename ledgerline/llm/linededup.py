@@ -3,7 +3,7 @@
 A line's tokens are ordered from rare to common, by counts over the whole corpus in a fixed number of token
 classes, so one order serves all lines with a bounded table. Two lines can be similar only if they share a token
 of their short prefixes. Equal token sets are one set. A set first meets the earliest, the most frequent and the
-preceding sets of its least, its greatest and its rarest token; most members of a family of variants match there. Only the others
+preceding sets of three of its prefix tokens; most members of a family of variants match there. Only the others
 meet all sets of their prefix tokens, so that a family does not cost the square of its size. The order only decides
 which tokens are prefixes, never which pairs are found; every match is verified on the exact sets.
 """
@@ -115,7 +115,7 @@ class Numbering:
 
 
 def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity: float, scratch: Scratch) -> DataFrame:
-    """sid (first line), copies, n, prefix, parities, least and greatest hash of every distinct token set."""
+    """sid (first line), copies, n, prefix and parities of every distinct token set."""
     low = F.lit((1 << 56) - 1)
     hashed = lines.select("doc", "line", _hashes(F.col("value")).alias("hashed"))
     ranked = F.transform("hashed", lambda h: F.call_function("shiftleft", F.get(levels, _class(h)).cast("long"), F.lit(56)).bitwiseOR(h.bitwiseAND(low)))
@@ -123,7 +123,7 @@ def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity:
     size = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
     # 31 bits of a token stand for it among the posts: tokens that share them only make more candidates.
     prefix = F.transform(F.slice("tokens", F.lit(1), size), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
-    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _half_parity("hashed", "n"), "least": F.array_min("hashed"), "greatest": F.array_max("hashed"), "prefix": prefix}
+    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _half_parity("hashed", "n"), "prefix": prefix}
     drawn = ranked.select("doc", "line", "n", *[c.alias(name) for name, c in of_set.items()]).withColumn("sid", naming.line("doc", "line"))
     # All columns of a set are keys, so that Spark can sum in a hash map before the exchange.
     return scratch.write(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid"), F.count("*").alias("copies")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
@@ -155,7 +155,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return scratch.write(both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct(), "matched")
 
     # First the earliest, the most frequent and the preceding sets of a few tokens.
-    kinds = F.explode(F.array("least", "greatest", F.get("prefix", F.lit(0)).cast("long"))).alias("token")
+    kinds = F.explode(F.array_distinct(F.array(F.get("prefix", F.lit(0)), F.array_min("prefix"), F.array_max("prefix")))).alias("token")
     shown = sets.select(kinds, "sid", "copies", F.struct("sid", "n", "parity", "half").alias("own"))
     group = Window.partitionBy("token")
     in_order = group.orderBy("sid")
