@@ -408,3 +408,14 @@ def test_pii_of_a_long_text(spark):
     text = " ".join(f"a{i}x word" for i in range(30000)) + " mail a@b.example now"
     [row] = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert row.base == brute.pii(text) and row.n_email == 1
+
+
+def test_pipeline_run_and_repeated_ids(spark, tmp_path):
+    """run() equals its stages one by one; rows that share an id are judged by their own texts."""
+    texts = [(5, prose(200, 90)), (5, prose(201, 90)), (None, prose(202, 90)), (6, prose(200, 90)), (7, "short"), (8, None), (9, prose(203, 60) + "\n" + prose(50, 40))]
+    spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in texts], SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(7, prose(50, 40))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = sorted((r.doc_id or 0, r.n_tokens) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    own = Tokenizer.from_file(queries.VOCABULARY)
+    want = sorted((i or 0, len(own.encode(t, add_special_tokens=False).ids)) for i, t in texts[:3])
+    assert got == want
