@@ -2,8 +2,8 @@
 
 A line's tokens are ordered from rare to common, by counts over the whole corpus in a fixed number of token
 classes, so one order serves all lines with a bounded table. Two lines can be similar only if they share a token
-of their short prefixes. Equal token sets are one set. A set first meets the earliest, the most frequent and the
-preceding sets of three of its prefix tokens; most members of a family of variants match there. Only the others
+of their short prefixes. Equal token sets are one set. A set first meets the earliest and the preceding
+sets of three of its prefix tokens; most members of a family of variants match there. Only the others
 meet all sets of their prefix tokens, so that a family does not cost the square of its size. The order only decides
 which tokens are prefixes, never which pairs are found; every match is verified on the exact sets.
 """
@@ -24,8 +24,8 @@ SIMILARITY = 0.8
 #: Token classes whose counts decide the order. The level of a class (quarters of the count's logarithm, at most
 #: 127) stands in front of 56 bits of the token's hash.
 CLASS_BITS = 18
-#: Tokens from which a set has a second parity.
-LARGE = 64
+#: Sets before it that a set meets first, besides the earliest, for each of its three tokens.
+PRECEDING = 8
 #: Documents up to which the wanted ones are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -65,10 +65,9 @@ def _parity(tokens: str | Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(mask).cast("int"))))
 
 
-def _half_parity(tokens: str, n: str) -> Column:
-    """The same over half of all tokens, for sets so large that 64 parities tell little: both halves count apart."""
-    half = F.filter(tokens, lambda t: t.bitwiseAND(F.lit(64).cast("long")) != 0)
-    return F.when(F.col(n) >= LARGE, _parity(half)).otherwise(F.lit(0).cast("long"))
+def _half_parity(tokens: str) -> Column:
+    """The same over half of all tokens; both halves count apart."""
+    return _parity(F.filter(tokens, lambda t: t.bitwiseAND(F.lit(64).cast("long")) != 0))
 
 
 def _fits(similarity: float, early: Column, late: Column, of_early: list[Column], of_late: list[Column]) -> Column:
@@ -76,8 +75,8 @@ def _fits(similarity: float, early: Column, late: Column, of_early: list[Column]
     sizes = (early >= similarity * late - 1e-9) & (late >= similarity * early - 1e-9)
     most = early + late - 2 * _overlap(similarity, early, late)
     whole, half = (x.bitwiseXOR(y) for x, y in zip(of_early, of_late, strict=True))
-    apart = F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half)) <= most
-    return sizes & (F.bit_count(whole) <= most) & ((of_early[1] == 0) | (of_late[1] == 0) | apart)
+    apart = F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half)) <= most  # tokens of either half
+    return sizes & apart
 
 
 def _overlap(similarity: float, early: Column, late: Column) -> Column:
@@ -87,17 +86,16 @@ def _overlap(similarity: float, early: Column, late: Column) -> Column:
 class Numbering:
     """How documents and the first lines of sets are named.
 
-    Where ids are distinct numbers, a document is its id and a line one long in the order of (id, line); else a
-    document is (id, digest of the text) and a line a struct, in the order of id, line and token set.
+    Where ids are distinct numbers below 2**31, a document is its id and a line one long in the order of (id, line);
+    else a document is (id, digest of the text) and a line a struct, in the order of id, line and token set.
     """
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str):
         self.bits = 0
         if isinstance(docs.schema[id_col].dataType, IntegralType):
-            low, high, n, named, distinct, longest = docs.agg(F.min(id_col), F.max(id_col), F.count("*"), F.count(id_col), F.count_distinct(id_col), F.max(F.length(text_col))).first()
-            bits = int(longest or 0).bit_length() + 1
-            if n and n == named == distinct and low >= 0 and high < 1 << 62 - bits:
-                self.bits = bits
+            low, high, n, named, distinct = docs.agg(F.min(id_col), F.max(id_col), F.count("*"), F.count(id_col), F.count_distinct(id_col)).first()
+            if n and n == named == distinct and 0 <= low and high < 1 << 31:
+                self.bits = 31  # no text has more lines
 
     def doc(self, id_: Column, text: Column) -> Column:
         return id_.cast("long") if self.bits else F.struct(id_.alias("id"), F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2"))
@@ -115,7 +113,7 @@ class Numbering:
 
 
 def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity: float, scratch: Scratch) -> DataFrame:
-    """sid (first line), copies, n, prefix and parities of every distinct token set."""
+    """sid (first line), n, prefix and parities of every distinct token set."""
     low = F.lit((1 << 56) - 1)
     hashed = lines.select("doc", "line", _hashes(F.col("value")).alias("hashed"))
     ranked = F.transform("hashed", lambda h: F.call_function("shiftleft", F.get(levels, _class(h)).cast("long"), F.lit(56)).bitwiseOR(h.bitwiseAND(low)))
@@ -123,10 +121,10 @@ def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity:
     size = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
     # 31 bits of a token stand for it among the posts: tokens that share them only make more candidates.
     prefix = F.transform(F.slice("tokens", F.lit(1), size), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
-    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _half_parity("hashed", "n"), "prefix": prefix}
+    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _half_parity("hashed"), "prefix": prefix}
     drawn = ranked.select("doc", "line", "n", *[c.alias(name) for name, c in of_set.items()]).withColumn("sid", naming.line("doc", "line"))
     # All columns of a set are keys, so that Spark can sum in a hash map before the exchange.
-    return scratch.write(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid"), F.count("*").alias("copies")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
+    return scratch.write(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
@@ -154,12 +152,12 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         common = F.size(F.array_intersect("a", "b"))
         return scratch.write(both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct(), "matched")
 
-    # First the earliest, the most frequent and the preceding sets of a few tokens.
+    # First the earliest and the preceding sets of a few tokens.
     kinds = F.explode(F.array_distinct(F.array(F.get("prefix", F.lit(0)), F.array_min("prefix"), F.array_max("prefix")))).alias("token")
-    shown = sets.select(kinds, "sid", "copies", F.struct("sid", "n", "parity", "half").alias("own"))
+    shown = sets.select(kinds, "sid", F.struct("sid", "n", "parity", "half").alias("own"))
     group = Window.partitionBy("token")
     in_order = group.orderBy("sid")
-    heads = F.array_compact(F.array(F.first("own").over(in_order), F.max_by("own", "copies").over(group), *[F.lag("own", i).over(in_order) for i in (1, 2, 3)]))
+    heads = F.array_compact(F.array(F.first("own").over(in_order), *[F.lag("own", i).over(in_order) for i in range(1, PRECEDING + 1)]))
     met = shown.select("own", heads.alias("heads")).select("own", F.explode(F.array_distinct("heads")).alias("head"))
     parities = [[F.col(f"{x}.{c}") for c in ("parity", "half")] for x in ("head", "own")]
     met = met.where((F.col("head.sid") < F.col("own.sid")) & _fits(similarity, F.col("head.n"), F.col("own.n"), *parities))
