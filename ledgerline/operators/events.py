@@ -71,11 +71,18 @@ def failure_classes(results: DataFrame, *, classes: int = 10) -> DataFrame:
     return named.groupBy("class").agg(F.sum("n").alias("failures"))
 
 
-def archive_calendar(since_year: int, now_year: int, now_quarter: int, spark) -> DataFrame:
-    """Quarters from since_year to now, newest first."""
-    years = spark.range(since_year, now_year + 1).withColumnRenamed("id", "year").withColumn("quarter", F.explode(F.array(*map(F.lit, (1, 2, 3, 4)))))
+#: First year of the archive.
+EARLIEST_YEAR = 1993
+
+
+def archive_calendar(since_year: int, now_year: int, now_quarter: int, spark, *, base: str = "https://www.sec.gov/Archives") -> DataFrame:
+    """Quarters from since_year to now, newest first, with file name and address."""
+    if since_year < EARLIEST_YEAR:
+        raise ValueError(f"the archive begins in {EARLIEST_YEAR}")
+    years = spark.range(since_year, max(since_year, now_year + 1)).withColumnRenamed("id", "year").withColumn("quarter", F.explode(F.array(*map(F.lit, (1, 2, 3, 4)))))
     years = years.where((F.col("year") < now_year) | (F.col("quarter") <= now_quarter))
-    return years.withColumn("file", F.format_string("%d-QTR%d.tsv", "year", "quarter")).orderBy(F.desc("year"), F.desc("quarter"))
+    url = F.format_string(f"{base.rstrip('/')}/edgar/full-index/%d/QTR%d/master.zip", "year", "quarter")
+    return years.withColumns({"file": F.format_string("%d-QTR%d.tsv", "year", "quarter"), "url": url}).orderBy(F.desc("year"), F.desc("quarter"))
 
 
 def missing_quarters(calendar: DataFrame, files: DataFrame) -> DataFrame:

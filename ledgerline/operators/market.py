@@ -86,6 +86,31 @@ def contained_repairs(repairs: DataFrame, ranges: DataFrame) -> DataFrame:
     return repairs.where("completed_at is null").join(r, (repairs["security"] == r["security"]) & (F.col("from_date") >= F.col("__lo")) & (F.col("through") <= F.col("__hi")), "left_semi")
 
 
+def complete_repairs(repairs: DataFrame, finished: DataFrame, now: str) -> DataFrame:
+    """Repairs after finished work (security, kind, from_date, through): a repair closes its exact range, a bootstrap or
+    reconcile run every open range inside its own."""
+    done = finished.select("security", F.col("kind").alias("__kind"), F.col("from_date").alias("__lo"), F.col("through").alias("__hi"))
+    exact = (F.col("__lo") == F.col("from_date")) & (F.col("__hi") == F.col("through"))
+    inside = (F.col("from_date") >= F.col("__lo")) & (F.col("through") <= F.col("__hi"))
+    fits = F.when(F.col("__kind") == "repair", exact).otherwise(inside & F.col("__kind").isin("bootstrap", "reconcile"))
+    spans = done.groupBy("security").agg(F.collect_set(F.struct("__kind", "__lo", "__hi")).alias("__done"))  # a few runs a security
+    closed = repairs.join(spans, "security", "left").withColumn("__x", F.explode_outer("__done")).withColumns({c: F.col(f"__x.{c}") for c in ("__kind", "__lo", "__hi")})
+    closed = closed.where("completed_at is null").where(fits).select("security", "from_date", "through").distinct().withColumn("__closed", F.lit(True))
+    out = repairs.join(closed, ["security", "from_date", "through"], "left")
+    at = F.when(F.col("completed_at").isNull() & F.col("__closed"), F.lit(now).cast(repairs.schema["completed_at"].dataType)).otherwise(F.col("completed_at"))
+    return out.withColumn("completed_at", at).select(*repairs.columns)
+
+
+def requeue_repairs(repairs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Queue ranges (security, from_date, through): known ones open again, others are added."""
+    keys = ["security", "from_date", "through"]
+    asked = ranges.select(*keys).distinct()
+    known = repairs.join(asked.withColumn("__asked", F.lit(True)), keys, "left")
+    known = known.withColumn("completed_at", F.when(F.col("__asked").isNull(), F.col("completed_at"))).select(*repairs.columns)
+    fresh = asked.join(repairs.select(*keys), keys, "left_anti")
+    return known.unionByName(fresh, allowMissingColumns=True)
+
+
 def unordered_dates(prices: DataFrame) -> DataFrame:
     before = F.lag("date").over(Window.partitionBy("security").orderBy("position"))
     return prices.withColumn("before", before).where(F.col("before") >= F.col("date"))
@@ -113,6 +138,31 @@ def recover_batches(batches: DataFrame, start: str) -> DataFrame:
     return out.select("symbol", lo.alias("from_date"), F.greatest("base", F.coalesce("last", "base")).alias("through"), F.coalesce("used", F.lit(0)).alias("batches"))
 
 
+def used_batches(batches: DataFrame, start: str) -> DataFrame:
+    """Batches that recovery applies, with their order: the snapshot, the chained increments, then repairs inside the span.
+
+    batches: symbol, kind (snapshot, incremental, repair), batch, from_date, through. The order is (stage, through, from, batch).
+    """
+    lo = F.lit(start).cast("date")
+    span = recover_batches(batches.where("kind != 'repair'"), start).select("symbol", F.col("through").alias("__end"))
+    first = batches.where((F.col("kind") == "snapshot") & (F.col("from_date") <= lo)).groupBy("symbol").agg(F.max(F.struct("through", "batch")).alias("b"))
+    first = first.select("symbol", F.col("b.batch").alias("batch"), F.lit(0).alias("stage"))
+    base = batches.where((F.col("kind") == "snapshot") & (F.col("from_date") <= lo)).groupBy("symbol").agg(F.max("through").alias("__base"))
+    rows = batches.join(span, "symbol").join(base, "symbol")
+    chained = rows.where("kind = 'incremental'").where((F.col("from_date") <= F.date_add("__end", 1)) & (F.col("through") <= F.col("__end")) & (F.col("through") > F.col("__base")))
+    fixes = rows.where("kind = 'repair'").where((F.col("from_date") >= lo) & (F.col("through") <= F.col("__end")))
+    parts = first.unionByName(chained.select("symbol", "batch", F.lit(1).alias("stage"))).unionByName(fixes.select("symbol", "batch", F.lit(2).alias("stage")))
+    order = F.struct("stage", "through", "from_date", "batch")
+    return parts.join(batches.select("symbol", "batch", "from_date", "through"), ["symbol", "batch"]).select("symbol", "batch", order.alias("apply_order"))
+
+
+def recover_values(rows: DataFrame, batches: DataFrame, start: str) -> DataFrame:
+    """The price of every day that recovery gives: of the used batches the last in order wins; rows: symbol, batch, date, close."""
+    used = used_batches(batches, start)
+    kept = rows.join(used, ["symbol", "batch"]).where(F.col("date") >= F.lit(start).cast("date"))
+    return kept.groupBy("symbol", "date").agg(F.max_by("close", "apply_order").alias("close"), F.max_by("batch", "apply_order").alias("batch"))
+
+
 def price_bounds(prices: DataFrame) -> DataFrame:
     return prices.groupBy("security").agg(F.min("date").alias("first"), F.max("date").alias("last"))
 

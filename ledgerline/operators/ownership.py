@@ -102,3 +102,10 @@ def rows_by_owner(rows: DataFrame, owners: DataFrame) -> DataFrame:
 def ordinals(parties: DataFrame) -> DataFrame:
     """Parties of a filing numbered in filing order from an array column."""
     return parties.select("accession", F.posexplode("parties").alias("ordinal", "party"))
+
+
+def upsert_securities(current: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Securities by id after fresh ones: a null issuer or an empty text keeps what was there. fresh: unique by security."""
+    both = current.join(fresh.select("security", *[F.col(c).alias(f"__{c}") for c in ("issuer", "title", "security_class", "kind")]), "security", "full")
+    texts = {c: F.coalesce(F.nullif(f"__{c}", F.lit("")), F.col(c), F.lit("")) for c in ("title", "security_class", "kind")}
+    return both.select("security", F.coalesce("__issuer", "issuer").alias("issuer"), *[x.alias(c) for c, x in texts.items()])

@@ -9,9 +9,49 @@ from ..operators import dividends, events, facts, market, ownership, predicates
 from .queries import _ANNOUNCED, _BASE, _MAPPED, _PRESENT, _STATED, _VALUE_SQL, _VALUES, FACT_TABLES, _mapped, _presence, query
 
 
-@query("k06_securities", "positions", "SELECT cusip, arg_max(title, accession) AS title FROM (SELECT cusip, accession, max(title) AS title FROM positions GROUP BY ALL) GROUP BY cusip")
+@query("k06_securities", "positions", "SELECT cusip AS security, CASE WHEN n % 3 = 1 THEN m ELSE 'new' END AS issuer, CASE WHEN n % 2 = 0 THEN title ELSE 'renamed' END AS title, c AS security_class, 'equity' AS kind FROM s", ctes=", s AS (SELECT cusip, max(title) AS title, min(security_class) AS c, min(manager) AS m, CAST(substring(cusip, 2) AS INT) AS n FROM positions GROUP BY cusip)")
 def _(p):
-    return p.groupBy("cusip", "accession").agg(F.max("title").alias("title")).groupBy("cusip").agg(F.max_by("title", "accession").alias("title"))
+    """Fresh rows lack the issuer of every third security and the title of every other one."""
+    old = p.groupBy(F.col("cusip").alias("security")).agg(F.min("manager").alias("issuer"), F.max("title").alias("title"), F.min("security_class").alias("security_class"), F.lit("").alias("kind"))
+    n = F.substring("security", 2, 9).cast("int")
+    fresh = old.select("security", F.when(n % 3 != 1, "new").alias("issuer"), F.when(n % 2 == 0, "").otherwise("renamed").alias("title"), F.lit("").alias("security_class"), F.lit("equity").alias("kind"))
+    return ownership.upsert_securities(old, fresh)
+
+
+@query("k07_repairs", "repairs", """SELECT event_id, coalesce(completed_at, CASE WHEN (user % 2 = 0 AND from_date >= DATE '2024-01-10' AND through <= DATE '2024-01-28') OR (user % 2 = 1 AND from_date = DATE '2024-01-12' AND through = DATE '2024-01-28') THEN DATE '2024-02-01' END) AS completed_at FROM (SELECT *, CAST(security AS INT) AS user FROM repairs)""")
+def _(r):
+    """Even securities finish a reconcile run, odd ones a repair of one exact range."""
+    even = F.col("security").cast("int") % 2 == 0
+    done = r.select("security").distinct().select("security", F.when(even, "reconcile").otherwise("repair").alias("kind"), F.when(even, "2024-01-10").otherwise("2024-01-12").cast("date").alias("from_date"), F.lit("2024-01-28").cast("date").alias("through"))
+    return market.complete_repairs(r, done, "2024-02-01").select("event_id", "completed_at")
+
+
+@query("k07_requeue", "repairs", "SELECT security, from_date, through, CASE WHEN through <> DATE '2024-01-28' THEN completed_at END AS completed_at FROM repairs UNION ALL SELECT DISTINCT security, DATE '2023-12-01', DATE '2023-12-31', CAST(NULL AS DATE) FROM repairs")
+def _(r):
+    asked = r.where("through = date '2024-01-28'").select("security", "from_date", "through")
+    more = r.select("security", F.lit("2023-12-01").cast("date").alias("from_date"), F.lit("2023-12-31").cast("date").alias("through"))
+    return market.requeue_repairs(r, asked.unionByName(more)).select("security", "from_date", "through", "completed_at")
+
+
+@query("k02_replace", "actions", "SELECT security, source_id, CASE WHEN CAST(security AS INT) % 2 = 0 THEN DATE '2024-02-01' ELSE reconciled_at END AS reconciled_at FROM actions WHERE CAST(security AS INT) % 2 = 1 OR date >= DATE '2024-01-10' OR NOT security IN (SELECT security FROM actions WHERE date >= DATE '2024-01-10')")
+def _(a):
+    """Even securities run a reconcile that knows the later actions only; securities without any keep theirs."""
+    fresh = a.where("cast(security as int) % 2 = 0 and date >= date '2024-01-10'").drop("reconciled_at")
+    out = market.replace_actions(a, fresh, "2024-02-01")
+    return out.select("security", "source_id", "reconciled_at")
+
+
+@query("w09_recover_values", "batches", """SELECT symbol, date, max_by(batch, lpad(CAST(stage AS STRING), 1, '0') || strftime(through, '%Y%m%d') || strftime(from_date, '%Y%m%d') || lpad(CAST(batch AS STRING), 12, '0')) AS batch FROM (
+SELECT b.symbol, b.batch, b.from_date, b.through, unnest([b.from_date, b.through]) AS date, CASE kind WHEN 'snapshot' THEN 0 ELSE 1 END AS stage FROM batches b
+JOIN span s ON s.symbol = b.symbol WHERE (kind = 'snapshot' AND b.batch = s.first) OR (kind = 'incremental' AND b.from_date <= s.reached + 1 AND b.through <= s.reached AND b.through > s.base)) WHERE date >= DATE '1995-06-01' GROUP BY symbol, date""",
+    ctes=""", base AS (SELECT symbol, max(through) AS base, max_by(batch, strftime(through, '%Y%m%d') || lpad(CAST(batch AS STRING), 12, '0')) AS first FROM batches WHERE kind = 'snapshot' AND from_date <= DATE '1995-06-01' GROUP BY symbol),
+inc AS (SELECT b.*, base, greatest(base, coalesce(max(b.through) OVER (PARTITION BY b.symbol ORDER BY b.from_date, b.through ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), base)) AS covered FROM batches b JOIN base ON base.symbol = b.symbol WHERE kind = 'incremental'),
+gaps AS (SELECT *, max(CASE WHEN from_date > covered + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY from_date, through ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stopped FROM inc),
+span AS (SELECT base.symbol, base.base, first, greatest(base.base, coalesce(r, base.base)) AS reached FROM base LEFT JOIN (SELECT symbol, max(through) AS r FROM gaps WHERE stopped = 0 GROUP BY symbol) g ON g.symbol = base.symbol)""")
+def _(b):
+    """Every batch has a row on its first and on its last day."""
+    rows = b.select("symbol", "batch", F.explode(F.array("from_date", "through")).alias("date"), F.lit(1.0).alias("close"))
+    return market.recover_values(rows, b, "1995-06-01").select("symbol", "date", "batch")
 
 
 @query("k08_replace_filing", "positions", "SELECT accession, row_number, cusip FROM positions WHERE accession NOT LIKE '%7' UNION ALL SELECT accession, 0, 'NEW' FROM (SELECT DISTINCT accession FROM positions WHERE accession LIKE '%7')")

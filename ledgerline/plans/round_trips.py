@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import events
 from ..sources import landed
 from ..streaming import events as stream
 from . import adapters
@@ -159,3 +160,60 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.readStream.schema("accession string, ok boolean, at long").parquet(f"{out}/landed")
     stream.drain(stream.retry(rows), f"{out}/rows", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/rows")
+
+
+def _news_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Discovery events landed in several files and read one file a batch."""
+    out = _folder(spark, "news")
+    e = adapters.load(spark, sf_dir, "events_feed").select("accession", "form", "company", "filing_date", "sequence", "selected")
+    e.repartition(3, "accession", "sequence").write.parquet(f"{out}/landed")
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/landed"), out
+
+
+_NEWS_SQL = "SELECT accession, arg_min(form, sequence) AS form, max(sequence) AS sequence, arg_max(selected, sequence) AS selected FROM events_feed GROUP BY accession"
+
+
+@_register("st05_project_news", "events_feed", _NEWS_SQL.replace("arg_min(form, sequence) AS form, ", ""))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, out = _news_stream(spark, sf_dir)
+    done = stream.project_news(rows, f"{out}/table", f"{out}/checkpoint")
+    return stream.latest_news(done, spark, f"{out}/table").select("accession", "sequence", "selected")
+
+
+@_register("st09_replay", "events_feed", _NEWS_SQL.replace("arg_min(form, sequence) AS form, ", "") + " INTERSECT " + _NEWS_SQL.replace("arg_min(form, sequence) AS form, ", ""))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The projection and its replay into an empty one under a new checkpoint: rows that both have."""
+    rows, out = _news_stream(spark, sf_dir)
+    tables = []
+    for turn in ("first", "again"):
+        done = stream.project_news(rows, f"{out}/{turn}", f"{out}/checkpoint-{turn}")
+        tables.append(stream.latest_news(done, spark, f"{out}/{turn}").select("accession", "sequence", "selected"))
+    return tables[0].intersect(tables[1])
+
+
+@_register("st12_feed_dead_letters", "filings", "SELECT 'no link ' || accession AS company FROM filings WHERE form = '8-K'")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed as a stream in which the entries of one form have no link."""
+    path = _folder(spark, "feed")
+    f = adapters.load(spark, sf_dir, "filings")
+    link = F.when(F.col("form") == "8-K", "").otherwise(F.concat(F.lit("<link rel='alternate' href='https://h/Archives/edgar/data/1/"), "accession", F.lit("-index.htm'/>")))
+    _land_xml(f.select(F.concat(F.lit("<entry><title>no link "), "accession", F.lit("</title>"), link, F.lit("<updated>2024-01-01</updated></entry>")).alias("value")), "feed", path)
+    _entries, dead = landed.stream_atom_feed(spark, path)
+    return _drained(spark, dead).select("company")
+
+
+@_register("s02_stitch", "filings", "SELECT accession AS path, CAST(year(filing_date) AS INT) AS year, CAST(quarter(filing_date) AS INT) AS quarter FROM filings WHERE year(filing_date) BETWEEN 1995 AND 1997")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly files are landed under their names, chosen by a range of years and read as one index."""
+    path = _folder(spark, "quarters")
+    f = adapters.load(spark, sf_dir, "filings").withColumnsRenamed({"accession": "path"}).withColumn("name", F.format_string("%d-QTR%d.tsv", F.year("filing_date"), F.quarter("filing_date")))
+    f.select("name", F.concat_ws("|", "cik", "company", "form", F.col("filing_date").cast("string"), "path").alias("value")).repartition("name").write.partitionBy("name").text(path)
+    names = [r[0] for r in f.select("name").distinct().collect()]  # four a year
+    chosen = landed.select_index_files(names, from_year=1995, to_year=1997)
+    return landed.stitch(spark, [f"{path}/name={n}" for n in chosen])[0].select("path", "year", "quarter")
+
+
+@_register("s03_archive_calendar", "filings", "SELECT y AS year, q AS quarter, y || '-QTR' || q || '.tsv' AS file, 'https://www.sec.gov/Archives/edgar/full-index/' || y || '/QTR' || q || '/master.zip' AS url FROM (SELECT unnest(range(1993, (SELECT max(year(filing_date)) FROM filings) + 1)) AS y), (SELECT unnest([1, 2, 3, 4]) AS q) WHERE y < (SELECT max(year(filing_date)) FROM filings) OR q <= 2")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = adapters.load(spark, sf_dir, "filings").agg(F.max(F.year("filing_date"))).first()[0] or events.EARLIEST_YEAR
+    return events.archive_calendar(1993, last, 2, spark).select("year", F.col("quarter"), "file", "url")

@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
 
 
-def read_index(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(index, rejects) of pipe-separated index files: cik, company, form, filing date, path and perhaps index path."""
-    raw = spark.read.text(paths).select(F.rtrim(F.replace("value", F.lit("\r"), F.lit(""))).alias("value")).where("trim(value) != ''")
-    parts = raw.select("value", F.transform(F.split("value", r"\|"), lambda t: F.trim(t)).alias("p"))
+def _index_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(index, rejects) of lines (value); other columns stay."""
+    rest = [c for c in raw.columns if c != "value"]
+    lines = raw.withColumn("value", F.rtrim(F.replace("value", F.lit("\r"), F.lit("")))).where("trim(value) != ''")
+    parts = lines.select("value", *rest, F.transform(F.split("value", r"\|"), lambda t: F.trim(t)).alias("p"))
     field = [F.get("p", F.lit(i)) for i in range(6)]
     date = fn.parse_date(field[3])
     reason = F.when(~F.size("p").isin(5, 6), "column count").when(date.isNull(), "invalid date").when((field[0] == "") | (field[2] == "") | (field[4] == ""), "empty field")
-    rows = parts.select("value", reason.alias("reason"), fn.bare_cik(field[0]).alias("cik"), field[1].alias("company"), field[2].alias("form"), date.alias("filing_date"), field[4].alias("path"), field[5].alias("index_path"))
-    return rows.where("reason is null").drop("value", "reason"), rows.where("reason is not null").select("value", "reason")
+    rows = parts.select("value", *rest, reason.alias("reason"), fn.bare_cik(field[0]).alias("cik"), field[1].alias("company"), field[2].alias("form"), date.alias("filing_date"), field[4].alias("path"), field[5].alias("index_path"))
+    return rows.where("reason is null").drop("value", "reason"), rows.where("reason is not null").select("value", *rest, "reason")
+
+
+def read_index(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(index, rejects) of pipe-separated index files: cik, company, form, filing date, path and perhaps index path."""
+    return _index_rows(spark.read.text(paths))
 
 
 def read_raw_index(spark: SparkSession, paths: str | list[str], *, header_lines: int = 11) -> tuple[DataFrame, DataFrame]:
@@ -37,10 +45,8 @@ def write_index(index: DataFrame, path: str) -> None:
 _ATOM = "title string, updated string, summary struct<_VALUE:string, _type:string>, link struct<_href:string, _rel:string, _type:string>, category struct<_term:string, _label:string, _scheme:string>"
 
 
-def read_atom_feed(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(events, dead letters) of feed files: one event per accession, entries without an accession set apart. A title
-    of another form is the company's name as it stands. The patterns are fixed values."""
-    rows = spark.read.format("xml").options(rowTag="entry", ignoreNamespace="true").schema(_ATOM).load(paths)
+def _feed_rows(rows: DataFrame) -> DataFrame:
+    """Fields of feed entries; accession is null where an entry's link has none. The patterns are fixed values."""
     href, title = F.coalesce("link._href", F.lit("")), F.coalesce("title", F.lit(""))
     summary = fn.clean_text(F.coalesce("summary._VALUE", F.lit("")))
 
@@ -49,16 +55,60 @@ def read_atom_feed(spark: SparkSession, paths: str | list[str]) -> tuple[DataFra
 
     digits = found(href, r"edgar/data/\d+/(\d{18})")
     accession = F.coalesce(found(href, r"edgar/data/\d+/(\d{10}-\d{2}-\d{6})"), F.concat_ws("-", F.substring(digits, 1, 10), F.substring(digits, 11, 2), F.substring(digits, 13, 6)))
-    rows = rows.select(
+    return rows.select(
         F.when(F.length(accession) == 20, accession).alias("accession"), fn.canonical_cik(F.coalesce(found(summary, r"(?i)\bCIK\s*[:=]\s*([0-9]{1,10})"), found(title, r"\(([0-9]{10})\)"))).alias("cik"),
         fn.normalize_form(F.coalesce(found(summary, r"(?i)\bForm Type\s*:\s*([^\s]+)"), "category._term")).alias("form"),
         F.coalesce(found(title, r"^\s*.+?\s+-\s+(.*?)\s+\([0-9]{10}\)"), F.trim(title)).alias("company"), href.alias("url"), "updated",
     )
-    keep = rows.where("accession is not null")
-    events = keep.groupBy("accession").agg(F.min(F.struct("url", "cik", "form", "company", "updated")).alias("e")).select("accession", "e.*")
+
+
+def read_atom_feed(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(events, dead letters) of feed files: one event per accession, entries without an accession set apart. A title
+    of another form is the company's name as it stands."""
+    rows = _feed_rows(spark.read.format("xml").options(rowTag="entry", ignoreNamespace="true").schema(_ATOM).load(paths))
+    events = rows.where("accession is not null").groupBy("accession").agg(F.min(F.struct("url", "cik", "form", "company", "updated")).alias("e")).select("accession", "e.*")
     return events, rows.where("accession is null")
 
 
+def stream_atom_feed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(entries with an accession, dead letters) of a folder of feed files as streams; repeats are for a later stage."""
+    rows = _feed_rows(spark.readStream.format("xml").options(rowTag="entry", ignoreNamespace="true").schema(_ATOM).load(path))
+    return rows.where("accession is not null"), rows.where("accession is null")
+
+
+def select_index_files(files: list[str], *, file: str = "", latest: bool = False, year: int = 0, from_year: int = 0, to_year: int = 0) -> list[str]:
+    """The quarterly files (YYYY-QTRn.tsv) that a choice names; the ways to choose exclude each other."""
+    ranged = bool(from_year or to_year)
+    if bool(file) + latest + bool(year) + ranged != 1:
+        raise ValueError("choose by one of file, latest, year or a range of years")
+    if from_year and to_year and from_year > to_year:
+        raise ValueError("from_year is after to_year")
+    known = sorted(f for f in files if re.search(r"(^|/)\d{4}-QTR[1-4]\.tsv$", f))
+
+    def of(f: str) -> int:
+        return int(re.search(r"(\d{4})-QTR", f)[1])
+
+    if file:
+        known = [f for f in known if f == file or f.endswith(f"/{file}")]
+    elif latest:
+        known = known[-1:]
+    else:
+        known = [f for f in known if (year or from_year) <= of(f) <= (year or to_year or 9999)]
+    if not known:
+        raise ValueError("no index file fits")
+    return known
+
+
+def stitch(spark: SparkSession, files: list[str]) -> tuple[DataFrame, DataFrame]:
+    """read_index of all quarterly files with the year and quarter in their names; an error when there are none."""
+    if not files:
+        raise ValueError("no quarterly index files")
+    raw = spark.read.text(sorted(files)).select("value", F.input_file_name().alias("file"))
+    index, rejects = _index_rows(raw)
+    part = [F.regexp_extract("file", r"(\d{4})-QTR(\d)", i).cast("int").alias(c) for i, c in ((1, "year"), (2, "quarter"))]
+    return index.select(*[c for c in index.columns if c != "file"], *part), rejects.drop("file")
+
+
 def read_fx(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """currency, denominator, time, value of landed generic-data XML."""
     value = "struct<_id:string, _value:string>"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import predicates
+from ..operators.events import project_news as merge_news
 
 EVENT = "event_id string, accession string, cik string, company string, form string, filing_date string, observed_at timestamp"
 
@@ -75,6 +76,27 @@ def accession_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     return query
 
 
+def project_news(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the latest state of every accession: a batch writes version path/v<n> of the table from the version before.
+
+    A batch that is repeated writes the same version again. A new checkpoint and an empty path replay from the start.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark, columns = batch.sparkSession, batch.columns
+        before = spark.read.schema(batch.schema).parquet(f"{path}/v{number - 1}") if number else batch.limit(0)
+        merge_news(before.select(*columns), batch).write.mode("overwrite").parquet(f"{path}/v{number}")
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def latest_news(query: StreamingQuery, spark: SparkSession, path: str) -> DataFrame:
+    """The table after the last batch of a finished project_news query."""
+    return spark.read.parquet(f"{path}/v{query.lastProgress['batchId']}")
+
+
 def retry(outcomes: DataFrame, *, limit: int = 5, delay_seconds: int = 60) -> DataFrame:
     """Attempts per accession: failed ones come out with their next time, or as exhausted at the limit; a success resets.
 
