@@ -89,6 +89,16 @@ def coverage_report(status: DataFrame, presence: DataFrame) -> DataFrame:
     return rows.orderBy("cik", "filing_date", "accession")
 
 
+def write_report(report: DataFrame, path: str, *, form: str = "json") -> None:
+    """A report as JSON lines, or as text with a tab between the columns."""
+    if form not in ("json", "text"):
+        raise ValueError("a report is written as json or text")
+    if form == "json":
+        report.write.json(path)
+    else:
+        report.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in report.columns]).alias("value")).write.text(path)
+
+
 def quarter_requests(missing: DataFrame) -> DataFrame:
     """Index quarters that have to be fetched, beside the filings of events.acquisition."""
     return missing.select(F.lit("index").alias("kind"), "year", "quarter").orderBy("kind", "year", "quarter")

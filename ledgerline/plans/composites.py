@@ -207,3 +207,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.repartition("y").select("value").write.option("maxRecordsPerFile", 1).text(path)
     rows, rejects = landed.read_raw_index(spark, path)
     return rows.select("cik", "company", "path", F.lit("good").alias("part")).unionByName(rejects.select(F.lit(None).cast("string").alias("cik"), F.lit(None).cast("string").alias("company"), F.col("value").alias("path"), F.lit("rejected").alias("part")))
+
+
+@_register("s22_reports", "filings facts", "SELECT form, accession, status FROM (SELECT accession, CASE WHEN v THEN 'parsed' WHEN filing_date < DATE '1998-06-01' THEN 'downloaded' ELSE 'missing' END AS status FROM filings g LEFT JOIN (SELECT accession AS a, true AS v FROM facts WHERE context_ref = 'c4' GROUP BY accession) x ON x.a = g.accession), (VALUES ('json'), ('text')) AS f(form)")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status report in both forms, read back."""
+    g, f = (adapters.load(spark, sf_dir, n) for n in ("filings", "facts"))
+    report = _status(g, f).select("accession", "status")
+    path = _folder(spark, "reports")
+    for form in ("json", "text"):
+        composites.write_report(report, f"{path}/{form}", form=form)
+    lines = spark.read.text(f"{path}/text").select(F.lit("text").alias("form"), *[F.get(F.split("value", "\t"), F.lit(i)).alias(c) for i, c in enumerate(("accession", "status"))])
+    return lines.unionByName(spark.read.schema("accession string, status string").json(f"{path}/json").withColumn("form", F.lit("json")))
