@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, linededup, pii, quality, sharding, simhash, substring, urlfilter
+from . import bpe, decontaminate, divergence, html, linededup, packing, pii, prefixtrie, quality, sharding, simhash, substring, urlfilter
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = 40
 
 
@@ -91,6 +92,20 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest stands in for the ids before packing, so that the exchange carries no ids."""
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -102,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lines": op8_lines,
     "op9_html": op9_html,
     "op10_urls": op10_urls,
+    "op11_divergence": op11_divergence,
+    "op12_packing": op12_packing,
+    "op13_trie": op13_trie,
 }
 
 _WORD, _SPACE = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]"
@@ -200,4 +218,41 @@ SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines, coa
   CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(o.text, '')) END AS text_sha256 FROM documents d LEFT JOIN o ON o.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op5_substring": OP5_SQL, "op8_lines": OP8_SQL, "op7_quality": OP7_SQL, "op10_urls": _url_sql()}
+OP11_SQL = f"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+t AS (SELECT lang, source, r, unnest(regexp_extract_all(translate(text, '{urlfilter._UPPER}', '{urlfilter._LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCUMENTS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(x.n, 0) AS n FROM g JOIN k ON g.lang = k.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+s AS (SELECT *, 1 + ({divergence.SCALE} * (n + 1)::HUGEINT) // (sum(n) OVER w + count(*) OVER w)::HUGEINT AS p,
+  1 + ({divergence.SCALE} * (lang_n + 1)::HUGEINT) // (sum(lang_n) OVER w + count(*) OVER w)::HUGEINT AS q FROM c WINDOW w AS (PARTITION BY lang, source)),
+v AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM s WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM
+  (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM o) WHERE part = 'pair' OR rank <= {divergence.TERM_RANKS}
+"""
+
+OP13_SQL = """
+WITH RECURSIVE z(i, k, v) AS (SELECT i, 0, i FROM (SELECT unnest(range(0, 256))::BIGINT AS i) UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END FROM z WHERE k < 8),
+y AS MATERIALIZED (SELECT list(v ORDER BY i) AS crc FROM z WHERE k = 8),
+t AS (SELECT conv_id, turn, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(x ORDER BY turn NULLS FIRST, md5(length(x.role)::VARCHAR || ':' || x.role || x.text)) AS own FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, own, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda a: ascii(a)::BIGINT)),
+  lambda a, b: xor(a >> 8, crc[xor(a & 255, b) + 1])), 4294967295::BIGINT) % 6 AS h FROM o, y),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.own, [])[1 : h.h], h.own[h.h + 1 :]) AS path FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, len(path) AS l, d AS depth, path[1 : d] AS path FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM r)),
+n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (l = depth), '')) AS ends,
+  CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * length(path[depth].text) END AS text FROM p GROUP BY path, depth),
+c AS (SELECT path[1 : depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+s AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c ON c.path = n.path),
+u AS (SELECT path[1 : d] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(text) AS saved FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM s) GROUP BY ALL)
+SELECT s.conv_id, s.depth::BIGINT AS depth, m.conv_id AS parent_conv_id, s.n_convs, s.n_children, n_leaves, saved::BIGINT AS saved_tokens, s.ends AS ends_sha256
+FROM s JOIN u ON u.path = s.path LEFT JOIN s m ON s.depth > 0 AND m.path = s.path[1 : s.depth - 1]
+"""
+
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op5_substring": OP5_SQL, "op8_lines": OP8_SQL, "op7_quality": OP7_SQL, "op10_urls": _url_sql(), "op11_divergence": OP11_SQL, "op13_trie": OP13_SQL}
