@@ -120,47 +120,65 @@ def duplicates(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg((F.count("*") - 1).alias("extra")).where("extra > 0")
 
 
-def recover_batches(batches: DataFrame, start: str) -> DataFrame:
-    """The contiguous span that landed batches give each symbol from `start` on.
-
-    A snapshot that starts in time is the base; incremental batches extend it while they start at most a day after
-    what is covered. Batches sorted by start with a running maximum of their ends show the first gap.
+def chosen_batches(batches: DataFrame, start: str) -> DataFrame:
+    """Batches that recovery applies, with their order and what each symbol's chain covers.
+
+    batches: symbol, kind (snapshot, incremental, repair), batch, from_date, through. The base is the snapshot that starts by
+    `start` and reaches furthest. From there each step takes the one increment that reaches furthest among those that start at
+    most a day after what is covered. Repairs that lie inside the covered span, from the base's own start on, come last.
+    One fold over a symbol's increments in order of their starts finds the chain: a candidate is taken once a batch starts
+    beyond its reach's predecessor, so no step searches anew. Of equal reach the earliest start counts. Returns symbol, batch,
+    apply_order, covered_from, covered_through; symbols without a base have no rows.
     """
     lo = F.lit(start).cast("date")
-    base = batches.where((F.col("kind") == "snapshot") & (F.col("from_date") <= lo)).groupBy("symbol").agg(F.max("through").alias("base"))
-    chain = batches.where("kind = 'incremental'").join(base, "symbol")
-    w = Window.partitionBy("symbol").orderBy("from_date", "through").rowsBetween(Window.unboundedPreceding, -1)
-    covered = F.greatest(F.col("base"), F.coalesce(F.max("through").over(w), F.col("base")))
-    chain = chain.withColumn("gap", (F.col("from_date") > F.date_add(covered, 1)).cast("int"))
-    seen = F.max("gap").over(Window.partitionBy("symbol").orderBy("from_date", "through").rowsBetween(Window.unboundedPreceding, 0))
-    reached = chain.withColumn("stopped", seen).where("stopped = 0").groupBy("symbol").agg(F.max("through").alias("last"), F.count("*").alias("used"))
-    out = base.join(reached, "symbol", "left")
-    return out.select("symbol", lo.alias("from_date"), F.greatest("base", F.coalesce("last", "base")).alias("through"), F.coalesce("used", F.lit(0)).alias("batches"))
+    first = F.min_by(F.struct("batch", "from_date", "through"), F.struct(-F.unix_date("through"), "from_date", "batch"))
+    base = batches.where((F.col("kind") == "snapshot") & (F.col("from_date") <= lo)).groupBy("symbol").agg(first.alias("base"))
+    steps = batches.where("kind = 'incremental'").groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("from_date", "batch", "through"))).alias("steps"))
+    kinds = {f.name: f.dataType.simpleString() for f in batches.schema.fields}
+    taken = f"array<struct<from_date:{kinds['from_date']},batch:{kinds['batch']},through:{kinds['through']}>>"
+    none = F.lit(None)
+    begin = F.struct(F.col("base.through").alias("covered"), none.cast(taken[6:-1]).alias("best"), F.array().cast(taken).alias("chain"))
+
+    def reached(a: Column) -> Column:
+        return F.coalesce(a["best"]["through"], a["covered"])
+
+    def settled(a: Column) -> Column:
+        """The candidate becomes part of the chain."""
+        return F.struct(reached(a).alias("covered"), none.cast(taken[6:-1]).alias("best"), F.when(a["best"].isNotNull(), F.concat(a["chain"], F.array(a["best"]))).otherwise(a["chain"]).alias("chain"))
+
+    def considered(a: Column, x: Column) -> Column:
+        better = (x["from_date"] <= F.date_add(a["covered"], 1)) & (x["through"] > reached(a))
+        return F.struct(a["covered"].alias("covered"), F.when(better, x).otherwise(a["best"]).alias("best"), a["chain"].alias("chain"))
+
+    def step(a: Column, x: Column) -> Column:
+        return F.when(x["from_date"] > F.date_add(a["covered"], 1), considered(settled(a), x)).otherwise(considered(a, x))
+
+    found = base.join(steps, "symbol", "left").withColumn("end", F.aggregate(F.coalesce("steps", F.array().cast(taken)), begin, step, settled))
+    span = found.select("symbol", "base", F.col("end.chain").alias("chain"), F.col("base.from_date").alias("covered_from"), F.col("end.covered").alias("covered_through"))
 
+    def order(stage: int, *by: str) -> Column:
+        return F.struct(F.lit(stage).alias("stage"), *[F.col(c).alias(n) for c, n in zip(by, ("first", "second", "batch"), strict=True)]).alias("apply_order")
 
-def used_batches(batches: DataFrame, start: str) -> DataFrame:
-    """Batches that recovery applies, with their order: the snapshot, the chained increments, then repairs inside the span.
+    bases = span.select("symbol", "base.*", "covered_from", "covered_through").select("symbol", "batch", order(0, "from_date", "through", "batch"), "covered_from", "covered_through")
+    chained = span.select("symbol", F.explode("chain").alias("x"), "covered_from", "covered_through").select("symbol", "x.*", "covered_from", "covered_through")
+    chained = chained.select("symbol", "batch", order(1, "through", "from_date", "batch"), "covered_from", "covered_through")
+    fixes = batches.where("kind = 'repair'").join(span.drop("base", "chain"), "symbol").where("from_date >= covered_from AND through <= covered_through")
+    fixes = fixes.select("symbol", "batch", order(2, "from_date", "through", "batch"), "covered_from", "covered_through")
+    return bases.unionByName(chained).unionByName(fixes)
 
-    batches: symbol, kind (snapshot, incremental, repair), batch, from_date, through. The order is (stage, through, from, batch).
+
+def recover_batches(batches: DataFrame, start: str) -> DataFrame:
+    """symbol, from_date, through, batches: the span that landed batches cover from `start` on, and how many are applied."""
+    return chosen_batches(batches, start).groupBy("symbol").agg(F.first("covered_from").alias("from_date"), F.first("covered_through").alias("through"), F.count("*").alias("batches"))
+
+
+def recover_values(rows: DataFrame, batches: DataFrame, start: str, *, key: str = "date", values: list[str]) -> DataFrame:
+    """The values of every key (a price's date, an action's source_id) that recovery gives: of the applied batches the last wins.
+
+    rows: symbol, batch, key and values. A maximum by order, combined before the shuffle.
     """
-    lo = F.lit(start).cast("date")
-    span = recover_batches(batches.where("kind != 'repair'"), start).select("symbol", F.col("through").alias("__end"))
-    first = batches.where((F.col("kind") == "snapshot") & (F.col("from_date") <= lo)).groupBy("symbol").agg(F.max(F.struct("through", "batch")).alias("b"))
-    first = first.select("symbol", F.col("b.batch").alias("batch"), F.lit(0).alias("stage"))
-    base = batches.where((F.col("kind") == "snapshot") & (F.col("from_date") <= lo)).groupBy("symbol").agg(F.max("through").alias("__base"))
-    rows = batches.join(span, "symbol").join(base, "symbol")
-    chained = rows.where("kind = 'incremental'").where((F.col("from_date") <= F.date_add("__end", 1)) & (F.col("through") <= F.col("__end")) & (F.col("through") > F.col("__base")))
-    fixes = rows.where("kind = 'repair'").where((F.col("from_date") >= lo) & (F.col("through") <= F.col("__end")))
-    parts = first.unionByName(chained.select("symbol", "batch", F.lit(1).alias("stage"))).unionByName(fixes.select("symbol", "batch", F.lit(2).alias("stage")))
-    order = F.struct("stage", "through", "from_date", "batch")
-    return parts.join(batches.select("symbol", "batch", "from_date", "through"), ["symbol", "batch"]).select("symbol", "batch", order.alias("apply_order"))
-
-
-def recover_values(rows: DataFrame, batches: DataFrame, start: str) -> DataFrame:
-    """The price of every day that recovery gives: of the used batches the last in order wins; rows: symbol, batch, date, close."""
-    used = used_batches(batches, start)
-    kept = rows.join(used, ["symbol", "batch"]).where(F.col("date") >= F.lit(start).cast("date"))
-    return kept.groupBy("symbol", "date").agg(F.max_by("close", "apply_order").alias("close"), F.max_by("batch", "apply_order").alias("batch"))
+    kept = rows.join(chosen_batches(batches, start).select("symbol", "batch", "apply_order"), ["symbol", "batch"])
+    return kept.groupBy("symbol", key).agg(F.max_by(F.struct(*values, "batch"), "apply_order").alias("v")).select("symbol", key, *[f"v.{c}" for c in (*values, "batch")])
 
 
 def price_bounds(prices: DataFrame) -> DataFrame:

@@ -72,7 +72,9 @@ ADAPTERS = {
     "state": "SELECT CAST(user_id AS STRING) AS security, user_id % 5 <> 0 AS bootstrapped, CASE WHEN user_id % 11 <> 0 THEN min(CAST(ts AS DATE)) END AS covered_from, max(CAST(ts AS DATE)) AS covered_through, min(CAST(ts AS DATE)) AS observed_from, CASE WHEN user_id % 3 = 0 THEN NULL ELSE max(CAST(ts AS DATE)) END AS observed_through, user_id % 7 = 0 AS reconcile, CAST(user_id % 4 AS INT) AS failures FROM {events} WHERE user_id % 10 <> 9 GROUP BY user_id",
     "securities": "SELECT CAST(c_custkey AS STRING) AS security FROM {customer}",
     "repairs": "SELECT CAST(user_id AS STRING) AS security, CAST(ts AS DATE) AS from_date, CASE WHEN event_id % 3 = 0 THEN CAST(ts AS DATE) ELSE make_date(2024, 1, 28) END AS through, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS completed_at, event_id FROM {events} WHERE event_type = 'error'",
-    "batches": "SELECT CAST(o_custkey AS STRING) AS symbol, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'snapshot' ELSE 'incremental' END AS kind, o_orderkey AS batch, CAST(o_orderdate AS DATE) AS from_date, CAST(o_orderdate AS DATE) + CAST(300 * (o_orderkey % 5) AS INT) AS through FROM {orders}",
+    "batches": "SELECT CAST(o_custkey AS STRING) AS symbol, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'snapshot' WHEN o_orderpriority = '5-LOW' THEN 'repair' ELSE 'incremental' END AS kind, o_orderkey AS batch, CAST(o_orderdate AS DATE) AS from_date, CAST(o_orderdate AS DATE) + CAST(300 * (o_orderkey % 5) AS INT) AS through FROM {orders}",
+    "batch_prices": "SELECT symbol, batch, date, CAST(batch % 997 + day AS DOUBLE) AS close, CASE WHEN batch % 3 > 0 THEN CAST(batch % 89 AS DOUBLE) END AS open FROM (SELECT CAST(o_custkey AS STRING) AS symbol, o_orderkey AS batch, CAST(o_orderdate AS DATE) + CAST(300 * (o_orderkey % 5) * day / 4 AS INT) AS date, day FROM {orders} CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS d(day)) x",
+    "batch_actions": "SELECT CAST(o_custkey AS STRING) AS symbol, o_orderkey AS batch, 'a' || CAST(o_orderkey % 2 AS STRING) || '-' || CAST(year(o_orderdate) AS STRING) AS source_id, CAST(o_orderdate AS DATE) AS date, CASE o_orderkey % 2 WHEN 0 THEN 'dividend' ELSE 'split' END AS action_type, CAST(o_orderkey % 83 AS DOUBLE) AS amount FROM {orders}",
     "announcement_texts": "SELECT 'p-' || CAST(page_id AS STRING) AS accession, '<p>' || html || '</p> The board declared a quarterly dividend of $' || CAST(page_id % 9 AS STRING) || '.25 per share, ex-dividend date is March ' || CAST(1 + page_id % 28 AS STRING) || ', 2024; record date: April 2, 2024 &amp; payable on April ' || CAST(3 + page_id % 20 AS STRING) || ', 2024.' AS text FROM {pages}",
     "announcement_filings": "SELECT 'p-' || CAST(page_id AS STRING) AS accession, CAST(page_id % 100 AS STRING) AS cik, make_date(2020 + CAST(page_id % 4 AS INT), 3, 1 + CAST(page_id % 28 AS INT)) AS filing_date FROM {pages}",
     "fx": "SELECT n_name AS currency, 'EUR' AS denominator, CAST(CAST(o_orderdate AS DATE) AS STRING) AS time, avg(o_totalprice) AS value FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey GROUP BY n_name, CAST(o_orderdate AS DATE)",

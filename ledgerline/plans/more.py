@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
 from ..operators import dividends, events, facts, market, ownership, predicates
-from .queries import _ANNOUNCED, _BASE, _MAPPED, _PRESENT, _STATED, _VALUE_SQL, _VALUES, FACT_TABLES, _mapped, _presence, query
+from .queries import ORACLES, _ANNOUNCED, _BASE, _MAPPED, _PRESENT, _STATED, _VALUE_SQL, _VALUES, FACT_TABLES, _mapped, _presence, query
 
 
 @query("k06_securities", "positions", "SELECT cusip AS security, CASE WHEN n % 3 = 1 THEN m ELSE 'new' END AS issuer, CASE WHEN n % 2 = 0 THEN title ELSE 'renamed' END AS title, c AS security_class, 'equity' AS kind FROM s", ctes=", s AS (SELECT cusip, max(title) AS title, min(security_class) AS c, min(manager) AS m, CAST(substring(cusip, 2) AS INT) AS n FROM positions GROUP BY cusip)")
@@ -41,17 +41,40 @@ def _(a):
     return out.select("security", "source_id", "reconciled_at")
 
 
-@query("w09_recover_values", "batches", """SELECT symbol, date, max_by(batch, lpad(CAST(stage AS STRING), 1, '0') || strftime(through, '%Y%m%d') || strftime(from_date, '%Y%m%d') || lpad(CAST(batch AS STRING), 12, '0')) AS batch FROM (
-SELECT b.symbol, b.batch, b.from_date, b.through, unnest([b.from_date, b.through]) AS date, CASE kind WHEN 'snapshot' THEN 0 ELSE 1 END AS stage FROM batches b
-JOIN span s ON s.symbol = b.symbol WHERE (kind = 'snapshot' AND b.batch = s.first) OR (kind = 'incremental' AND b.from_date <= s.reached + 1 AND b.through <= s.reached AND b.through > s.base)) WHERE date >= DATE '1995-06-01' GROUP BY symbol, date""",
-    ctes=""", base AS (SELECT symbol, max(through) AS base, max_by(batch, strftime(through, '%Y%m%d') || lpad(CAST(batch AS STRING), 12, '0')) AS first FROM batches WHERE kind = 'snapshot' AND from_date <= DATE '1995-06-01' GROUP BY symbol),
-inc AS (SELECT b.*, base, greatest(base, coalesce(max(b.through) OVER (PARTITION BY b.symbol ORDER BY b.from_date, b.through ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), base)) AS covered FROM batches b JOIN base ON base.symbol = b.symbol WHERE kind = 'incremental'),
-gaps AS (SELECT *, max(CASE WHEN from_date > covered + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY from_date, through ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stopped FROM inc),
-span AS (SELECT base.symbol, base.base, first, greatest(base.base, coalesce(r, base.base)) AS reached FROM base LEFT JOIN (SELECT symbol, max(through) AS r FROM gaps WHERE stopped = 0 GROUP BY symbol) g ON g.symbol = base.symbol)""")
+_APPLIED = """, base AS (SELECT * FROM batches WHERE kind = 'snapshot' AND from_date <= DATE '1995-06-01' QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY through DESC, from_date, batch) = 1),
+chain(symbol, batch, from_date, through, step) AS (SELECT symbol, batch, from_date, through, 0 FROM base UNION ALL SELECT symbol, batch, from_date, through, step + 1 FROM (
+  SELECT b.symbol, b.batch, b.from_date, b.through, step, row_number() OVER (PARTITION BY b.symbol ORDER BY b.through DESC, b.from_date, b.batch) AS r FROM chain c JOIN batches b ON b.symbol = c.symbol
+  WHERE b.kind = 'incremental' AND b.from_date <= c.through + 1 AND b.through > c.through) WHERE r = 1),
+span AS (SELECT b.symbol, b.from_date, max(c.through) AS through FROM base b JOIN chain c ON c.symbol = b.symbol GROUP BY ALL),
+applied AS (SELECT symbol, batch, step AS n, NULL::DATE AS f, NULL::DATE AS t FROM chain UNION ALL
+  SELECT b.symbol, b.batch, 1000000, b.from_date, b.through FROM batches b JOIN span s ON s.symbol = b.symbol WHERE kind = 'repair' AND b.from_date >= s.from_date AND b.through <= s.through)"""
+_LAST = "QUALIFY row_number() OVER (PARTITION BY r.symbol, {} ORDER BY n DESC, f DESC, t DESC, r.batch DESC) = 1"
+
+
+def _recursive(name: str) -> None:
+    ORACLES[name] = ORACLES[name].replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("w09_recover_batches", "batches", "SELECT s.symbol, s.from_date, s.through, (SELECT count(*) FROM applied a WHERE a.symbol = s.symbol) AS batches FROM span s", ctes=_APPLIED)
 def _(b):
-    """Every batch has a row on its first and on its last day."""
-    rows = b.select("symbol", "batch", F.explode(F.array("from_date", "through")).alias("date"), F.lit(1.0).alias("close"))
-    return market.recover_values(rows, b, "1995-06-01").select("symbol", "date", "batch")
+    return market.recover_batches(b, "1995-06-01")
+
+
+@query("w09_recover_values", "batches batch_prices", f"SELECT r.symbol, r.date, r.close, r.open, r.batch FROM batch_prices r JOIN applied a ON a.symbol = r.symbol AND a.batch = r.batch {_LAST.format('r.date')}", ctes=_APPLIED)
+def _(b, prices):
+    """Batches have prices on five of their days, the same day again where a batch spans one only."""
+    once = prices.groupBy("symbol", "batch", "date").agg(F.max_by(F.struct("close", "open"), "close").alias("v")).select("symbol", "batch", "date", "v.*")
+    return market.recover_values(once, b, "1995-06-01", values=["close", "open"])
+
+
+@query("w09_recover_actions", "batches batch_actions", f"SELECT r.symbol, r.source_id, r.date, r.action_type, r.amount, r.batch FROM batch_actions r JOIN applied a ON a.symbol = r.symbol AND a.batch = r.batch {_LAST.format('r.source_id')}", ctes=_APPLIED)
+def _(b, actions):
+    return market.recover_values(actions, b, "1995-06-01", key="source_id", values=["date", "action_type", "amount"])
+
+
+for _name in ("w09_recover_batches", "w09_recover_values", "w09_recover_actions"):
+    _recursive(_name)
+ORACLES["w09_recover_values"] = ORACLES["w09_recover_values"].replace("f DESC, t DESC, r.batch DESC)", "f DESC, t DESC, r.batch DESC, r.close DESC)")
 
 
 @query("k08_replace_filing", "positions", "SELECT accession, row_number, cusip FROM positions WHERE accession NOT LIKE '%7' UNION ALL SELECT accession, 0, 'NEW' FROM (SELECT DISTINCT accession FROM positions WHERE accession LIKE '%7')")
@@ -73,7 +96,7 @@ def _(f):
     return events.outcomes(rows, rows.where("family = 'insider'").withColumns({"status": F.lit("unsupported"), "diagnostic": F.repeat(F.lit("x"), 5000)})).select("accession", "status")
 
 
-@query("k07_repairs", "repairs", "SELECT event_id, completed_at IS NOT NULL OR (from_date >= DATE '2024-01-10' AND through <= DATE '2024-01-28') AS done FROM repairs")
+@query("k07_contained", "repairs", "SELECT event_id, completed_at IS NOT NULL OR (from_date >= DATE '2024-01-10' AND through <= DATE '2024-01-28') AS done FROM repairs")
 def _(r):
     spans = r.select("security").distinct().select("security", F.lit("2024-01-10").cast("date").alias("from_date"), F.lit("2024-01-28").cast("date").alias("through"))
     closed = market.contained_repairs(r, spans).select("event_id", F.lit(True).alias("closed"))

@@ -19,6 +19,9 @@ def query(name: str, tables: str, sql: str | None = None, *, ctes: str = ""):
     """Register a function of the named adapted tables; ctes are more common table expressions for its SQL."""
     names = tables.split()
 
+    if name in QUERIES:
+        raise ValueError(f"two queries are named {name}")
+
     def wrap(build):
         QUERIES[name] = lambda spark, sf_dir: build(*[adapters.load(spark, sf_dir, t) for t in names])
         if sql is not None:
@@ -524,16 +527,6 @@ def _(a):
     return market.unordered_dates(a.withColumn("position", F.col("source_id"))).select("security", "source_id")
 
 
-@query(
-    "w09_recover_batches", "batches",
-    """SELECT b.symbol, DATE '1996-06-01' AS from_date, greatest(base, coalesce(last, base)) AS through FROM (SELECT symbol, max(through) AS base FROM batches WHERE kind = 'snapshot' AND from_date <= DATE '1996-06-01' GROUP BY symbol) b
-LEFT JOIN (SELECT symbol, max(through) AS last FROM chain WHERE NOT EXISTS (SELECT 1 FROM chain g WHERE g.symbol = chain.symbol AND g.gap AND (g.from_date, g.through) <= (chain.from_date, chain.through)) GROUP BY symbol) r ON r.symbol = b.symbol""",
-    ctes=", chain AS (SELECT i.symbol, i.from_date, i.through, i.from_date > greatest(base, coalesce((SELECT max(j.through) FROM batches j WHERE j.kind = 'incremental' AND j.symbol = i.symbol AND (j.from_date, j.through) < (i.from_date, i.through)), base)) + 1 AS gap FROM batches i JOIN (SELECT symbol, max(through) AS base FROM batches WHERE kind = 'snapshot' AND from_date <= DATE '1996-06-01' GROUP BY symbol) s ON s.symbol = i.symbol WHERE i.kind = 'incremental')",
-)
-def _(b):
-    return market.recover_batches(b, "1996-06-01").select("symbol", "from_date", "through")
-
-
 @query("a36_price_bounds", "prices", 'SELECT security, min(date) AS "first", max(date) AS "last" FROM prices GROUP BY security')
 def _(p):
     return market.price_bounds(p)

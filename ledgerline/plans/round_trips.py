@@ -28,6 +28,9 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 def _register(name: str, tables: str, sql: str | None):
+    if name in QUERIES:
+        raise ValueError(f"two queries are named {name}")
+
     def wrap(build):
         QUERIES[name] = build
         if sql:

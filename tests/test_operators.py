@@ -54,9 +54,24 @@ def test_restatement_and_added_holdings(spark):
 
 def test_recovery_stops_at_the_first_gap(spark):
     rows = [("s", "snapshot", "2024-01-01", "2024-01-10"), ("s", "incremental", "2024-01-11", "2024-01-15"), ("s", "incremental", "2024-01-05", "2024-01-12"), ("s", "incremental", "2024-01-17", "2024-01-20"), ("t", "snapshot", "2024-01-05", "2024-01-10")]
-    batches = spark.createDataFrame(rows, "symbol string, kind string, f string, t string").select("symbol", "kind", F.col("f").cast("date").alias("from_date"), F.col("t").cast("date").alias("through"))
+    batches = spark.createDataFrame(rows, "symbol string, kind string, f string, t string").select("symbol", "kind", F.col("f").alias("batch"), F.col("f").cast("date").alias("from_date"), F.col("t").cast("date").alias("through"))
     got = market.recover_batches(batches, "2024-01-02").collect()
-    assert [(r.symbol, str(r.through)) for r in got] == [("s", "2024-01-15")]
+    assert [(r.symbol, str(r.from_date), str(r.through), r.batches) for r in got] == [("s", "2024-01-01", "2024-01-15", 2)]
+
+
+def test_recovery_takes_the_batch_that_reaches_furthest(spark):
+    """B and D make the chain; E fits but is never chosen; the repair from the base's own start counts, those beyond the span don't."""
+    rows = [
+        ("A", "snapshot", "2024-01-01", "2024-01-10"), ("A2", "snapshot", "2024-01-02", "2024-01-09"), ("B", "incremental", "2024-01-11", "2024-01-30"), ("E", "incremental", "2024-01-25", "2024-02-04"), ("C", "incremental", "2024-01-05", "2024-01-20"),
+        ("D", "incremental", "2024-01-31", "2024-02-09"), ("G", "incremental", "2024-02-12", "2024-02-20"), ("R1", "repair", "2024-01-01", "2024-01-03"), ("R2", "repair", "2023-12-31", "2024-01-02"), ("R3", "repair", "2024-02-09", "2024-02-10"),
+    ]
+    batches = spark.createDataFrame([("s", k, b, f, t) for b, k, f, t in rows], "symbol string, kind string, batch string, f string, t string").select("symbol", "kind", "batch", F.col("f").cast("date").alias("from_date"), F.col("t").cast("date").alias("through"))
+    got = market.chosen_batches(batches, "2024-01-05").orderBy("apply_order").collect()
+    assert [r.batch for r in got] == ["A", "B", "D", "R1"]
+    assert {(str(r.covered_from), str(r.covered_through)) for r in got} == {("2024-01-01", "2024-02-09")}
+    prices = spark.createDataFrame([("s", b, d, float(i)) for i, (b, d) in enumerate([("A", "2024-01-02"), ("R1", "2024-01-02"), ("B", "2024-01-26"), ("E", "2024-01-26"), ("R2", "2024-01-02"), ("D", "2024-02-01")])], "symbol string, batch string, date string, close double")
+    assert {(r.date, r.close, r.batch) for r in market.recover_values(prices, batches, "2024-01-05", values=["close"]).collect()} == {("2024-01-02", 1.0, "R1"), ("2024-01-26", 2.0, "B"), ("2024-02-01", 5.0, "D")}
+    assert market.recover_batches(batches.where("kind != 'snapshot'"), "2024-01-05").count() == 0
 
 
 def test_work_lifecycle(spark):
