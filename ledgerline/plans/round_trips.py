@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import events
 from ..sources import landed
 from ..streaming import events as stream
+from ..streaming import keyed
 from . import adapters
 from .queries import ORACLES, QUERIES
 
@@ -104,7 +106,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land_events(spark: SparkSession, sf_dir: str) -> str:
     """Discovery events as JSON lines, every tenth one twice and every hundredth one broken."""
     path = _folder(spark, "discovery")
-    e = adapters.load(spark, sf_dir, "events_feed").withColumns({"event_id": F.col("sequence").cast("string"), "observed_at": F.lit("2024-01-01T00:00:00Z"), "filing_date": F.col("filing_date").cast("string")})
+    e = adapters.load(spark, sf_dir, "events_feed").withColumns({"event_id": F.col("sequence").cast("string"), "observed_at": F.date_format(F.timestamp_seconds(1704067200 + F.col("sequence") % 3600), "yyyy-MM-dd'T'HH:mm:ss'Z'"), "filing_date": F.col("filing_date").cast("string")})
     e = e.withColumn("copy", F.explode(F.when(F.col("sequence") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     body = F.to_json(F.struct("event_id", "accession", "cik", "company", "form", "filing_date", "observed_at"))
     e.select(F.when(F.col("sequence") % 100 == 7, "{broken").otherwise(body).alias("value")).write.text(path)
@@ -127,8 +129,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, _dead = stream.split_poison(stream.read_events(spark, _land_events(spark, sf_dir), per_trigger=1))
     out = _folder(spark, "accessions")
-    stream.accession_once(events, f"{out}/rows", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/rows").select("accession")
+    return stream.accession_once(events, f"{out}/rows", f"{out}/checkpoint")[1].read().select("accession")
 
 
 @_register("st03_select", "events_feed members", "SELECT CAST(sequence AS STRING) AS event_id FROM events_feed e JOIN members m ON m.cik = lpad(e.cik, 10, '0'), (SELECT unnest([1, 2]) AS copy) WHERE sequence % 100 <> 7 AND (copy = 1 OR sequence % 10 = 0) AND form IN ('10-K', '10-Q') AND year(filing_date) >= 2016")
@@ -166,32 +167,84 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _news_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """Discovery events landed in several files and read one file a batch."""
+    """Discovery events landed by thirds of their sequence, one after the other, and read one file a batch."""
     out = _folder(spark, "news")
     e = adapters.load(spark, sf_dir, "events_feed").select("accession", "form", "company", "filing_date", "sequence", "selected")
-    e.repartition(3, "accession", "sequence").write.parquet(f"{out}/landed")
+    last = e.agg(F.max("sequence")).first()[0] or 0
+    for third in range(3):
+        part = e.where(F.least(F.floor(F.col("sequence") * 3 / (last + 1)), F.lit(2)) == third)
+        part.coalesce(1).write.mode("append").parquet(f"{out}/landed")
     return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/landed"), out
 
 
-_NEWS_SQL = "SELECT accession, arg_min(form, sequence) AS form, max(sequence) AS sequence, arg_max(selected, sequence) AS selected FROM events_feed GROUP BY accession"
+_NEWS_SQL = "SELECT accession, arg_min(form, sequence) AS form, arg_min(company, sequence) AS company, arg_min(filing_date, sequence) AS filing_date, max(sequence) AS sequence, arg_max(selected, sequence) AS selected FROM events_feed GROUP BY accession"
 
 
-@_register("st05_project_news", "events_feed", _NEWS_SQL.replace("arg_min(form, sequence) AS form, ", ""))
+@_register("st05_project_news", "events_feed", _NEWS_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, out = _news_stream(spark, sf_dir)
-    done = stream.project_news(rows, f"{out}/table", f"{out}/checkpoint")
-    return stream.latest_news(done, spark, f"{out}/table").select("accession", "sequence", "selected")
+    return stream.project_news(rows, f"{out}/table", f"{out}/checkpoint")[1].read()
 
 
-@_register("st09_replay", "events_feed", _NEWS_SQL.replace("arg_min(form, sequence) AS form, ", "") + " INTERSECT " + _NEWS_SQL.replace("arg_min(form, sequence) AS form, ", ""))
+@_register("st09_replay", "events_feed", "SELECT *, 2 AS tables FROM (" + _NEWS_SQL + ")")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The projection and its replay into an empty one under a new checkpoint: rows that both have."""
+    """The projection, replayed under a new checkpoint over its own table and into an empty one: how many give each row."""
     rows, out = _news_stream(spark, sf_dir)
-    tables = []
-    for turn in ("first", "again"):
-        done = stream.project_news(rows, f"{out}/{turn}", f"{out}/checkpoint-{turn}")
-        tables.append(stream.latest_news(done, spark, f"{out}/{turn}").select("accession", "sequence", "selected"))
-    return tables[0].intersect(tables[1])
+    stream.project_news(rows, f"{out}/first", f"{out}/checkpoint")
+    tables = [stream.project_news(rows, f"{out}/{name}", f"{out}/checkpoint-{name}")[1].read() for name in ("first", "empty")]
+    return tables[0].unionByName(tables[1]).groupBy(*tables[0].columns).agg(F.count("*").alias("tables"))
+
+
+@_register("s23_upsert_table", "positions", "SELECT accession, row_number, CASE WHEN accession LIKE '%7' THEN 'NEW' ELSE cusip END AS cusip FROM positions UNION ALL SELECT accession, -1, 'ADDED' FROM (SELECT DISTINCT accession FROM positions WHERE accession LIKE '%3')")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of positions, some replaced by a second batch and some added by a third."""
+    p = adapters.load(spark, sf_dir, "positions").select("accession", "row_number", "cusip")
+    table = keyed.KeyedTable(spark, _folder(spark, "table"), p.schema, ["accession", "row_number"], buckets=16)
+    table.upsert(p)
+    table.upsert(p.where("accession LIKE '%7'").withColumn("cusip", F.lit("NEW")))
+    table.upsert(p.where("accession LIKE '%3'").select("accession", F.lit(-1).cast("long").alias("row_number"), F.lit("ADDED").alias("cusip")).distinct())
+    return table.read()
+
+
+@_register("st07_counters", "events_feed", "SELECT 'news' AS stage, count(*) AS scanned, count(*) FILTER (selected) AS selected, count(*) FILTER (NOT selected) AS skipped FROM events_feed")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters that a listener gathers while the backlog is drained in three batches."""
+    rows, out = _news_stream(spark, sf_dir)
+    counters = stream.StageCounters()
+    spark.streams.addListener(counters)
+    try:
+        counters.wait(stream.drain(stream.observe(rows, "news"), f"{out}/rows", f"{out}/checkpoint"))
+    finally:
+        spark.streams.removeListener(counters)
+    return spark.createDataFrame([(stage, n["scanned"], n["selected"], n["skipped"]) for stage, n in counters.totals.items()], "stage string, scanned long, selected long, skipped long")
+
+
+@_register(
+    "st06_timer", "failure_log",
+    """, o AS (SELECT accession, sequence, outcome = 'ok' AS ok, count(*) FILTER (outcome = 'ok') OVER (PARTITION BY accession ORDER BY sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS g FROM failure_log WHERE outcome <> 'skipped'),
+a AS (SELECT *, count(*) FILTER (NOT ok) OVER (PARTITION BY accession, coalesce(g, 0) ORDER BY sequence) AS attempts, row_number() OVER (PARTITION BY accession ORDER BY sequence DESC) AS back FROM o)
+SELECT accession, attempts, 'exhausted' AS status FROM a WHERE NOT ok AND attempts >= 5 UNION ALL SELECT accession, attempts, 'resolved' FROM a WHERE ok AND attempts > 0
+UNION ALL SELECT accession, attempts, 'retry' FROM a WHERE NOT ok AND attempts < 5 AND back = 1""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as one batch; the query runs on until every open failure's timer has gone off."""
+    out = _folder(spark, "timed")
+    log = adapters.load(spark, sf_dir, "failure_log").where("outcome != 'skipped'").select("accession", (F.col("outcome") == "ok").alias("ok"), F.col("sequence").alias("at"))
+    log.write.parquet(f"{out}/landed")
+    last = log.groupBy("accession").agg(F.max_by("ok", "at").alias("ok"), F.max(F.when(F.col("ok"), F.col("at"))).alias("good")).where("NOT ok")
+    open_ = log.join(last.select("accession", "good"), "accession").where(~F.col("ok") & (F.col("good").isNull() | (F.col("at") > F.col("good")))).groupBy("accession").count().where("count < 5").count()
+    rows = spark.readStream.schema(log.schema).parquet(f"{out}/landed")
+    with stream.timed_state(spark):
+        query = stream.retry_after(rows, delay_seconds=1).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(processingTime="1 second").start()
+    try:
+        until = time.time() + 180
+        while not query.recentProgress or spark.read.schema("accession string, attempts long, status string").parquet(f"{out}/rows").where("status = 'retry'").count() < open_:
+            if query.exception() or time.time() > until:
+                raise TimeoutError(f"timers did not go off: {query.exception()}")
+            time.sleep(1)
+    finally:
+        query.stop()
+    return spark.read.parquet(f"{out}/rows")
 
 
 @_register("st12_feed_dead_letters", "filings", "SELECT 'no link ' || accession AS company FROM filings WHERE form = '8-K'")

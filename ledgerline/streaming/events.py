@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+import time
+from collections import defaultdict
+from contextlib import contextmanager
+
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import predicates
 from ..operators.events import project_news as merge_news
+from .keyed import BUCKETS, KeyedTable, into_table
 
 EVENT = "event_id string, accession string, cik string, company string, form string, filing_date string, observed_at timestamp"
 
@@ -45,56 +53,69 @@ def on_demand(selected: DataFrame, requests: DataFrame) -> DataFrame:
     return selected.unionByName(requests, allowMissingColumns=True)
 
 
-def observe(events: DataFrame, stage: str) -> DataFrame:
-    """Counts per micro-batch for a StreamingQueryListener."""
-    return events.observe(stage, F.count(F.lit(1)).alias("scanned"), F.count_if(F.col("selected")).alias("selected") if "selected" in events.columns else F.lit(None).alias("selected"))
+def observe(events: DataFrame, stage: str, **counts: Column) -> DataFrame:
+    """Counts per micro-batch for a StageCounters listener: scanned, and the rows of which each named condition holds."""
+    if not counts and "selected" in events.columns:
+        counts = {"selected": F.col("selected"), "skipped": ~F.col("selected")}
+    return events.observe(stage, F.count(F.lit(1)).alias("scanned"), *[F.count_if(c).alias(n) for n, c in counts.items()])
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, *, mode: str = "append") -> StreamingQuery:
-    """Process the backlog into Parquet, then stop. A new checkpoint folder replays from the start."""
-    query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+class StageCounters(StreamingQueryListener):
+    """Totals of observe() by stage over all batches of all queries, with the seconds that their batches took."""
 
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
+        self.seconds: dict[str, float] = defaultdict(float)
+        self.ended: set[str] = set()
 
-def accession_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append each accession once for good: a batch is written under its number, so that a replay overwrites it."""
+    def onQueryStarted(self, event) -> None: ...
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        first = batch.dropDuplicates(["accession"])
-        try:
-            seen = spark.read.parquet(path).where(F.col("batch") != number).select("accession")
-            first = first.join(seen, "accession", "left_anti")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        first.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    def onQueryIdle(self, event) -> None: ...
 
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+    def onQueryProgress(self, event) -> None:
+        for stage, row in event.progress.observedMetrics.items():
+            for name, n in row.asDict().items():
+                self.totals[stage][name] += n or 0
+            self.seconds[stage] += event.progress.batchDuration / 1000
 
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
 
-def project_news(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest state of every accession: a batch writes version path/v<n> of the table from the version before.
+    def rate(self, stage: str) -> float:
+        """Rows scanned a second."""
+        return self.totals[stage]["scanned"] / self.seconds[stage] if self.seconds[stage] else 0.0
 
-    A batch that is repeated writes the same version again. A new checkpoint and an empty path replay from the start.
-    """
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until the end of a query has been heard, behind all its progress."""
+        until = time.time() + seconds
+        while str(query.runId) not in self.ended:
+            if time.time() > until:
+                raise TimeoutError("the query's end was not heard")
+            time.sleep(0.05)
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark, columns = batch.sparkSession, batch.columns
-        before = spark.read.schema(batch.schema).parquet(f"{path}/v{number - 1}") if number else batch.limit(0)
-        merge_news(before.select(*columns), batch).write.mode("overwrite").parquet(f"{path}/v{number}")
 
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def drain(stream: DataFrame, path: str, checkpoint: str, *, mode: str = "append") -> StreamingQuery:
+    """Process the backlog into Parquet, then stop. A new checkpoint folder replays from the start."""
+    query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
-def latest_news(query: StreamingQuery, spark: SparkSession, path: str) -> DataFrame:
-    """The table after the last batch of a finished project_news query."""
-    return spark.read.parquet(f"{path}/v{query.lastProgress['batchId']}")
+def _first_wins(before: DataFrame, batch: DataFrame) -> DataFrame:
+    first = batch.dropDuplicates(["accession"])
+    return before.unionByName(first.join(before.select("accession"), "accession", "left_anti").select(*before.columns))
+
+
+def accession_once(stream: DataFrame, path: str, checkpoint: str, *, buckets: int = BUCKETS) -> tuple[StreamingQuery, KeyedTable]:
+    """Keep each accession once for good: a batch touches the buckets of its accessions only."""
+    table = KeyedTable(stream.sparkSession, path, stream.schema, ["accession"], buckets=buckets)
+    return into_table(stream, table, checkpoint, _first_wins), table
+
+
+def project_news(stream: DataFrame, path: str, checkpoint: str, *, buckets: int = BUCKETS) -> tuple[StreamingQuery, KeyedTable]:
+    """Keep the latest state of every accession; a new checkpoint replays from the start into the same or another path."""
+    table = KeyedTable(stream.sparkSession, path, stream.schema, ["accession"], buckets=buckets)
+    return into_table(stream, table, checkpoint, lambda before, batch: merge_news(before, batch.select(*before.columns))), table
 
 
 def retry(outcomes: DataFrame, *, limit: int = 5, delay_seconds: int = 60) -> DataFrame:
@@ -118,3 +139,74 @@ def retry(outcomes: DataFrame, *, limit: int = 5, delay_seconds: int = 60) -> Da
         yield pd.DataFrame(rows, columns=["accession", "attempts", "status", "next_at"]).astype({"next_at": "Int64"})
 
     return outcomes.groupBy("accession").applyInPandasWithState(step, "accession string, attempts long, status string, next_at long", "attempts long", "append", "NoTimeout")
+
+
+class Retries(StatefulProcessor):
+    """Attempts of one accession and the timer that emits its next one."""
+
+    def __init__(self, limit: int, delay_seconds: int):
+        self.limit, self.delay = limit, delay_seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.attempts = handle.getValueState("attempts", "attempts long")
+
+    def _rows(self, key, found):
+        import pandas as pd
+
+        return pd.DataFrame([(key[0], *r) for r in found], columns=["accession", "attempts", "status"])
+
+    def _disarm(self) -> None:
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+
+        n, found = self.attempts.get()[0] if self.attempts.exists() else 0, []
+        for ok in pd.concat(list(rows)).sort_values("at")["ok"].tolist():
+            if not ok:
+                n += 1
+                if n >= self.limit:
+                    found.append((n, "exhausted"))
+            elif n:
+                found.append((n, "resolved"))
+                n = 0
+        self._disarm()
+        if n:
+            self.attempts.update((n,))
+            if n < self.limit:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + 1000 * self.delay)
+        elif self.attempts.exists():
+            self.attempts.clear()
+        yield self._rows(key, found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield self._rows(key, [(self.attempts.get()[0], "retry")])
+
+    def close(self) -> None: ...
+
+
+def retry_after(outcomes: DataFrame, *, limit: int = 5, delay_seconds: int = 60) -> DataFrame:
+    """Retries as rows that come out once their delay is over; failures from the limit on come out at once as exhausted, a
+    success after failures as resolved. A further outcome in the meantime disarms the timer.
+
+    outcomes: accession, ok, at. State is a counter and at most one timer per accession with open failures; it needs the
+    RocksDB state store (timed_state sets it).
+    """
+    return outcomes.groupBy("accession").transformWithStateInPandas(Retries(limit, delay_seconds), "accession string, attempts long, status string", "append", "ProcessingTime")
+
+
+@contextmanager
+def timed_state(spark: SparkSession):
+    """Queries started inside keep state in RocksDB."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the repository

@@ -115,3 +115,26 @@ def test_insider_form(spark):
     xml = "<ownershipDocument><issuer><issuerCik>1</issuerCik></issuer><reportingOwner><reportingOwnerId><rptOwnerCik>7</rptOwnerCik></reportingOwnerId></reportingOwner><reportingOwner><reportingOwnerId><rptOwnerCik>8</rptOwnerCik></reportingOwnerId></reportingOwner><nonDerivativeTable><nonDerivativeTransaction><securityTitle><value>Common</value></securityTitle><transactionDate><value>2024-01-02</value></transactionDate><postTransactionAmounts><sharesOwnedFollowingTransaction><value>10</value></sharesOwnedFollowingTransaction></postTransactionAmounts></nonDerivativeTransaction></nonDerivativeTable></ownershipDocument>"
     got = landed.shred_insider(spark.createDataFrame([("a", xml)], "accession string, xml string")).collect()
     assert sorted((r.owner, r.security, r.shares_after) for r in got) == [("7", "Common", "10"), ("8", "Common", "10")]
+
+
+def test_keyed_table_touches_its_own_buckets(spark, tmp_path):
+    from ledgerline.streaming.keyed import KeyedTable
+
+    rows = spark.range(500).select(F.col("id").cast("string").alias("accession"), F.lit(0).alias("n"))
+    table = KeyedTable(spark, str(tmp_path / "t"), rows.schema, ["accession"], buckets=32)
+    assert table.read().count() == 0
+    table.upsert(rows)
+    fresh = rows.limit(10).withColumn("n", F.lit(1))
+    before = table.held(0)
+    assert table.upsert(fresh) <= 10
+    assert sum(table.held(1)[b] != n for b, n in before.items()) <= 10
+    want = sorted((r.accession, r.n) for r in table.read().collect())
+    assert len(want) == 500 and sum(n for _, n in want) == 10
+    assert sorted((r.accession, r.n) for r in table.read(0).collect()) == sorted((str(i), 0) for i in range(500))
+    for _ in range(2):  # a batch that runs again starts from what was there before it
+        table.merge(fresh, 1, lambda old, new: old.join(new.select("accession"), "accession", "left_anti").unionByName(new))
+        assert sorted((r.accession, r.n) for r in table.read().collect()) == want
+    table.merge(fresh.withColumn("n", F.lit(2)), 2, lambda old, new: old.join(new.select("accession"), "accession", "left_anti"))  # keys can go
+    assert table.read().count() == 490
+    table.vacuum()
+    assert table.versions() == [2] and table.read().count() == 490
