@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from functools import cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -146,12 +150,47 @@ def dividend_year(x: Column) -> Column:
     return F.when(t.rlike("^[0-9]{4}"), F.substring(t, 1, 4)).when(t.rlike("^[A-Z][a-z]+ [0-9]{1,2}, [0-9]{4}$"), F.right(t, F.lit(4)))
 
 
+@cache
+def _references() -> str:
+    """All named character references as a JSON object; the frequent ones stand first, as a map is searched in order."""
+    first = ["nbsp;", "amp;", "lt;", "gt;", "quot;", "apos;", "rsquo;", "lsquo;", "ldquo;", "rdquo;", "mdash;", "ndash;", "middot;", "copy;"]
+    return json.dumps({n: html5[n] for n in (*first, *(k for k in html5 if k not in first))})
+
+
+#: Longest name that counts without its semicolon.
+_LEGACY = max(len(n) for n in html5 if not n.endswith(";"))
+#: Numbers below 160 that browsers read as Windows-1252.
+_WINDOWS = {i: bytes([i]).decode("cp1252") for i in range(0x80, 0xA0) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def unescape(x: Column) -> Column:
+    """Text with its character references decoded: named ones by the longest name that fits, with or without semicolon where HTML
+    knows it so, and numbers; impossible numbers become U+FFFD, unknown names stay as they are."""
+    names = F.from_json(F.lit(_references()), "map<string,string>")
+    windows = F.from_json(F.lit(json.dumps({str(k): v for k, v in _WINDOWS.items()})), "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        number = F.regexp_extract(part, "^&#([0-9]+|[xX][0-9a-fA-F]+);?", 1)
+        hexadecimal = F.regexp_extract(number, "^[xX]0*([0-9a-fA-F]{1,9})", 1)
+        decimal = F.regexp_extract(number, "^0*([0-9]{1,9})", 1)  # nine digits are enough to be too many
+        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).otherwise(F.nullif(decimal, F.lit(""))).cast("long")
+        fits = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        plain = F.decode(F.unhex(F.lpad(F.hex(F.when(fits, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        rest = F.substring(part, F.length(F.regexp_extract(part, "^&#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)) + 1, F.length(part))
+        whole = F.regexp_extract(part, "^&([A-Za-z][A-Za-z0-9]*;)", 1)
+        name = F.regexp_extract(part, "^&([A-Za-z][A-Za-z0-9]*)", 1)
+        prefixes = [F.left(name, F.lit(n)) for n in range(_LEGACY, 1, -1)]
+        shorter = [F.when(F.length(name) >= n, F.concat(names[k], F.substring(part, F.lit(n + 2), F.length(part)))) for n, k in zip(range(_LEGACY, 1, -1), prefixes, strict=True)]
+        by_name = F.coalesce(F.concat(names[whole], F.substring(part, F.length(whole) + 2, F.length(part))), *shorter, part)
+        return F.when(number != "", F.concat(F.coalesce(windows[code.cast("string")], plain), rest)).when(name != "", by_name).otherwise(part)
+
+    return F.when(F.contains(x, F.lit("&")), F.array_join(F.transform(F.split(x, "(?=&)"), decoded), "")).otherwise(x)
+
+
 def clean_text(x: Column) -> Column:
-    """Text without tags, with the common character references decoded and white space collapsed."""
-    out = F.regexp_replace(x, r"<[^>]*>", " ")
-    for name, char in (("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    """Text without tags, with all character references decoded and white space of any kind collapsed."""
+    blanks = "[\\s\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
+    return F.trim(F.regexp_replace(unescape(F.regexp_replace(x, r"<[^>]*>", " ")), blanks, " "))
 
 
 def evidence_text(x: Column) -> Column:
@@ -228,21 +267,30 @@ def parse_boolean(x: Column) -> Column:
     return F.coalesce(F.lower(F.trim(x)).isin("1", "true", "y", "yes"), F.lit(False))
 
 
-def filing_path_from_href(href: Column) -> Column:
-    """edgar/data/… path of a link, without query and fragment; null where there is none."""
-    path = F.regexp_extract(href, r"edgar/data/[^?#]*", 0)
-    return F.nullif(F.trim(path), F.lit(""))
+def filing_path_from_href(href: Column, cik: Column, accession: Column) -> Column:
+    """Path of a submission: the folder of the link's path and the accession, or where the link has no folder the CIK's."""
+    path = F.regexp_extract(F.coalesce(href, F.lit("")), "^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
+    folder = F.regexp_extract(F.regexp_replace(path, "^/Archives/", ""), "^(.*)/[^/]*$", 1)
+    file = F.concat(accession, F.lit(".txt"))
+    return F.when(folder != "", F.concat(folder, F.lit("/"), file)).when(path.startswith("/") & ~path.startswith("/Archives/"), F.concat(F.lit("/"), file)).otherwise(F.concat(F.lit("edgar/data/"), F.ltrim(cik, F.lit("0")), F.lit("/"), file))
 
 
-def unwrap_value(element: Column) -> Column:
-    """Trimmed text of a value element; null where it is missing or blank."""
-    return F.nullif(F.trim(element), F.lit(""))
+def unwrap_value(text: Column, value: Column | None = None) -> Column:
+    """Trimmed text of an element's value child, or else its own; null where both are missing or blank."""
+    given = [F.nullif(F.trim(c), F.lit("")) for c in (value, text) if c is not None]
+    return F.coalesce(*given)
 
 
 def fx_series_key(currency: Column, denominator: Column) -> Column:
     return F.concat(F.lit("D."), F.upper(currency), F.lit("."), F.upper(denominator), F.lit(".SP00.A"))
 
 
+def fx_series_pair(key: Column) -> Column:
+    """(currency, denominator) of a series key; null for any other key."""
+    fits = key.rlike(r"^D\.[A-Z]{3}\.[A-Z]{3}\.SP00\.A$")
+    return F.when(fits, F.struct(F.split_part(key, F.lit("."), F.lit(2)).alias("currency"), F.split_part(key, F.lit("."), F.lit(3)).alias("denominator")))
+
+
 def join_child_texts(texts: Column) -> Column:
     return F.array_join(F.filter(F.transform(texts, lambda t: F.trim(t)), lambda t: t != ""), ",")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import scalars as fn
-from .predicates import company_extension, small, statement_period
+from .predicates import company_extension, small, statement_period, valid_period, valid_period_key
 
 GROUPS = ["Fiscal year", "Quarterly", "Year to date", "Instant"]
 #: Result = sum of terms, tried from the most direct; an identity is skipped where one of `unless` has a value (fixed values).
@@ -209,28 +209,53 @@ def broken_references(facts: DataFrame, contexts: DataFrame, units: DataFrame) -
     return no_context.unionByName(no_unit).groupBy("accession", "ref", "problem").agg(F.count("*").alias("facts"))
 
 
+def mapped_by(facts: DataFrame, concepts: DataFrame) -> DataFrame:
+    """Facts with mapped: true where the taxonomy has a concept of the fact's name whose family fits its namespace (J03's rule)."""
+    families = concepts.groupBy(F.col("concept").alias("local")).agg(F.collect_set(F.coalesce("family", F.lit(""))).alias("__families"))  # one row a concept
+    fits = F.exists("__families", lambda f: fn.namespace_matches(F.col("namespace"), f))
+    return facts.join(small(families), "local", "left").withColumn("mapped", F.coalesce(fits, F.lit(False))).drop("__families")
+
+
 def source_coverage(facts: DataFrame, contexts: DataFrame, dimensions: DataFrame, concepts: DataFrame) -> DataFrame:
-    """Per filing: facts, mapped, unmapped, extension, dimensional and without context; repeated facts."""
-    known = small(concepts.select(F.col("concept").alias("local"), F.lit(True).alias("known")).distinct())
-    c = contexts.select("accession", "instance", F.col("id").alias("context_ref"), F.lit(True).alias("has_context"))
+    """Per filing: facts, mapped, unmapped, those of them in a company's own namespace, dimensional, without context, with a
+    context of invalid period, mapped non-nil ones without a unit; repeated facts."""
+    day = [F.col(c).cast("string") for c in ("instant", "start_date", "end_date")]
+    c = contexts.select("accession", "instance", F.col("id").alias("context_ref"), F.lit(True).alias("has_context"), (~valid_period(*day)).alias("bad_period"))
     d = dimensions.select("accession", "instance", F.col("context_id").alias("context_ref"), F.lit(True).alias("has_dimension")).distinct()
-    rows = facts.join(known, "local", "left").join(c, ["accession", "instance", "context_ref"], "left").join(d, ["accession", "instance", "context_ref"], "left")
+    rows = mapped_by(facts, concepts).join(c, ["accession", "instance", "context_ref"], "left").join(d, ["accession", "instance", "context_ref"], "left")
+    bare = F.col("mapped") & ~F.col("nil") & (F.coalesce("unit_ref", F.lit("")) == "")
     same = rows.groupBy("accession", "namespace", "local", "context_ref", "unit_ref").agg(
-        F.count("*").alias("n"), F.max("known").alias("known"), F.max("has_context").alias("has_context"), F.max("has_dimension").alias("has_dimension")
+        F.count("*").alias("n"), F.max("mapped").alias("mapped"), F.max("has_context").alias("has_context"), F.max("bad_period").alias("bad_period"), F.max("has_dimension").alias("has_dimension"), F.count_if(bare).alias("bare")
     )
 
     def total(when: Column | str) -> Column:
         return F.sum(F.when(F.expr(when) if isinstance(when, str) else when, F.col("n")).otherwise(0))
 
     return same.groupBy("accession").agg(
-        F.sum("n").alias("facts"), total("known").alias("mapped"), total("known is null").alias("unmapped"), total(company_extension(F.col("namespace"))).alias("extension"),
-        total("has_dimension").alias("dimensional"), total("has_context is null").alias("missing_context"), F.sum(F.col("n") - 1).alias("duplicates"),
+        F.sum("n").alias("facts"), total("mapped").alias("mapped"), total("not mapped").alias("unmapped"), total(~F.col("mapped") & company_extension(F.col("namespace"))).alias("extension"),
+        total("has_dimension").alias("dimensional"), total("has_context is null").alias("missing_context"), total("bad_period").alias("invalid_periods"), F.sum("bare").alias("missing_units"), F.sum(F.col("n") - 1).alias("duplicates"),
     )
 
 
 def open_terms(facts: DataFrame, concepts: DataFrame) -> DataFrame:
-    """Facts of concepts that the taxonomy doesn't map."""
-    return facts.join(small(concepts.select(F.col("concept").alias("local")).distinct()), "local", "left_anti")
+    """Facts of concepts that the taxonomy doesn't map in their namespace."""
+    return mapped_by(facts, concepts).where("NOT mapped").drop("mapped")
+
+
+def filing_terms(facts: DataFrame, concepts: DataFrame) -> DataFrame:
+    """accession, namespace, local, facts, extension: unmapped terms of each filing, and whether they are the company's own."""
+    terms = open_terms(facts, concepts).groupBy("accession", "namespace", "local").agg(F.count("*").alias("facts"))
+    return terms.withColumn("extension", company_extension(F.col("namespace")))
+
+
+def facts_by_concept(facts: DataFrame, namespace: str, local: str) -> DataFrame:
+    """All facts of one concept."""
+    return facts.where((F.col("namespace") == namespace) & (F.col("local") == local))
+
+
+def by_reference(rows: DataFrame, accession: str, instance: str, id_: str) -> DataFrame:
+    """The context or unit of an id in one instance."""
+    return rows.where((F.col("accession") == accession) & (F.col("instance") == instance) & (F.col("id") == id_))
 
 
 def term_counts(facts: DataFrame, concepts: DataFrame, *, k: int = 25) -> DataFrame:
@@ -282,12 +307,17 @@ def quality_deltas(checks: DataFrame, *, k: int = 20) -> DataFrame:
     return failed.orderBy(F.desc("delta"), "accession", "unit", "period", "name").limit(k)
 
 
-def lint(values: DataFrame) -> DataFrame:
-    """Issues per filing: metrics with no value, invalid periods, several units."""
+def lint(values: DataFrame, checks: DataFrame | None = None) -> DataFrame:
+    """Issues per filing: metrics with no value, invalid periods, several units and, given checks, failed identities."""
     rows = values.groupBy("accession", "group", "metric").agg(F.count_distinct("unit").alias("units"), F.count_if((~F.col("nil")) & (F.trim("value") != "")).alias("filled"))
     many = rows.where("units > 1").select("accession", F.concat(F.lit("several units: "), "metric").alias("issue"))
     none = rows.where("filled = 0").select("accession", F.concat(F.lit("no values: "), "metric").alias("issue"))
-    return many.union(none).distinct()
+    bad = values.where(~valid_period_key(F.col("period"))).select("accession", F.concat(F.lit("invalid period "), "period", F.lit(": "), "metric").alias("issue"))
+    out = many.union(none).union(bad)
+    if checks is not None:
+        failed = F.concat(F.lit("identity check failed: "), "name", F.lit(" period="), "period", F.lit(" unit="), "unit")
+        out = out.union(checks.where("status = 'fail'").select("accession", failed.alias("issue")))
+    return out.distinct()
 
 
 def view_counts(filings: DataFrame, facts: DataFrame, contexts: DataFrame, dimensions: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import scalars as fn
 from ..operators import composites, events, facts, market
 from ..sources import landed
 from . import adapters
-from .queries import _BASE, _CHECKED, _FAILED, _INSIDER, _MAPPED, _NEWS, _OVERVIEW, _PRESENT, _STATED, _STATUS, _WORK, FACT_TABLES, _mapped, _news, _presence, _status, query
+from .queries import _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OVERVIEW, _PRESENT, _STATED, _STATUS, _WORK, FACT_TABLES, _mapped, _news, _presence, _status, query
 from .round_trips import _folder, _land_xml, _register
 
 
@@ -87,7 +87,7 @@ def _(*t):
     return composites.coverage_report(_status(t[5], t[0]), _presence(*t)).select("cik", "accession", "status", "missing")
 
 
-@query("c07_taxonomy_report", FACT_TABLES, """SELECT f.accession, count(*) AS facts, count(*) FILTER (local IN (SELECT concept FROM concepts)) AS mapped, any_value(coalesce(issues, 0)) AS issues FROM facts f LEFT JOIN (SELECT accession, count(DISTINCT issue) AS issues FROM (
+@query("c07_taxonomy_report", FACT_TABLES, f"""SELECT f.accession, count(*) AS facts, count(*) FILTER ({_KNOWN}) AS mapped, any_value(coalesce(issues, 0)) AS issues FROM facts f LEFT JOIN (SELECT accession, count(DISTINCT issue) AS issues FROM (
 SELECT accession, metric, "group", 'several units: ' || metric AS issue FROM best GROUP BY ALL HAVING count(DISTINCT unit) > 1 UNION ALL SELECT accession, metric, "group", 'no values: ' || metric FROM best GROUP BY ALL HAVING count(*) FILTER (NOT nil AND trim(value) <> '') = 0) GROUP BY accession) i ON i.accession = f.accession GROUP BY f.accession""", ctes=_MAPPED)
 def _(f, c, d, u, t, g):
     return composites.taxonomy_report(facts.summary(_mapped(f, c, d, u, t, g)), f, c, d, t).select("accession", "facts", "mapped", "issues")

@@ -123,6 +123,17 @@ def _(p):
     return p.select("party", fn.clean_text(marked).alias("text"), fn.evidence_text(F.repeat("name", F.lit(20))).alias("evidence"), fn.truncate_text(F.col("name"), 5).alias("short"))
 
 
+@query("f15_unescape", "parties", "SELECT party, '<' || name || '> ' || chr(233) || chr(8364) || ' ' || chr(128512) || ' ¬it; &zz; ' || chr(65533) AS text FROM parties")
+def _(p):
+    return p.select("party", fn.unescape(F.concat(F.lit("&lt;"), "name", F.lit("&gt &eacute;&#x80; &#128512; &notit; &zz; &#xD800;"))).alias("text"))
+
+
+@query("f32_series_pair", "fx", "SELECT DISTINCT upper(substring(currency, 1, 3)) AS currency, denominator FROM fx WHERE regexp_matches(upper(substring(currency, 1, 3)), '^[A-Z]{3}$')")
+def _(x):
+    key = fn.fx_series_key(F.substring("currency", 1, 3), F.col("denominator"))
+    return x.select(fn.fx_series_pair(key).alias("p")).where("p IS NOT NULL").select("p.*").distinct()
+
+
 @query("f18_normalize_amendment", "forms", """SELECT sequence, CASE WHEN form LIKE '13F%' THEN CASE sequence % 3 WHEN 0 THEN 'NEW HOLDINGS' WHEN 1 THEN 'RESTATEMENT' ELSE CASE WHEN form LIKE '%/A' THEN 'RESTATEMENT' ELSE '' END END
 WHEN form IN ('3/A', '4/A', '5/A') THEN 'CORRECTION' WHEN form LIKE '%/A' AND (form LIKE '%13D%' OR form LIKE '%13G%') THEN 'STATE UPDATE' ELSE '' END AS kind FROM forms""")
 def _(e):
@@ -135,10 +146,10 @@ def _(e):
     return e.select("sequence", fn.normalize_form(F.col("form")).alias("form"), fn.subject_for(F.col("form")).alias("subject"))
 
 
-@query("f20_normalize_ticker", "members", "SELECT cik, ticker || '-A' AS ticker, 'https://www.sec.gov/Archives/edgar/data/' || cik || '/a.txt' AS url, 'edgar/data/' || cik || '/a.txt' AS path FROM members")
+@query("f20_normalize_ticker", "members", "SELECT cik, ticker || '-A' AS ticker, 'https://www.sec.gov/Archives/edgar/data/' || cik || '/a.txt' AS url, '/edgar/data/' || cik || '/' || ticker || '.txt' AS path, 'edgar/data/' || ltrim(cik, '0') || '/' || ticker || '.txt' AS fallback FROM members")
 def _(m):
     href = F.concat(F.lit("http://h/edgar/data/"), "cik", F.lit("/a.txt"))
-    return m.select("cik", fn.normalize_ticker(F.concat(F.lower("ticker"), F.lit(".a "))).alias("ticker"), fn.source_url(href).alias("url"), fn.filing_path_from_href(F.concat(href, F.lit("?x#y"))).alias("path"))
+    return m.select("cik", fn.normalize_ticker(F.concat(F.lower("ticker"), F.lit(".a "))).alias("ticker"), fn.source_url(href).alias("url"), fn.filing_path_from_href(F.concat(href, F.lit("?x/y#z/")), F.col("cik"), F.col("ticker")).alias("path"), fn.filing_path_from_href(F.lit("a.htm"), F.col("cik"), F.col("ticker")).alias("fallback"))
 
 
 @query("f25_scheduled_through", "own_filings", "SELECT accession, filing_date - CAST(CASE WHEN n % 2 = 0 THEN 1 ELSE 0 END AS INT) AS through FROM (SELECT accession, filing_date, CAST(substring(accession, 5) AS INT) AS n FROM own_filings)")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
 from ..operators import dividends, events, facts, market, ownership, predicates
-from .queries import ORACLES, _ANNOUNCED, _BASE, _MAPPED, _PRESENT, _STATED, _VALUE_SQL, _VALUES, FACT_TABLES, _mapped, _presence, query
+from .queries import _ANNOUNCED, _BASE, _KNOWN, _MAPPED, _PRESENT, _STATED, _VALUE_SQL, _VALUES, FACT_TABLES, ORACLES, _mapped, _presence, query
 
 
 @query("k06_securities", "positions", "SELECT cusip AS security, CASE WHEN n % 3 = 1 THEN m ELSE 'new' END AS issuer, CASE WHEN n % 2 = 0 THEN title ELSE 'renamed' END AS title, c AS security_class, 'equity' AS kind FROM s", ctes=", s AS (SELECT cusip, max(title) AS title, min(security_class) AS c, min(manager) AS m, CAST(substring(cusip, 2) AS INT) AS n FROM positions GROUP BY cusip)")
@@ -150,7 +150,7 @@ def _(m):
     return m.select(fn.canonical_cik(F.col("cik")).alias("cik")).distinct()
 
 
-@query("a35_taxonomy_batch", "facts contexts dimensions concepts", "SELECT count(DISTINCT accession) AS filings, count(*) AS facts, count(*) FILTER (local IN (SELECT concept FROM concepts)) AS mapped FROM facts")
+@query("a35_taxonomy_batch", "facts contexts dimensions concepts", f"SELECT count(DISTINCT accession) AS filings, count(*) AS facts, count(*) FILTER ({_KNOWN}) AS mapped FROM facts")
 def _(*t):
     return facts.source_coverage(*t).agg(F.count("*").alias("filings"), F.sum("facts").alias("facts"), F.sum("mapped").alias("mapped"))
 
@@ -166,10 +166,10 @@ def _(r):
     return ownership.ordinals(r.groupBy("accession").agg(F.array_sort(F.collect_set("owner")).alias("parties"))).select("accession", "party", F.col("ordinal").cast("long").alias("ordinal"))
 
 
-@query("t06_top_terms", "facts concepts", "SELECT local, n, (SELECT count(DISTINCT (namespace, local)) FROM facts WHERE local NOT IN (SELECT concept FROM concepts)) AS terms FROM (SELECT local, count(*) AS n FROM facts WHERE local NOT IN (SELECT concept FROM concepts) GROUP BY namespace, local ORDER BY n DESC, local LIMIT 2)")
+@query("t06_top_terms", "facts concepts", f"SELECT namespace, local, n, (SELECT count(DISTINCT (namespace, local)) FROM facts WHERE NOT {_KNOWN}) AS terms FROM (SELECT namespace, local, count(*) AS n FROM facts WHERE NOT {_KNOWN} GROUP BY namespace, local ORDER BY n DESC, local, namespace LIMIT 2)")
 def _(f, t):
     all_terms = facts.open_terms(f, t).agg(F.count_distinct("namespace", "local").alias("terms"))
-    return facts.term_counts(f, t, k=2).select("local", F.col("facts").alias("n")).crossJoin(all_terms)
+    return facts.term_counts(f, t, k=2).select("namespace", "local", F.col("facts").alias("n")).crossJoin(all_terms)
 
 
 @query("t08_statement_order", FACT_TABLES, f"SELECT {_VALUE_SQL} FROM stated", ctes=_STATED)

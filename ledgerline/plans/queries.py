@@ -196,18 +196,40 @@ def _(*t):
     return facts.quality_deltas(checks).select("accession", "unit", "period", "name", F.col("delta").cast("long").alias("delta"))
 
 
-@query("a11_lint", FACT_TABLES, """SELECT DISTINCT accession, issue FROM (SELECT accession, metric, "group", 'several units: ' || metric AS issue FROM best GROUP BY ALL HAVING count(DISTINCT unit) > 1 UNION ALL SELECT accession, metric, "group", 'no values: ' || metric FROM best GROUP BY ALL HAVING count(*) FILTER (NOT nil AND trim(value) <> '') = 0)""", ctes=_MAPPED)
+@query("a11_lint", FACT_TABLES, """SELECT DISTINCT accession, issue FROM (SELECT accession, metric, "group", 'several units: ' || metric AS issue FROM best GROUP BY ALL HAVING count(DISTINCT unit) > 1 UNION ALL SELECT accession, metric, "group", 'no values: ' || metric FROM best GROUP BY ALL HAVING count(*) FILTER (NOT nil AND trim(value) <> '') = 0 UNION ALL SELECT accession, '', '', 'identity check failed: ' || name || ' period=' || period || ' unit=' || unit FROM checked WHERE status = 'fail')""", ctes=_CHECKED)
 def _(*t):
-    return facts.lint(facts.summary(_mapped(*t)))
+    mapped = _mapped(*t)
+    return facts.lint(facts.summary(mapped), facts.identities(facts.statements(mapped)))
+
+
+#: J03's rule in SQL: all families of the taxonomy are us-gaap.
+_KNOWN = "(local IN (SELECT concept FROM concepts) AND (namespace LIKE '%/us-gaap/%' OR namespace LIKE '%/us-gaap:%'))"
+_OWN = "NOT (namespace LIKE '%/us-gaap/%' OR namespace LIKE '%/us-gaap:%' OR namespace LIKE '%xbrl.sec.gov/dei%' OR namespace LIKE '%xbrl.org/%')"
 
 
 @query(
     "a10_source_coverage", "facts contexts dimensions concepts",
-    """SELECT f.accession, count(*) AS facts, count(*) FILTER (local IN (SELECT concept FROM concepts)) AS mapped, count(*) FILTER (local NOT IN (SELECT concept FROM concepts)) AS unmapped, count(*) FILTER (namespace LIKE '%company%' OR namespace LIKE '%/srt/%') AS extension,
-count(*) FILTER (context_ref = 'c4') AS dimensional, count(*) FILTER (context_ref = 'c9') AS missing_context, count(*) - count(DISTINCT (namespace, local, context_ref, unit_ref)) AS duplicates FROM facts f GROUP BY f.accession""",
+    f"""SELECT f.accession, count(*) AS facts, count(*) FILTER ({_KNOWN}) AS mapped, count(*) FILTER (NOT {_KNOWN}) AS unmapped, count(*) FILTER (NOT {_KNOWN} AND {_OWN}) AS extension,
+count(*) FILTER (context_ref = 'c4') AS dimensional, count(*) FILTER (context_ref = 'c9') AS missing_context, count(*) FILTER (context_ref = 'c3' AND CAST(left(accession, 10) AS BIGINT) % 2 = 0) AS invalid_periods,
+count(*) FILTER ({_KNOWN} AND NOT nil AND local = 'GrossProfit') AS missing_units, count(*) - count(DISTINCT (namespace, local, context_ref, CASE WHEN local <> 'GrossProfit' THEN unit_ref END)) AS duplicates FROM facts f GROUP BY f.accession""",
 )
 def _(f, c, d, t):
-    return facts.source_coverage(f, c, d, t)
+    """Facts of one concept have lost their unit, every second company's third context its end."""
+    f = f.withColumn("unit_ref", F.when(F.col("local") != "GrossProfit", F.col("unit_ref")).otherwise(""))
+    even = F.left("accession", F.lit(10)).cast("long") % 2 == 0
+    return facts.source_coverage(f, c.withColumn("end_date", F.when(~(even & (F.col("id") == "c3")), F.col("end_date"))), d, t)
+
+
+@query("a10_filing_terms", "facts concepts", f"SELECT accession, namespace, local, count(*) AS facts, {_OWN} AS extension FROM facts WHERE NOT {_KNOWN} GROUP BY accession, namespace, local")
+def _(f, t):
+    return facts.filing_terms(f, t)
+
+
+@query("f37_facts_by_concept", "facts contexts", "SELECT f.accession, f.id, value, CAST(c.end_date AS STRING) AS ends FROM facts f LEFT JOIN contexts c ON c.accession = f.accession AND c.id = f.context_ref WHERE namespace = 'http://fasb.org/us-gaap/2020' AND local = 'Revenues'")
+def _(f, c):
+    found = facts.facts_by_concept(f, "http://fasb.org/us-gaap/2020", "Revenues")
+    dates = c.select("accession", "instance", F.col("id").alias("context_ref"), F.col("end_date").cast("string").alias("ends"))
+    return found.join(dates, ["accession", "instance", "context_ref"], "left").select("accession", "id", "value", "ends")
 
 
 @query("j18_broken_references", "facts contexts units", "SELECT accession, ref, problem, count(*) AS facts FROM (SELECT accession, context_ref AS ref, 'missing context' AS problem FROM facts WHERE context_ref = 'c9' UNION ALL SELECT accession, unit_ref, 'missing unit' FROM facts WHERE unit_ref = 'u9') GROUP BY ALL")
@@ -215,7 +237,7 @@ def _(f, c, u):
     return facts.broken_references(f, c, u)
 
 
-@query("a32_top_terms", "facts concepts", "SELECT namespace, local, count(*) AS facts FROM facts WHERE local NOT IN (SELECT concept FROM concepts) GROUP BY ALL ORDER BY facts DESC, local, namespace LIMIT 25")
+@query("a32_top_terms", "facts concepts", f"SELECT namespace, local, count(*) AS facts FROM facts WHERE NOT {_KNOWN} GROUP BY ALL ORDER BY facts DESC, local, namespace LIMIT 25")
 def _(f, t):
     return facts.term_counts(f, t)
 

@@ -84,7 +84,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.read_fx(spark, path).select("currency", "denominator", "time", F.round("value").cast("long").alias("whole"))
 
 
-@_register("s13_atom_feed", "filings", "SELECT accession, cik, form, company FROM filings")
+@_register("s13_atom_feed", "filings", "SELECT accession, cik, form, company, 'edgar/data/1/' || accession || '.txt' AS path FROM filings")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, "feed")
     f = adapters.load(spark, sf_dir, "filings")
@@ -93,7 +93,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("-index.htm'/><summary type='html'>CIK: "), "cik", F.lit("</summary><updated>2024-01-01</updated><category term='"), "form", F.lit("'/></entry>"),
     )
     _land_xml(f.select(entry.alias("value")), "feed", path)
-    return landed.read_atom_feed(spark, path)[0].select("accession", "cik", "form", "company")
+    return landed.read_atom_feed(spark, path)[0].select("accession", "cik", "form", "company", "path")
 
 
 @_register("s11_shred_13f", "positions", "SELECT accession, cusip, count(*) AS n FROM positions GROUP BY ALL")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import scalars as fn
 
@@ -59,14 +60,14 @@ def _feed_rows(rows: DataFrame) -> DataFrame:
         F.when(F.length(accession) == 20, accession).alias("accession"), fn.canonical_cik(F.coalesce(found(summary, r"(?i)\bCIK\s*[:=]\s*([0-9]{1,10})"), found(title, r"\(([0-9]{10})\)"))).alias("cik"),
         fn.normalize_form(F.coalesce(found(summary, r"(?i)\bForm Type\s*:\s*([^\s]+)"), "category._term")).alias("form"),
         F.coalesce(found(title, r"^\s*.+?\s+-\s+(.*?)\s+\([0-9]{10}\)"), F.trim(title)).alias("company"), href.alias("url"), "updated",
-    )
+    ).withColumn("path", fn.filing_path_from_href(F.col("url"), F.col("cik"), F.col("accession")))
 
 
 def read_atom_feed(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(events, dead letters) of feed files: one event per accession, entries without an accession set apart. A title
     of another form is the company's name as it stands."""
     rows = _feed_rows(spark.read.format("xml").options(rowTag="entry", ignoreNamespace="true").schema(_ATOM).load(paths))
-    events = rows.where("accession is not null").groupBy("accession").agg(F.min(F.struct("url", "cik", "form", "company", "updated")).alias("e")).select("accession", "e.*")
+    events = rows.where("accession is not null").groupBy("accession").agg(F.min(F.struct("url", "cik", "form", "company", "updated", "path")).alias("e")).select("accession", "e.*")
     return events, rows.where("accession is null")
 
 
@@ -148,55 +149,78 @@ def write_price_batches(rows: DataFrame, path: str) -> None:
     there.withColumn("kind", F.col("record_type")).write.partitionBy("kind").csv(path, header=True)
 
 
-def read_price_batches(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects): prices carry no action values and the reverse."""
-    rows = spark.read.csv(paths, header=True, schema=BATCH_SCHEMA, mode="FAILFAST")
+def read_price_batches(spark: SparkSession, paths: str | list[str], *, identity: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): prices carry no action values and the reverse; a date or an action that its file has twice, another
+    currency than USD and, with identity (a pattern whose first group is the symbol of a file's path), rows of another symbol
+    are rejected too."""
+    rows = spark.read.csv(paths, header=True, schema=BATCH_SCHEMA, mode="FAILFAST").withColumn("__path", F.col("_metadata.file_path"))
     action = F.coalesce("amount", "numerator", "denominator").isNotNull() | F.col("action_type").isNotNull()
     price = F.coalesce("open", "close", "adjusted_close").isNotNull()
-    reason = F.when(~F.col("record_type").isin("price", "action"), "record type").when((F.col("record_type") == "price") & action, "price with action values").when((F.col("record_type") == "action") & price, "action with prices")
-    rows = rows.withColumn("reason", reason)
+    is_price = F.col("record_type") == "price"
+    once = Window.partitionBy("__path", "security", "record_type", F.when(is_price, F.col("date").cast("string")).otherwise(F.col("source_id")))
+    reason = F.when(~F.col("record_type").isin("price", "action"), "record type").when(is_price & action, "price with action values").when((F.col("record_type") == "action") & price, "action with prices")
+    reason = reason.when(F.coalesce("currency", F.lit("")) != "USD", "currency").when(F.count("*").over(once) > 1, F.when(is_price, "duplicate price date").otherwise("duplicate action"))
+    if identity:
+        reason = reason.when(F.regexp_extract("__path", identity, 1) != F.col("symbol"), "identity mismatch")
+    rows = rows.withColumn("reason", reason).drop("__path")
     return rows.where("reason is null").drop("reason"), rows.where("reason is not null")
 
 
-def read_constituents(spark: SparkSession, path: str) -> DataFrame:
-    """set_name, as_of, cik, ticker, name of a constituent file, by ticker."""
-    rows = spark.read.schema("name string, as_of string, source string, members array<struct<cik:string, ticker:string, name:string>>").json(path, multiLine=True)
-    out = rows.select(F.col("name").alias("set_name"), "as_of", F.inline("members"))
-    return out.select("set_name", "as_of", fn.canonical_cik(F.col("cik")).alias("cik"), fn.normalize_ticker(F.col("ticker")).alias("ticker"), "name").orderBy("ticker")
+def _first_reason(*rules: tuple[Column, str]) -> Column:
+    """The first rule that holds, as a reason; null where none does."""
+    return F.coalesce(*[F.when(F.coalesce(broken, F.lit(True)), reason) for broken, reason in rules])
+
+
+def read_constituents(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(members, rejects): set_name, as_of, cik, ticker, name by ticker, and path, reason of files that break a rule.
 
+    A set needs a name, a date and members; a member needs a CIK, a ticker that no other has, and a name. One broken member
+    rejects its whole file.
+    """
+    rows = spark.read.schema("name string, as_of string, source string, members array<struct<cik:string, ticker:string, name:string>>").json(paths, multiLine=True)
+    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.trim("name").alias("set_name"), "as_of", "members")
+    clean = F.transform("members", lambda m: F.struct(fn.canonical_cik(m["cik"]).alias("cik"), fn.normalize_ticker(m["ticker"]).alias("ticker"), F.trim(m["name"]).alias("name")))
+    rows = rows.withColumn("members", clean)
+
+    def lacks(field: str) -> Column:
+        return F.exists("members", lambda m: F.coalesce(m[field], F.lit("")) == "")
+
+    tickers = F.col("members.ticker")
+    reason = _first_reason(
+        (F.coalesce("set_name", F.lit("")) == "", "set without name"), (F.try_to_date("as_of", "yyyy-MM-dd").isNull(), "invalid date"), (F.coalesce(F.size("members"), F.lit(0)) < 1, "no members"),
+        (lacks("cik"), "member without CIK"), (lacks("ticker"), "member without ticker"), (lacks("name"), "member without name"), (F.size(F.array_distinct(tickers)) < F.size(tickers), "duplicate ticker"),
+    )
+    rows = rows.withColumn("reason", reason)
+    return rows.where("reason IS NULL").select("set_name", "as_of", F.inline("members")).orderBy("ticker"), rows.where("reason IS NOT NULL").select("path", "reason")
 
-def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    """concept, family, metric, label, statement, tier, priority, position in file order."""
-    schema = "metrics array<struct<name:string, label:string, statement:string, tier:string, concepts:array<struct<name:string, namespace:string, priority:int>>>>"
-    rows = spark.read.schema(schema).json(path, multiLine=True).select(F.posexplode("metrics").alias("i", "m"))
-    rows = rows.select("i", "m.*").select("i", F.col("name").alias("metric"), "label", "statement", "tier", F.posexplode("concepts").alias("j", "c"))
-    return rows.select(F.col("c.name").alias("concept"), F.col("c.namespace").alias("family"), "metric", "label", "statement", "tier", F.col("c.priority").alias("priority"), (F.col("i") * 1000 + F.col("j")).alias("position"))
 
+_TAXONOMY = "schema_version int, taxonomy_version string, metrics array<struct<key:string, name:string, label:string, statement:string, tier:string, concepts:array<struct<name:string, namespace:string, priority:int>>>>, ratios array<struct<key:string, label:string, numerator:string, denominator:string, format:string>>"
 
-_SHARES = "struct<value:string>"
-_INSIDER = (
-    "issuer struct<issuerCik:string, issuerName:string>, "
-    "reportingOwner array<struct<reportingOwnerId:struct<rptOwnerCik:string, rptOwnerName:string>>>, periodOfReport string, "
-    f"nonDerivativeTable struct<nonDerivativeTransaction:array<struct<securityTitle:{_SHARES}, transactionDate:{_SHARES}, transactionCoding:struct<transactionCode:string>, "
-    f"transactionAmounts:struct<transactionShares:{_SHARES}, transactionPricePerShare:{_SHARES}>, postTransactionAmounts:struct<sharesOwnedFollowingTransaction:{_SHARES}>, ownershipNature:struct<directOrIndirectOwnership:{_SHARES}>>>, "
-    f"nonDerivativeHolding:array<struct<securityTitle:{_SHARES}, postTransactionAmounts:struct<sharesOwnedFollowingTransaction:{_SHARES}>, ownershipNature:struct<directOrIndirectOwnership:{_SHARES}>>>>"
-)
 
+def read_taxonomy(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(concepts, ratios, rejects) of taxonomy files.
 
-def shred_insider(documents: DataFrame) -> DataFrame:
-    """Non-derivative transactions and holdings of insider forms, one row per owner; documents: accession, xml."""
-    parsed = documents.select("accession", F.from_xml("xml", F.lit(_INSIDER), {"ignoreNamespace": "true"}).alias("x"))
-    owned = parsed.select("accession", "x", F.posexplode("x.reportingOwner").alias("owner_ordinal", "o"))
-    head = ["accession", "owner_ordinal", F.col("o.reportingOwnerId.rptOwnerCik").alias("owner"), F.col("x.issuer.issuerCik").alias("issuer"), F.col("x.periodOfReport").alias("report_date")]
-    trades = owned.select(*head, F.posexplode("x.nonDerivativeTable.nonDerivativeTransaction").alias("row_number", "r")).select(
-        *["accession", "owner_ordinal", "owner", "issuer", "report_date", "row_number"], F.lit("transaction").alias("kind"), F.col("r.securityTitle.value").alias("security"), F.col("r.transactionDate.value").alias("date"), F.col("r.transactionCoding.transactionCode").alias("code"),
-        F.col("r.transactionAmounts.transactionShares.value").alias("shares"), F.col("r.postTransactionAmounts.sharesOwnedFollowingTransaction.value").alias("shares_after"), F.col("r.ownershipNature.directOrIndirectOwnership.value").alias("direct_or_indirect"),
-    )
-    held = owned.select(*head, F.posexplode("x.nonDerivativeTable.nonDerivativeHolding").alias("row_number", "r")).select(
-        *["accession", "owner_ordinal", "owner", "issuer", "report_date", "row_number"], F.lit("holding").alias("kind"), F.col("r.securityTitle.value").alias("security"),
-        F.col("r.postTransactionAmounts.sharesOwnedFollowingTransaction.value").alias("shares_after"), F.col("r.ownershipNature.directOrIndirectOwnership.value").alias("direct_or_indirect"),
-    )
-    return trades.unionByName(held, allowMissingColumns=True)
+    concepts: concept, family, metric, label, statement, tier, priority, position in file order; ratios: ratio, label, numerator,
+    denominator, style; rejects: path, reason. A file needs schema 1 and a version; metrics need a key of their own, a label, a
+    statement and concepts with names.
+    """
+    rows = spark.read.schema(_TAXONOMY).json(paths, multiLine=True).withColumn("path", F.col("_metadata.file_path"))
+    key = F.transform("metrics", lambda m: F.coalesce(m["key"], m["name"], F.lit("")))
+
+    def blank(x: Column) -> Column:
+        return F.coalesce(x, F.lit("")) == ""
+
+    reason = _first_reason(
+        (F.coalesce("schema_version", F.lit(0)) != 1, "unsupported schema"), (blank(F.trim("taxonomy_version")), "version is empty"),
+        (F.exists(key, lambda k: k == "") | F.exists("metrics", lambda m: blank(m["label"]) | blank(m["statement"])), "empty key, label or statement"), (F.size(F.array_distinct(key)) < F.size(key), "duplicate metric"),
+        (F.exists("metrics", lambda m: F.coalesce(F.size(m["concepts"]), F.lit(0)) < 1), "metric without concepts"), (F.exists("metrics", lambda m: F.exists(m["concepts"], lambda c: blank(c["name"]))), "concept without name"),
+    )
+    rows = rows.withColumn("reason", reason)
+    good = rows.where("reason IS NULL")
+    metrics = good.select(F.posexplode("metrics").alias("i", "m")).select("i", F.coalesce("m.key", "m.name").alias("metric"), "m.label", "m.statement", "m.tier", F.posexplode("m.concepts").alias("j", "c"))
+    concepts = metrics.select(F.col("c.name").alias("concept"), F.col("c.namespace").alias("family"), "metric", "label", "statement", "tier", F.col("c.priority").alias("priority"), (F.col("i") * 1000 + F.col("j")).alias("position"))
+    ratios = good.select(F.inline("ratios")).select(F.col("key").alias("ratio"), "label", "numerator", "denominator", F.col("format").alias("style"))
+    return concepts, ratios, rows.where("reason IS NOT NULL").select("path", "reason")
 
 
 _TABLE = "infoTable array<struct<nameOfIssuer:string, titleOfClass:string, cusip:string, value:string, shrsOrPrnAmt:struct<sshPrnamt:string, sshPrnamtType:string>, putCall:string, otherManager:string>>"
@@ -208,10 +232,3 @@ def shred_13f(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.select("accession", "row_number", F.trim("t.nameOfIssuer").alias("issuer_name"), "t.titleOfClass", F.upper(F.trim("t.cusip")).alias("cusip"), fn.parse_amount(F.col("t.value")).alias("value"), fn.parse_amount(F.col("t.shrsOrPrnAmt.sshPrnamt")).alias("shares"), F.coalesce("t.putCall", F.lit("")).alias("put_call"), F.coalesce("t.otherManager", F.lit("")).alias("other_managers"))
     good = (F.coalesce("issuer_name", F.lit("")) != "") & (F.coalesce("cusip", F.lit("")) != "")
     return rows.where(good), rows.where(~good)
-
-
-def upsert_table(spark: SparkSession, path: str, fresh: DataFrame, keys: list[str], target: str) -> DataFrame:
-    """Write the keyed table at path with fresh rows in place of stored ones to target, and read it back."""
-    current = spark.read.parquet(path)
-    current.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)

@@ -1,4 +1,7 @@
 import pytest
+import html
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from ledgerline.functions import scalars as fn
@@ -82,8 +85,20 @@ def test_display_values(one):
 
 def test_namespaces_and_links(one):
     row = one(*[fn.namespace_matches(F.lit(n), F.lit("us-gaap")) for n in ("http://fasb.org/us-gaap/2024", "urn:x/us-gaap:2009", "http://fasb.org/srt/2024", "us-gaap")], fn.namespace_matches(F.lit("x/dei/y"), F.lit("dei")), fn.namespace_matches(F.lit("x"), F.lit("any")),
-              fn.filing_path_from_href(F.lit("https://h/Archives/edgar/data/1/a-index.htm?x=1#b")), fn.filing_path_from_href(F.lit("https://h/")), fn.unwrap_value(F.lit("  ")), fn.unwrap_value(F.lit(" 1 ")))
-    assert list(row) == [True, True, False, False, True, True, "edgar/data/1/a-index.htm", None, None, "1"]
+              *[fn.filing_path_from_href(F.lit(h), F.lit("0000000012"), F.lit("acc")) for h in ("https://h/Archives/edgar/data/1/a-index.htm?x=1#b", "https://h/", "/Archives/x.htm", None)], fn.unwrap_value(F.lit("  ")), fn.unwrap_value(F.lit(" 1 ")))
+    assert list(row) == [True, True, False, False, True, True, "edgar/data/1/acc.txt", "/acc.txt", "edgar/data/12/acc.txt", "edgar/data/12/acc.txt", None, "1"]
+
+
+def test_unescape_knows_every_name(spark):
+    texts = [f"&{name} x" for name in html5] + ["&#65;&#x41;&#X41 &#65b &#128;&#x9F; &#0; &#55296; &#1114112; &#99999999999999999999999; &", "a&b &amp;amp; &notin; &notit; &unknown; &;", "no reference", "", "&ampx &AMP;&lt&gt"]
+    got = {r.t: r.u for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", fn.unescape(F.col("t")).alias("u")).collect()}
+    assert {t: got[t] for t in texts} == {t: html.unescape(t) for t in texts}
+    assert spark.range(1).select(fn.clean_text(F.lit("<p>a&nbsp;&#8195;b&mdash;<b>c</b>&hellip;</p>"))).first()[0] == "a b— c …"
+
+
+def test_series_pairs(one):
+    row = one(fn.fx_series_pair(F.lit("D.USD.EUR.SP00.A")), fn.fx_series_pair(F.lit("M.USD.EUR.SP00.A")), fn.fx_series_pair(F.lit("D.USDX.EUR.SP00.A")), fn.unwrap_value(F.lit("text"), F.lit(" value ")), fn.unwrap_value(F.lit(" text"), F.lit(" ")))
+    assert list(row) == [("USD", "EUR"), None, None, "value", "text"]
 
 
 def test_validate_batch_sets_bad_rows_apart(spark):
