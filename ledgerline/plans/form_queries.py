@@ -83,3 +83,35 @@ def _(r):
 @query("s12_narratives", "reports", "SELECT accession, row_number, 'item4' AS item, field, CASE row_number WHEN 1 THEN 'hold' ELSE i END AS text FROM (SELECT accession, min(issuer) AS i FROM reports GROUP BY accession), (VALUES (1, 'purpose'), (2, 'more.deep')) AS n(row_number, field)")
 def _(r):
     return ownership_forms.schedule_narratives(_schedules(r))
+
+
+def _covers(p: DataFrame) -> DataFrame:
+    """One primary document per accession: every third is an amendment without a type, every fifth has no manager, every seventh counts wrong."""
+    n = F.right("accession", F.lit(6)).cast("int")
+    forms = p.groupBy("accession").agg(F.count("*").alias("entries"), F.min("period").alias("period"))
+    head = F.concat(F.lit("<edgarSubmission xmlns='urn:13f'><headerData><submissionType>"), F.col("form"), F.lit("</submissionType><filerInfo><periodOfReport>12-31-1990</periodOfReport><filer><credentials><cik>0000000077</cik></credentials></filer></filerInfo></headerData><formData><coverPage>"))
+    manager = F.when(n % 5 == 0, "").otherwise(F.concat(F.lit("<filingManager><name> Manager "), n.cast("string"), F.lit(" </name></filingManager>")))
+    page = F.concat(_tag("reportCalendarOrQuarter", F.date_format("period", "MM-dd-yyyy")), F.lit("<isAmendment>"), (n % 3 == 0).cast("string"), F.lit("</isAmendment><amendmentNo>2</amendmentNo>"), manager, F.lit("<reportType>13F  holdings report</reportType><otherManagersInfo><otherManager><form13FFileNumber>28-1</form13FFileNumber><name>First</name></otherManager></otherManagersInfo></coverPage>"))
+    last = F.concat(F.lit("<summaryPage>"), _tag("otherIncludedManagersCount", F.lit("2")), _tag("tableEntryTotal", (F.col("entries") + (n % 7 == 0).cast("int")).cast("string")), _tag("tableValueTotal", F.format_number(F.col("entries") * 1000, 0)), F.lit("<otherManagers2Info><otherManager2><sequenceNumber>1</sequenceNumber><otherManager><name>Second</name></otherManager></otherManager2><otherManager2><sequenceNumber>2</sequenceNumber></otherManager2></otherManagers2Info></summaryPage></formData></edgarSubmission>"))
+    forms = forms.withColumn("form", F.when(n % 3 == 0, "13F-HR/A").otherwise("13F-HR"))
+    return forms.select("accession", "form", F.concat(head, page, last).alias("xml"))
+
+
+_COVERS = ", c AS (SELECT accession, CAST(right(accession, 6) AS INT) AS n, count(*) AS entries, min(period) AS period FROM positions GROUP BY accession)"
+
+
+@query("s11_covers", "positions", "SELECT accession, '0000000077' AS manager_cik, 'Manager ' || n AS manager, CAST(period AS STRING) AS period, n % 3 = 0 AS amendment, CASE WHEN n % 3 = 0 THEN 'RESTATEMENT' ELSE '' END AS amendment_type, '13F HOLDINGS REPORT' AS report_kind, 'reporting:First:28-1|included:Second:' AS notices FROM c WHERE n % 5 <> 0", ctes=_COVERS)
+def _(p):
+    said = F.array_join(F.transform("notices", lambda m: F.concat_ws(":", m["kind"], m["name"], F.coalesce(m["file"], F.lit("")))), "|")
+    return ownership_forms.holdings_covers(_covers(p))[0].select("accession", "manager_cik", "manager", "period", "amendment", "amendment_type", "report_kind", said.alias("notices"))
+
+
+@query("s11_cover_rejects", "positions", "SELECT accession, 'no filing manager' AS reason FROM c WHERE n % 5 = 0", ctes=_COVERS)
+def _(p):
+    return ownership_forms.holdings_covers(_covers(p))[1]
+
+
+@query("s11_summary_differences", "positions", "SELECT accession, entries + 1 AS entries, entries AS found, entries * 1000 AS total_value, entries * 1000 AS found_value FROM c WHERE n % 5 <> 0 AND n % 7 = 0", ctes=_COVERS)
+def _(p):
+    covers = ownership_forms.holdings_covers(_covers(p))[0]
+    return ownership_forms.summary_differences(covers, p.select("accession", F.lit(1000).cast("decimal(24,4)").alias("value")))

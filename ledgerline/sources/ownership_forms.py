@@ -35,8 +35,8 @@ _INSIDER = (
 )
 
 
-def _parsed(documents: DataFrame, schema: str) -> DataFrame:
-    return documents.select("accession", F.from_xml("xml", F.lit(schema), {"ignoreNamespace": "true"}).alias("x"))
+def _parsed(documents: DataFrame, schema: str, *more: str) -> DataFrame:
+    return documents.select("accession", *more, F.from_xml("xml", F.lit(schema), {"ignoreNamespace": "true"}).alias("x"))
 
 
 def insider_owners(documents: DataFrame) -> DataFrame:
@@ -157,3 +157,53 @@ def schedule_narratives(documents: DataFrame) -> DataFrame:
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the repository
+
+
+_MANAGER = "struct<name:string, form13FFileNumber:string>"
+_COVER = (
+    "headerData struct<submissionType:string, filerInfo:struct<periodOfReport:string, filer:struct<credentials:struct<cik:string>>>>, "
+    "formData struct<coverPage:struct<reportCalendarOrQuarter:string, isAmendment:string, amendmentNo:string, amendmentInfo:struct<amendmentType:string>, filingManager:struct<name:string>, reportType:string, "
+    f"otherManagersInfo:struct<otherManager:array<{_MANAGER}>>>, "
+    f"summaryPage:struct<tableEntryTotal:string, tableValueTotal:string, otherIncludedManagersCount:string, otherManagers2Info:struct<otherManager2:array<struct<otherManager:{_MANAGER}>>>>>"
+)
+
+
+def holdings_covers(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(covers, rejects) of primary 13F documents (accession, form, xml).
+
+    covers: accession, manager_cik, manager, period, amendment, amendment_type, amendment_number, report_kind, entries, total_value,
+    included (as reported), notices (kind, name, file: first the managers that report for this one, then those included). A cover
+    without page or manager, or of another type than its submission, is rejected with a reason.
+    """
+    x = _parsed(documents, _COVER, "form")
+    x = x.withColumns({"page": F.col("x.formData.coverPage"), "last": F.col("x.formData.summaryPage"), "head": F.col("x.headerData")})
+    kind = fn.normalize_form(F.coalesce("head.submissionType", F.lit("")))
+    manager = F.coalesce(F.trim("page.filingManager.name"), F.lit(""))
+    reason = F.when(F.col("page").isNull(), "no cover page").when(kind != fn.normalize_form(F.col("form")), "document type differs").when(manager == "", "no filing manager")
+    period = F.coalesce(F.nullif(fn.normalize_date(F.col("page.reportCalendarOrQuarter")), F.lit("")), F.nullif(fn.normalize_date(F.col("head.filerInfo.periodOfReport")), F.lit("")))
+
+    def notices(kind: str, managers: Column) -> Column:
+        named = F.transform(managers, lambda m: F.struct(F.lit(kind).alias("kind"), F.trim(m["name"]).alias("name"), F.trim(m["form13FFileNumber"]).alias("file")))
+        return F.coalesce(named, F.array().cast("array<struct<kind:string, name:string, file:string>>"))
+
+    included = F.filter(F.transform("last.otherManagers2Info.otherManager2", lambda w: w["otherManager"]), lambda m: m.isNotNull())
+    out = x.select(
+        "accession", reason.alias("reason"), F.trim("head.filerInfo.filer.credentials.cik").alias("manager_cik"), manager.alias("manager"), period.alias("period"), (fn.parse_boolean(F.col("page.isAmendment")) | F.col("form").endswith("/A")).alias("amendment"),
+        fn.normalize_amendment(F.col("page.amendmentInfo.amendmentType"), F.col("form")).alias("amendment_type"), F.col("page.amendmentNo").alias("amendment_number"), fn.normalize_form(F.col("page.reportType")).alias("report_kind"),
+        F.col("last.tableEntryTotal").alias("entries"), F.col("last.tableValueTotal").alias("total_value"), F.col("last.otherIncludedManagersCount").alias("included"),
+        F.concat(notices("reporting", F.col("page.otherManagersInfo.otherManager")), notices("included", included)).alias("notices"),
+    )
+    missing = (F.col("amendment_type") == "") & F.col("amendment")
+    out = out.withColumn("amendment_type", F.when(missing, "RESTATEMENT").otherwise(F.col("amendment_type")))
+    return out.where("reason IS NULL").drop("reason"), out.where("reason IS NOT NULL").select("accession", "reason")
+
+
+def summary_differences(covers: DataFrame, positions: DataFrame) -> DataFrame:
+    """accession, entries, found, total_value, found_value: covers whose summary differs from the positions of their tables.
+
+    positions: accession, value. One aggregate by accession, joined once."""
+    sums = positions.groupBy("accession").agg(F.count("*").alias("found"), F.sum("value").alias("found_value"))
+    said = {c: fn.parse_amount(F.col(c)) for c in ("entries", "total_value")}
+    rows = covers.where("entries IS NOT NULL").select("accession", *[v.alias(c) for c, v in said.items()]).join(sums, "accession", "left").na.fill(0, ["found"])
+    rows = rows.withColumn("found_value", F.coalesce("found_value", F.lit(0)).cast(rows.schema["total_value"].dataType))
+    return rows.where(~F.col("entries").eqNullSafe(F.col("found")) | ~F.col("total_value").eqNullSafe(F.col("found_value"))).select("accession", F.col("entries").cast("long").alias("entries"), "found", F.col("total_value").cast("long").alias("total_value"), F.col("found_value").cast("long").alias("found_value"))

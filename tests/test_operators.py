@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import events, facts, market, ownership, predicates
-from ledgerline.sources import landed
+from ledgerline.sources import landed, ownership_forms
 
 FACT = "accession string, instance string, ordinal string, id string, namespace string, local string, value string, context_ref string, unit string, decimals string, precision string, nil boolean, priority int, statement string, group string, metric string, label string, tier string, period string"
 VALUE = "accession string, statement string, group string, metric string, label string, tier string, unit string, period string, namespace string, local string, value string, nil boolean, context_ref string, decimals string"
@@ -113,7 +113,7 @@ def test_feed_reader_sets_dead_letters_apart(spark, tmp_path):
 
 def test_insider_form(spark):
     xml = "<ownershipDocument><issuer><issuerCik>1</issuerCik></issuer><reportingOwner><reportingOwnerId><rptOwnerCik>7</rptOwnerCik></reportingOwnerId></reportingOwner><reportingOwner><reportingOwnerId><rptOwnerCik>8</rptOwnerCik></reportingOwnerId></reportingOwner><nonDerivativeTable><nonDerivativeTransaction><securityTitle><value>Common</value></securityTitle><transactionDate><value>2024-01-02</value></transactionDate><postTransactionAmounts><sharesOwnedFollowingTransaction><value>10</value></sharesOwnedFollowingTransaction></postTransactionAmounts></nonDerivativeTransaction></nonDerivativeTable></ownershipDocument>"
-    got = landed.shred_insider(spark.createDataFrame([("a", xml)], "accession string, xml string")).collect()
+    got = ownership_forms.insider_rows(spark.createDataFrame([("a", xml)], "accession string, xml string")).collect()
     assert sorted((r.owner, r.security, r.shares_after) for r in got) == [("7", "Common", "10"), ("8", "Common", "10")]
 
 
@@ -138,3 +138,14 @@ def test_keyed_table_touches_its_own_buckets(spark, tmp_path):
     assert table.read().count() == 490
     table.vacuum()
     assert table.versions() == [2] and table.read().count() == 490
+
+
+def test_holdings_covers_reject_with_reasons(spark):
+    cover = "<edgarSubmission xmlns='urn:13f'><headerData><submissionType>{type}</submissionType><filerInfo><periodOfReport>03-31-2024</periodOfReport><filer><credentials><cik>7</cik></credentials></filer></filerInfo></headerData><formData>{cover}</formData></edgarSubmission>"
+    page = "<coverPage><reportCalendarOrQuarter/><filingManager><name> M </name></filingManager><reportType>13F  holdings report</reportType></coverPage>"
+    rows = [("a", cover.format(type="13F-HR/A", cover=page), "13F-HR/A"), ("b", cover.format(type="13F-HR", cover=""), "13F-HR"), ("c", cover.format(type="13F-HR", cover=page), "13F-NT"), ("d", cover.format(type="13F-HR", cover=page.replace(" M ", " ")), "13F-HR")]
+    docs = spark.createDataFrame(rows, "accession string, xml string, form string")
+    good, bad = ownership_forms.holdings_covers(docs)
+    (r,) = good.collect()
+    assert (r.manager_cik, r.manager, r.period, r.amendment, r.amendment_type, r.report_kind, r.entries) == ("7", "M", "2024-03-31", True, "RESTATEMENT", "13F HOLDINGS REPORT", None)
+    assert {r.accession: r.reason for r in bad.collect()} == {"b": "no cover page", "c": "document type differs", "d": "no filing manager"}
