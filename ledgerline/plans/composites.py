@@ -87,6 +87,12 @@ def _(*t):
     return composites.coverage_report(_status(t[5], t[0]), _presence(*t)).select("cik", "accession", "status", "missing")
 
 
+@query("a15_quarter_requests", "filings", "SELECT 'index' AS kind, y AS year, q AS quarter FROM (SELECT unnest(range(1993, 2003)) AS y), (SELECT unnest([1, 2, 3, 4]) AS q) WHERE (y, q) NOT IN (SELECT (year(filing_date), quarter(filing_date)) FROM filings) AND (y < 2002 OR q <= 3)")
+def _(f):
+    files = f.select(F.year("filing_date").alias("year"), F.quarter("filing_date").alias("quarter"))
+    return composites.quarter_requests(events.missing_quarters(events.archive_calendar(1993, 2002, 3, f.sparkSession), files))
+
+
 @query("c07_taxonomy_report", FACT_TABLES, f"""SELECT f.accession, count(*) AS facts, count(*) FILTER ({_KNOWN}) AS mapped, any_value(coalesce(issues, 0)) AS issues FROM facts f LEFT JOIN (SELECT accession, count(DISTINCT issue) AS issues FROM (
 SELECT accession, metric, "group", 'several units: ' || metric AS issue FROM best GROUP BY ALL HAVING count(DISTINCT unit) > 1 UNION ALL SELECT accession, metric, "group", 'no values: ' || metric FROM best GROUP BY ALL HAVING count(*) FILTER (NOT nil AND trim(value) <> '') = 0) GROUP BY accession) i ON i.accession = f.accession GROUP BY f.accession""", ctes=_MAPPED)
 def _(f, c, d, u, t, g):

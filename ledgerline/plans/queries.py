@@ -175,6 +175,14 @@ def _(*t):
     return facts.missing_by_tier(_presence(*t))
 
 
+_RELATED = ", ".join(f"('{m}', '{r}')" for m, related in facts.RELATED.items() for r in related)
+
+
+@query("a12_related_evidence", FACT_TABLES + " metrics", f"SELECT p.accession, p.metric, string_agg(q.metric, ',' ORDER BY q.metric) AS related FROM presence p JOIN (VALUES {_RELATED}) AS x(m, r) ON x.m = p.metric JOIN presence q ON q.accession = p.accession AND q.metric = x.r WHERE p.status = 'missing' AND q.status = 'present' GROUP BY ALL", ctes=_PRESENT)
+def _(*t):
+    return facts.related_evidence(_presence(*t))
+
+
 @query("a13_dimensional_evidence", FACT_TABLES + " metrics", "SELECT accession, metric, 'eps_basic' AS evidence FROM presence p WHERE metric = 'eps_diluted' AND status <> 'present' AND EXISTS (SELECT 1 FROM facts f WHERE f.accession = p.accession AND local = 'EarningsPerShareBasic' AND context_ref = 'c4')", ctes=_PRESENT)
 def _(*t):
     return facts.dimensional_evidence(_presence(*t), t[0], t[2])
