@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
-from . import events, facts, market, ownership, predicates
+from . import dividends, events, facts, market, ownership, predicates
 
 #: Version of stored views; views of another version are not read.
 VIEW_VERSION = 1
@@ -14,16 +14,28 @@ VIEW_VERSION = 1
 LISTED, LISTED_TRADES = 250, 100
 
 
-def filing_view(filings: DataFrame, f: DataFrame, contexts: DataFrame, dimensions: DataFrame, units: DataFrame, concepts: DataFrame, specs: DataFrame) -> DataFrame:
-    """One row per filing: status and counts of its source, its statement values, ratios and identity checks (arrays)."""
-    stated = facts.statements(facts.mapped_facts(f, contexts, dimensions, units, concepts, filings))
-    value = F.struct("statement", "group", "metric", "unit", "period", "value", "nil")
-    values = stated.groupBy("accession").agg(F.array_sort(F.collect_list(value)).alias("values"))
-    fractions = facts.ratios(stated, specs).groupBy("accession").agg(F.array_sort(F.collect_list(F.struct("ratio", "unit", "period", "value"))).alias("ratios"))
-    checks = facts.identities(stated).groupBy("accession").agg(F.array_sort(F.collect_list(F.struct("name", "unit", "period", "status", "message"))).alias("checks"))
-    out = facts.view_counts(filings, f, contexts, dimensions).join(filings.select("accession", "cik", "form", "company", "filing_date"), "accession")
-    for part in (values, fractions, checks):
-        out = out.join(part, "accession", "left")
+def filing_view(filings: DataFrame, mapped: DataFrame, f: DataFrame, contexts: DataFrame, dimensions: DataFrame, specs: DataFrame) -> DataFrame:
+    """One row per filing: its metadata, counts of its source, and as arrays its summary, statement values, ratios and identity
+    checks; a part that a filing lacks is empty.
+
+    mapped: facts.mapped_facts. Both summary and statements read it, so store it where it is costly.
+    """
+
+    def part(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+        return rows.groupBy("accession").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
+
+    stated = facts.statements(mapped)
+    cell = ("statement", "group", "metric", "label", "unit", "period", "value", "nil", "context_ref", "decimals")
+    parts = [
+        part(facts.summary(mapped), "summary", *cell),
+        part(stated, "values", *cell),
+        part(facts.ratios(stated, specs), "ratios", "ratio", "group", "unit", "period", "value"),
+        part(facts.identities(stated), "checks", "name", "unit", "period", "status", "expected", "actual", "tolerance", "message"),
+    ]
+    out = facts.view_counts(filings, f, contexts, dimensions).join(filings.select("accession", "cik", "form", "company", "filing_date", "report_date"), "accession")
+    for rows in parts:
+        name = rows.columns[1]
+        out = out.join(rows, "accession", "left").withColumn(name, F.coalesce(name, F.array().cast(rows.schema[name].dataType)))
     return out.withColumn("version", F.lit(VIEW_VERSION))
 
 
@@ -43,11 +55,27 @@ def company_history(stated: DataFrame, filings: DataFrame, cik: str) -> DataFram
     return facts.history(stated, mine).orderBy("statement", "metric", "unit", F.desc("year"))
 
 
-def filing_detail(stated: DataFrame, specs: DataFrame, accession: str) -> DataFrame:
-    """Values and ratios of one filing as lines: kind, name, unit, period, value."""
+def company_page(stated: DataFrame, filings: DataFrame, members: DataFrame, events_: DataFrame, observed: DataFrame, cik: str) -> DataFrame:
+    """Lines of a company's page: section (history or dividends), ticker, statement, name, unit, year, shown. The history is that
+    of company_history; the dividend table keeps its years. A company without annual values has no page."""
+    rows = facts.history(stated, filings.where(F.col("cik") == cik))
+    past = rows.select(F.lit("history").alias("section"), "cik", "statement", F.col("metric").alias("name"), "unit", "year", "value")
+    paid = dividends.dividend_table(events_.where(F.col("cik") == cik), observed.where(F.col("cik") == cik)).join(rows.select("year").distinct(), "year", "left_semi")
+    paid = paid.select(F.lit("dividends").alias("section"), "cik", F.lit("").alias("statement"), F.col("label").alias("name"), F.lit("").alias("unit"), "year", F.array_join("values", "; ").alias("value"))
+    ticker = members.where(F.col("cik") == cik).groupBy("cik").agg(F.min("ticker").alias("ticker"))
+    return past.unionByName(paid).join(ticker, "cik", "left").orderBy("section", "statement", "name", "unit", F.desc("year"))
+
+
+def filing_detail(stated: DataFrame, specs: DataFrame, accession: str, filings: DataFrame, events_: DataFrame, observed: DataFrame) -> DataFrame:
+    """One filing as lines: kind, name, unit, period, value. Values and ratios are the filing's; announced (event) and observed
+    (observation) dividends are those of its company."""
     mine = stated.where(F.col("accession") == accession)
     values = mine.where(~F.col("nil")).select(F.lit("value").alias("kind"), F.col("metric").alias("name"), "unit", "period", "value")
-    return values.unionByName(facts.ratios(mine, specs).select(F.lit("ratio").alias("kind"), F.col("ratio").alias("name"), "unit", "period", "value"))
+    fractions = facts.ratios(mine, specs).select(F.lit("ratio").alias("kind"), F.col("ratio").alias("name"), "unit", "period", "value")
+    company = filings.where(F.col("accession") == accession).select("cik").distinct()
+    told = events_.join(company, "cik", "left_semi").select(F.lit("event").alias("kind"), F.col("status").alias("name"), F.concat("currency", F.lit("/share")).alias("unit"), F.col("declared").alias("period"), F.col("amount").alias("value"))
+    seen = observed.join(company, "cik", "left_semi").select(F.lit("observation").alias("kind"), F.col("kind").alias("name"), F.col("unit_ref").alias("unit"), "period", "value")
+    return values.unionByName(fractions).unionByName(told).unionByName(seen)
 
 
 def search_filings(filings: DataFrame, members: DataFrame, *, limit: int = 200, **filters) -> DataFrame:

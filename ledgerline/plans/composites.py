@@ -6,31 +6,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
-from ..operators import composites, events, facts, market
+from ..operators import composites, dividends, events, facts, market
 from ..sources import landed
 from . import adapters
-from .queries import _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OVERVIEW, _PRESENT, _STATED, _STATUS, _WORK, FACT_TABLES, _mapped, _news, _presence, _status, query
+from .queries import _AMOUNTS, _ANNOUNCED, _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OBSERVED, _OVERVIEW, _PAID, _PRESENT, _RATIOS, _STATED, _STATUS, _WORK, FACT_TABLES, _announced, _mapped, _news, _presence, _status, query
 from .round_trips import _folder, _land_xml, _register
 
 
-@query(
-    "c01_filing_view", FACT_TABLES,
-    """SELECT g.accession, form, (SELECT count(*) FROM facts f WHERE f.accession = g.accession) AS facts, coalesce(n, 0) AS values, coalesce(passed, 0) AS passed, coalesce(failed, 0) AS failed FROM filings g
-LEFT JOIN (SELECT accession, count(*) AS n FROM stated GROUP BY accession) s ON s.accession = g.accession
-LEFT JOIN (SELECT accession, count(*) FILTER (status = 'pass') AS passed, count(*) FILTER (status = 'fail') AS failed FROM checked GROUP BY accession) c ON c.accession = g.accession""",
-    ctes=_CHECKED,
-)
-def _(f, c, d, u, t, g):
-    specs = f.sparkSession.createDataFrame([("current_ratio", "current_assets", "current_liabilities", "multiple")], "ratio string, numerator string, denominator string, style string")
-    view = composites.filing_view(g, f, c, d, u, t, specs)
+#: Text of one element of each array of a view, and the SQL of the same.
+_CELL = ("statement", "group", "metric", "label", "unit", "period", "value", "nil", "context_ref", "decimals")
+_VIEW_PARTS = {"summary": _CELL, "values": _CELL, "ratios": ("ratio", "group", "unit", "period", "value"), "checks": ("name", "unit", "period", "status", "expected", "tolerance", "message")}
+
+
+def _view_text(view: DataFrame) -> DataFrame:
+    """Views with every array as text: fields joined by bars, elements in order of their text."""
+
+    def field(x, name: str):
+        return F.coalesce((x[name].cast("decimal(38,0)") if name in ("expected", "tolerance") else x[name]).cast("string"), F.lit(""))
+
+    def text(name: str):
+        return F.array_join(F.array_sort(F.transform(name, lambda x: F.concat_ws("|", *[field(x, c) for c in _VIEW_PARTS[name]]))), ";").alias(name)
+
+    return view.select("accession", "cik", "form", "company", "filing_date", "report_date", "facts", "instances", "contexts", "dimensional", "status", *map(text, _VIEW_PARTS))
+
+
+def _part_sql(name: str, source: str) -> str:
+    text = " || '|' || ".join(f"""coalesce(CAST("{c}" AS STRING), '')""" for c in _VIEW_PARTS[name])
+    return f"LEFT JOIN (SELECT accession, string_agg(t, ';' ORDER BY t) AS t FROM (SELECT accession, {text} AS t FROM ({source})) GROUP BY accession) {name} ON {name}.accession = g.accession "
 
-    def n(rows, name):
-        return F.greatest(F.size(rows), F.lit(0)).cast("long").alias(name)  # no rows: an array that is null
 
-    def checks(status: str):
-        return F.filter("checks", lambda x: x["status"] == status)
+_VIEW = (
+    "SELECT g.accession, cik, form, company, filing_date, report_date, coalesce(f, 0) AS facts, CASE WHEN f > 0 THEN 1 ELSE 0 END AS instances, coalesce(n, 0) AS contexts, coalesce(d, 0) AS dimensional, CASE WHEN f > 0 THEN 'complete' ELSE 'no_xbrl' END AS status, "
+    + ", ".join(f"coalesce({n}.t, '') AS {n}" for n in _VIEW_PARTS)
+    + " FROM filings g LEFT JOIN (SELECT accession, count(*) AS f, count(*) FILTER (context_ref = 'c4') AS d FROM facts GROUP BY accession) x ON x.accession = g.accession LEFT JOIN (SELECT accession, count(*) AS n FROM contexts GROUP BY accession) k ON k.accession = g.accession "
+    + _part_sql("summary", "SELECT * FROM best") + _part_sql("values", "SELECT * FROM stated") + _part_sql("ratios", _RATIOS)
+    + _part_sql("checks", "SELECT accession, unit, period, name, status, CASE WHEN status <> 'skipped' THEN x END AS expected, CASE WHEN status <> 'skipped' THEN tol END AS tolerance, CASE WHEN status = 'fail' THEN 'reported value differs from identity' ELSE gap END AS message FROM checked")
+)
+
 
-    return view.select("accession", "form", "facts", n("values", "values"), n(checks("pass"), "passed"), n(checks("fail"), "failed"))
+@query("c01_filing_view", FACT_TABLES + " ratios", _VIEW, ctes=_CHECKED + _AMOUNTS)
+def _(f, c, d, u, t, g, r):
+    return _view_text(composites.filing_view(g, _mapped(f, c, d, u, t, g), f, c, d, r))
 
 
 _HISTORY = """SELECT cik, statement, metric, unit, y AS year, value, accession FROM (SELECT *, dense_rank() OVER (PARTITION BY cik ORDER BY y DESC) AS r FROM (
@@ -43,10 +59,24 @@ def _(f, c, d, u, t, g):
     return composites.company_history(facts.statements(_mapped(f, c, d, u, t, g)), g, "0000000007")
 
 
-@query("c03_filing_detail", FACT_TABLES + " ratios", "SELECT 'value' AS kind, metric AS name, unit, period, value FROM stated WHERE NOT nil AND accession = (SELECT min(accession) FROM filings)", ctes=_STATED)
-def _(f, c, d, u, t, g, r):
+_DIVIDEND_TABLES = " announcement_texts announcement_filings"
+
+
+@query("c02_company_page", FACT_TABLES + " members" + _DIVIDEND_TABLES, f"""SELECT l.*, m.ticker FROM (SELECT 'history' AS section, cik, statement, metric AS name, unit, year, value FROM past UNION ALL
+SELECT 'dividends', cik, '', label, '', year, shown FROM ({_PAID}) WHERE cik = '0000000007' AND year IN (SELECT year FROM past)) l LEFT JOIN (SELECT cik, min(ticker) AS ticker FROM members GROUP BY cik) m ON m.cik = l.cik""", ctes=_STATED + f", past AS (SELECT * FROM ({_HISTORY}) WHERE cik = '0000000007')")
+def _(f, c, d, u, t, g, m, texts, told):
+    stated = facts.statements(_mapped(f, c, d, u, t, g))
+    return composites.company_page(stated, g, m, _announced(texts, told), dividends.observations(f, c, g), "0000000007")
+
+
+_FIRST = "(SELECT min(accession) FROM filings)"
+
+
+@query("c03_filing_detail", FACT_TABLES + " ratios" + _DIVIDEND_TABLES, f"""SELECT 'value' AS kind, metric AS name, unit, period, value FROM stated WHERE NOT nil AND accession = {_FIRST} UNION ALL SELECT 'ratio', ratio, unit, period, value FROM ({_RATIOS}) WHERE accession = {_FIRST}
+UNION ALL SELECT 'event', 'announced', 'USD/share', declared, amount FROM ({_ANNOUNCED}) WHERE lpad(cik, 10, '0') = (SELECT cik FROM filings WHERE accession = {_FIRST}) UNION ALL SELECT 'observation', kind, unit_ref, period, value FROM ({_OBSERVED}) WHERE cik = (SELECT cik FROM filings WHERE accession = {_FIRST})""", ctes=_STATED + _AMOUNTS)
+def _(f, c, d, u, t, g, r, texts, told):
     first = g.agg(F.min("accession")).first()[0]
-    return composites.filing_detail(facts.statements(_mapped(f, c, d, u, t, g)), r, first or "").where("kind = 'value'")
+    return composites.filing_detail(facts.statements(_mapped(f, c, d, u, t, g)), r, first or "", g, _announced(texts, told), dividends.observations(f, c, g))
 
 
 @query("c04_filing_search", "filings members", "SELECT f.accession, ticker, filing_date FROM filings f LEFT JOIN members m ON m.cik = f.cik WHERE form = '10-K' AND year(filing_date) = 1997 ORDER BY filing_date DESC, f.accession DESC LIMIT 200")
@@ -193,14 +223,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return composites.feed_cycle(feed, done).select("accession", "company")
 
 
-@_register("s20_views", "filings facts", "SELECT accession, facts FROM (SELECT g.accession, (SELECT count(*) FROM facts f WHERE f.accession = g.accession) AS facts FROM filings g)")
+@_register("s20_views", FACT_TABLES + " ratios", _CHECKED + _AMOUNTS + " " + _VIEW)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views are written as JSON and read back; those of another version are left."""
-    t = {n: adapters.load(spark, sf_dir, n) for n in ("filings", "facts", "contexts", "dimensions")}
-    view = facts.view_counts(t["filings"], t["facts"], t["contexts"], t["dimensions"]).withColumn("version", F.lit(composites.VIEW_VERSION))
+    """Whole nested views are written as JSON and read back; those of another version are left."""
+    f, c, d, u, t, g, r = (adapters.load(spark, sf_dir, n) for n in (FACT_TABLES + " ratios").split())
+    views = composites.filing_view(g, _mapped(f, c, d, u, t, g), f, c, d, r)
     path = _folder(spark, "views")
-    composites.write_views(view.unionByName(view.withColumn("version", F.lit(0))), path)
-    return composites.read_views(spark, path, view.schema).select("accession", "facts")
+    composites.write_views(views, f"{path}/now")
+    composites.write_views(spark.read.schema(views.schema).json(f"{path}/now").withColumn("version", F.lit(0)), f"{path}/old")
+    return _view_text(composites.read_views(spark, f"{path}/*", views.schema))
 
 
 @_register("s04_raw_index", "filings", "SELECT CAST(CAST(cik AS BIGINT) AS STRING) AS cik, company, accession AS path, 'good' AS part FROM filings UNION ALL SELECT NULL, NULL, 'short line', 'rejected'")

@@ -102,16 +102,15 @@ def _(*t):
     return facts.statements(_mapped(*t)).where("metric = 'equity'").select(*_VALUES)
 
 
-@query(
-    "a07_ratios", FACT_TABLES + " ratios",
-    """, amounts AS (SELECT accession, "group", unit, period, metric, max(CAST(value AS HUGEINT)) AS v FROM stated WHERE NOT nil GROUP BY ALL),
+_AMOUNTS = """, amounts AS (SELECT accession, "group", unit, period, metric, max(CAST(value AS HUGEINT)) AS v FROM stated WHERE NOT nil GROUP BY ALL),
 cells AS (SELECT accession, "group", unit, period, map(list(metric ORDER BY metric), list(v ORDER BY metric)) AS m FROM amounts GROUP BY ALL),
 fractions AS (SELECT accession, ratio, "group", unit, period, style, m[numerator] AS n, m[denominator] AS d FROM cells, ratios
   WHERE (ratio IN ('current_ratio', 'debt_to_equity')) = ("group" = 'Instant') AND m[numerator] IS NOT NULL AND m[denominator] <> 0),
-hundredths AS (SELECT *, CASE WHEN n * d < 0 THEN -1 ELSE 1 END * ((2 * abs(n) * CASE style WHEN 'percent' THEN 10000 ELSE 100 END + abs(d)) // (2 * abs(d))) AS h FROM fractions)
-SELECT accession, ratio, "group", unit, period, CASE WHEN h < 0 THEN '-' ELSE '' END || CAST(abs(h) // 100 AS STRING) || '.' || lpad(CAST(abs(h) % 100 AS STRING), 2, '0') || CASE style WHEN 'percent' THEN '%' ELSE 'x' END AS value FROM hundredths""",
-    ctes=_STATED,
-)
+hundredths AS (SELECT *, CASE WHEN n * d < 0 THEN -1 ELSE 1 END * ((2 * abs(n) * CASE style WHEN 'percent' THEN 10000 ELSE 100 END + abs(d)) // (2 * abs(d))) AS h FROM fractions)"""
+_RATIOS = """SELECT accession, ratio, "group", unit, period, CASE WHEN h < 0 THEN '-' ELSE '' END || CAST(abs(h) // 100 AS STRING) || '.' || lpad(CAST(abs(h) % 100 AS STRING), 2, '0') || CASE style WHEN 'percent' THEN '%' ELSE 'x' END AS value FROM hundredths"""
+
+
+@query("a07_ratios", FACT_TABLES + " ratios", _RATIOS, ctes=_STATED + _AMOUNTS)
 def _(f, c, d, u, t, g, r):
     return facts.ratios(facts.statements(_mapped(f, c, d, u, t, g)), r)
 
@@ -255,9 +254,14 @@ def _(*t):
     return facts.view_counts(*t)
 
 
-@query("a16_dividend_observations", "facts contexts dimensions filings", "SELECT DISTINCT d.accession, cik, CASE local WHEN 'DividendsCommonStockCash' THEN 'cash_paid' ELSE 'per_share_declared' END AS kind, CAST(coalesce(instant, end_date) AS STRING) AS period, value, unit_ref FROM dated d JOIN filings g ON g.accession = d.accession WHERE local IN ('DividendsCommonStockCash', 'CommonStockDividendsPerShareDeclared')", ctes=_MAPPED.split("mapped AS", 1)[0].rstrip(",\n "))
-def _(f, c, d, g):
-    return dividends.observations(facts.fact_context(f, c, d), g)
+_OBSERVED = """SELECT DISTINCT f.accession, cik, form, filing_date, CASE local WHEN 'DividendsCommonStockCash' THEN 'cash_paid' ELSE 'per_share_declared' END AS kind, coalesce(CAST(instant AS STRING), CAST(end_date AS STRING), '') AS period, context_ref,
+coalesce(CAST(start_date AS STRING), '') AS context_start, coalesce(CAST(end_date AS STRING), CAST(instant AS STRING), '') AS context_end, value, unit_ref FROM facts f JOIN filings g ON g.accession = f.accession LEFT JOIN contexts c ON c.accession = f.accession AND c.id = context_ref
+WHERE local IN ('DividendsCommonStockCash', 'CommonStockDividendsPerShareDeclared')"""
+
+
+@query("a16_dividend_observations", "facts contexts filings", _OBSERVED)
+def _(f, c, g):
+    return dividends.observations(f, c, g)
 
 
 _ANNOUNCED = """SELECT t.accession, cik, strftime(filing_date, '%Y-%m-%d') AS declared, 'March ' || (1 + CAST(substring(t.accession, 3) AS INT) % 28) || ', 2024' AS ex_date, 'April 2, 2024' AS record_date, 'April ' || (3 + CAST(substring(t.accession, 3) AS INT) % 20) || ', 2024' AS payable_date, (CAST(substring(t.accession, 3) AS INT) % 9) || '.25' AS amount FROM announcement_texts t JOIN announcement_filings f ON f.accession = t.accession"""
@@ -273,6 +277,22 @@ def _(t, f):
     return dividends.year_table(dividends.announcements(t, f))
 
 
+#: An observed value as it is shown: whole dollars, thousands with one decimal at most.
+_SHOWN = "'$' || CASE WHEN CAST(value AS BIGINT) < 1000 THEN value ELSE CAST((CAST(value AS BIGINT) + 50) // 1000 AS STRING) || CASE WHEN (CAST(value AS BIGINT) + 50) // 100 % 10 > 0 THEN '.' || CAST((CAST(value AS BIGINT) + 50) // 100 % 10 AS STRING) ELSE '' END || 'K' END"
+_PAID = f"""SELECT cik, label, year, string_agg(shown, '; ' ORDER BY "first", "second", shown) AS shown FROM (
+SELECT lpad(cik, 10, '0') AS cik, 'Declared cash dividends' AS label, substring(declared, 1, 4) AS year, declared AS "first", substring(sha256(concat_ws('|', accession, declared, ex_date, record_date, payable_date, amount)), 1, 16) AS "second", '$' || amount || '/share · payable ' || payable_date AS shown FROM ({_ANNOUNCED})
+UNION ALL SELECT cik, CASE kind WHEN 'cash_paid' THEN 'Common-stock cash dividends paid' ELSE 'Declared dividends per share' END, substring(period, 1, 4), CAST(filing_date AS STRING), accession, {_SHOWN} FROM ({_OBSERVED}) WHERE period <> '') GROUP BY cik, label, year"""
+
+
+def _announced(texts, filings):
+    return dividends.announcements(texts, filings).withColumn("cik", fn.canonical_cik(F.col("cik")))
+
+
+@query("a19_company_table", "announcement_texts announcement_filings facts contexts filings", _PAID)
+def _(t, g, f, c, filings):
+    return dividends.dividend_table(_announced(t, g), dividends.observations(f, c, filings)).select("cik", "label", "year", F.array_join("values", "; ").alias("shown"))
+
+
 # Ownership.
 _BASE = ", base AS (SELECT manager, period, max(filing_date) AS bd, max_by(accession, strftime(filing_date, '%Y%m%d') || accession) AS ba FROM (SELECT DISTINCT manager, period, accession FROM positions) p JOIN own_filings f USING (accession) WHERE status = 'processed' AND amendment_type <> 'NEW HOLDINGS' GROUP BY ALL), cand AS (SELECT p.*, f.filing_date, f.amendment_type FROM positions p JOIN own_filings f ON f.accession = p.accession LEFT JOIN base b ON b.manager = p.manager AND b.period = p.period WHERE status = 'processed' AND (p.accession = ba OR (amendment_type = 'NEW HOLDINGS' AND (ba IS NULL OR filing_date > bd OR (filing_date = bd AND p.accession > ba)))))"
 
