@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
-from . import dividends, events, facts, market, ownership, predicates
+from . import dividends, events, facts, market, ownership, predicates, sync
 
 #: Version of stored views; views of another version are not read.
 VIEW_VERSION = 1
@@ -194,6 +194,24 @@ def land_prices(current: DataFrame, state: DataFrame, batch: DataFrame, from_dat
     return prices, market.advance_state(state, results), bad
 
 
+def price_pass(stored: sync.Market, securities: DataFrame, provider: sync.Answers, retained: tuple[DataFrame, DataFrame, DataFrame], *, start: str, through: str, now: str, max_items: int | None = None) -> tuple[DataFrame, sync.Answers]:
+    """(judged items, their answers) of one pass over what the securities need from `start` to `through`.
+
+    provider: rows (without recovered) and errors; retained: the batches that market.chosen_batches gives from `start` on (read
+    three times: store them), batch prices and batch actions, which serve bootstraps first. sync.applied gives the tables
+    after the pass.
+    """
+    needs = market.work_queue(market.work(securities, stored.prices, stored.state, stored.repairs, start, through), max_items=max_items)
+    queue = sync.ready(needs, stored.state, now)
+    items, prices, actions = sync.retained_answers(queue, *retained)
+
+    def both(kept: DataFrame, told: DataFrame) -> DataFrame:
+        return kept.withColumn("recovered", F.lit(True)).unionByName(told.select(*kept.columns).withColumn("recovered", F.lit(False)))
+
+    answers = sync.Answers(both(prices, provider.prices), both(actions, provider.actions), provider.errors)
+    return sync.judged_items(both(items, queue), answers), answers
+
+
 def ownership_status(filings: DataFrame, coverage: DataFrame, version: int, *, from_date: str, through: str) -> DataFrame:
     """Outcome counts by family and status beside the latest completed coverage."""
     latest = ownership.latest_coverage(coverage, version).select("family", "completed")

@@ -169,7 +169,12 @@ def chosen_batches(batches: DataFrame, start: str) -> DataFrame:
 
 def recover_batches(batches: DataFrame, start: str) -> DataFrame:
     """symbol, from_date, through, batches: the span that landed batches cover from `start` on, and how many are applied."""
-    return chosen_batches(batches, start).groupBy("symbol").agg(F.first("covered_from").alias("from_date"), F.first("covered_through").alias("through"), F.count("*").alias("batches"))
+    return recovered_spans(chosen_batches(batches, start))
+
+
+def recovered_spans(chosen: DataFrame) -> DataFrame:
+    """recover_batches of batches that are chosen already."""
+    return chosen.groupBy("symbol").agg(F.first("covered_from").alias("from_date"), F.first("covered_through").alias("through"), F.count("*").alias("batches"))
 
 
 def recover_values(rows: DataFrame, batches: DataFrame, start: str, *, key: str = "date", values: list[str]) -> DataFrame:
@@ -177,7 +182,12 @@ def recover_values(rows: DataFrame, batches: DataFrame, start: str, *, key: str
 
     rows: symbol, batch, key and values. A maximum by order, combined before the shuffle.
     """
-    kept = rows.join(chosen_batches(batches, start).select("symbol", "batch", "apply_order"), ["symbol", "batch"])
+    return recovered_values(rows, chosen_batches(batches, start), key=key, values=values)
+
+
+def recovered_values(rows: DataFrame, chosen: DataFrame, *, key: str = "date", values: list[str]) -> DataFrame:
+    """recover_values of batches that are chosen already."""
+    kept = rows.join(chosen.select("symbol", "batch", "apply_order"), ["symbol", "batch"])
     return kept.groupBy("symbol", key).agg(F.max_by(F.struct(*values, "batch"), "apply_order").alias("v")).select("symbol", key, *[f"v.{c}" for c in (*values, "batch")])
 
 

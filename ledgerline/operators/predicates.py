@@ -125,26 +125,33 @@ def needs_import(candidates: DataFrame, stored: DataFrame, version: int) -> Data
     return candidates.join(usable.select("accession"), "accession", "left_anti")
 
 
-def validate_batch(prices: DataFrame, actions: DataFrame, from_date: str, through: str) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejects) of price and action rows, with the first fault as reason."""
+def _unsound(x: str) -> Column:
+    return F.col(x).isNull() | F.isnan(x) | (F.col(x) <= 0) | (F.col(x) == float("inf"))
 
-    def bad(x: str) -> Column:
-        return F.col(x).isNull() | F.isnan(x) | (F.col(x) <= 0) | (F.col(x) == float("inf"))
 
-    span = (F.lit(from_date).cast("date"), F.lit(through).cast("date"))
-    p = prices.withColumn(
-        "reason",
-        F.when(~F.col("date").between(*span), "date outside range").when(bad("close"), "invalid close").when(bad("adjusted_close"), "invalid adjusted close").when(F.col("open").isNotNull() & bad("open"), "invalid open"),
-    )
+def price_fault(lo: Column, hi: Column) -> Column:
+    """The first fault of a price row of the span lo to hi, or null."""
+    outside = F.when(~F.col("date").between(lo, hi), "date outside range")
+    return outside.when(_unsound("close"), "invalid close").when(_unsound("adjusted_close"), "invalid adjusted close").when(F.col("open").isNotNull() & _unsound("open"), "invalid open")
+
+
+def action_fault(lo: Column, hi: Column) -> Column:
+    """The first fault of an action row of the span lo to hi, or null."""
     split = F.col("numerator").isNotNull() | F.col("denominator").isNotNull()
-    a = actions.withColumn(
-        "reason",
-        F.when(~F.col("date").between(*span), "date outside range")
-        .when((F.col("action_type") == "dividend") & (bad("amount") | split), "invalid dividend")
-        .when((F.col("action_type") == "split") & (bad("numerator") | bad("denominator") | F.col("amount").isNotNull()), "invalid split")
-        .when(~F.col("action_type").isin("dividend", "split"), "unknown action"),
+    return (
+        F.when(~F.col("date").between(lo, hi), "date outside range")
+        .when((F.col("action_type") == "dividend") & (_unsound("amount") | split), "invalid dividend")
+        .when((F.col("action_type") == "split") & (_unsound("numerator") | _unsound("denominator") | F.col("amount").isNotNull()), "invalid split")
+        .when(~F.col("action_type").isin("dividend", "split"), "unknown action")
     )
-    both = p.withColumn("record_type", F.lit("price")).unionByName(a.withColumn("record_type", F.lit("action")), allowMissingColumns=True)
+
+
+def validate_batch(prices: DataFrame, actions: DataFrame, from_date: str, through: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejects) of price and action rows, with the first fault as reason."""
+    span = (F.lit(from_date).cast("date"), F.lit(through).cast("date"))
+    p = prices.withColumns({"reason": price_fault(*span), "record_type": F.lit("price")})
+    a = actions.withColumns({"reason": action_fault(*span), "record_type": F.lit("action")})
+    both = p.unionByName(a, allowMissingColumns=True)
     return both.where("reason is null").drop("reason"), both.where("reason is not null")
 
 

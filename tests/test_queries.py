@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from ledgerline.plans import adapters, composites, form_queries, function_queries, more, queries, round_trips, submission_queries  # noqa: F401
+from ledgerline.plans import adapters, composites, form_queries, function_queries, more, pass_queries, queries, round_trips, submission_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver's tables")
