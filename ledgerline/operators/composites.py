@@ -117,6 +117,35 @@ def coverage_report(status: DataFrame, presence: DataFrame) -> DataFrame:
     return rows.orderBy("cik", "filing_date", "accession")
 
 
+def coverage_filings(status: DataFrame, listed: DataFrame, f: DataFrame, dimensions: DataFrame) -> DataFrame:
+    """Every filing of the index with its status and, where it is parsed, what facts.presence_by_filing says and the metrics
+    that it reports under dimensions only (dimensional); by company, date and accession."""
+    gone = listed.where(F.array_contains("missing", "eps_diluted")).select("accession", F.lit("eps_diluted").alias("metric"), F.lit("missing").alias("status"))
+    found = facts.dimensional_evidence(gone, f, dimensions).select("accession", F.create_map("metric", F.array("evidence")).alias("dimensional"))
+    rows = status.join(listed, "accession", "left").join(found, "accession", "left")
+    parsed = {c: F.when(F.col("status") == "parsed", F.col(c)) for c in ("metrics", "missing", "by_tier", "related", "dimensional")}
+    return rows.withColumns(parsed).orderBy("cik", "filing_date", "accession")
+
+
+def coverage_totals(report: DataFrame) -> DataFrame:
+    """One row of a report of coverage_filings: filings by status, those with missing metrics, and by_tier, the number of them
+    in each tier."""
+    tiers = report.select(F.explode(F.map_keys("by_tier")).alias("tier")).groupBy("tier").agg(F.count("*").alias("n"))  # a few rows
+    by_tier = tiers.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("tier", "n")))).alias("by_tier"))
+    missing = report.where(F.size("missing") > 0).select("accession")
+    return events.coverage_summary(report, missing).crossJoin(by_tier)
+
+
+def coverage_requests(status: DataFrame, quarters: DataFrame) -> DataFrame:
+    """What has to be fetched: index quarters by year, and missing filings by company, form and year; kind, year, quarters,
+    cik, form, filings, in order of kind, year, company and form."""
+    index = quarters.groupBy("year").agg(F.array_sort(F.collect_set("quarter")).alias("quarters"))
+    index = index.select(F.lit("index").alias("kind"), F.col("year").cast("int").alias("year"), "quarters", F.lit("").alias("cik"), F.lit("").alias("form"), F.lit(0).cast("long").alias("filings"))
+    none = F.array().cast(index.schema["quarters"].dataType)
+    gone = events.acquisition(status).select(F.lit("filings").alias("kind"), F.col("year").cast("int").alias("year"), none.alias("quarters"), "cik", "form", "filings")
+    return gone.unionByName(index).orderBy("kind", "year", "cik", "form")
+
+
 def write_report(report: DataFrame, path: str, *, form: str = "json") -> None:
     """A report as JSON lines, or as text with a tab between the columns."""
     if form not in ("json", "text"):

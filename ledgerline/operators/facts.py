@@ -277,6 +277,34 @@ def missing_by_tier(presence: DataFrame, tier: str = "core") -> DataFrame:
     return gone.groupBy("accession").agg(F.array_join(F.array_sort(F.collect_set("metric")), ",").alias("missing"), F.count("*").alias("n"))
 
 
+def presence_by_filing(values: DataFrame, metrics: DataFrame, filings: DataFrame) -> DataFrame:
+    """One row per filing: metrics (map to present, missing or supplemental_missing), missing (sorted), by_tier (map of the
+    missing ones) and related (map of missing metrics to those present that hint at them, as RELATED orders them).
+
+    The metrics that a filing has are gathered once and held against the list of all (nineteen), so filings times metrics
+    are never rows.
+    """
+    there = values.where(~F.col("nil")).groupBy("accession").agg(F.collect_set("metric").alias("present"))
+    tier = F.when(F.trim(F.coalesce("tier", F.lit(""))) == "", "core").otherwise(F.trim("tier"))
+    listed = metrics.agg(F.array_sort(F.collect_set(F.struct("metric", tier.alias("tier")))).alias("listed"))
+    rows = filings.select("accession").join(there, "accession", "left").crossJoin(F.broadcast(listed)).withColumn("present", F.coalesce("present", F.array().cast("array<string>")))
+
+    def status(m: Column) -> Column:
+        return F.when(F.array_contains("present", m["metric"]), "present").when(m["tier"] == "supplemental", "supplemental_missing").otherwise("missing")
+
+    rows = rows.withColumn("gone", F.filter("listed", lambda m: status(m) == "missing"))
+    tiers = F.array_sort(F.array_distinct(F.transform("gone", lambda m: m["tier"])))
+    hints = F.create_map(*[x for m, rs in RELATED.items() for x in (F.lit(m), F.array(*map(F.lit, rs)))])
+    related = F.transform("gone", lambda m: F.struct(m["metric"].alias("key"), F.array_intersect(F.coalesce(hints[m["metric"]], F.array().cast("array<string>")), F.col("present")).alias("value")))
+    return rows.select(
+        "accession",
+        F.map_from_entries(F.transform("listed", lambda m: F.struct(m["metric"], status(m)))).alias("metrics"),
+        F.transform("gone", lambda m: m["metric"]).alias("missing"),
+        F.map_from_entries(F.transform(tiers, lambda t: F.struct(t, F.transform(F.filter("gone", lambda m: m["tier"] == t), lambda m: m["metric"])))).alias("by_tier"),
+        F.map_from_entries(F.filter(related, lambda r: F.size(r["value"]) > 0)).alias("related"),
+    )
+
+
 def related_evidence(presence: DataFrame) -> DataFrame:
     """Missing metrics whose related metrics are present."""
     pairs = presence.sparkSession.createDataFrame([(m, r) for m, rs in RELATED.items() for r in rs], "metric string, related string")

@@ -9,7 +9,7 @@ from ..functions import scalars as fn
 from ..operators import composites, dividends, events, facts, market
 from ..sources import landed
 from . import adapters
-from .queries import _AMOUNTS, _ANNOUNCED, _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OBSERVED, _OVERVIEW, _PAID, _PRESENT, _RATIOS, _STATED, _STATUS, _WORK, FACT_TABLES, _announced, _mapped, _news, _presence, _status, query
+from .queries import _AMOUNTS, _ANNOUNCED, _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OBSERVED, _OVERVIEW, _PAID, _PRESENT, _RATIOS, _RELATED, _STATED, _STATUS, _WORK, FACT_TABLES, _announced, _mapped, _news, _presence, _status, query
 from .round_trips import _folder, _land_xml, _register
 
 
@@ -117,6 +117,50 @@ def _(*t):
     return composites.coverage_report(_status(t[5], t[0]), _presence(*t)).select("cik", "accession", "status", "missing")
 
 
+_REPORTED = _PRESENT + _STATUS + f""", gone AS (SELECT accession, metric, tier FROM presence WHERE status = 'missing'),
+lists AS (SELECT p.accession, string_agg(metric || '=' || p.status, ',' ORDER BY metric) AS metrics, coalesce(string_agg(metric, ',' ORDER BY metric) FILTER (p.status = 'missing'), '') AS missing FROM presence p GROUP BY p.accession),
+tiers AS (SELECT accession, string_agg(t, ';' ORDER BY t) AS t FROM (SELECT accession, tier || ':' || string_agg(metric, ',' ORDER BY metric) AS t FROM gone GROUP BY accession, tier) GROUP BY accession),
+hints AS (SELECT accession, string_agg(t, ';' ORDER BY t) AS t FROM (SELECT g.accession, g.metric || ':' || string_agg(q.metric, ',' ORDER BY q.metric) AS t FROM gone g JOIN (VALUES {_RELATED}) AS x(m, r) ON x.m = g.metric JOIN presence q ON q.accession = g.accession AND q.metric = x.r WHERE q.status = 'present' GROUP BY g.accession, g.metric) GROUP BY accession),
+basic AS (SELECT DISTINCT accession FROM facts WHERE local = 'EarningsPerShareBasic' AND context_ref = 'c4'),
+report AS (SELECT st.cik, st.accession, st.filing_date, st.status, CASE WHEN parsed THEN metrics ELSE '' END AS metrics, CASE WHEN parsed THEN missing ELSE '' END AS missing, CASE WHEN parsed THEN coalesce(r.t, '') ELSE '' END AS by_tier, CASE WHEN parsed THEN coalesce(h.t, '') ELSE '' END AS related,
+  CASE WHEN parsed AND b.accession IS NOT NULL AND e.accession IS NOT NULL THEN 'eps_diluted:eps_basic' ELSE '' END AS dimensional FROM (SELECT *, status = 'parsed' AS parsed FROM st) st JOIN lists l ON l.accession = st.accession LEFT JOIN tiers r ON r.accession = st.accession LEFT JOIN hints h ON h.accession = st.accession
+  LEFT JOIN basic b ON b.accession = st.accession LEFT JOIN gone e ON e.accession = st.accession AND e.metric = 'eps_diluted')"""
+
+
+def _covered(*t):
+    listed = facts.presence_by_filing(facts.statements(_mapped(*t[:6])), t[6], t[5])
+    return composites.coverage_filings(_status(t[5], t[0]), listed, t[0], t[2])
+
+
+def _listed(column: str):
+    """A map of arrays as text, all in order."""
+    lines = F.transform(F.map_entries(column), lambda e: F.concat(e["key"], F.lit(":"), F.array_join(F.array_sort(e["value"]), ",")))
+    return F.coalesce(F.array_join(F.array_sort(lines), ";"), F.lit("")).alias(column)
+
+
+@query("c06_filings", FACT_TABLES + " metrics", "SELECT * FROM report", ctes=_REPORTED)
+def _(*t):
+    """The whole report line of each filing."""
+    metrics = F.array_join(F.array_sort(F.transform(F.map_entries("metrics"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
+    texts = [F.coalesce(x, F.lit("")).alias(n) for n, x in (("metrics", metrics), ("missing", F.array_join("missing", ",")))]
+    return _covered(*t).select("cik", "accession", "filing_date", "status", *texts, *map(_listed, ("by_tier", "related", "dimensional")))
+
+
+@query("c06_totals", FACT_TABLES + " metrics", """SELECT count(*) AS expected, count(*) FILTER (status <> 'missing') AS downloaded, count(*) FILTER (status = 'parsed') AS parsed, count(*) FILTER (status = 'missing') AS missing, count(*) FILTER (status = 'downloaded') AS unparsed, count(*) FILTER (missing <> '') AS with_missing_metrics,
+(SELECT string_agg(tier || ':' || n, ';' ORDER BY tier) FROM (SELECT tier, count(DISTINCT gone.accession) AS n FROM gone JOIN st ON st.accession = gone.accession WHERE status = 'parsed' GROUP BY tier)) AS by_tier FROM (SELECT st.status, report.missing AS missing FROM st JOIN report ON report.accession = st.accession)""", ctes=_REPORTED)
+def _(*t):
+    tiers = F.transform(F.map_entries("by_tier"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
+    return composites.coverage_totals(_covered(*t)).withColumn("by_tier", F.array_join(F.array_sort(tiers), ";"))
+
+
+@query("c06_requests", "filings facts", """SELECT 'filings' AS kind, CAST(year(filing_date) AS INT) AS year, '' AS quarters, cik, form, count(*) AS filings FROM st WHERE status = 'missing' GROUP BY ALL UNION ALL
+SELECT 'index', CAST(y AS INT), string_agg(q, ',' ORDER BY q), '', '', 0 FROM (SELECT unnest(range(1993, 2003)) AS y), (SELECT unnest([1, 2, 3, 4]) AS q) WHERE (y, q) NOT IN (SELECT (year(filing_date), quarter(filing_date)) FROM filings) AND (y < 2002 OR q <= 3) GROUP BY y""", ctes=_STATUS)
+def _(g, f):
+    files = g.select(F.year("filing_date").alias("year"), F.quarter("filing_date").alias("quarter"))
+    quarters = events.missing_quarters(events.archive_calendar(1993, 2002, 3, g.sparkSession), files)
+    return composites.coverage_requests(_status(g, f), quarters).withColumn("quarters", F.array_join(F.transform("quarters", lambda q: q.cast("string")), ","))
+
+
 @query("a15_quarter_requests", "filings", "SELECT 'index' AS kind, y AS year, q AS quarter FROM (SELECT unnest(range(1993, 2003)) AS y), (SELECT unnest([1, 2, 3, 4]) AS q) WHERE (y, q) NOT IN (SELECT (year(filing_date), quarter(filing_date)) FROM filings) AND (y < 2002 OR q <= 3)")
 def _(f):
     files = f.select(F.year("filing_date").alias("year"), F.quarter("filing_date").alias("quarter"))

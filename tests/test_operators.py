@@ -149,3 +149,14 @@ def test_holdings_covers_reject_with_reasons(spark):
     (r,) = good.collect()
     assert (r.manager_cik, r.manager, r.period, r.amendment, r.amendment_type, r.report_kind, r.entries) == ("7", "M", "2024-03-31", True, "RESTATEMENT", "13F HOLDINGS REPORT", None)
     assert {r.accession: r.reason for r in bad.collect()} == {"b": "no cover page", "c": "document type differs", "d": "no filing manager"}
+
+
+def test_coverage_report_says_what_is_missing_and_what_hints_at_it(spark):
+    values = spark.createDataFrame([value("liabilities_and_equity", "9", acc="a"), value("eps_basic", "1", acc="a"), value("cash", "1", acc="b", nil=True)], VALUE)
+    metrics = spark.createDataFrame([("eps_diluted", "core"), ("eps_basic", "supplemental"), ("liabilities", ""), ("liabilities_and_equity", "supplemental"), ("cash", "industry_sensitive")], "metric string, tier string")
+    filings = spark.createDataFrame([("a",), ("b",)], "accession string")
+    got = {r.accession: r for r in facts.presence_by_filing(values, metrics, filings).collect()}
+    assert got["a"].metrics == {"cash": "missing", "eps_basic": "present", "eps_diluted": "missing", "liabilities": "missing", "liabilities_and_equity": "present"}
+    assert got["a"].missing == ["cash", "eps_diluted", "liabilities"] and got["a"].by_tier == {"core": ["eps_diluted", "liabilities"], "industry_sensitive": ["cash"]}
+    assert got["a"].related == {"eps_diluted": ["eps_basic"], "liabilities": ["liabilities_and_equity"]}
+    assert got["b"].metrics["eps_basic"] == "supplemental_missing" and got["b"].missing == got["a"].missing and got["b"].related == {}
