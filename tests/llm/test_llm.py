@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import struct
 import zlib
 
@@ -356,6 +357,16 @@ def test_html_deep_wide_and_named_pages():
     assert html.main_text(page, frozenset(), frozenset()) == "T\n12\nbody"
 
 
+def test_html_of_unclosed_tags_is_read_once():
+    """A megabyte of each takes well under a second; trees are those of short pages."""
+    for piece in ("<a ", "<!x", "</"):
+        for tail in ("", "<!-- open"):
+            start = time.perf_counter()
+            root = html.parse("<p>t</p>" + piece * 350000 + tail)
+            assert time.perf_counter() - start < 5
+            assert root.items[0].items == ["t"] and root.items[1] == piece * 350000
+
+
 def test_tree_matching_against_all_matchings():
     """Size of the matching equals a plain recursion over all order-preserving matchings."""
 
