@@ -147,7 +147,7 @@ def _(*t):
 
 
 @query("c06_totals", FACT_TABLES + " metrics", """SELECT count(*) AS expected, count(*) FILTER (status <> 'missing') AS downloaded, count(*) FILTER (status = 'parsed') AS parsed, count(*) FILTER (status = 'missing') AS missing, count(*) FILTER (status = 'downloaded') AS unparsed, count(*) FILTER (missing <> '') AS with_missing_metrics,
-(SELECT string_agg(tier || ':' || n, ';' ORDER BY tier) FROM (SELECT tier, count(DISTINCT gone.accession) AS n FROM gone JOIN st ON st.accession = gone.accession WHERE status = 'parsed' GROUP BY tier)) AS by_tier FROM (SELECT st.status, report.missing AS missing FROM st JOIN report ON report.accession = st.accession)""", ctes=_REPORTED)
+(SELECT coalesce(string_agg(tier || ':' || n, ';' ORDER BY tier), '') FROM (SELECT tier, count(DISTINCT gone.accession) AS n FROM gone JOIN st ON st.accession = gone.accession WHERE status = 'parsed' GROUP BY tier)) AS by_tier FROM (SELECT st.status, report.missing AS missing FROM st JOIN report ON report.accession = st.accession)""", ctes=_REPORTED)
 def _(*t):
     tiers = F.transform(F.map_entries("by_tier"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
     return composites.coverage_totals(_covered(*t)).withColumn("by_tier", F.array_join(F.array_sort(tiers), ";"))
