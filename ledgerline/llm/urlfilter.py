@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .shared import materialize
 
 #: The rules that decide before any list: (verdict, host, path); a rule is written host + path.
-RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 #: Hosts of spam, blocked with their subdomains where no rule fits.
 BLOCKED_HOSTS = ["cheap-pills.example.com", "spam-farm.example.org"]
 
