@@ -36,7 +36,9 @@ _INSIDER = (
 
 
 def _parsed(documents: DataFrame, schema: str, *more: str) -> DataFrame:
-    return documents.select("accession", *more, F.from_xml("xml", F.lit(schema), {"ignoreNamespace": "true"}).alias("x"))
+    """Documents with their fields as x. Filters on fields stop at the generator; pushed below it they would parse each document again."""
+    x = F.from_xml("xml", F.lit(schema), {"ignoreNamespace": "true"})
+    return documents.select("accession", *more, F.inline(F.array(F.struct(x.alias("x")))))
 
 
 def insider_owners(documents: DataFrame) -> DataFrame:

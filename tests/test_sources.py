@@ -60,3 +60,11 @@ def test_price_batches_reject(spark, tmp_path, row, reason):
     good, bad = landed.read_price_batches(spark, str(folder), identity="/([^/]+)/[^/]+$")
     assert {r.reason for r in bad.collect()} == ({reason} if reason else set())
     assert good.count() == (3 if not reason else 1 if "duplicate" in reason else 2)
+
+
+def test_a_form_is_parsed_once(spark):
+    from ledgerline.sources import ownership_forms
+
+    forms = spark.createDataFrame([("a", "<edgarSubmission/>", "13F-HR")], "accession string, xml string, form string")
+    for rows in (ownership_forms.schedule_reports(forms)[0], ownership_forms.holdings_covers(forms)[0]):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
