@@ -160,3 +160,13 @@ def test_coverage_report_says_what_is_missing_and_what_hints_at_it(spark):
     assert got["a"].missing == ["cash", "eps_diluted", "liabilities"] and got["a"].by_tier == {"core": ["eps_diluted", "liabilities"], "industry_sensitive": ["cash"]}
     assert got["a"].related == {"eps_diluted": ["eps_basic"], "liabilities": ["liabilities_and_equity"]}
     assert got["b"].metrics["eps_basic"] == "supplemental_missing" and got["b"].missing == got["a"].missing and got["b"].related == {}
+
+
+def test_metrics_are_not_shuffled_for_each_filing(spark):
+    values = spark.createDataFrame([("a", "cash", False), ("a", "cash", False), ("a", "eps", True), ("b", None, False)], "accession string, metric string, nil boolean")
+    metrics = spark.createDataFrame([("cash", "core"), ("eps", "supplemental"), ("assets", None)], "metric string, tier string")
+    filings = spark.createDataFrame([("a",), ("b",), ("c",)], "accession string")
+    rows = facts.metric_presence(values, metrics, filings)
+    assert sorted((r.accession, r.metric, r.status) for r in rows.collect()) == sorted((a, m, "present" if (a, m) == ("a", "cash") else "supplemental_missing" if m == "eps" else "missing") for a in "abc" for m in ("cash", "eps", "assets"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "metric" in line]
