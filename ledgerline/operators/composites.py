@@ -40,8 +40,8 @@ def filing_view(filings: DataFrame, mapped: DataFrame, f: DataFrame, contexts: D
 
 
 def write_views(views: DataFrame, path: str) -> None:
-    """Nested JSON, one line per view."""
-    views.write.json(path)
+    """Nested JSON, one line per view, compressed: names and repeated cells make up most of it."""
+    views.write.option("compression", "gzip").json(path)
 
 
 def read_views(spark, path: str, schema) -> DataFrame:

@@ -170,3 +170,12 @@ def test_metrics_are_not_shuffled_for_each_filing(spark):
     assert sorted((r.accession, r.metric, r.status) for r in rows.collect()) == sorted((a, m, "present" if (a, m) == ("a", "cash") else "supplemental_missing" if m == "eps" else "missing") for a in "abc" for m in ("cash", "eps", "assets"))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "metric" in line]
+
+
+def test_stored_views_are_compressed(spark, tmp_path):
+    from ledgerline.operators import composites
+
+    views = spark.createDataFrame([("a", 1, ["x"]), ("b", 0, [])], "accession string, version int, cells array<string>")
+    composites.write_views(views, f"{tmp_path}/v")
+    assert {p.suffix for p in (tmp_path / "v").glob("part-*")} == {".gz"}
+    assert [tuple(r) for r in composites.read_views(spark, f"{tmp_path}/v", views.schema).collect()] == [("a", 1, ["x"])]
