@@ -216,5 +216,7 @@ def metric_lines(one_row: DataFrame) -> DataFrame:
 
 
 def fx_pivot(observations: DataFrame) -> DataFrame:
-    """One CSV-ready row per observation: sorted key columns, value with four decimals."""
-    return observations.select("currency", "denominator", "time", F.format_string("%.4f", "value").alias("value")).orderBy("currency", "denominator", "time")
+    """One CSV-ready row per observation: sorted key columns, value with as many decimals as tell it from others, no exponent."""
+    text = F.col("value").cast("string")
+    plain = F.when(text.contains("E"), F.coalesce(text.try_cast("decimal(38,18)").cast("string"), text)).otherwise(text)
+    return observations.select("currency", "denominator", "time", F.regexp_replace(plain, r"(\.\d*?)0+$", "$1").alias("v")).select("currency", "denominator", "time", F.regexp_replace("v", r"\.$", "").alias("value")).orderBy("currency", "denominator", "time")

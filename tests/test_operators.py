@@ -179,3 +179,8 @@ def test_stored_views_are_compressed(spark, tmp_path):
     composites.write_views(views, f"{tmp_path}/v")
     assert {p.suffix for p in (tmp_path / "v").glob("part-*")} == {".gz"}
     assert [tuple(r) for r in composites.read_views(spark, f"{tmp_path}/v", views.schema).collect()] == [("a", 1, ["x"])]
+
+
+def test_exported_rates_keep_their_decimals(spark):
+    rows = spark.createDataFrame([("A", "EUR", "1", 12345.49996), ("A", "EUR", "2", 12345678.5), ("A", "EUR", "3", 100.0), ("A", "EUR", "4", None)], "currency string, denominator string, time string, value double")
+    assert [r.value for r in market.fx_pivot(rows).collect()] == ["12345.49996", "12345678.5", "100", None]
