@@ -54,8 +54,15 @@ SELECT g.cik, s.*, CASE WHEN period LIKE 'FY%' THEN substring(period, 3, 4) ELSE
 WHERE form IN ('10-K', '10-K/A') AND "group" IN ('Fiscal year', 'Instant') AND NOT nil QUALIFY row_number() OVER (PARTITION BY cik, statement, metric, unit, y ORDER BY filing_date DESC, g.accession DESC, period DESC, local) = 1)) WHERE r <= 10"""
 
 
+def _of_company(f: DataFrame, g: DataFrame, cik: str) -> tuple[DataFrame, DataFrame]:
+    """(facts, filings) of one company, so that a page is not made of the statements of all."""
+    mine = g.where(F.col("cik") == cik)
+    return f.join(F.broadcast(mine.select("accession")), "accession", "left_semi"), mine
+
+
 @query("c02_company_history", FACT_TABLES, f"SELECT * FROM ({_HISTORY}) WHERE cik = '0000000007'", ctes=_STATED)
 def _(f, c, d, u, t, g):
+    f, g = _of_company(f, g, "0000000007")
     return composites.company_history(facts.statements(_mapped(f, c, d, u, t, g)), g, "0000000007")
 
 
@@ -65,6 +72,7 @@ _DIVIDEND_TABLES = " announcement_texts announcement_filings"
 @query("c02_company_page", FACT_TABLES + " members" + _DIVIDEND_TABLES, f"""SELECT l.*, m.ticker FROM (SELECT 'history' AS section, cik, statement, metric AS name, unit, year, value FROM past UNION ALL
 SELECT 'dividends', cik, '', label, '', year, shown FROM ({_PAID}) WHERE cik = '0000000007' AND year IN (SELECT year FROM past)) l LEFT JOIN (SELECT cik, min(ticker) AS ticker FROM members GROUP BY cik) m ON m.cik = l.cik""", ctes=_STATED + f", past AS (SELECT * FROM ({_HISTORY}) WHERE cik = '0000000007')")
 def _(f, c, d, u, t, g, m, texts, told):
+    f, g = _of_company(f, g, "0000000007")
     stated = facts.statements(_mapped(f, c, d, u, t, g))
     return composites.company_page(stated, g, m, _announced(texts, told), dividends.observations(f, c, g), "0000000007")
 

@@ -45,3 +45,12 @@ def test_lint_and_identities_read_their_values_once(spark):
     values = spark.createDataFrame(rows, VALUE)
     assert reads(facts.lint(values)) == 1 and reads(facts.identities(values)) == 1
     assert sorted(r.issue for r in facts.lint(values).collect()) == ["invalid period in spring: equity", "no values: cash", "no values: equity", "several units: assets"]
+
+
+@needs_tables
+def test_a_page_is_made_of_its_companys_facts(spark):
+    f, g = (adapters.load(spark, SF, n) for n in ("facts", "filings"))
+    mine, own = plans._of_company(f, g, "0000000007")
+    assert mine.count() == f.where("accession like '0000000007-%'").count() > 0 and {r.cik for r in own.collect()} == {"0000000007"}
+    lines = plan(queries.QUERIES["c02_company_page"](spark, SF))
+    assert any("LeftSemi" in x for x in lines)
