@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as fn
 from ..operators import dividends, events, facts, market, ownership, predicates
 from .queries import _ANNOUNCED, _BASE, _KNOWN, _MAPPED, _PRESENT, _STATED, _VALUE_SQL, _VALUES, FACT_TABLES, ORACLES, _mapped, _presence, query
+from .round_trips import _stored
 
 
 @query("k06_securities", "positions", "SELECT cusip AS security, CASE WHEN n % 3 = 1 THEN m ELSE 'new' END AS issuer, CASE WHEN n % 2 = 0 THEN title ELSE 'renamed' END AS title, c AS security_class, 'equity' AS kind FROM s", ctes=", s AS (SELECT cusip, max(title) AS title, min(security_class) AS c, min(manager) AS m, CAST(substring(cusip, 2) AS INT) AS n FROM positions GROUP BY cusip)")
@@ -174,7 +175,8 @@ def _(f, t):
 
 @query("t08_statement_order", FACT_TABLES, f"SELECT {_VALUE_SQL} FROM stated", ctes=_STATED)
 def _(*t):
-    return facts.statement_order(facts.statements(_mapped(*t))).select(*_VALUES)
+    """Stored before the sort, which reads its input twice."""
+    return facts.statement_order(_stored(facts.statements(_mapped(*t)).select(*_VALUES, "label"), "stated")).select(*_VALUES)
 
 
 @query("u05_issue_union", FACT_TABLES, "SELECT accession, 'failed: ' || metric AS issue FROM best WHERE nil UNION SELECT accession, 'unit: ' || unit FROM best WHERE unit LIKE 'unknown%'", ctes=_MAPPED)

@@ -29,6 +29,13 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back, for what is read more than once."""
+    path = _folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _register(name: str, tables: str, sql: str | None):
     if name in QUERIES:
         raise ValueError(f"two queries are named {name}")

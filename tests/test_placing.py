@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerline.operators import composites, facts
 from ledgerline.plans import adapters, queries
@@ -54,3 +53,13 @@ def test_a_page_is_made_of_its_companys_facts(spark):
     assert mine.count() == f.where("accession like '0000000007-%'").count() > 0 and {r.cik for r in own.collect()} == {"0000000007"}
     lines = plan(queries.QUERIES["c02_company_page"](spark, SF))
     assert any("LeftSemi" in x for x in lines)
+
+
+@needs_tables
+def test_what_a_sort_reads_twice_is_stored(spark):
+    assert not any("lineitem" in x or "orders" in x for x in queries.QUERIES["t08_statement_order"](spark, SF).inputFiles())
+
+
+def test_statements_are_sorted_once_for_their_windows(spark):
+    made = facts.stated(spark.createDataFrame([value("assets", "100")], VALUE).repartition("accession"))
+    assert sum(x.strip(" :+-").startswith("Sort [") for x in plan(made)) == 1
