@@ -110,9 +110,10 @@ def company_trades(transactions: DataFrame, filings: DataFrame, issuer: str) ->
     return rows.orderBy(F.desc("transaction_date"), F.desc("filing_date"), F.desc("accession"), "row_number").limit(LISTED_TRADES)
 
 
-def coverage_report(status: DataFrame, presence: DataFrame) -> DataFrame:
-    """Every filing of the index with its status and missing core metrics, by company, date and accession."""
-    missing = facts.missing_by_tier(presence).select("accession", "missing")
+def coverage_report(status: DataFrame, listed: DataFrame) -> DataFrame:
+    """Every filing of the index with its status and missing core metrics, by company, date and accession; listed:
+    facts.presence_by_filing."""
+    missing = listed.select("accession", F.array_join(F.col("by_tier")["core"], ",").alias("missing"))
     rows = status.join(missing, "accession", "left").withColumn("missing", F.when(F.col("status") == "parsed", F.coalesce("missing", F.lit(""))).otherwise(""))
     return rows.orderBy("cik", "filing_date", "accession")
 

@@ -10,7 +10,7 @@ from ..operators import composites, dividends, events, facts, market
 from ..sources import landed
 from . import adapters
 from .queries import _AMOUNTS, _ANNOUNCED, _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OBSERVED, _OVERVIEW, _PAID, _PRESENT, _RATIOS, _RELATED, _STATED, _STATUS, _WORK, FACT_TABLES, _announced, _mapped, _news, _presence, _status, query
-from .round_trips import _folder, _land_xml, _register
+from .round_trips import _folder, _land_xml, _register, _stored
 
 
 #: Text of one element of each array of a view, and the SQL of the same.
@@ -122,7 +122,10 @@ def _(t, f):
     ctes=_PRESENT + _STATUS,
 )
 def _(*t):
-    return composites.coverage_report(_status(t[5], t[0]), _presence(*t)).select("cik", "accession", "status", "missing")
+    """Stored before the sort, which reads its input twice."""
+    listed = facts.presence_by_filing(facts.statements(_mapped(*t[:6])), t[6], t[5]).select("accession", "by_tier")
+    listed = _stored(listed, "listed")
+    return composites.coverage_report(_status(t[5], t[0]), listed).select("cik", "accession", "status", "missing")
 
 
 _REPORTED = _PRESENT + _STATUS + f""", gone AS (SELECT accession, metric, tier FROM presence WHERE status = 'missing'),

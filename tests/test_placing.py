@@ -63,3 +63,9 @@ def test_what_a_sort_reads_twice_is_stored(spark):
 def test_statements_are_sorted_once_for_their_windows(spark):
     made = facts.stated(spark.createDataFrame([value("assets", "100")], VALUE).repartition("accession"))
     assert sum(x.strip(" :+-").startswith("Sort [") for x in plan(made)) == 1
+
+
+def test_coverage_report_takes_a_row_for_each_filing(spark):
+    status = spark.createDataFrame([("1", "a", "parsed"), ("1", "b", "missing"), ("2", "c", "parsed")], "cik string, accession string, status string").selectExpr("*", "date '2024-01-01' AS filing_date")
+    listed = spark.createDataFrame([("a", {"core": ["cash", "equity"], "supplemental": ["eps_basic"]}), ("b", {"core": ["cash"]}), ("c", {})], "accession string, by_tier map<string,array<string>>")
+    assert [(r.accession, r.missing) for r in composites.coverage_report(status, listed).collect()] == [("a", "cash,equity"), ("b", ""), ("c", "")]
