@@ -14,20 +14,21 @@ VIEW_VERSION = 1
 LISTED, LISTED_TRADES = 250, 100
 
 
-def filing_view(filings: DataFrame, mapped: DataFrame, f: DataFrame, contexts: DataFrame, dimensions: DataFrame, specs: DataFrame) -> DataFrame:
+def filing_view(filings: DataFrame, best: DataFrame, f: DataFrame, contexts: DataFrame, dimensions: DataFrame, specs: DataFrame) -> DataFrame:
     """One row per filing: its metadata, counts of its source, and as arrays its summary, statement values, ratios and identity
     checks; a part that a filing lacks is empty.
 
-    mapped: facts.mapped_facts. Both summary and statements read it, so store it where it is costly.
+    best: facts.summary. It is read by every part, so store it where it is costly; dealt by accession once, its parts stay there.
     """
 
     def part(rows: DataFrame, name: str, *columns: str) -> DataFrame:
         return rows.groupBy("accession").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
 
-    stated = facts.statements(mapped)
+    best = best.repartition("accession")
+    stated = facts.stated(best)
     cell = ("statement", "group", "metric", "label", "unit", "period", "value", "nil", "context_ref", "decimals")
     parts = [
-        part(facts.summary(mapped), "summary", *cell),
+        part(best, "summary", *cell),
         part(stated, "values", *cell),
         part(facts.ratios(stated, specs), "ratios", "ratio", "group", "unit", "period", "value"),
         part(facts.identities(stated), "checks", "name", "unit", "period", "status", "expected", "actual", "tolerance", "message"),

@@ -9,7 +9,7 @@ from ..functions import scalars as fn
 from ..operators import composites, dividends, events, facts, market
 from ..sources import landed
 from . import adapters
-from .queries import _AMOUNTS, _ANNOUNCED, _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OBSERVED, _OVERVIEW, _PAID, _PRESENT, _RATIOS, _RELATED, _STATED, _STATUS, _WORK, FACT_TABLES, _announced, _mapped, _news, _presence, _status, query
+from .queries import _AMOUNTS, _ANNOUNCED, _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OBSERVED, _OVERVIEW, _PAID, _PRESENT, _RATIOS, _RELATED, _STATED, _STATUS, _WORK, FACT_TABLES, _announced, _mapped, _news, _status, query
 from .round_trips import _folder, _land_xml, _register, _stored
 
 
@@ -30,6 +30,11 @@ def _view_text(view: DataFrame) -> DataFrame:
     return view.select("accession", "cik", "form", "company", "filing_date", "report_date", "facts", "instances", "contexts", "dimensional", "status", *map(text, _VIEW_PARTS))
 
 
+def _best(f, c, d, u, t, g) -> DataFrame:
+    """The summary that views are made of, with the columns they show, stored."""
+    return _stored(facts.summary(_mapped(f, c, d, u, t, g)).select(*facts.KEYS, "namespace", "local", "value", "nil", "context_ref", "decimals"), "best")
+
+
 def _part_sql(name: str, source: str) -> str:
     text = " || '|' || ".join(f"""coalesce(CAST("{c}" AS STRING), '')""" for c in _VIEW_PARTS[name])
     return f"LEFT JOIN (SELECT accession, string_agg(t, ';' ORDER BY t) AS t FROM (SELECT accession, {text} AS t FROM ({source})) GROUP BY accession) {name} ON {name}.accession = g.accession "
@@ -46,7 +51,7 @@ _VIEW = (
 
 @query("c01_filing_view", FACT_TABLES + " ratios", _VIEW, ctes=_CHECKED + _AMOUNTS)
 def _(f, c, d, u, t, g, r):
-    return _view_text(composites.filing_view(g, _mapped(f, c, d, u, t, g), f, c, d, r))
+    return _view_text(composites.filing_view(g, _best(f, c, d, u, t, g), f, c, d, r))
 
 
 _HISTORY = """SELECT cik, statement, metric, unit, y AS year, value, accession FROM (SELECT *, dense_rank() OVER (PARTITION BY cik ORDER BY y DESC) AS r FROM (
@@ -282,7 +287,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole nested views are written as JSON and read back; those of another version are left."""
     f, c, d, u, t, g, r = (adapters.load(spark, sf_dir, n) for n in (FACT_TABLES + " ratios").split())
-    views = composites.filing_view(g, _mapped(f, c, d, u, t, g), f, c, d, r)
+    views = composites.filing_view(g, _best(f, c, d, u, t, g), f, c, d, r)
     path = _folder(spark, "views")
     composites.write_views(views, f"{path}/now")
     composites.write_views(spark.read.schema(views.schema).json(f"{path}/now").withColumn("version", F.lit(0)), f"{path}/old")

@@ -69,3 +69,10 @@ def test_coverage_report_takes_a_row_for_each_filing(spark):
     status = spark.createDataFrame([("1", "a", "parsed"), ("1", "b", "missing"), ("2", "c", "parsed")], "cik string, accession string, status string").selectExpr("*", "date '2024-01-01' AS filing_date")
     listed = spark.createDataFrame([("a", {"core": ["cash", "equity"], "supplemental": ["eps_basic"]}), ("b", {"core": ["cash"]}), ("c", {})], "accession string, by_tier map<string,array<string>>")
     assert [(r.accession, r.missing) for r in composites.coverage_report(status, listed).collect()] == [("a", "cash,equity"), ("b", ""), ("c", "")]
+
+
+@needs_tables
+def test_views_map_facts_once(spark):
+    view = queries.QUERIES["c01_filing_view"](spark, SF)
+    assert any("/best-" in x for x in view.inputFiles()) and not any("classify" in x or "'Quarterly'" in x for x in plan(view))
+    assert sum("lineitem" in x and "Scan" in x for x in plan(view)) <= 2
