@@ -173,15 +173,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
+#: Events in a landed file at least.
+PER_FILE = 50_000
+
+
 def _news_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """Discovery events landed by thirds of their sequence, one after the other, and read one file a batch."""
+    """Discovery events landed by thirds of their sequence, one after the other, and read one third a batch.
+
+    Each third has the same number of files, which grows with the events, so that a batch is written and read in many tasks;
+    a small third has all be one file.
+    """
     out = _folder(spark, "news")
     e = adapters.load(spark, sf_dir, "events_feed").select("accession", "form", "company", "filing_date", "sequence", "selected")
     last = e.agg(F.max("sequence")).first()[0] or 0
-    for third in range(3):
-        part = e.where(F.least(F.floor(F.col("sequence") * 3 / (last + 1)), F.lit(2)) == third)
-        part.coalesce(1).write.mode("append").parquet(f"{out}/landed")
-    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/landed"), out
+    third = F.least(F.floor(F.col("sequence") * 3 / (last + 1)), F.lit(2))
+    sizes = [r["count"] for r in e.groupBy(third.alias("third")).count().where("third is not null").collect()]  # three rows
+    files = max(1, min(sizes) // PER_FILE) if len(sizes) == 3 else 1
+    for n in range(3):
+        part = e.where(third == n)
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(f"{out}/landed")
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", files).parquet(f"{out}/landed"), out
 
 
 _NEWS_SQL = "SELECT accession, arg_min(form, sequence) AS form, arg_min(company, sequence) AS company, arg_min(filing_date, sequence) AS filing_date, max(sequence) AS sequence, arg_max(selected, sequence) AS selected FROM events_feed GROUP BY accession"
