@@ -1,8 +1,8 @@
 """Main-text extraction by wrapper induction.
 
-For each host a few sampled pages are aligned by simple tree matching; nodes matched in all of them are slots,
-named by their path. Over all pages of the host, a block that every page with its slot has there is template. Each
-page then is cut in place, block by block: only template goes, inside <article> and <main> too. A page without any
+For each host a page of its most common layout is aligned with the layouts of all its pages by simple tree matching;
+nodes matched in more than half of the different pages are slots, named by their path. Over all pages of the host, a
+block that every page with its slot has there is template. Each page then is cut in place, block by block: only template goes, inside <article> and <main> too. A page without any
 slot of its host's wrapper (as the only page of a host) gives its <article> or <main> elements, if there are any.
 """
 
@@ -22,8 +22,8 @@ from . import shared
 from .shared import materialize
 from .urlfilter import host_and_path
 
-#: Pages sampled per host (by hash, one per residue); wrappers that together stay below this many bytes are broadcast.
-PAGES_PER_HOST, BROADCAST_BYTES = 4, 4_000_000
+#: Wrappers that together stay below this many bytes are broadcast.
+BROADCAST_BYTES = 4_000_000
 #: Items of a node above which its like-named children are aligned as one.
 WIDE = 256
 
@@ -253,22 +253,57 @@ def match(a: Shape, b: Shape) -> list[tuple[Shape, Shape]]:
     return pairs
 
 
-def induce(pages: list[str]) -> list[str]:
-    """Wrapper of a host: paths of the nodes with text that simple tree matching finds in all pages; one page: none."""
-    shapes = [Shape.of(parse(p)) for p in sorted(set(pages), key=lambda p: (-len(p), p))]
-    seed, *others = shapes
-    matched: dict[int, int] = {}
-    for other in others:
-        for mine, _ in match(seed, other):
-            matched[id(mine)] = matched.get(id(mine), 0) + 1
-    slots = set()
-    todo = [(seed, "")]
+def layout(shape: Shape) -> str:
+    """Names, depths and whether there is text of all nodes in page order; it decides all that matching does."""
+    out, todo = [], [(shape, 0)]
+    while todo:
+        node, depth = todo.pop()
+        out.append((depth, node.name, 1 if node.words() else 0))
+        todo.extend((c, depth + 1) for c in reversed(node.children))
+    return json.dumps(out, separators=(",", ":"))
+
+
+def drawn(written: str) -> Shape:
+    """The shape of a layout, with a mark in place of its texts."""
+    top, way = None, []
+    for depth, name, text in json.loads(written):
+        node = Shape(name)
+        node.text = ["x"] if text else []
+        del way[depth:]
+        if way:
+            way[-1].children.append(node)
+        else:
+            top = node
+        way.append(node)
+    return top
+
+
+def matched_paths(seed: Shape, other: Shape) -> set[str]:
+    """Paths of the seed's nodes with text that simple tree matching finds in the other shape."""
+    found = {id(mine) for mine, _ in match(seed, other)}
+    paths, todo = set(), [(seed, "")]
     while todo:
         shape, path = todo.pop()
-        if others and matched.get(id(shape), 0) == len(others) and shape.words():
-            slots.add(path)
+        if id(shape) in found and shape.words():
+            paths.add(path)
         todo += [(c, f"{path}/{c.name}") for c in shape.children]
-    return sorted(slots)
+    return paths
+
+
+def induce(pages: list[str]) -> list[str]:
+    """Wrapper of a host, as extract() finds it in Spark: paths with text matched in more than half of its different pages; one page: none."""
+    layouts: dict[str, int] = {}
+    for page in set(pages):
+        written = layout(Shape.of(parse(page)))
+        layouts[written] = layouts.get(written, 0) + 1
+    if sum(layouts.values()) < 2:
+        return []
+    seed = drawn(max(layouts, key=lambda w: (layouts[w], len(w), w)))
+    counts: dict[str, int] = {}
+    for written, n in layouts.items():
+        for path in matched_paths(seed, drawn(written)):
+            counts[path] = counts.get(path, 0) + n
+    return sorted(path for path, n in counts.items() if 2 * n > sum(layouts.values()))
 
 
 def block_key(path: str, text: str) -> int:
@@ -302,30 +337,49 @@ def main_text(page: str | None, slots: frozenset[str], template: frozenset[int])
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id_col, url_col and text of every page, one row per input row.
 
-    The slots of a host are fitted on at most PAGES_PER_HOST pages picked by hash, its template blocks are counted
-    over all of its pages (two different ones at least); the cut applies to whole pages of all rows. Every header
+    The slots of a host are fitted on the layouts of all its pages, its template blocks are counted over all of its
+    pages (two different ones at least each); the cut applies to whole pages of all rows. Every header
     element goes, an article's own too, with whatever heading stands in it. A null or empty
     page has the empty text; pages without a host share the host ''; repeated rows come out alike; an empty table
     gives no rows; other columns are dropped.
     """
     rows = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), pages[html_col].alias("page"))
     host = host_and_path(F.col("url"))[0]
-    draw = F.xxhash64("url", "page")
-    picked = rows.where("page != ''").groupBy(host.alias("host"), F.pmod(draw, F.lit(PAGES_PER_HOST)).alias("part")).agg(F.min_by("page", draw).alias("page"))
-    by_host = picked.groupBy("host").agg(F.collect_list("page").alias("pages"))
+    named = rows.withColumn("host", host)
 
-    def fit(batches):
+    def survey(batches):
+        """Layout and digests of layout and page."""
         for batch in batches:
-            slots = [json.dumps(induce(x)) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(slots, pa.string())], ["host", "slots"])
+            texts = [page.as_py() for page in batch.column(1)]
+            layouts = [layout(Shape.of(parse(text))) for text in texts]
+            digests = [[xxhash.xxh64_intdigest(x.encode()) - (1 << 63) for x in of] for of in (layouts, texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(layouts, pa.string()), *[pa.array(x, pa.int64()) for x in digests]], ["host", "layout", "form", "digest"])
+
+    def align(batches):
+        """Per layout of a host the seed's paths matched in it, once for each, and how many pages have it."""
+        for batch in batches:
+            hosts, paths, counts = [], [], []
+            for name, written, seed, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                found = matched_paths(drawn(seed), drawn(written))
+                hosts += [name] * len(found)
+                paths += found
+                counts += [n] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(counts, pa.int64())], ["host", "path", "n"])
 
     def held(name: str, df: DataFrame, column: str) -> DataFrame:
         df = materialize(df, name)
         size = df.agg(F.sum(F.length(column) + F.length("host"))).first()[0] or 0
         return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
-    slots = held("slots", by_host.mapInArrow(fit, "host string, slots string"), "slots")
-    named = rows.withColumn("host", host)
+    surveyed = materialize(named.where("page != ''").select("host", "page").mapInArrow(survey, "host string, layout string, form bigint, digest bigint"), "layouts")
+    pages_of = surveyed.select("host", "form", "digest").distinct().groupBy("host", "form").agg(F.count("*").alias("n"))
+    layouts = surveyed.groupBy("host", "form").agg(F.min("layout").alias("layout")).join(pages_of, ["host", "form"])
+    layouts = materialize(layouts, "host-layouts")
+    seeds = layouts.groupBy("host").agg(F.max_by("layout", F.struct("n", F.length("layout"), "layout")).alias("seed"), F.sum("n").alias("total")).where("total > 1")
+    seeds = held("seeds", seeds, "seed")
+    aligned = layouts.join(seeds, "host").select("host", "layout", "seed", "n").mapInArrow(align, "host string, path string, n bigint")
+    common = aligned.groupBy("host", "path").agg(F.sum("n").alias("n")).join(seeds.select("host", "total"), "host").where("2 * n > total")
+    slots = held("slots", common.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths")).select("host", F.to_json("paths").alias("slots")), "slots")
 
     def known(cache: dict, written: str | None, form):
         if written not in cache:
@@ -351,7 +405,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
                     ids.append(digest)
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *[pa.array(x, pa.int64()) for x in (paths, keys, ids)]], ["host", "path", "block", "digest"])
 
-    told = named.where("page != ''").join(slots, "host").where("slots != '[]'").select("host", "page", "slots")
+    told = named.where("page != ''").join(slots, "host").select("host", "page", "slots")
     counts = told.mapInArrow(count, "host string, path bigint, block bigint, digest bigint")
     counts = counts.groupBy("host", "path", "block").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
     counts = materialize(counts.where("low != high"), "blocks")

@@ -426,6 +426,20 @@ def test_html_against_pages_made_from_known_text(spark):
     assert html.extract(rows.limit(0)).count() == 0
 
 
+def test_html_slots_are_counted_over_all_pages(spark):
+    """A third of each host's pages has another layout; whichever pages a sample would take, the common layout's bar goes."""
+    own = lambda h, i: f"Moved {h} {i}" if i % 3 == 0 else f"Own {h} {i}"
+    form = lambda i: "<body><p>{0}</p></body>" if i % 3 == 0 else "<body><div class=strip>Fixed strip</div><div class=text><p>{0}</p></div></body>"
+    rows = [(100 * h + i, f"http://m{h}.example/{i}", form(i).format(own(h, i))) for h in range(8) for i in range(15)]
+    got = {x.page_id: x.text for x in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {100 * h + i: own(h, i) for h in range(8) for i in range(15)}
+    pages = [x[2] for x in rows[:15]]
+    assert html.induce(pages) == ["/body/div.strip", "/body/div.text/p"]
+    for page in pages[1:3]:
+        shape = html.Shape.of(html.parse(page))
+        assert len(html.match(shape, html.drawn(html.layout(shape)))) == 5
+
+
 def test_pii_of_a_long_text(spark):
     text = " ".join(f"a{i}x word" for i in range(30000)) + " mail a@b.example now"
     [row] = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
