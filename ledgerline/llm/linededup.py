@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
-from .shared import Scratch, materialize, once
+from .shared import ASCII_SPACE, Scratch, materialize, once
 
 SIMILARITY = 0.8
-#: Token classes whose counts decide the order. The level of a class (quarters of the count's logarithm, at most
-#: 127) stands in front of 56 bits of the token's hash.
-CLASS_BITS = 18
+#: Token classes whose counts decide the order; so many still fit the fast map of Spark's hash aggregation. The level of
+#: a class (quarters of the count's logarithm, at most 127) stands in front of 56 bits of the token's hash.
+CLASS_BITS = 16
 #: Sets before it that a set meets first, besides the earliest, for each of its three tokens.
 PRECEDING = 8
 #: Documents up to which the wanted ones are broadcast.
@@ -41,7 +41,7 @@ def _spaced(text: Column) -> Column:
 
 
 def _levels(rows: DataFrame) -> Column:
-    """Level of every token class from rare to common, as a constant array: a number per class, used in one plan."""
+    """Level of every token class from rare to common, 56 bits up, as a constant array: a number per class, used in one plan."""
     tokens = rows.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w != ''")
     level = F.least(F.floor(4 * F.log2(F.count("*"))), F.lit(127)).cast("long")
     counts = tokens.groupBy(_class(F.xxhash64("w")).alias("c")).agg(level.alias("level"))
@@ -50,7 +50,7 @@ def _levels(rows: DataFrame) -> Column:
     for _, of in packed.collect():  # a number per class
         for x in of:
             levels[x >> 7] = x & 127
-    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<tinyint>")
+    return F.split(F.lit(",".join(str(x << 56) for x in levels)), ",").cast("array<bigint>")
 
 
 def _hashes(line: Column) -> Column:
@@ -59,15 +59,15 @@ def _hashes(line: Column) -> Column:
     return F.array_remove(hashed, F.xxhash64(F.lit("")))
 
 
-def _parity(tokens: str | Column) -> Column:
-    """64 parities of the tokens; sets that differ in d tokens differ in at most d of them."""
+def _parity(tokens: str | Column, half: bool = False) -> Column:
+    """64 parities of the tokens (of half of all tokens); sets that differ in d tokens differ in at most d of them."""
     one, mask = F.lit(1).cast("long"), F.lit(63).cast("long")
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(mask).cast("int"))))
 
+    def bit(t: Column) -> Column:
+        of = F.call_function("shiftright", t, F.lit(6)).bitwiseAND(one) if half else one
+        return F.call_function("shiftleft", of, t.bitwiseAND(mask).cast("int"))
 
-def _half_parity(tokens: str) -> Column:
-    """The same over half of all tokens; both halves count apart."""
-    return _parity(F.filter(tokens, lambda t: t.bitwiseAND(F.lit(64).cast("long")) != 0))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(bit(t)))
 
 
 def _fits(similarity: float, early: Column, late: Column, of_early: list[Column], of_late: list[Column]) -> Column:
@@ -116,12 +116,13 @@ def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity:
     """sid (first line), n, prefix and parities of every distinct token set."""
     low = F.lit((1 << 56) - 1)
     hashed = lines.select("doc", "line", _hashes(F.col("value")).alias("hashed"))
-    ranked = F.transform("hashed", lambda h: F.call_function("shiftleft", F.get(levels, _class(h)).cast("long"), F.lit(56)).bitwiseOR(h.bitwiseAND(low)))
+    # Every class has a level; coalesce says so to Spark, which then sorts plain numbers.
+    ranked = F.transform("hashed", lambda h: F.coalesce(F.get(levels, _class(h)), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND(low)))
     ranked = hashed.withColumn("tokens", F.sort_array(ranked)).withColumn("n", F.size("tokens"))
     size = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
     # 31 bits of a token stand for it among the posts: tokens that share them only make more candidates.
     prefix = F.transform(F.slice("tokens", F.lit(1), size), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
-    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _half_parity("hashed"), "prefix": prefix}
+    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _parity("hashed", half=True), "prefix": prefix}
     drawn = ranked.select("doc", "line", "n", *[c.alias(name) for name, c in of_set.items()]).withColumn("sid", naming.line("doc", "line"))
     # All columns of a set are keys, so that Spark can sum in a hash map before the exchange.
     return scratch.write(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
@@ -157,8 +158,8 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     shown = sets.select(kinds, "sid", F.struct("sid", "n", "parity", "half").alias("own"))
     group = Window.partitionBy("token")
     in_order = group.orderBy("sid")
-    heads = F.array_compact(F.array(F.first("own").over(in_order), *[F.lag("own", i).over(in_order) for i in range(1, PRECEDING + 1)]))
-    met = shown.select("own", heads.alias("heads")).select("own", F.explode(F.array_distinct("heads")).alias("head"))
+    heads = F.array(F.first("own").over(in_order), *[F.lag("own", i).over(in_order) for i in range(1, PRECEDING + 1)])
+    met = shown.select("own", heads.alias("heads")).select("own", F.explode("heads").alias("head"))  # a null head fits no set
     parities = [[F.col(f"{x}.{c}") for c in ("parity", "half")] for x in ("head", "own")]
     met = met.where((F.col("head.sid") < F.col("own.sid")) & _fits(similarity, F.col("head.n"), F.col("own.n"), *parities))
     met = scratch.write(met.select(F.col("head.sid").alias("early"), F.col("own.sid").alias("late")).distinct(), "pairs")
@@ -195,7 +196,7 @@ def remove_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("__lines", F.split(text_col, "\n")).withColumn("__kept", F.coalesce("__kept", F.array().cast("array<int>")))
     # One pass: mark kept numbers by sorting, then keep blank lines and marked ones.
     marked = F.transform("__lines", lambda x, i: F.struct(x.alias("x"), i.alias("i")))
-    blank = F.transform(F.filter(marked, lambda m: ~m["x"].rlike(r"[^\x20\x09-\x0D]")), lambda m: m["i"])
+    blank = F.transform(F.filter(marked, lambda m: F.btrim(m["x"], F.lit(ASCII_SPACE)) == ""), lambda m: m["i"])
     stay = F.array_sort(F.concat("__kept", blank))
     rows = rows.withColumn("__stay", stay)
     text = F.array_join(F.transform("__stay", lambda i: F.get("__lines", i)), "\n")

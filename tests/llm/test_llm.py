@@ -161,6 +161,23 @@ def test_line_dedup_with_text_ids(spark):
     assert sorted((r.doc_id, r.l_removed) for r in linededup.remove_lines(rows).collect()) == [("a", 0), ("a", 0), ("b", 1)]
 
 
+def test_line_dedup_parities_and_plain_tokens(spark):
+    """Both parities are those of a plain count, and token ranks hold no nulls, so that Spark sorts them as numbers."""
+    r = random.Random(3)
+    sets = [[r.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (0, 1, 2, 7, 60)]
+    rows = spark.createDataFrame(list(enumerate(sets)), "i long, t array<bigint>")
+    got = {x.i: (x.p % (1 << 64), x.h % (1 << 64)) for x in rows.select("i", linededup._parity("t").alias("p"), linededup._parity("t", half=True).alias("h")).collect()}
+    for i, of in enumerate(sets):
+        want = [0, 0]
+        for t in of:
+            want[0] ^= 1 << (t & 63)
+            want[1] ^= (t >> 6 & 1) << (t & 63)
+        assert got[i] == tuple(want)
+    levels = linededup._levels(spark.createDataFrame([("a b a",)], "text string"))
+    ranks = spark.range(1).select(F.transform(F.array(F.lit("a"), F.lit("b")), lambda w: F.get(levels, linededup._class(F.xxhash64(w)))).alias("x")).first().x
+    assert [x >> 56 for x in ranks] == [4, 0] and all(x % (1 << 56) == 0 for x in ranks)
+
+
 def test_decontamination(spark, docs, none):
     item = prose(50, 40).replace("\n", " ")
     items = [(0, item), (1, "four words only here"), (2, None), (3, ""), (4, "r r r r r r r r r r"), (5, prose(51, 300))]
