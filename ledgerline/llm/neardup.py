@@ -1,10 +1,12 @@
 """Near copies of whole documents: word-shingle sets of at least a Jaccard similarity, found exactly.
 
-Within the radius that covers similarity 0.8 (23 of 64 bits) lie also about 1.6% of all unrelated pairs, and no
-vantage point tells such pairs apart, so here the shingles themselves are the index: two sets can be similar only
-if they share a shingle of their short prefixes, rare shingles first. Equal sets are one node. A set first meets
-the head of each of its prefix shingles; after that only sets that are not yet in one group meet each other, so
-a family of copies does not cost the square of its size. Every link is verified on the exact sets.
+First SimHash: fingerprints of the same shingles are linked through the vantage-point tree of simhash.py, each set with
+the one that stands for its fingerprint's group, and links that hold on the exact sets join groups. Within the radius
+that covers similarity 0.8 (23 of 64 bits) lie also about 1.6% of all unrelated pairs, and no vantage point tells such
+pairs apart, so the tree takes a small radius, and what it cannot see is found by the shingles: two sets can be similar
+only if they share a shingle of their short prefixes, rare shingles first. Equal sets are one node. A set meets the head
+of each of its prefix shingles that is not in its group yet; after that only sets that are not yet in one group meet
+each other, so a family of copies does not cost the square of its size. Every link is verified on the exact sets.
 """
 
 from __future__ import annotations
@@ -18,11 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import shared
+from . import shared, simhash
 from .components import connected_components
 from .shared import Scratch, materialize
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
+#: Differing bits up to which the tree links fingerprints, and their seed.
+RADIUS, SEED = 2, 42
 #: Shingle classes whose counts decide the order of shingles.
 CLASS_BITS = 16
 #: Rows up to which a table of keys is broadcast.
@@ -59,6 +63,17 @@ def _keys(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def fingerprint_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) of sets to verify, from sid and fp: a stands for the fingerprints that the tree links with b's."""
+    unique = materialize(prints.groupBy("fp").agg(F.min("sid").alias("first")), "unique")
+    roots = connected_components(simhash.link_roots(unique, radius=radius), "fp", "root").select(F.col("node").alias("fp"), "root")
+    rooted = unique.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    stands = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("a")), "root").select("fp", "first", "a")
+    # Sets of one fingerprint meet the first of them, the firsts of linked fingerprints the first of all.
+    own = prints.join(unique, "fp").where("sid != first").select(F.col("first").alias("a"), F.col("sid").alias("b"))
+    return own.unionByName(stands.where("first != a").select("a", F.col("first").alias("b"))).distinct()
+
+
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """key (hash of id and text), id and first (the key that stays) of the rows, one per key.
 
@@ -119,6 +134,21 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
             if grams:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (grams, sids, sizes)], ["gram", "sid", "n"])
 
+    fingerprint = simhash.fingerprint  # alone: the tasks get no whole module
+
+    def sketch(batches):
+        import xxhash
+
+        for batch in batches:
+            sids, fps = [], []
+            for text in batch.column(1):
+                found = shingles(text.as_py(), shingle_words)
+                if len(found):
+                    sids.append(xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63))
+                    fps.append(fingerprint(text.as_py(), shingle_words, SEED))
+            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(fps, pa.int64())], ["sid", "fp"])
+
+    prints = scratch.write(texts.mapInArrow(sketch, "sid bigint, fp bigint"), "fingerprints")
     posts = texts.mapInArrow(post, "gram bigint, sid bigint, n int")
     in_order = Window.partitionBy("gram").orderBy("sid")
     late = scratch.write(posts.withColumns({"head": F.first("sid").over(in_order), "head_n": F.first("n").over(in_order)}).where("sid != head"), "late")
@@ -148,8 +178,16 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
         own.release()
         return good
 
-    met = scratch.write(late.where(sizes_fit("head_n", "n")).select(F.col("head").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
-    links = verified(met)
+    # First what the tree finds, then heads of other groups.
+    near = scratch.write(fingerprint_pairs(prints), "fingerprint-pairs")
+    links = verified(near)
+    roots = scratch.write(connected_components(links, "a", "b"), "roots")
+    met = late.where(sizes_fit("head_n", "n")).select(F.col("head").alias("a"), F.col("sid").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
+    for x in ("a", "b"):
+        met = met.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")), x, "left")
+    apart = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
+    met = scratch.write(met.where(apart).select("a", "b"), "pairs")
+    links = links.unionByName(verified(met))
     roots = scratch.write(connected_components(links, "a", "b"), "roots")
     placed = late.select("gram", "sid", "n").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     mixed = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("gram")

@@ -331,6 +331,24 @@ def test_near_dedup_stage_removes_copies_of_similarity_080(spark):
     assert corpus_pipeline.near_dedup(spark, rows.limit(0), "").count() == 0
 
 
+def test_near_dedup_stage_links_fingerprints_through_the_tree(spark, monkeypatch):
+    """Long copies with one word changed meet through SimHash; texts of one fingerprint but unlike shingle sets stay."""
+    base, often = prose(300, 900), "a b c d e " * 40
+    texts = [(i, edited(base, 301 + i, 1)) for i in range(5)] + [(10, often + "x y z u v w"), (11, often + "k l m n o p q r"), (12, prose(310, 200))]
+    signed = {i: simhash.fingerprint(t, 5, 42) for i, t in texts}
+    prints = spark.createDataFrame(list(signed.items()), "sid long, fp long")
+    linked, of = {tuple(r) for r in neardup.fingerprint_pairs(prints).collect()}, [(i, f % (1 << 64)) for i, f in signed.items()]
+    groups = brute.components(of)
+    parent = {r.node: r.root for r in neardup.connected_components(spark.createDataFrame(sorted(linked), "a long, b long"), "a", "b").collect()}
+    assert [parent.get(i, i) for i in signed] == groups and parent[11] == 10
+    calls, plain = [], simhash.link_roots
+    monkeypatch.setattr(simhash, "link_roots", lambda unique, **o: calls.append(unique.count()) or plain(unique, **o))
+    rows = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], SCHEMA)
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, rows, "").collect()}
+    unlike = len(set(neardup.shingles(texts[5][1])) & set(neardup.shingles(texts[6][1]))) < 0.8 * len(set(neardup.shingles(texts[5][1])) | set(neardup.shingles(texts[6][1])))
+    assert calls and unlike and got == {0, 10, 11, 12}
+
+
 def test_html_keeps_all_sections_rows_and_articles(spark):
     def page(i, kind):
         x = [f"{kind} {i} part {j} " + "word " * (5 + 9 * j) for j in range(3)]
