@@ -40,8 +40,11 @@ def _spaced(text: Column) -> Column:
     return F.when(reduce(lambda x, y: x | y, [text.contains(c) for c in other]), F.translate(text, other, "    ")).otherwise(text)
 
 
-def _levels(rows: DataFrame) -> Column:
-    """Level of every token class from rare to common, 56 bits up, as a constant array: a number per class, used in one plan."""
+def _small_levels(rows: DataFrame) -> Column:
+    """Level of every token class from rare to common as a constant array: a number per class, used in one plan.
+
+    The driver keeps the plan as text, again and again, so the numbers are short: shifted ones make it six times as long.
+    """
     tokens = rows.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w != ''")
     level = F.least(F.floor(4 * F.log2(F.count("*"))), F.lit(127)).cast("long")
     counts = tokens.groupBy(_class(F.xxhash64("w")).alias("c")).agg(level.alias("level"))
@@ -50,7 +53,16 @@ def _levels(rows: DataFrame) -> Column:
     for _, of in packed.collect():  # a number per class
         for x in of:
             levels[x >> 7] = x & 127
-    return F.split(F.lit(",".join(str(x << 56) for x in levels)), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
+
+
+def _raised(level: Column) -> Column:
+    return F.call_function("shiftleft", level, F.lit(56))
+
+
+def _levels(rows: DataFrame) -> Column:
+    """The same, 56 bits up, as they stand in a token's rank."""
+    return F.transform(_small_levels(rows), _raised)
 
 
 def _hashes(line: Column) -> Column:
@@ -117,7 +129,7 @@ def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity:
     low = F.lit((1 << 56) - 1)
     hashed = lines.select("doc", "line", _hashes(F.col("value")).alias("hashed"))
     # Every class has a level; coalesce says so to Spark, which then sorts plain numbers.
-    ranked = F.transform("hashed", lambda h: F.coalesce(F.get(levels, _class(h)), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND(low)))
+    ranked = F.transform("hashed", lambda h: _raised(F.coalesce(F.get(levels, _class(h)), F.lit(0).cast("long"))).bitwiseOR(h.bitwiseAND(low)))
     ranked = hashed.withColumn("tokens", F.sort_array(ranked)).withColumn("n", F.size("tokens"))
     size = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
     # 31 bits of a token stand for it among the posts: tokens that share them only make more candidates.
@@ -137,7 +149,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     naming, scratch = Numbering(docs, id_col, text_col), Scratch(docs.sparkSession)
     rows = docs.select(naming.doc(docs[id_col], docs[text_col]).alias("doc"), _spaced(docs[text_col]).alias("text")).where("text is not null")
     lines = rows.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "value"))
-    sets = _line_sets(lines, _levels(rows), naming, similarity, scratch)
+    sets = _line_sets(lines, _small_levels(rows), naming, similarity, scratch)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Sets (late) with an exact match among the pairs (early, late); only the lines in question are read again."""

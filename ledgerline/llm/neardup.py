@@ -1,12 +1,12 @@
 """Near copies of whole documents: word-shingle sets of at least a Jaccard similarity, found exactly.
 
 First SimHash: fingerprints of the same shingles are linked through the vantage-point tree of simhash.py, each set with
-the one that stands for its fingerprint's group, and links that hold on the exact sets join groups. Within the radius
+one of a fingerprint that it is linked with, and links that hold on the exact sets join groups. Within the radius
 that covers similarity 0.8 (23 of 64 bits) lie also about 1.6% of all unrelated pairs, and no vantage point tells such
 pairs apart, so the tree takes a small radius, and what it cannot see is found by the shingles: two sets can be similar
 only if they share a shingle of their short prefixes, rare shingles first. Equal sets are one node. A set meets the head
-of each of its prefix shingles that is not in its group yet; after that only sets that are not yet in one group meet
-each other, so a family of copies does not cost the square of its size. Every link is verified on the exact sets.
+of each of its prefix shingles too; after that only sets that are not yet in one group meet each other, so a family of
+copies does not cost the square of its size. Every link is verified on the exact sets.
 """
 
 from __future__ import annotations
@@ -64,14 +64,13 @@ def _keys(df: DataFrame) -> DataFrame:
 
 
 def fingerprint_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Pairs (a, b) of sets to verify, from sid and fp: a stands for the fingerprints that the tree links with b's."""
+    """Pairs (a, b) of sets to verify, a before b, from sid and fp: sets of one fingerprint and of fingerprints linked in the tree."""
     unique = materialize(prints.groupBy("fp").agg(F.min("sid").alias("first")), "unique")
-    roots = connected_components(simhash.link_roots(unique, radius=radius), "fp", "root").select(F.col("node").alias("fp"), "root")
-    rooted = unique.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    stands = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("a")), "root").select("fp", "first", "a")
-    # Sets of one fingerprint meet the first of them, the firsts of linked fingerprints the first of all.
-    own = prints.join(unique, "fp").where("sid != first").select(F.col("first").alias("a"), F.col("sid").alias("b"))
-    return own.unionByName(stands.where("first != a").select("a", F.col("first").alias("b"))).distinct()
+    roots = simhash.link_roots(unique, radius=radius).join(unique.select(F.col("fp").alias("root"), F.col("first").alias("top")), "root")
+    # Sets of one fingerprint meet the first of them, firsts the first of the fingerprint that their shard of the tree links them to.
+    own = prints.join(unique, "fp").select(F.col("first").alias("a"), F.col("sid").alias("b"))
+    linked = roots.join(unique, "fp").select(F.least("top", "first").alias("a"), F.greatest("top", "first").alias("b"))
+    return own.unionByName(linked).where("a != b").distinct()
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -89,7 +88,7 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
 
         counts = np.zeros(1 << CLASS_BITS, np.int64)
         for batch in batches:
-            sets, sizes = [], []
+            sets, sizes, fps = [], [], []
             for text in batch.column(2):
                 grams = shingles(text.as_py(), shingle_words)
                 counts += np.bincount(_class(grams), minlength=len(counts)) if len(grams) > 4096 else 0
@@ -97,23 +96,25 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
                     np.add.at(counts, _class(grams), 1)
                 sets.append(xxhash.xxh64_intdigest(grams.tobytes()) - (1 << 63))
                 sizes.append(len(grams))
+                fps.append(fingerprint(text.as_py(), shingle_words, SEED) if len(grams) else None)
             none = pa.nulls(len(batch), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.int64()), pa.array(sizes, pa.int32()), none, none], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.int64()), pa.array(sizes, pa.int32()), pa.array(fps, pa.int64()), none, none], names)
         at = np.flatnonzero(counts)
-        blank = [pa.nulls(len(at), t) for t in (pa.int64(), ids, pa.int64(), pa.int32())]
+        blank = [pa.nulls(len(at), t) for t in (pa.int64(), ids, pa.int64(), pa.int32(), pa.int64())]
         yield pa.RecordBatch.from_arrays([*blank, pa.array(at), pa.array(counts[at])], names)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
-    names, ids = ["key", "id", "sid", "n", "class", "count"], to_arrow_type(rows.schema["id"].dataType)
-    surveyed = scratch.write(rows.mapInArrow(survey, f"key bigint, id {id_type}, sid bigint, n int, class bigint, count bigint"), "shingle-sets")
-    sets = surveyed.where("class is null").select("key", "id", "sid", "n").dropDuplicates(["key"])
+    fingerprint = simhash.fingerprint  # alone: the tasks get no whole module
+    names, ids = ["key", "id", "sid", "n", "fp", "class", "count"], to_arrow_type(rows.schema["id"].dataType)
+    surveyed = scratch.write(rows.mapInArrow(survey, f"key bigint, id {id_type}, sid bigint, n int, fp bigint, class bigint, count bigint"), "shingle-sets")
+    sets = surveyed.where("class is null").select("key", "id", "sid", "n", "fp").dropDuplicates(["key"])
     levels = np.zeros(1 << CLASS_BITS, np.uint64)
     for c, n in surveyed.where("class is not null").groupBy("class").agg(F.sum("count")).collect():  # a number per class
         levels[c] = int(4 * math.log2(n))
 
-    # One row of each set stands for it.
-    chosen = scratch.write(sets.groupBy("sid").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.count("*").alias("rows")), "chosen")
+    # One row of each set stands for it; texts of one set may differ in how often a shingle occurs, so in their fingerprints.
+    chosen = scratch.write(sets.groupBy("sid").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.count("*").alias("rows")), "chosen")
     copies = scratch.write(sets.join(chosen.where("rows > 1").select("sid", F.col("key").alias("mine")), "sid").where("key != mine").select("key"), "copies")
     texts = rows.select("key", "text").join(_keys(copies), "key", "left_anti")
 
@@ -134,21 +135,6 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
             if grams:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (grams, sids, sizes)], ["gram", "sid", "n"])
 
-    fingerprint = simhash.fingerprint  # alone: the tasks get no whole module
-
-    def sketch(batches):
-        import xxhash
-
-        for batch in batches:
-            sids, fps = [], []
-            for text in batch.column(1):
-                found = shingles(text.as_py(), shingle_words)
-                if len(found):
-                    sids.append(xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63))
-                    fps.append(fingerprint(text.as_py(), shingle_words, SEED))
-            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(fps, pa.int64())], ["sid", "fp"])
-
-    prints = scratch.write(texts.mapInArrow(sketch, "sid bigint, fp bigint"), "fingerprints")
     posts = texts.mapInArrow(post, "gram bigint, sid bigint, n int")
     in_order = Window.partitionBy("gram").orderBy("sid")
     late = scratch.write(posts.withColumns({"head": F.first("sid").over(in_order), "head_n": F.first("n").over(in_order)}).where("sid != head"), "late")
@@ -178,16 +164,11 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
         own.release()
         return good
 
-    # First what the tree finds, then heads of other groups.
-    near = scratch.write(fingerprint_pairs(prints), "fingerprint-pairs")
-    links = verified(near)
-    roots = scratch.write(connected_components(links, "a", "b"), "roots")
-    met = late.where(sizes_fit("head_n", "n")).select(F.col("head").alias("a"), F.col("sid").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
-    for x in ("a", "b"):
-        met = met.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")), x, "left")
-    apart = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
-    met = scratch.write(met.where(apart).select("a", "b"), "pairs")
-    links = links.unionByName(verified(met))
+    # First what the tree finds and heads, then other groups.
+    met = late.where(sizes_fit("head_n", "n")).select(F.col("head").alias("a"), F.col("sid").alias("b"))
+    near = fingerprint_pairs(chosen.where("fp is not null").select("sid", "fp"))
+    met = scratch.write(near.unionByName(met).distinct(), "pairs")
+    links = verified(met)
     roots = scratch.write(connected_components(links, "a", "b"), "roots")
     placed = late.select("gram", "sid", "n").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     mixed = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("gram")

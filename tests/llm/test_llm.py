@@ -349,6 +349,15 @@ def test_near_dedup_stage_links_fingerprints_through_the_tree(spark, monkeypatch
     assert calls and unlike and got == {0, 10, 11, 12}
 
 
+def test_near_dedup_joins_tree_and_shingle_links_at_once(spark, monkeypatch):
+    """Tree pairs and head pairs are verified and joined together: one pass over the links where no others are left."""
+    base = prose(320, 300)
+    rows = spark.createDataFrame([(0, base, "en", "s", 1), (1, edited(base, 321, 1), "en", "s", 1), (2, prose(322, 80), "en", "s", 1), (3, None, "en", "s", 1)], SCHEMA)
+    calls, plain = [], neardup.connected_components
+    monkeypatch.setattr(neardup, "connected_components", lambda *a: calls.append(a) or plain(*a))
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, rows, "").collect()} == {0, 2, 3} and len(calls) == 1
+
+
 def test_html_keeps_all_sections_rows_and_articles(spark):
     def page(i, kind):
         x = [f"{kind} {i} part {j} " + "word " * (5 + 9 * j) for j in range(3)]
