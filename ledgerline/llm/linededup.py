@@ -3,7 +3,7 @@
 A line's tokens are ordered from rare to common, by counts over the whole corpus in a fixed number of token
 classes, so one order serves all lines with a bounded table. Two lines can be similar only if they share a token
 of their short prefixes. Equal token sets are one set. A set first meets the earliest and the preceding
-sets of three of its prefix tokens; most members of a family of variants match there. Only the others
+sets of three common tokens of its prefix; most members of a large family of variants match there. Only the others
 meet all sets of their prefix tokens, so that a family does not cost the square of its size. The order only decides
 which tokens are prefixes, never which pairs are found; every match is verified on the exact sets.
 """
@@ -26,6 +26,10 @@ SIMILARITY = 0.8
 CLASS_BITS = 16
 #: Sets before it that a set meets first, besides the earliest, for each of its three tokens.
 PRECEDING = 8
+#: Level from which a token's class is common (2**9 words): tokens of fewer words have no family that could cost much.
+COMMON = 36
+#: Tokens up to which 64 parities of a set tell enough.
+SMALL = 80
 #: Documents up to which the wanted ones are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -83,12 +87,13 @@ def _parity(tokens: str | Column, half: bool = False) -> Column:
 
 
 def _fits(similarity: float, early: Column, late: Column, of_early: list[Column], of_late: list[Column]) -> Column:
-    """Length and parity filters on the sizes of two sets and their parities; a late size below zero fits none."""
+    """Length and parity filters on the sizes of two sets and their parities; a late size below zero fits none. Only sets
+    of more than SMALL tokens have parities of a half."""
     sizes = (early >= similarity * late - 1e-9) & (late >= similarity * early - 1e-9)
     most = early + late - 2 * _overlap(similarity, early, late)
     whole, half = (x.bitwiseXOR(y) for x, y in zip(of_early, of_late, strict=True))
-    apart = F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half)) <= most  # tokens of either half
-    return sizes & apart
+    halves = F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half)) <= most  # tokens of either half
+    return sizes & (F.bit_count(whole) <= most) & ((early <= SMALL) | (late <= SMALL) | halves)
 
 
 def _overlap(similarity: float, early: Column, late: Column) -> Column:
@@ -125,7 +130,7 @@ class Numbering:
 
 
 def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity: float, scratch: Scratch) -> DataFrame:
-    """sid (first line), n, prefix and parities of every distinct token set."""
+    """sid (first line), n, prefix, number of its common tokens and parities of every distinct token set."""
     low = F.lit((1 << 56) - 1)
     hashed = lines.select("doc", "line", _hashes(F.col("value")).alias("hashed"))
     # Every class has a level; coalesce says so to Spark, which then sorts plain numbers.
@@ -133,8 +138,11 @@ def _line_sets(lines: DataFrame, levels: Column, naming: Numbering, similarity:
     ranked = hashed.withColumn("tokens", F.sort_array(ranked)).withColumn("n", F.size("tokens"))
     size = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
     # 31 bits of a token stand for it among the posts: tokens that share them only make more candidates.
-    prefix = F.transform(F.slice("tokens", F.lit(1), size), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
-    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": _parity("hashed", half=True), "prefix": prefix}
+    rarest = F.slice("tokens", F.lit(1), size)
+    prefix = F.transform(rarest, lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
+    common = F.size(F.filter(rarest, lambda t: t >= F.lit(COMMON << 56)))  # they end the prefix
+    half = F.when(F.col("n") > SMALL, _parity("hashed", half=True)).otherwise(F.lit(0).cast("long"))
+    of_set = {"k1": F.xxhash64("tokens"), "k2": F.xxhash64(F.lit(1), "tokens"), "parity": _parity("hashed"), "half": half, "prefix": prefix, "common": common}
     drawn = ranked.select("doc", "line", "n", *[c.alias(name) for name, c in of_set.items()]).withColumn("sid", naming.line("doc", "line"))
     # All columns of a set are keys, so that Spark can sum in a hash map before the exchange.
     return scratch.write(drawn.groupBy("n", *of_set).agg(F.min("sid").alias("sid")).drop("k1", "k2"), "line-sets").where("n > 0")  # lines without words are one set
@@ -147,7 +155,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Rows that share id and text are one document. Null ids come first.
     """
     naming, scratch = Numbering(docs, id_col, text_col), Scratch(docs.sparkSession)
-    rows = docs.select(naming.doc(docs[id_col], docs[text_col]).alias("doc"), _spaced(docs[text_col]).alias("text")).where("text is not null")
+    rows = docs.where(docs[text_col].isNotNull()).select(naming.doc(docs[id_col], docs[text_col]).alias("doc"), _spaced(docs[text_col]).alias("text"))
     lines = rows.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "value"))
     sets = _line_sets(lines, _small_levels(rows), naming, similarity, scratch)
 
@@ -165,9 +173,10 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         common = F.size(F.array_intersect("a", "b"))
         return scratch.write(both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select(F.col("late").alias("sid")).distinct(), "matched")
 
-    # First the earliest and the preceding sets of a few tokens.
-    kinds = F.explode(F.array_distinct(F.array(F.get("prefix", F.lit(0)), F.array_min("prefix"), F.array_max("prefix")))).alias("token")
-    shown = sets.select(kinds, "sid", F.struct("sid", "n", "parity", "half").alias("own"))
+    # First the earliest and the preceding sets of a few common tokens.
+    ends = sets.where("common > 0").withColumn("ends", F.slice("prefix", F.size("prefix") - F.col("common") + 1, F.col("common")))
+    kinds = F.explode(F.array_distinct(F.array(F.get("ends", F.lit(0)), F.array_min("ends"), F.array_max("ends")))).alias("token")
+    shown = ends.select(kinds, "sid", F.struct("sid", "n", "parity", "half").alias("own"))
     group = Window.partitionBy("token")
     in_order = group.orderBy("sid")
     heads = F.array(F.first("own").over(in_order), *[F.lag("own", i).over(in_order) for i in range(1, PRECEDING + 1)])
