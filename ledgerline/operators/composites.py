@@ -22,7 +22,7 @@ def filing_view(filings: DataFrame, best: DataFrame, f: DataFrame, contexts: Dat
     """
 
     def part(rows: DataFrame, name: str, *columns: str) -> DataFrame:
-        return rows.groupBy("accession").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
+        return rows.groupBy("accession").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
 
     best = best.repartition("accession")
     stated = facts.stated(best)
@@ -121,17 +121,23 @@ def coverage_report(status: DataFrame, listed: DataFrame) -> DataFrame:
 
 def coverage_filings(status: DataFrame, listed: DataFrame, f: DataFrame, dimensions: DataFrame) -> DataFrame:
     """Every filing of the index with its status and, where it is parsed, what facts.presence_by_filing says and the metrics
-    that it reports under dimensions only (dimensional); by company, date and accession."""
-    gone = listed.where(F.array_contains("missing", "eps_diluted")).select("accession", F.lit("eps_diluted").alias("metric"), F.lit("missing").alias("status"))
-    found = facts.dimensional_evidence(gone, f, dimensions).select("accession", F.create_map("metric", F.array("evidence")).alias("dimensional"))
+    that it reports under dimensions only (dimensional); report_order sorts it."""
+    found = facts.dimensional_basic(f, dimensions).withColumn("__basic", F.lit(True))
     rows = status.join(listed, "accession", "left").join(found, "accession", "left")
+    evidence = F.create_map(F.lit("eps_diluted"), F.array(F.lit("eps_basic")))  # as facts.dimensional_evidence, without a second reading of listed
+    rows = rows.withColumn("dimensional", F.when(F.col("__basic") & F.array_contains("missing", "eps_diluted"), evidence)).drop("__basic")
     parsed = {c: F.when(F.col("status") == "parsed", F.col(c)) for c in ("metrics", "missing", "by_tier", "related", "dimensional")}
-    return rows.withColumns(parsed).orderBy("cik", "filing_date", "accession")
+    return rows.withColumns(parsed)
+
+
+def report_order(report: DataFrame) -> DataFrame:
+    """By company, date and accession. A sort reads its input twice: store it."""
+    return report.orderBy("cik", "filing_date", "accession")
 
 
 def coverage_totals(report: DataFrame) -> DataFrame:
     """One row of a report of coverage_filings: filings by status, those with missing metrics, and by_tier, the number of them
-    in each tier."""
+    in each tier. The report is read three times: store it."""
     tiers = report.select(F.explode(F.map_keys("by_tier")).alias("tier")).groupBy("tier").agg(F.count("*").alias("n"))  # a few rows
     by_tier = tiers.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("tier", "n")))).alias("by_tier"))
     missing = report.where(F.size("missing") > 0).select("accession")

@@ -25,7 +25,7 @@ def _view_text(view: DataFrame) -> DataFrame:
         return F.coalesce((x[name].cast("decimal(38,0)") if name in ("expected", "tolerance") else x[name]).cast("string"), F.lit(""))
 
     def text(name: str):
-        return F.array_join(F.array_sort(F.transform(name, lambda x: F.concat_ws("|", *[field(x, c) for c in _VIEW_PARTS[name]]))), ";").alias(name)
+        return F.array_join(F.sort_array(F.transform(name, lambda x: F.concat_ws("|", *[field(x, c) for c in _VIEW_PARTS[name]]))), ";").alias(name)
 
     return view.select("accession", "cik", "form", "company", "filing_date", "report_date", "facts", "instances", "contexts", "dimensional", "status", *map(text, _VIEW_PARTS))
 
@@ -150,23 +150,25 @@ def _covered(*t):
 
 def _listed(column: str):
     """A map of arrays as text, all in order."""
-    lines = F.transform(F.map_entries(column), lambda e: F.concat(e["key"], F.lit(":"), F.array_join(F.array_sort(e["value"]), ",")))
-    return F.coalesce(F.array_join(F.array_sort(lines), ";"), F.lit("")).alias(column)
+    lines = F.transform(F.map_entries(column), lambda e: F.concat(e["key"], F.lit(":"), F.array_join(F.sort_array(e["value"]), ",")))
+    return F.coalesce(F.array_join(F.sort_array(lines), ";"), F.lit("")).alias(column)
 
 
 @query("c06_filings", FACT_TABLES + " metrics", "SELECT * FROM report", ctes=_REPORTED)
 def _(*t):
     """The whole report line of each filing."""
-    metrics = F.array_join(F.array_sort(F.transform(F.map_entries("metrics"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
+    metrics = F.array_join(F.sort_array(F.transform(F.map_entries("metrics"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
     texts = [F.coalesce(x, F.lit("")).alias(n) for n, x in (("metrics", metrics), ("missing", F.array_join("missing", ",")))]
-    return _covered(*t).select("cik", "accession", "filing_date", "status", *texts, *map(_listed, ("by_tier", "related", "dimensional")))
+    lines = _covered(*t).select("cik", "accession", "filing_date", "status", *texts, *map(_listed, ("by_tier", "related", "dimensional")))
+    return composites.report_order(_stored(lines, "report"))
 
 
 @query("c06_totals", FACT_TABLES + " metrics", """SELECT count(*) AS expected, count(*) FILTER (status <> 'missing') AS downloaded, count(*) FILTER (status = 'parsed') AS parsed, count(*) FILTER (status = 'missing') AS missing, count(*) FILTER (status = 'downloaded') AS unparsed, count(*) FILTER (missing <> '') AS with_missing_metrics,
 (SELECT coalesce(string_agg(tier || ':' || n, ';' ORDER BY tier), '') FROM (SELECT tier, count(DISTINCT gone.accession) AS n FROM gone JOIN st ON st.accession = gone.accession WHERE status = 'parsed' GROUP BY tier)) AS by_tier FROM (SELECT st.status, report.missing AS missing FROM st JOIN report ON report.accession = st.accession)""", ctes=_REPORTED)
 def _(*t):
     tiers = F.transform(F.map_entries("by_tier"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
-    return composites.coverage_totals(_covered(*t)).withColumn("by_tier", F.array_join(F.array_sort(tiers), ";"))
+    report = _stored(_covered(*t).select("accession", "status", "missing", "by_tier"), "report")
+    return composites.coverage_totals(report).withColumn("by_tier", F.array_join(F.array_sort(tiers), ";"))
 
 
 @query("c06_requests", "filings facts", """SELECT 'filings' AS kind, CAST(year(filing_date) AS INT) AS year, '' AS quarters, cik, form, count(*) AS filings FROM st WHERE status = 'missing' GROUP BY ALL UNION ALL

@@ -76,3 +76,19 @@ def test_views_map_facts_once(spark):
     view = queries.QUERIES["c01_filing_view"](spark, SF)
     assert any("/best-" in x for x in view.inputFiles()) and not any("classify" in x or "'Quarterly'" in x for x in plan(view))
     assert sum("lineitem" in x and "Scan" in x for x in plan(view)) <= 2
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["c06_filings", "c06_totals"])
+def test_a_report_is_made_once(spark, name):
+    made = queries.QUERIES[name](spark, SF).inputFiles()
+    assert made and all("/report-" in x for x in made)
+
+
+def test_a_report_reads_its_lists_once(spark):
+    listed = spark.createDataFrame([("a", {"eps_diluted": "missing"}, ["eps_diluted"], {"core": ["eps_diluted"]}, {})], "accession string, metrics map<string,string>, missing array<string>, by_tier map<string,array<string>>, related map<string,array<string>>")
+    status = spark.range(2).selectExpr("'1' AS cik", "if(id = 0, 'a', 'b') AS accession", "date '2024-01-01' AS filing_date", "'parsed' AS status")
+    f = spark.range(2).selectExpr("if(id = 0, 'a', 'b') AS accession", "'i' AS instance", "'EarningsPerShareBasic' AS local", "'1' AS value", "'c' AS context_ref")
+    report = composites.coverage_filings(status, listed, f, f.selectExpr("accession", "instance", "context_ref AS context_id"))
+    assert sum("ExistingRDD" in x for x in plan(report)) == 1
+    assert {r.accession: r.dimensional for r in report.collect()} == {"a": {"eps_diluted": ["eps_basic"]}, "b": None}
