@@ -191,10 +191,16 @@ def _(f, c, d, u, t, g):
     return composites.taxonomy_report(facts.summary(_mapped(f, c, d, u, t, g)), f, c, d, t).select("accession", "facts", "mapped", "issues")
 
 
+def _reported(stated: DataFrame) -> DataFrame:
+    """What presence and identities read of statements: live rows, with the amounts of balances only."""
+    cells = [F.when(F.col("statement") == "balance", F.col(c)).alias(c) for c in ("value", "context_ref", "decimals")]
+    return stated.where(~F.col("nil")).select("accession", "statement", "metric", "unit", "period", "nil", *cells)
+
+
 @query("c08_validation", FACT_TABLES + " metrics", """SELECT missing, unparsed, failed_checks, unexplained, CASE WHEN missing + unparsed + failed_checks > 0 THEN 'RED' WHEN unexplained > 0 THEN 'REVIEW' ELSE 'GREEN' END AS gate FROM (SELECT (SELECT count(*) FROM st WHERE status = 'missing') AS missing, (SELECT count(*) FROM st WHERE status = 'downloaded') AS unparsed,
 (SELECT count(*) FROM checked WHERE status = 'fail') AS failed_checks, (SELECT count(*) FROM presence p JOIN filings g ON g.accession = p.accession WHERE status = 'missing' AND form <> '8-K') AS unexplained)""", ctes=_CHECKED + _PRESENT.removeprefix(_STATED) + _STATUS)
 def _(*t):
-    stated = facts.statements(_mapped(*t[:6]))
+    stated = _stored(_reported(facts.statements(_mapped(*t[:6]))), "stated")
     gaps = facts.metric_presence(stated, t[6], t[5]).where("status = 'missing'").join(t[5].select("accession", "cik", "form"), "accession")
     return composites.validation(_status(t[5], t[0]), facts.identities(stated), gaps.select("cik", "accession", "metric"), gaps.where("form = '8-K'"))
 

@@ -92,3 +92,9 @@ def test_a_report_reads_its_lists_once(spark):
     report = composites.coverage_filings(status, listed, f, f.selectExpr("accession", "instance", "context_ref AS context_id"))
     assert sum("ExistingRDD" in x for x in plan(report)) == 1
     assert {r.accession: r.dimensional for r in report.collect()} == {"a": {"eps_diluted": ["eps_basic"]}, "b": None}
+
+
+@needs_tables
+def test_validation_makes_its_statements_once(spark):
+    made = queries.QUERIES["c08_validation"](spark, SF)
+    assert any("/stated-" in x for x in made.inputFiles()) and not any("min_by" in x for x in plan(made))
