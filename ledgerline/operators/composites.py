@@ -24,7 +24,8 @@ def filing_view(filings: DataFrame, best: DataFrame, f: DataFrame, contexts: Dat
     def part(rows: DataFrame, name: str, *columns: str) -> DataFrame:
         return rows.groupBy("accession").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
 
-    best = best.repartition("accession")
+    # A generator lets no filter and no choice of columns through, so that all parts share one exchange.
+    best = best.repartition("accession").select("accession", F.inline(F.array(F.struct(*[c for c in best.columns if c != "accession"]))))
     stated = facts.stated(best)
     cell = ("statement", "group", "metric", "label", "unit", "period", "value", "nil", "context_ref", "decimals")
     parts = [

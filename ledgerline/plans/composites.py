@@ -10,7 +10,7 @@ from ..operators import composites, dividends, events, facts, market
 from ..sources import landed
 from . import adapters
 from .queries import _AMOUNTS, _ANNOUNCED, _BASE, _CHECKED, _FAILED, _INSIDER, _KNOWN, _MAPPED, _NEWS, _OBSERVED, _OVERVIEW, _PAID, _PRESENT, _RATIOS, _RELATED, _STATED, _STATUS, _WORK, FACT_TABLES, _announced, _mapped, _news, _status, query
-from .round_trips import _folder, _land_xml, _register, _stored
+from .round_trips import _folder, _land_xml, _register, _shuffles_removed, _stored
 
 
 #: Text of one element of each array of a view, and the SQL of the same.
@@ -297,7 +297,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     f, c, d, u, t, g, r = (adapters.load(spark, sf_dir, n) for n in (FACT_TABLES + " ratios").split())
     views = composites.filing_view(g, _best(f, c, d, u, t, g), f, c, d, r)
     path = _folder(spark, "views")
-    composites.write_views(views, f"{path}/now")
+    with _shuffles_removed(spark):
+        composites.write_views(views, f"{path}/now")
     composites.write_views(spark.read.schema(views.schema).json(f"{path}/now").withColumn("version", F.lit(0)), f"{path}/old")
     return _view_text(composites.read_views(spark, f"{path}/*", views.schema))
 

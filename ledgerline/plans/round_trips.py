@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import time
@@ -29,10 +30,26 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """What is run inside leaves no shuffle files behind: its result is read back from the shared folder, so nothing needs them."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back, for what is read more than once."""
     path = _folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,13 +1,15 @@
 """Facts, contexts and units of a filing are placed once; what follows stays there."""
 
 import os
+import re
+import time
 
 import pytest
 
 from ledgerline.operators import composites, facts
 from ledgerline.plans import adapters, queries
 from ledgerline.plans import composites as plans
-from ledgerline.plans import more, submission_queries
+from ledgerline.plans import more, round_trips, submission_queries  # noqa: F401
 
 from .test_operators import VALUE, value
 
@@ -112,3 +114,26 @@ def test_instances_are_composed_where_their_parts_lie(spark):
 def test_only_kinds_that_are_read_are_landed(spark):
     landed = {x.split("/kind=")[1].split("/")[0] for x in queries.QUERIES["s08_contexts"](spark, SF).inputFiles()}
     assert landed == {"context", "dimension"}
+
+
+@needs_tables
+def test_parts_of_a_view_share_one_exchange(spark):
+    lines = plan(queries.QUERIES["c01_filing_view"](spark, SF))
+    dealt = [i for i, x in enumerate(lines) if "REPARTITION_BY_COL" in x and "/best-" in lines[i + 1] + lines[i + 2]]
+    assert len(dealt) == 4 and len({re.sub(r"#\d+L?|plan_id=\d+|^[ :+-]*", "", y) for i in dealt for y in lines[i : i + 2]}) == 2
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {x for x in disk.getAllFiles().mkString(" ").split() if "/shuffle_" in x}
+
+    before, was = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    rows = round_trips._stored(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "kept")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and rows.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == was
